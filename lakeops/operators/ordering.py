@@ -34,9 +34,7 @@ def _with_offsets(placed: DataFrame, totals: dict[str, Column]) -> DataFrame:
     """
     per_part = placed.groupBy("__part").agg(*[c.alias(n) for n, c in totals.items()])
     rows = sorted(per_part.collect(), key=lambda r: r["__part"])
-    befores = {
-        n: [0, *accumulate(r[n] if r[n] is not None else 0 for r in rows)] for n in totals
-    }
+    befores = {n: [rows[0][n] * 0, *accumulate(r[n] for r in rows)] if rows else [] for n in totals}
     fields = ", ".join(f"__before_{n} {per_part.schema[n].dataType.simpleString()}" for n in totals)
     offsets = placed.sparkSession.createDataFrame(
         [(r["__part"], *(befores[n][i] for n in totals)) for i, r in enumerate(rows)],

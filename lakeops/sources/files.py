@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,11 +74,22 @@ def scan_csv(
     })
 
 
+@contextmanager
+def western_charsets(spark: SparkSession):
+    """Let Spark take code pages beyond its short list, and put the setting back."""
+    name = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scan_cp1252(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """CSV in the Windows western code page; all columns are text without a schema.
 
-    Spark accepts this code page only while ``spark.sql.legacy.javaCharsets`` is
-    set, which is read when the scan is planned, so the caller's session sets it.
+    To be run inside ``western_charsets``: land the frame there and go on from the copy.
     """
     reader = spark.read.options(header=True, encoding="windows-1252")
     return (reader.schema(schema) if schema is not None else reader).csv(path)

@@ -4,16 +4,14 @@ from pyspark.sql import functions as F
 
 from lakeops.catalog.base import query
 from lakeops.operators import joins
-from lakeops.operators.skew import spread_join
 
 
 @query("j1_inner_detail", """
     SELECT l_orderkey, l_linenumber, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
 def inner_detail(t):
-    # no broadcast hint: Spark compares the detail table's size with its threshold
     detail = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     rows = t.lineitem.select("l_suppkey", "l_orderkey", "l_linenumber")
-    return spread_join(rows, detail, ["l_suppkey"]).drop("l_suppkey")
+    return joins.inner_detail(rows, detail, ["l_suppkey"]).drop("l_suppkey")
 
 
 @query("j2_code_lookup", """

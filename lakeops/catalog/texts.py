@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakeops.catalog.base import query
+from lakeops.durable import materialize
 from lakeops.operators import text
 from lakeops.operators.ordering import add_row_index
 
@@ -54,7 +55,7 @@ def items_by_count(t):
     SELECT word, round(sum(-ln(p)), 6) AS nll, round(avg(-ln(p)), 6) AS mean_nll
     FROM each JOIN probs USING (c1, c2) GROUP BY word""")
 def text_likelihood(t):
-    counted = words(t)
+    counted = materialize(words(t), "words")
     table = text.transition_table(text.pair_counts(counted))
     scored = text.negative_log_likelihood(counted, table)
     return scored.select("word", F.round("nll", 6).alias("nll"), F.round("mean_nll", 6).alias("mean_nll"))

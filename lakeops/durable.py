@@ -18,7 +18,7 @@ _local_folder: str | None = None
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach."""
     global _local_folder
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -51,12 +51,14 @@ def apply_codes(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> Dat
 
     Null gives 0, as does a value the dictionary does not know.
     """
+    plain = df
     for c in columns:
         codes = dictionary.where(F.col("column") == c).select(
             F.col("value").alias("__value"), F.col("code").alias("__code")
         )
         keyed = df.withColumns({f"{c}_is_missing": F.col(c).isNull(), "__value": F.col(c).cast("string")})
-        df = spread_join(keyed, codes, ["__value"], "left").withColumn(
+        counted = plain.select(F.col(c).cast("string").alias("__value"))
+        df = spread_join(keyed, codes, ["__value"], "left", may_be_small=True, counted=counted).withColumn(
             c, F.coalesce("__code", F.lit(0)).cast("bigint")
         ).drop("__value", "__code")
     return df

@@ -187,14 +187,18 @@ def scd2_apply(
     business = source.columns
     changes = materialize(scd2_changes(target, source, key).where(F.col("RowAction") != "None"), "changes")
     changes = changes.withColumn("LoadID", F.lit(load_id))
-    inserts = number_after(
-        changes.where(F.col("RowAction") == "Insert").drop("Ekid"), [key], "Ekid", highest(target, "Ekid")
-    )
     updates = not_yet_loaded(
         changes.where(F.col("RowAction") == "Update"), target.select("Ekid", "LoadID"), ["Ekid", "LoadID"]
     )
-    versions = inserts.unionByName(updates).select(
-        "Ekid", *business,
+    added = updates.unionByName(changes.where(F.col("RowAction") == "Insert"))
+    # one numbering serves both keys: updates come first and have their Ekid
+    last = target.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("Skid", "Ekid")]).first()
+    numbered = add_row_index(added, [F.col("Ekid").asc_nulls_last(), key], "__at")
+    n_updates = numbered.agg(F.count("Ekid").alias("n")).scalar()
+    versions = numbered.select(
+        (F.col("__at") + last["Skid"] + 1).alias("Skid"),
+        F.coalesce(F.col("Ekid"), F.col("__at") - n_updates + last["Ekid"] + 1).alias("Ekid"),
+        *business,
         load_ts.alias("ValidFromDt"),
         F.lit(OPEN_END).cast("timestamp").alias("ValidToDt"),
         F.lit(True).alias("CurrInd"),
@@ -205,15 +209,13 @@ def scd2_apply(
         F.lit(system).alias("SourceSystemCd"),
         "LoadID",
     )
-    versions = number_after(versions, ["Ekid"], "Skid", highest(target, "Skid"))
     # only current rows meet the batch; history passes through without a join
     current, history = target.where("CurrInd"), target.where("NOT CurrInd")
     ended = updates.select("Ekid", F.lit(True).alias("__ends"))
     ends = F.coalesce(F.col("__ends"), F.lit(False))
-    last = F.try_subtract(load_ts, F.expr("INTERVAL '1' MINUTE"))
+    closing = F.try_subtract(load_ts, F.expr("INTERVAL '1' MINUTE"))
     kept = current.join(ended, "Ekid", "left").withColumns({
-        "ValidToDt": F.when(ends, last).otherwise(F.col("ValidToDt")),
+        "ValidToDt": F.when(ends, closing).otherwise(F.col("ValidToDt")),
         "CurrInd": ~ends,
     })
-    rows = history.unionByName(kept.select(*target.columns)).unionByName(versions.select(*target.columns))
-    return rows
+    return history.unionByName(kept.select(*target.columns)).unionByName(versions.select(*target.columns))

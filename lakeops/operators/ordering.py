@@ -8,6 +8,7 @@ offsets. Executors never hold more than a sort partition.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +21,13 @@ _POSITION_BITS = 33
 
 
 def _place(df: DataFrame, order_by: list) -> DataFrame:
-    placed = df.orderBy(*order_by).withColumn("__place", F.monotonically_increasing_id())
+    # rows that are equal in the order are told apart by the input partition they
+    # come from, so that a large group of copies is not sorted in one task
+    tie = F.xxhash64(*df.columns, F.spark_partition_id())
+    placed = (
+        df.withColumn("__tie", tie).orderBy(*order_by, "__tie").drop("__tie")
+        .withColumn("__place", F.monotonically_increasing_id())
+    )
     return materialize(placed, "ordered").withColumn(
         "__part", F.shiftright("__place", _POSITION_BITS)
     )
@@ -75,50 +82,83 @@ def add_running_totals(df: DataFrame, order_by: list, totals: dict[str, str]) ->
     return placed.select(*df.columns, *sums)
 
 
+# the sketch's rank error is 1 / accuracy; the bracket leaves room for several of them
+_ACCURACY = 10_000
+_MARGIN = 5 / _ACCURACY
+
+
+def _edges(probs: list[float]) -> list[float]:
+    return [e for p in probs for e in (max(0.0, p - _MARGIN), min(1.0, p + _MARGIN))]
+
+
+@dataclass
+class _Wanted:
+    """One quantile: the two ranks it lies between and the bracket that holds them."""
+
+    column: str
+    prob: float
+    first: int
+    second: int
+    part: float
+    low: float
+    high: float
+    below: int = 0
+
+
 def exact_quantiles(
     df: DataFrame, columns: list[str], probs: list[float]
 ) -> dict[str, dict[float, float | None]]:
     """Exact, linearly interpolated quantiles of several columns at once.
 
-    Values are counted before anything is sorted, so repeated values cost one row,
-    and only the two rows around each wanted position reach the driver.
+    A sketch gives a narrow bracket around each quantile, one pass counts the rows
+    below each bracket, and only the values inside are sorted. Repeated values are
+    counted before the sort. A bracket that turns out to miss its rank is widened
+    to the whole column, so the result never depends on the sketch.
     """
-    counted = (
-        df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
-            for i, c in enumerate(columns)
-        ])).alias("cell"))
-        .where("cell.v IS NOT NULL")
-        .groupBy(F.col("cell.c").alias("c"), F.col("cell.v").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    running = add_running_totals(counted, ["c", "v"], {"upto": "n"})
-    sizes = {r["c"]: r["n"] for r in running.groupBy("c").agg(F.sum("n").alias("n")).collect()}
-    starts = dict(zip(sorted(sizes), accumulate([0, *(sizes[c] for c in sorted(sizes))])))
-    wanted: dict[tuple[int, float], tuple[int, int, float]] = {}
-    for c, n in sizes.items():
-        for p in probs:
-            at = (n - 1) * p
-            low = int(at)
-            wanted[(c, p)] = (starts[c] + low, starts[c] + min(low + 1, n - 1), at - low)
-    ranks = sorted({r for low, high, _ in wanted.values() for r in (low, high)})
-    if not ranks:
-        return {c: dict.fromkeys(probs) for c in columns}
-    hits = running.select(
-        "v",
-        F.explode(F.filter(
-            F.array(*[F.lit(r).cast("bigint") for r in ranks]),
-            lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")),
-        )).alias("rank"),
-    )
-    at_rank = {r["rank"]: r["v"] for r in hits.collect()}
-    result: dict[str, dict[float, float | None]] = {}
-    for i, name in enumerate(columns):
-        result[name] = {}
-        for p in probs:
-            if i not in sizes:
-                result[name][p] = None
-                continue
-            low, high, part = wanted[(i, p)]
-            result[name][p] = at_rank[low] + part * (at_rank[high] - at_rank[low])
+    sketch = df.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(F.col(c).cast("double"), _edges(probs), F.lit(_ACCURACY)).alias(f"q{i}")
+          for i, c in enumerate(columns)],
+    ).first()
+    wanted = []
+    for i, c in enumerate(columns):
+        for j, p in enumerate(probs):
+            n = sketch[f"n{i}"]
+            if n:
+                at = (n - 1) * p
+                edges = sketch[f"q{i}"]
+                wanted.append(_Wanted(c, p, int(at), min(int(at) + 1, n - 1), at - int(at), edges[2 * j], edges[2 * j + 1]))
+    result: dict[str, dict[float, float | None]] = {c: dict.fromkeys(probs) for c in columns}
+    if not wanted:
+        return result
+    counts = df.agg(*[
+        f.alias(f"{kind}{k}") for k, w in enumerate(wanted) for kind, f in (
+            ("below", F.count_if(F.col(w.column).cast("double") < w.low)),
+            ("upto", F.count_if(F.col(w.column).cast("double") <= w.high)),
+        )
+    ]).first()
+    for k, w in enumerate(wanted):
+        w.below = counts[f"below{k}"]
+        if w.first < w.below or w.second >= counts[f"upto{k}"]:
+            w.low, w.high, w.below = float("-inf"), float("inf"), 0
+    inside = F.filter(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.when(F.col(w.column).cast("double").between(w.low, w.high), F.col(w.column).cast("double")).alias("v"))
+        for k, w in enumerate(wanted)
+    ]), lambda cell: cell["v"].isNotNull())
+    values = df.select(F.inline(inside)).groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    running = add_running_totals(values, ["k", "v"], {"upto": "n"})
+    sizes = {r["k"]: r["n"] for r in running.groupBy("k").agg(F.sum("n").alias("n")).collect()}
+    start, ranks = 0, {}
+    for k, w in enumerate(wanted):
+        ranks[k] = [start + r - w.below for r in (w.first, w.second)]
+        start += sizes[k]
+    # at most two rows per quantile reach the driver
+    hits = running.select("v", F.explode(F.filter(
+        F.array(*[F.lit(r).cast("bigint") for r in sorted({r for pair in ranks.values() for r in pair})]),
+        lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")),
+    )).alias("rank")).collect()
+    at_rank = {r["rank"]: r["v"] for r in hits}
+    for k, w in enumerate(wanted):
+        low, high = (at_rank[r] for r in ranks[k])
+        result[w.column][w.prob] = low + w.part * (high - low)
     return result

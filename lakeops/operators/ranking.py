@@ -51,7 +51,7 @@ def group_ordinals(df: DataFrame, column: str) -> DataFrame:
     numbered = add_row_index(values, [column], "Check")
     size = numbered.agg(F.count(F.lit(1)).alias("n")).scalar()
     numbered = numbered.withColumn("Check2", size - F.col("Check"))
-    return spread_join(df, numbered, [column], "left")
+    return spread_join(df, numbered, [column], "left", may_be_small=True)
 
 
 def cumulative_by(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
@@ -63,7 +63,7 @@ def cumulative_by(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
 def slots(df: DataFrame, group: str, first_seen: str, date: str, item: str) -> DataFrame:
     """Number the items 1, 2, ...: groups as first seen, then date, then name."""
     firsts = df.groupBy(group).agg(F.min(first_seen).alias("__first"))
-    ordered = spread_join(df, firsts, [group])
+    ordered = spread_join(df, firsts, [group], may_be_small=True)
     return add_row_index(ordered, ["__first", group, date, item], "slot", start=1).drop("__first")
 
 

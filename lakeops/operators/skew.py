@@ -1,7 +1,9 @@
-"""Joins that stay spread when one key holds a large part of the rows."""
+"""Joins that stay spread when one key, or null, holds a large part of the rows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,18 @@ from pyspark.sql import functions as F
 MAX_HOT = 500
 HOT_ROWS = 1_000_000
 SALTS = 64
+# a lookup is broadcast when it has been counted and measured to be within both
+SMALL_ROWS = 200_000
+SMALL_BYTES = 32 * 1024 * 1024
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether ``df`` is within the broadcast bounds, by looking at no more rows than they allow."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    seen = df.limit(SMALL_ROWS + 1).select(size.alias("size")).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")
+    ).first()
+    return seen["rows"] <= SMALL_ROWS and seen["bytes"] <= SMALL_BYTES
 
 
 def hot_keys(rows: DataFrame, on: list[str], floor: int = HOT_ROWS) -> DataFrame | None:
@@ -30,19 +44,30 @@ def spread_join(
     how: str = "inner",
     floor: int = HOT_ROWS,
     salts: int = SALTS,
+    may_be_small: bool = False,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to ``lookup`` (few rows per key) on equal keys.
 
-    Without hot keys this is the plain join. Otherwise rows of a hot key are dealt
-    out over ``salts`` by their own content, and the few lookup rows of that key
-    are repeated once per salt. ``how`` is inner, left, left_semi or left_anti.
+    With ``may_be_small`` the lookup is measured and broadcast if it is small;
+    leave it off where measuring would mean computing a large aggregate. Otherwise,
+    without hot keys, this is the plain join. With hot keys their rows are dealt
+    out over ``salts``, and the few lookup rows of such a key are repeated once per
+    salt. ``counted`` is a cheaper frame with the same key counts. ``how`` is inner,
+    left, left_semi or left_anti.
     """
-    hot = hot_keys(rows, on, floor)
+    if may_be_small and is_small(lookup):
+        return rows.join(F.broadcast(lookup), on, how)
+    hot = hot_keys(rows if counted is None else counted, on, floor)
     if hot is None:
         return rows.join(lookup, on, how)
     hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    dealt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    left = rows.join(hot, on, "left").withColumn("__salt", F.when(F.col("__hot"), dealt).otherwise(0))
+    # equal rows lie in several input partitions, so the partition splits them too
+    dealt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    left = rows.join(hot, on, "left").withColumn(
+        "__salt", F.when(F.col("__hot") | no_key, dealt).otherwise(0)
+    )
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = lookup.join(hot, on, "left").withColumn("__salt", F.explode(copies))
     return left.drop("__hot").join(right.drop("__hot"), [*on, "__salt"], how).drop("__salt")

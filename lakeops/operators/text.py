@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators.ordering import add_row_index
+from lakeops.operators.skew import spread_join
 
 END = "."
 
@@ -72,9 +73,8 @@ def negative_log_likelihood(words: DataFrame, transitions: DataFrame) -> DataFra
 
     A pair the table lacks, or holds with probability 0, makes the word infinite.
     """
-    # the table has one row per pair of characters: the alphabet bounds it
     known = transitions.select("c1", "c2", "p")
-    scored = pairs_of_words(words).join(known, ["c1", "c2"], "left")
+    scored = spread_join(pairs_of_words(words), known, ["c1", "c2"], "left", may_be_small=True)
     cost = F.when(F.coalesce(F.col("p"), F.lit(0.0)) > 0, -F.log("p")).otherwise(F.lit(float("inf")))
     return scored.groupBy("word", "n").agg(F.sum(cost).alias("nll"), F.avg(cost).alias("mean_nll"))
 

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.durable import materialize
 from lakeops.operators import merge, quality
 from lakeops.operators.joins import of_batch_dates
 from lakeops.sinks import tables
@@ -27,6 +28,7 @@ def conform_scd2(
     at it only when the gates hold.
     """
     stamp = F.lit(load_ts).cast("timestamp")
+    source = materialize(source, "source")
     if spark.catalog.tableExists(table):
         rows = merge.scd2_apply(spark.table(table), source, key, load_id, stamp, system)
     else:
@@ -45,7 +47,7 @@ def conform_scd1(
 ) -> None:
     """Load a window of cleaned rows into a type 1 dimension table."""
     stamp = F.lit(load_ts).cast("timestamp")
-    batch = merge.scd1_source(cleaned, key, date, start, end, unknown)
+    batch = materialize(merge.scd1_source(cleaned, key, date, start, end, unknown), "batch")
     if not spark.catalog.tableExists(table):
         shape = batch.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
         tables.create_if_absent(spark, table, shape.schema, f"{root}/empty")

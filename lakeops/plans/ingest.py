@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,8 @@ from lakeops.sinks import tables
 from lakeops.sources import files
 
 DATE = "__RawPartitionDate"
+# up to this many file names are written into the log row itself
+LOGGED_FILES = 1000
 
 
 def parse_window(start: str, end: str = "") -> tuple[datetime, datetime]:
@@ -44,7 +47,6 @@ class Feed:
     keys: list[str]
     kind: str = "csv"  # or json
     multiline: bool = True
-    details: dict = field(default_factory=dict)
 
 
 def scan_feed(spark: SparkSession, feed: Feed, start: datetime, end: datetime) -> DataFrame:
@@ -73,8 +75,7 @@ def ingest_cleaned(
     batch = materialize(scan_feed(spark, feed, start, end), "batch")
     checks = _Checks(spark, feed, load_ts)
 
-    file_names = batch.agg(F.array_sort(F.collect_set("__RawFileName")).alias("f")).first()["f"]
-    checks.files = ", ".join(file_names)
+    n_files, checks.files = _list_files(batch, feed.log_path)
     counts = quality.schema_counts(batch, files.CORRUPT).first()
     checks.run(
         "SchemaConsistency", "NumRecordsCompliant", counts[0], "NumRecordsNonCompliant", counts[1],
@@ -113,7 +114,18 @@ def ingest_cleaned(
         "CountIntegrity", "NumRecordsInSource", both[0], "NumRecordsInTarget", both[1],
         holds=both[0] == both[1], message=f"{both[0]} rows in the batch, {both[1]} in the table",
     )
-    return {"rows": both[1], "files": len(file_names)}
+    return {"rows": both[1], "files": n_files}
+
+
+def _list_files(batch: DataFrame, log_path: str) -> tuple[int, str]:
+    """Number of files, and their names for the log: in full, or where a long list is kept."""
+    names = files.files_processed(batch)
+    shown = [r[0] for r in names.limit(LOGGED_FILES + 1).collect()]
+    if len(shown) <= LOGGED_FILES:
+        return len(shown), ", ".join(sorted(shown))
+    path = f"{log_path}-files/{uuid.uuid4().hex}"
+    names.write.parquet(path)
+    return batch.sparkSession.read.parquet(path).count(), f"listed in {path}"
 
 
 def _existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:

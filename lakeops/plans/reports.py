@@ -48,10 +48,9 @@ def milestone_tracker(df: DataFrame, programme: str, name: str, baseline: str, f
     """One row per activity: slot, short name, month labels, colour and arrow."""
     rows = df.dropna(how="all")
     # one row per programme and activity, the earliest in the file among the earliest baselines
-    first = F.min_by(F.struct(baseline, forecast, status, trend, first_seen), F.struct(baseline, first_seen))
-    each = rows.groupBy(programme, name).agg(first.alias("__r")).select(programme, name, "__r.*")
-    firsts = rows.groupBy(programme).agg(F.min(first_seen).alias("__seen"))
-    placed = slots(each.join(firsts, programme), programme, "__seen", baseline, name)
+    first = F.min_by(F.struct(baseline, forecast, status, trend), F.struct(baseline, first_seen))
+    each = rows.groupBy(programme, name).agg(first.alias("__r"), F.min(first_seen).alias("__seen"))
+    placed = slots(each.select(programme, name, "__r.*", "__seen"), programme, "__seen", baseline, name)
     colour = F.when(F.col(trend) == "Amber", "#ff7f0e").otherwise(F.col(trend))
     return placed.select(
         "slot", programme, name,
@@ -67,4 +66,5 @@ def milestone_tracker(df: DataFrame, programme: str, name: str, baseline: str, f
 def daily_totals(sales: DataFrame, prices: DataFrame, day: str, item: str, quantity: str, price: str) -> DataFrame:
     """Quantity and price-weighted total per day."""
     quantities = sales.groupBy(day).agg(F.sum(quantity).alias("quantity"))
+    # both sides have one row per day
     return quantities.join(weighted_totals(sales, prices, day, item, quantity, price), day)

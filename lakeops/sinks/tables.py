@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,14 +52,16 @@ def point_at(spark: SparkSession, table: str, path: str, partitions: list[str] |
     spark.catalog.refreshTable(table)
 
 
-def merge_partitions(target: DataFrame, batch_dates: DataFrame, merge, path: str, partition: str) -> None:
+def merge_partitions(target: DataFrame, batch: DataFrame, merge: Callable[[DataFrame], DataFrame], path: str, partition: str) -> None:
     """Rewrite only the partitions the batch touches.
 
-    ``merge`` takes the target rows of those partitions. Its result is written
-    aside first, because it reads the files that are about to be replaced.
+    ``merge`` takes the target rows of those partitions; their names (one per
+    folder) go through the driver so that the scan lists no other folder. The result
+    is written aside first, because it reads the files that are about to be replaced.
     """
-    touched = target.join(batch_dates.select(partition).distinct(), partition, "left_semi")
-    overwrite_partitions(materialize(merge(touched), "merged"), path, [partition])
+    touched = [r[0] for r in batch.select(partition).distinct().collect()]
+    rows = target.where(F.col(partition).isin(touched))
+    overwrite_partitions(materialize(merge(rows), "merged"), path, [partition])
 
 
 def append_log(spark: SparkSession, entries: list[dict], path: str) -> None:

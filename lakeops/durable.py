@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_stages: ContextVar[list[str] | None] = ContextVar("stages", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,5 +39,25 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once and go on from the written copy."""
     path = fresh_path(df.sparkSession, name)
+    made = _stages.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing_stages(spark: SparkSession):
+    """Remove the copies made inside once the block is left.
+
+    For loads that hand back no frame; each thread has its own list.
+    """
+    token = _stages.set([])
+    try:
+        yield
+    finally:
+        made = _stages.get()
+        _stages.reset(token)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

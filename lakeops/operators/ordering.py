@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.durable import materialize
+from lakeops.operators.skew import hashable
 
 # monotonically_increasing_id() keeps the partition above bit 33, the position below
 _POSITION_BITS = 33
@@ -23,7 +24,7 @@ _POSITION_BITS = 33
 def _place(df: DataFrame, order_by: list) -> DataFrame:
     # rows that are equal in the order are told apart by the input partition they
     # come from, so that a large group of copies is not sorted in one task
-    tie = F.xxhash64(*df.columns, F.spark_partition_id())
+    tie = F.xxhash64(*hashable(df), F.spark_partition_id())
     placed = (
         df.withColumn("__tie", tie).orderBy(*order_by, "__tie").drop("__tie")
         .withColumn("__place", F.monotonically_increasing_id())

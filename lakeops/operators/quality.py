@@ -68,6 +68,23 @@ def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def row_and_key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The duplicate counts of ``df`` and the key counts of its distinct rows, in one job.
+
+    Equal rows are combined first and their groups then combined by key, so the
+    table itself is shuffled once at most.
+    """
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__rows"))
+    per_key = rows.groupBy(*keys).agg(F.sum("__rows").alias("__rows"), F.count(F.lit(1)).alias("__distinct"))
+    counted = F.lit(True) if len(keys) > 1 else F.col(keys[0]).isNotNull()
+    total, distinct = (F.coalesce(F.sum(c), F.lit(0)) for c in ("__rows", "__distinct"))
+    shared = F.sum(F.when(F.col("__distinct") > 1, F.col("__distinct")))
+    return per_key.agg(
+        total.alias("NumRecords"), distinct.alias("NumDistinctRecords"), (total - distinct).alias("NumDuplicatedRecords"),
+        F.coalesce(shared, F.lit(0)).alias("NumDuplicatedPrimaryKeys"), F.count_if(counted).alias("NumPrimaryKeys"),
+    )
+
+
 def count_integrity(source: DataFrame, target: DataFrame) -> DataFrame:
     """Rows of the batch and rows of the target that should hold it."""
     in_target = target.agg(F.count(F.lit(1)).alias("n")).scalar()

@@ -2,44 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.ordering import add_row_index, add_running_totals
-from lakeops.operators.skew import HOT_ROWS, spread_join
+from lakeops.operators.skew import HOT_ROWS, hot_keys, spread_join
 
 
 def latest_per_key(df: DataFrame, keys: list[str], version: str, floor: int = HOT_ROWS) -> DataFrame:
     """All rows that carry the highest ``version`` of their key; ties are kept.
 
-    Same rows as ``dense_rank() = 1`` over the key, descending, with nulls last and
-    null keys forming a group. The highest version per key is a combined aggregate
-    and the rows meet it in a join that spreads hot keys, so no key's rows are
-    sorted in one task.
+    That is ``dense_rank() = 1`` over the key, descending, with nulls last. Spark
+    drops outranked rows before the shuffle, but ties of one key still meet in one
+    task. So keys with very many rows, of which there are at most a few hundred, are
+    taken out: their highest version is broadcast and their rows never shuffle.
     """
-    names = [f"__k{i}" for i in range(len(keys))]
-    # a null-safe key: the value, and whether it is there
-    safe = {n: F.struct(F.col(k).isNull(), F.coalesce(F.col(k), _blank(df, k))) for n, k in zip(names, keys)}
-    seen = F.struct(F.col(version).isNotNull().alias("known"), F.col(version).alias("at"))
-    rows = df.withColumns(safe).withColumn("__seen", seen)
-    last = rows.groupBy(*names).agg(F.max("__seen").alias("__last"))
-    return (
-        spread_join(rows, last, names, "inner", floor=floor)
-        .where(F.col("__seen").eqNullSafe(F.col("__last")))
-        .select(*df.columns)
-    )
-
-
-def _blank(df: DataFrame, column: str) -> Column:
-    """A stand-in of the column's own type for null keys."""
-    kind = df.schema[column].dataType.simpleString()
-    if kind == "string":
-        return F.lit("")
-    if kind == "boolean":
-        return F.lit(False)
-    if kind in ("date", "timestamp", "timestamp_ntz"):
-        return F.lit("1970-01-01").cast(kind)
-    return F.lit(0).cast(kind)
+    by_version = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(version))
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("__rank", F.dense_rank().over(by_version)).where("__rank = 1").drop("__rank")
+
+    hot = hot_keys(df, keys, floor)
+    if hot is None:
+        return ranked(df)
+    hot = hot.withColumnsRenamed({k: f"__hot_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
+    hot_rows = df.join(F.broadcast(hot), same)
+    last = hot_rows.groupBy(*hot.columns).agg(F.max(version).alias("__last"))
+    kept = df.join(F.broadcast(last), same).where(F.col(version).eqNullSafe(F.col("__last")))
+    others = df.join(F.broadcast(hot), same, "left_anti")
+    return kept.select(*df.columns).unionByName(ranked(others))
 
 
 def group_ordinals(df: DataFrame, column: str) -> DataFrame:

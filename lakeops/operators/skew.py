@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # 1 / MAX_HOT of all rows and joins as usual, so the bound loses nothing.
 MAX_HOT = 500
 HOT_ROWS = 1_000_000
+SAMPLED_ROWS = 10_000
 SALTS = 64
 # a lookup is broadcast when it has been counted and measured to be within both
 SMALL_ROWS = 200_000
@@ -26,12 +27,21 @@ def is_small(df: DataFrame) -> bool:
     return seen["rows"] <= SMALL_ROWS and seen["bytes"] <= SMALL_BYTES
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """The columns Spark can hash: all but maps."""
+    return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+
+
 def hot_keys(rows: DataFrame, on: list[str], floor: int = HOT_ROWS) -> DataFrame | None:
-    """The keys with more than ``floor`` rows (at most ``MAX_HOT``), or None.
+    """The keys with more than about ``floor`` rows (at most ``MAX_HOT``), or None.
 
-    The counting job reads the key columns only and combines before it shuffles.
+    Counted on a share of the rows that still holds thousands of each hot key, from
+    the key columns only. Which keys are found decides how rows travel, never which
+    rows there are.
     """
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > floor)
+    share = min(1.0, SAMPLED_ROWS / floor)
+    seen = rows.select(*on) if share == 1.0 else rows.select(*on).sample(share, seed=17)
+    counts = seen.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > floor * share)
     top = counts.orderBy(F.desc("__rows")).limit(MAX_HOT).select(*on)
     found = top.collect()
     return rows.sparkSession.createDataFrame(found, top.schema) if found else None
@@ -63,7 +73,7 @@ def spread_join(
         return rows.join(lookup, on, how)
     hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
     # equal rows lie in several input partitions, so the partition splits them too
-    dealt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    dealt = F.pmod(F.xxhash64(*hashable(rows), F.spark_partition_id()), F.lit(salts)).cast("int")
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     left = rows.join(hot, on, "left").withColumn(
         "__salt", F.when(F.col("__hot") | no_key, dealt).otherwise(0)

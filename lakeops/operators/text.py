@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.durable import materialize
 from lakeops.operators.ordering import add_row_index
 from lakeops.operators.skew import spread_join
 
@@ -17,7 +18,7 @@ END = "."
 
 def words_of(text: Column) -> Column:
     """Lower-case words of a text: runs of letters."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), "")
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
@@ -27,12 +28,15 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
     )
 
 
+def letters(word: Column) -> Column:
+    """The characters of a word."""
+    return F.split(word, "")
+
+
 def characters(word: Column) -> Column:
     """The characters of a word between two end marks."""
-    inner = F.transform(
-        F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(word, i, F.lit(1))
-    )
-    return F.concat(F.array(F.lit(END)), inner, F.array(F.lit(END)))
+    mark = F.array(F.lit(END))
+    return F.concat(mark, letters(word), mark)
 
 
 def pairs_of_words(words: DataFrame) -> DataFrame:
@@ -56,6 +60,7 @@ def transition_table(pairs: DataFrame, smoothing: int = 1) -> DataFrame:
     The character set is one sorted array in a scalar subquery; each first
     character is expanded over it once. Its size is bounded by the alphabet.
     """
+    pairs = materialize(pairs, "pairs")
     every = pairs.select(F.explode(F.array("c1", "c2")).alias("c")).distinct()
     alphabet = every.agg(F.array_sort(F.collect_set("c")).alias("a")).scalar()
     grid = every.select(F.col("c").alias("c1"), F.explode(alphabet).alias("c2"))
@@ -82,8 +87,7 @@ def negative_log_likelihood(words: DataFrame, transitions: DataFrame) -> DataFra
 def vocabulary(words: DataFrame) -> DataFrame:
     """Each character's index, in order, the end mark at 0."""
     seen = words.select(
-        F.explode(F.transform(F.sequence(F.lit(1), F.length("word")),
-                              lambda i: F.substring("word", i, F.lit(1)))).alias("c")
+        F.explode(letters(F.col("word"))).alias("c")
     ).distinct()
     numbered = add_row_index(seen, ["c"], "i", start=1)
     mark = words.sparkSession.range(1).select(F.lit(END).alias("c"), F.col("id").alias("i"))

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.durable import materialize
+from lakeops.durable import materialize, passing_stages
 from lakeops.operators import merge, quality
 from lakeops.operators.joins import of_batch_dates
 from lakeops.sinks import tables
@@ -27,18 +27,18 @@ def conform_scd2(
     The new version is written beside the old one and checked; the table is pointed
     at it only when the gates hold.
     """
-    stamp = F.lit(load_ts).cast("timestamp")
-    source = materialize(source, "source")
-    if spark.catalog.tableExists(table):
-        rows = merge.scd2_apply(spark.table(table), source, key, load_id, stamp, system)
-    else:
-        rows = merge.scd2_initial(source, key, load_id, stamp, system)
-        tables.create_if_absent(spark, table, rows.schema, f"{root}/empty")
-    path = tables.write_version(rows, root)
-    new = spark.read.schema(rows.schema).parquet(path)
-    _gate_keys(spark, new, ["Skid"], table, log_path, load_ts)
-    _gate_counts(spark, source, new.where("CurrInd"), table, log_path, load_ts)
-    tables.point_at(spark, table, path)
+    with passing_stages(spark):
+        stamp = F.lit(load_ts).cast("timestamp")
+        source = materialize(source, "source")
+        if spark.catalog.tableExists(table):
+            rows = merge.scd2_apply(spark.table(table), source, key, load_id, stamp, system)
+        else:
+            rows = merge.scd2_initial(source, key, load_id, stamp, system)
+            tables.create_if_absent(spark, table, rows.schema, f"{root}/empty")
+        path = tables.write_version(rows, root)
+        new = spark.read.schema(rows.schema).parquet(path)
+        _gates(spark, table, log_path, load_ts, new, ["Skid"], source, new.where("CurrInd"))
+        tables.point_at(spark, table, path)
 
 
 def conform_scd1(
@@ -46,34 +46,31 @@ def conform_scd1(
     start: str, end: str, unknown: dict, load_ts: datetime, log_path: str,
 ) -> None:
     """Load a window of cleaned rows into a type 1 dimension table."""
-    stamp = F.lit(load_ts).cast("timestamp")
-    batch = materialize(merge.scd1_source(cleaned, key, date, start, end, unknown), "batch")
-    if not spark.catalog.tableExists(table):
-        shape = batch.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
-        tables.create_if_absent(spark, table, shape.schema, f"{root}/empty")
-    target = spark.table(table)
-    path = tables.write_version(merge.upsert(target, batch, [key], stamp), root)
-    new = spark.read.schema(target.schema).parquet(path)
-    _gate_keys(spark, new, [key], table, log_path, load_ts)
-    _gate_counts(spark, batch, of_batch_dates(new, batch, date), table, log_path, load_ts)
-    tables.point_at(spark, table, path)
+    with passing_stages(spark):
+        stamp = F.lit(load_ts).cast("timestamp")
+        batch = materialize(merge.scd1_source(cleaned, key, date, start, end, unknown), "batch")
+        if not spark.catalog.tableExists(table):
+            shape = batch.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
+            tables.create_if_absent(spark, table, shape.schema, f"{root}/empty")
+        target = spark.table(table)
+        path = tables.write_version(merge.upsert(target, batch, [key], stamp), root)
+        new = spark.read.schema(target.schema).parquet(path)
+        _gates(spark, table, log_path, load_ts, new, [key], batch, of_batch_dates(new, batch, date))
+        tables.point_at(spark, table, path)
 
 
-def _gate_keys(spark, df, keys, table, log_path, load_ts):
-    pk = quality.key_counts(df, keys).first()
-    entry = quality.log_entry(
+def _gates(spark, table, log_path, load_ts, new, keys, source, target):
+    """Key and count checks of a new version; both rows are logged before a failure raises."""
+    pk = quality.key_counts(new, keys).first()
+    both = quality.count_integrity(source, target).first()
+    key_entry = quality.log_entry(
         "PrimaryKeyConsistency", ("NumDuplicatedPrimaryKeys", pk[0]), ("NumPrimaryKeys", pk[1]), load_ts,
         NotebookName="conform", SourceDataAsset=table, PrimaryKeyChecked=", ".join(keys),
     )
-    tables.append_log(spark, [entry], log_path)
-    quality.require(pk[0] == 0, f"{table}: {pk[0]} rows share a key", entry)
-
-
-def _gate_counts(spark, source, target, table, log_path, load_ts):
-    both = quality.count_integrity(source, target).first()
-    entry = quality.log_entry(
+    count_entry = quality.log_entry(
         "CountIntegrity", ("NumRecordsInSource", both[0]), ("NumRecordsInTarget", both[1]), load_ts,
         NotebookName="conform", SourceDataAsset=table, TargetDataAsset=table,
     )
-    tables.append_log(spark, [entry], log_path)
-    quality.require(both[0] == both[1], f"{table}: {both[0]} rows in the batch, {both[1]} in the table", entry)
+    tables.append_log(spark, [key_entry, count_entry], log_path)
+    quality.require(pk[0] == 0, f"{table}: {pk[0]} rows share a key", key_entry)
+    quality.require(both[0] == both[1], f"{table}: {both[0]} rows in the batch, {both[1]} in the table", count_entry)

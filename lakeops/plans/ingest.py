@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.durable import materialize
+from lakeops.durable import materialize, passing_stages
 from lakeops.operators import quality
 from lakeops.operators.merge import upsert
 from lakeops.operators.ranking import latest_per_key
@@ -72,9 +72,16 @@ def ingest_cleaned(
     ``mode`` is ``partitions`` (replace the days of the batch) or ``upsert`` (update
     by key and day). The scan is written once and every check reads that copy.
     """
-    batch = materialize(scan_feed(spark, feed, start, end), "batch")
     checks = _Checks(spark, feed, load_ts)
+    with passing_stages(spark):
+        try:
+            return _load(spark, feed, start, end, load_ts, mode, checks)
+        finally:
+            checks.write()
+
 
+def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
+    batch = materialize(scan_feed(spark, feed, start, end), "batch")
     n_files, checks.files = _list_files(batch, feed.log_path)
     counts = quality.schema_counts(batch, files.CORRUPT).first()
     checks.run(
@@ -83,25 +90,25 @@ def ingest_cleaned(
     )
     keys = [*feed.keys, DATE]
     rows = materialize(latest_per_key(batch.drop(files.CORRUPT), keys, "__RawFileModificationTime"), "latest")
-    # once this check holds the rows are distinct, so no DISTINCT is needed further on
-    dup = quality.duplicate_counts(rows).first()
+    # once the first of these holds the rows are distinct, so no DISTINCT is needed further on
+    found = quality.row_and_key_counts(rows, keys).first()
     checks.run(
-        "Duplication", "NumRecords", dup["NumRecords"], "NumDistinctRecords", dup["NumDistinctRecords"],
-        holds=dup["NumDuplicatedRecords"] == 0, message=f"{dup['NumDuplicatedRecords']} duplicated rows",
+        "Duplication", "NumRecords", found["NumRecords"], "NumDistinctRecords", found["NumDistinctRecords"],
+        holds=found["NumDuplicatedRecords"] == 0, message=f"{found['NumDuplicatedRecords']} duplicated rows",
     )
-    pk = quality.key_counts(rows, keys).first()
     checks.run(
-        "PrimaryKeyConsistency", "NumDuplicatedPrimaryKeys", pk["NumDuplicatedPrimaryKeys"],
-        "NumPrimaryKeys", pk["NumPrimaryKeys"], holds=pk["NumDuplicatedPrimaryKeys"] == 0,
-        message=f"{pk['NumDuplicatedPrimaryKeys']} rows share a key", keys=", ".join(keys),
+        "PrimaryKeyConsistency", "NumDuplicatedPrimaryKeys", found["NumDuplicatedPrimaryKeys"],
+        "NumPrimaryKeys", found["NumPrimaryKeys"], holds=found["NumDuplicatedPrimaryKeys"] == 0,
+        message=f"{found['NumDuplicatedPrimaryKeys']} rows share a key", keys=", ".join(keys),
     )
     stamp = F.lit(load_ts).cast("timestamp")
     loaded = rows.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
-    existing = _existing(spark, feed.cleaned_path, loaded)
-    if mode == "upsert" and existing is not None:
-        # the day is part of the key, so only the days of the batch are read and rewritten
+    existing = _existing(spark, feed.cleaned_path, loaded) if mode == "upsert" else None
+    if existing is not None:
+        # the day is part of the key, so only the days of the batch are read and rewritten;
+        # the key check above has shown that the batch has one row per key
         tables.merge_partitions(
-            existing, rows, lambda part: upsert(part, rows, keys, stamp), feed.cleaned_path, DATE
+            existing, rows, lambda part: upsert(part, rows, keys, stamp, check=False), feed.cleaned_path, DATE
         )
     else:
         tables.overwrite_partitions(loaded, feed.cleaned_path, [DATE])
@@ -139,10 +146,14 @@ def _existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | No
 
 
 class _Checks:
-    """Logs each check, then raises if it failed."""
+    """Keeps the log row of each check and raises on the first that fails.
+
+    The rows are appended in one write, also when a check or the load fails.
+    """
 
     def __init__(self, spark: SparkSession, feed: Feed, load_ts: datetime):
         self.spark, self.feed, self.load_ts, self.files = spark, feed, load_ts, ""
+        self.entries: list[dict] = []
 
     def run(self, check, first, first_value, second, second_value, holds, message, keys=""):
         entry = quality.log_entry(
@@ -152,5 +163,9 @@ class _Checks:
             TargetDataAssetPath=self.feed.cleaned_path, SchemaReference=self.feed.schema.simpleString(),
             PrimaryKeyChecked=keys, DataAssetFilesChecked=self.files,
         )
-        tables.append_log(self.spark, [entry], self.feed.log_path)
+        self.entries.append(entry)
         quality.require(holds, f"{self.feed.name}: {message}", entry)
+
+    def write(self):
+        if self.entries:
+            tables.append_log(self.spark, self.entries, self.feed.log_path)

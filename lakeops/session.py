@@ -11,8 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # keep splitting skewed join partitions when a later step shuffles again
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # checkpoint files go when the frame that made them is collected
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # feeds that are loaded side by side share the executors
+    "spark.scheduler.mode": "FAIR",
 }
 
 

@@ -72,7 +72,7 @@ def append_log(spark: SparkSession, entries: list[dict], path: str) -> None:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DQ_LOG_SCHEMA).parquet(path)
+    return spark.read.schema(DQ_LOG_SCHEMA).parquet(path).select(DQ_LOG_SCHEMA.names)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -84,7 +84,7 @@ def chained_preparation(t):
 
 @query("f8_date_features", """
     SELECT o_orderkey, year(o_orderdate) AS saleYear, month(o_orderdate) AS saleMonth, day(o_orderdate) AS saleDay,
-           isodow(o_orderdate) - 1 AS saleDayOfWeek, dayofyear(o_orderdate) AS saleDayOfYear FROM orders""")
+           isodow(o_orderdate) - 1 AS saleDayofweek, dayofyear(o_orderdate) AS saleDayofyear FROM orders""")
 def date_features(t):
     rows = features.expand_date(t.orders.select("o_orderkey", "o_orderdate"), "o_orderdate", "sale")
     return rows.select(*[F.col(c).cast("bigint").alias(c) for c in rows.columns])

@@ -275,6 +275,24 @@ def ingest_cleaned(t):
     return cleaned.select("event_id", "user_id", "event_type", "value", F.col("__RawPartitionDate").alias("d"))
 
 
+@query("q6_quality_log", """
+    SELECT * FROM (SELECT count(*) AS n FROM events), (VALUES
+      ('SchemaConsistency', 'NumRecordsCompliant', 'NumRecordsNonCompliant'), ('Duplication', 'NumTotalRecords', 'NumDistinctRecords'),
+      ('PrimaryKeyConsistency', 'NumPrimaryKeys', 'NumDuplicatedPrimaryKeys'), ('CountIntegrity', 'NumRecordsInSource', 'NumRecordsInTarget'))
+      v("check", counted, other)""")
+def quality_log(t):
+    feed, _, _ = event_feed(t, "logged")
+    ingest.ingest_cleaned(t.spark, feed, datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 2, 1))
+    log = tables.read_log(t.spark, feed.log_path)
+    # the key check names its duplicates first
+    swap = F.col("DqCheckType") == "PrimaryKeyConsistency"
+    one, two = F.col("FirstRecordMeasureTitle"), F.col("SecondRecordMeasureTitle")
+    return log.select(
+        F.col("DqCheckType").alias("check"), F.when(swap, two).otherwise(one).alias("counted"), F.when(swap, one).otherwise(two).alias("other"),
+        F.when(swap, F.col("SecondRecordMeasureValue")).otherwise(F.col("FirstRecordMeasureValue")).alias("n"),
+    )
+
+
 @query("r6_ingest_upsert", """
     SELECT event_id, CASE WHEN event_type = 'click' THEN value + 1 ELSE value END AS value, event_type = 'click' AS corrected FROM events""")
 def ingest_upsert(t):

@@ -199,7 +199,7 @@ def affected_rows(t):
 
 
 @query("q2_duplicate_counts", """
-    SELECT count(*) AS NumRecords, count(DISTINCT (text, lang, source, n_chars)) AS NumDistinctRecords,
+    SELECT count(*) AS NumTotalRecords, count(DISTINCT (text, lang, source, n_chars)) AS NumDistinctRecords,
            count(*) - count(DISTINCT (text, lang, source, n_chars)) AS NumDuplicatedRecords FROM documents""")
 def duplicate_counts(t):
     return quality.duplicate_counts(t.documents.drop("doc_id"))

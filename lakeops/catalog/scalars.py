@@ -65,7 +65,7 @@ def date_label(t):
 
 @query("c10_date_parts", """
     SELECT o_orderkey, year(o_orderdate) AS saleYear, month(o_orderdate) AS saleMonth, day(o_orderdate) AS saleDay,
-           isodow(o_orderdate) - 1 AS saleDayOfWeek, dayofyear(o_orderdate) AS saleDayOfYear FROM orders""")
+           isodow(o_orderdate) - 1 AS saleDayofweek, dayofyear(o_orderdate) AS saleDayofyear FROM orders""")
 def date_parts(t):
     parts = scalars.date_parts(F.col("o_orderdate"), "sale")
     return t.orders.select("o_orderkey", *[big(c).alias(n) for n, c in parts.items()])

@@ -5,6 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Days late and their colours, arrows per trend, label length.
+GREEN_UP_TO = 7
+AMBER_FROM = 8
+RED_FROM = 14
+COMPLETED_COLOUR = "Blue"
+ARROWS = {"Green": "larrow", "Red": "rarrow"}
+OTHER_ARROW = "darrow"
+AMBER_CODE = "#ff7f0e"
+LABEL_LENGTH = 100
+
 
 def money_to_int(text: Column) -> Column:
     """``$4,000.00`` to 400000: currency sign, commas and the point go, cents stay."""
@@ -16,7 +26,7 @@ def drop_last(text: Column, n: int) -> Column:
     return F.substring(text, F.lit(1), F.greatest(F.length(text) - n, F.lit(0)))
 
 
-def shorten(text: Column, limit: int = 100) -> Column:
+def shorten(text: Column, limit: int = LABEL_LENGTH) -> Column:
     """Texts over ``limit`` characters end in three dots and are ``limit`` long."""
     cut = F.concat(F.substring(text, F.lit(1), F.lit(limit - 3)), F.lit("..."))
     return F.when(F.length(text) > limit, cut).otherwise(text)
@@ -48,8 +58,8 @@ def date_parts(date: Column, prefix: str) -> dict[str, Column]:
         f"{prefix}Year": F.year(date),
         f"{prefix}Month": F.month(date),
         f"{prefix}Day": F.dayofmonth(date),
-        f"{prefix}DayOfWeek": F.weekday(date),
-        f"{prefix}DayOfYear": F.dayofyear(date),
+        f"{prefix}Dayofweek": F.weekday(date),
+        f"{prefix}Dayofyear": F.dayofyear(date),
     }
 
 
@@ -65,17 +75,18 @@ def month_starts(first: Column, last: Column) -> Column:
 def variance_rag(days: Column) -> Column:
     """Red from 14 days late, Amber from 8, Green up to 7, else empty (also for null)."""
     return (
-        F.when(days <= 7, "Green")
-        .when((days >= 8) & (days < 14), "Amber")
-        .when(days >= 14, "Red")
+        F.when(days <= GREEN_UP_TO, "Green")
+        .when(days.between(AMBER_FROM, RED_FROM - 1), "Amber")
+        .when(days >= RED_FROM, "Red")
         .otherwise("")
     )
 
 
 def milestone_rag(days: Column, status: Column, completed: str = "Completed") -> Column:
     """The variance colour, or Blue for a completed activity."""
-    return F.when(status == completed, "Blue").otherwise(variance_rag(days))
+    return F.when(status == completed, COMPLETED_COLOUR).otherwise(variance_rag(days))
 
 
 def trend_arrow(trend: Column) -> Column:
-    return F.when(trend == "Green", "larrow").when(trend == "Red", "rarrow").otherwise("darrow")
+    arrows = F.create_map(*[F.lit(x) for pair in ARROWS.items() for x in pair])
+    return F.coalesce(F.try_element_at(arrows, trend), F.lit(OTHER_ARROW))

@@ -19,9 +19,9 @@ def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     return {c: q[0.5] for c, q in exact_quantiles(df, columns, [0.5]).items()}
 
 
-def fill_numeric(df: DataFrame, fills: dict[str, float]) -> DataFrame:
-    """Add ``<column>_is_missing`` and fill the nulls with the given values."""
-    flags = {f"{c}_is_missing": F.col(c).isNull() for c in fills}
+def fill_numeric(df: DataFrame, fills: dict[str, float], flagged: list[str] | None = None) -> DataFrame:
+    """Fill the nulls with the given values; ``flagged`` columns (all by default) get ``<column>_is_missing``."""
+    flags = {f"{c}_is_missing": F.col(c).isNull() for c in (fills if flagged is None else flagged)}
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fills.items()}
     return df.withColumns(flags).withColumns(filled)
 
@@ -66,22 +66,27 @@ def apply_codes(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> Dat
 
 @dataclass
 class Preparation:
-    """Medians and dictionaries learned on one table, for use on later ones."""
+    """Medians and dictionaries learned on one table, for use on later ones.
+
+    A numeric column gets a missing flag when the first table had nulls in it, so
+    every table prepared with it has the same columns.
+    """
 
     date: str | None
     fills: dict[str, float]
+    flagged: list[str]
     dictionary: DataFrame | None
     categories: list[str]
 
     @classmethod
     def fit(cls, df: DataFrame, numeric: list[str], categories: list[str], date: str | None = None) -> Preparation:
         dictionary = category_dictionary(df, categories) if categories else None
-        return cls(date, medians(df, numeric), dictionary, categories)
+        return cls(date, medians(df, numeric), with_nulls(df, numeric), dictionary, categories)
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.date:
             df = expand_date(df, self.date, self.date)
-        df = fill_numeric(df, self.fills)
+        df = fill_numeric(df, self.fills, self.flagged)
         return apply_codes(df, self.dictionary, self.categories) if self.categories else df
 
 

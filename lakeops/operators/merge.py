@@ -19,6 +19,7 @@ from lakeops.operators.ordering import add_row_index
 from lakeops.operators.ranking import latest_per_key
 from lakeops.durable import materialize
 
+# Fixed value: the end of a version that is still open.
 OPEN_END = "9999-12-31T23:59:59"
 
 
@@ -174,14 +175,15 @@ def scd2_initial(source: DataFrame, key: str, load_id: str, load_ts: Column, sys
     return scd2_apply(empty, source, key, load_id, load_ts, system)
 
 
-def scd2_apply(
+def scd2_versions(
     target: DataFrame, source: DataFrame, key: str, load_id: str, load_ts: Column, system: str
 ) -> DataFrame:
-    """The type 2 dimension after a batch, all from one reading of the target.
+    """What a batch makes of the current versions: those that stay, those that end, and new ones.
 
     New keys get a first version; changed keys get a new version and their current
     one ends a minute before it starts. A version this load already wrote is not
-    written again. Keys that vanish from the source stay open.
+    written again. Keys that vanish from the source stay open. Ended versions come
+    with ``CurrInd`` false; the history of the target is not part of the result.
     """
     require_unique(source, [key])
     business = source.columns
@@ -191,8 +193,10 @@ def scd2_apply(
         changes.where(F.col("RowAction") == "Update"), target.select("Ekid", "LoadID"), ["Ekid", "LoadID"]
     )
     added = updates.unionByName(changes.where(F.col("RowAction") == "Insert"))
+    current = target.where("CurrInd")
+    # the highest keys so far are on current rows, as a key's last version is never closed;
     # one numbering serves both keys: updates come first and have their Ekid
-    last = target.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("Skid", "Ekid")]).first()
+    last = current.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("Skid", "Ekid")]).first()
     numbered = add_row_index(added, [F.col("Ekid").asc_nulls_last(), key], "__at")
     n_updates = numbered.agg(F.count("Ekid").alias("n")).scalar()
     versions = numbered.select(
@@ -209,8 +213,6 @@ def scd2_apply(
         F.lit(system).alias("SourceSystemCd"),
         "LoadID",
     )
-    # only current rows meet the batch; history passes through without a join
-    current, history = target.where("CurrInd"), target.where("NOT CurrInd")
     ended = updates.select("Ekid", F.lit(True).alias("__ends"))
     ends = F.coalesce(F.col("__ends"), F.lit(False))
     closing = F.try_subtract(load_ts, F.expr("INTERVAL '1' MINUTE"))
@@ -218,4 +220,12 @@ def scd2_apply(
         "ValidToDt": F.when(ends, closing).otherwise(F.col("ValidToDt")),
         "CurrInd": ~ends,
     })
-    return history.unionByName(kept.select(*target.columns)).unionByName(versions.select(*target.columns))
+    return kept.select(*versions.columns).unionByName(versions)
+
+
+def scd2_apply(
+    target: DataFrame, source: DataFrame, key: str, load_id: str, load_ts: Column, system: str
+) -> DataFrame:
+    """The whole type 2 dimension after a batch; its history passes through without a join."""
+    now = scd2_versions(target, source, key, load_id, load_ts, system)
+    return target.where("NOT CurrInd").unionByName(now.select(*target.columns))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns of the log, and in the functions below the titles of its measures.
 DQ_LOG_SCHEMA = T.StructType([
     T.StructField(name, kind) for name, kind in [
         ("DqCheckDate", T.DateType()),
@@ -49,7 +50,7 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
     rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__rows"))
     total, distinct = F.coalesce(F.sum("__rows"), F.lit(0)), F.count(F.lit(1))
     return rows.agg(
-        total.alias("NumRecords"),
+        total.alias("NumTotalRecords"),
         distinct.alias("NumDistinctRecords"),
         (total - distinct).alias("NumDuplicatedRecords"),
     )
@@ -80,7 +81,7 @@ def row_and_key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     total, distinct = (F.coalesce(F.sum(c), F.lit(0)) for c in ("__rows", "__distinct"))
     shared = F.sum(F.when(F.col("__distinct") > 1, F.col("__distinct")))
     return per_key.agg(
-        total.alias("NumRecords"), distinct.alias("NumDistinctRecords"), (total - distinct).alias("NumDuplicatedRecords"),
+        total.alias("NumTotalRecords"), distinct.alias("NumDistinctRecords"), (total - distinct).alias("NumDuplicatedRecords"),
         F.coalesce(shared, F.lit(0)).alias("NumDuplicatedPrimaryKeys"), F.count_if(counted).alias("NumPrimaryKeys"),
     )
 

@@ -13,6 +13,7 @@ from lakeops.durable import materialize
 from lakeops.operators.ordering import add_row_index
 from lakeops.operators.skew import spread_join
 
+# Fixed value: the mark before and after a word.
 END = "."
 
 

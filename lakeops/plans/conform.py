@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeops.durable import materialize, passing_stages
 from lakeops.operators import merge, quality
@@ -13,6 +14,10 @@ from lakeops.operators.joins import of_batch_dates
 from lakeops.sinks import tables
 
 
+# the load that ended a version; part of the layout, not of the dimension
+BATCH = "__EndedBy"
+
+
 def load_id_for(now: datetime) -> str:
     """Load id from the clock, used when the caller names none."""
     return now.strftime("%Y%m%d%H%M%S")
@@ -24,21 +29,29 @@ def conform_scd2(
 ) -> None:
     """Load a batch into a type 2 dimension table.
 
-    The new version is written beside the old one and checked; the table is pointed
-    at it only when the gates hold.
+    The table has one partition of current versions and one of ended versions per
+    load. A load writes the current versions and the ones it ends into a new folder,
+    checks them, and only then lets the table read it: history is never rewritten.
+    A rerun after a failure between the two last steps gives the same table.
     """
     with passing_stages(spark):
         stamp = F.lit(load_ts).cast("timestamp")
         source = materialize(source, "source")
         if spark.catalog.tableExists(table):
-            rows = merge.scd2_apply(spark.table(table), source, key, load_id, stamp, system)
+            target = spark.table(table).drop(BATCH)
+            rows = merge.scd2_versions(target, source, key, load_id, stamp, system)
         else:
+            target = None
             rows = merge.scd2_initial(source, key, load_id, stamp, system)
-            tables.create_if_absent(spark, table, rows.schema, f"{root}/empty")
-        path = tables.write_version(rows, root)
+            shape = StructType([*rows.schema.fields, StructField(BATCH, StringType())])
+            tables.create_if_absent(spark, table, shape, f"{root}/empty", ["CurrInd", BATCH])
+        path = tables.write_version(rows, root, ["CurrInd"])
         new = spark.read.schema(rows.schema).parquet(path)
-        _gates(spark, table, log_path, load_ts, new, ["Skid"], source, new.where("CurrInd"))
-        tables.point_at(spark, table, path)
+        every = new if target is None else target.where("NOT CurrInd").unionByName(new.select(*target.columns))
+        _gates(spark, table, log_path, load_ts, every, ["Skid"], source, new.where("CurrInd"))
+        if not new.where("NOT CurrInd").isEmpty():
+            tables.point_partition(spark, table, {"CurrInd": "false", BATCH: load_id}, f"{path}/CurrInd=false")
+        tables.point_partition(spark, table, {"CurrInd": "true", BATCH: "current"}, f"{path}/CurrInd=true")
 
 
 def conform_scd1(

@@ -93,7 +93,7 @@ def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
     # once the first of these holds the rows are distinct, so no DISTINCT is needed further on
     found = quality.row_and_key_counts(rows, keys).first()
     checks.run(
-        "Duplication", "NumRecords", found["NumRecords"], "NumDistinctRecords", found["NumDistinctRecords"],
+        "Duplication", "NumTotalRecords", found["NumTotalRecords"], "NumDistinctRecords", found["NumDistinctRecords"],
         holds=found["NumDuplicatedRecords"] == 0, message=f"{found['NumDuplicatedRecords']} duplicated rows",
     )
     checks.run(

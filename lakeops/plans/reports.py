@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions.scalars import milestone_rag, month_label, month_starts, shorten, trend_arrow
+from lakeops.functions.scalars import (
+    AMBER_CODE, COMPLETED_COLOUR, milestone_rag, month_label, month_starts, shorten, trend_arrow,
+)
 from lakeops.operators.joins import weighted_totals
 from lakeops.operators.ranking import current_and_earlier, group_ordinals, slots, top_per
 from lakeops.operators.sets import stack_dates
@@ -51,13 +53,13 @@ def milestone_tracker(df: DataFrame, programme: str, name: str, baseline: str, f
     first = F.min_by(F.struct(baseline, forecast, status, trend), F.struct(baseline, first_seen))
     each = rows.groupBy(programme, name).agg(first.alias("__r"), F.min(first_seen).alias("__seen"))
     placed = slots(each.select(programme, name, "__r.*", "__seen"), programme, "__seen", baseline, name)
-    colour = F.when(F.col(trend) == "Amber", "#ff7f0e").otherwise(F.col(trend))
+    colour = F.when(F.col(trend) == "Amber", AMBER_CODE).otherwise(F.col(trend))
     return placed.select(
         "slot", programme, name,
         shorten(F.col(name)).alias("label"),
         month_label(F.col(baseline)).alias("baseline_label"),
         month_label(F.col(forecast)).alias("forecast_label"),
-        F.when(F.col(status) == "Complete", "Blue").otherwise(F.col(status)).alias("status_colour"),
+        F.when(F.col(status) == "Complete", COMPLETED_COLOUR).otherwise(F.col(status)).alias("status_colour"),
         trend_arrow(F.col(trend)).alias("arrow"),
         colour.alias("trend_colour"),
     )

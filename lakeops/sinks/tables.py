@@ -52,6 +52,14 @@ def point_at(spark: SparkSession, table: str, path: str, partitions: list[str] |
     spark.catalog.refreshTable(table)
 
 
+def point_partition(spark: SparkSession, table: str, partition: dict[str, str], path: str) -> None:
+    """Let one partition of ``table`` read the files at ``path``."""
+    spec = ", ".join(f"`{c}` = '{v}'" for c, v in partition.items())
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+    spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+
+
 def merge_partitions(target: DataFrame, batch: DataFrame, merge: Callable[[DataFrame], DataFrame], path: str, partition: str) -> None:
     """Rewrite only the partitions the batch touches.
 

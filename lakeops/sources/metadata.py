@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# type names of the metadata table
+# Type names of the metadata table.
 TYPES = {
     "String": T.StringType(),
     "Integer": T.IntegerType(),

@@ -131,3 +131,11 @@ def test_scalars(spark):
     assert soft == pytest.approx([0.5, 0.5, 0.0])
     sort = spark.range(1).select(arrays.argsort(F.array(F.lit(3), F.lit(1), F.lit(2))).alias("a")).first()["a"]
     assert sort == [1, 2, 0]
+
+
+def test_flags_follow_the_first_table(spark):
+    train = spark.createDataFrame([(1.0, None), (3.0, 4.0)], "a double, b double")
+    later = spark.createDataFrame([(None, 2.0)], "a double, b double")
+    fitted = features.Preparation.fit(train, ["a", "b"], [])
+    assert fitted.transform(later).columns == fitted.transform(train).columns == ["a", "b", "b_is_missing"]
+    assert fitted.transform(later).first()["a"] == 2.0

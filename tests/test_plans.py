@@ -111,15 +111,15 @@ def test_history_of_measures(spark):
 def test_conform_and_serve(spark, tmp_path, monkeypatch):
     root, log = str(tmp_path / "dim"), str(tmp_path / "log")
     source = spark.createDataFrame([("k1", "a"), ("k2", None)], "id string, name string")
-    conform.conform_scd2(spark, "dim_people", root, source, "id", conform.load_id_for(NOW), NOW, "P6", log)
+    conform.conform_scd2(spark, "dim_people", root, source, "id", conform.load_id_for(NOW), NOW, "ERP", log)
     changed = source.withColumn("name", F.coalesce("name", F.lit("named")))
-    conform.conform_scd2(spark, "dim_people", root, changed, "id", "later", datetime(2024, 3, 1), "P6", log)
+    conform.conform_scd2(spark, "dim_people", root, changed, "id", "later", datetime(2024, 3, 1), "ERP", log)
     assert rows(spark.table("dim_people"), "id", "name", "CurrInd", "LoadID") == [
         ("k1", "a", True, "20240201120000"), ("k2", "named", True, "later"), ("k2", None, False, "20240201120000"),
     ]
     # a source that lost a key leaves more current rows than source rows, which the count gate reports
     with pytest.raises(DataQualityError):
-        conform.conform_scd2(spark, "dim_people", root, changed.where("id = 'k1'"), "id", "last", datetime(2024, 4, 1), "P6", log)
+        conform.conform_scd2(spark, "dim_people", root, changed.where("id = 'k1'"), "id", "last", datetime(2024, 4, 1), "ERP", log)
     assert spark.table("dim_people").count() == 3
     sent = []
     monkeypatch.setattr(serve, "replace_table", lambda df, url, name, options, types: sent.append((df.count(), name, types)))
@@ -144,19 +144,19 @@ def test_feeds_are_tried_twice_and_failures_reported(spark):
 def test_milestone_report(spark):
     data = [
         # code, snapshot, baseline, finish, status
-        (" JJ.16.24 ", "2024-02-01", "2024-05-01", "2024-05-09", "Not Started"),
-        ("JJ.16.24", "2024-03-01", "2024-05-01", "2024-05-15", "Not Started"),
-        ("JJ.16.24", "2024-03-01", "2024-04-01", "2024-04-02", "Completed"),
-        ("JJ.16x24.2", "2024-03-01", None, "2024-06-01", "Completed"),
-        ("JJ.99", "2024-03-01", "2024-05-01", "2024-05-01", "Completed"),
+        (" AB.31.70 ", "2024-02-01", "2024-05-01", "2024-05-09", "Not Started"),
+        ("AB.31.70", "2024-03-01", "2024-05-01", "2024-05-15", "Not Started"),
+        ("AB.31.70", "2024-03-01", "2024-04-01", "2024-04-02", "Completed"),
+        ("AB.31x70.2", "2024-03-01", None, "2024-06-01", "Completed"),
+        ("AB.99", "2024-03-01", "2024-05-01", "2024-05-01", "Completed"),
         (None, "2024-03-01", "2024-05-01", "2024-05-01", "Completed"),
-        ("JJ.16.24", "2024-04-01", None, None, "Not Started"),
+        ("AB.31.70", "2024-04-01", None, None, "Not Started"),
     ]
     df = spark.createDataFrame(data, "code string, snapshot string, base string, finish string, status string")
     df = df.withColumns({c: F.col(c).cast("date") for c in ("snapshot", "base", "finish")})
-    out = reports.milestone_variance(df, "code", "snapshot", "base", "finish", "status", F.xxhash64("status"), "16.24")
+    out = reports.milestone_variance(df, "code", "snapshot", "base", "finish", "status", F.xxhash64("status"), "31.70")
     assert rows(out, "code", "variance_days", "rag", "Check", "Check2", "is_current") == [
-        ("JJ.16.24", 14, "Red", 1, 1, True), ("JJ.16.24", 8, "Amber", 0, 2, False), ("JJ.16x24.2", 0, "Blue", 1, 1, True),
+        ("AB.31.70", 14, "Red", 1, 1, True), ("AB.31.70", 8, "Amber", 0, 2, False), ("AB.31x70.2", 0, "Blue", 1, 1, True),
     ]
     axis = reports.milestone_axis(df.where("base IS NOT NULL"), "base", "finish").orderBy("month_start").collect()
     assert [str(r["month_start"])[:7] for r in axis] == ["2024-03", "2024-04", "2024-05", "2024-06"]
@@ -165,15 +165,15 @@ def test_milestone_report(spark):
 
 def test_milestone_tracker(spark):
     data = [
-        (0, "BEE", "second", "2023-03-01", "2023-05-01", "Open", "Red"), (1, "BEE", "x" * 120, "2023-01-01", "2023-02-01", "Complete", "Green"),
-        (2, "KEN", "third", "2022-01-01", "2022-01-01", "Amber", "Amber"), (3, "BEE", "second", "2023-09-01", "2023-09-01", "Open", "Green"),
+        (0, "North", "second", "2023-03-01", "2023-05-01", "Open", "Red"), (1, "North", "x" * 120, "2023-01-01", "2023-02-01", "Complete", "Green"),
+        (2, "South", "third", "2022-01-01", "2022-01-01", "Amber", "Amber"), (3, "North", "second", "2023-09-01", "2023-09-01", "Open", "Green"),
     ]
     df = spark.createDataFrame(data, "i int, p string, n string, base string, fc string, status string, trend string")
     df = df.withColumns({c: F.col(c).cast("date") for c in ("base", "fc")})
     out = reports.milestone_tracker(df, "p", "n", "base", "fc", "status", "trend", "i").orderBy("slot").collect()
     assert [(r["slot"], r["p"], r["baseline_label"], r["forecast_label"], r["status_colour"], r["arrow"], r["trend_colour"]) for r in out] == [
-        (1, "BEE", "Jan 2023", "Feb 2023", "Blue", "larrow", "Green"),
-        (2, "BEE", "Mar 2023", "May 2023", "Open", "rarrow", "Red"),
-        (3, "KEN", "Jan 2022", "Jan 2022", "Amber", "darrow", "#ff7f0e"),
+        (1, "North", "Jan 2023", "Feb 2023", "Blue", "larrow", "Green"),
+        (2, "North", "Mar 2023", "May 2023", "Open", "rarrow", "Red"),
+        (3, "South", "Jan 2022", "Jan 2022", "Amber", "darrow", "#ff7f0e"),
     ]
     assert out[0]["label"] == "x" * 97 + "..."

@@ -108,17 +108,17 @@ def test_csv_infers_types_and_parses_dates(spark, tmp_path):
 
 
 def test_labelled_files(spark, tmp_path):
-    for split, label, name in (("train", "pizza", "1.jpg"), ("train", "pizza", "2.jpg"), ("test", "sushi", "3.jpg"), ("test", "sushi", "no.txt")):
+    for split, label, name in (("train", "cat", "1.jpg"), ("train", "cat", "2.jpg"), ("test", "dog", "3.jpg"), ("test", "dog", "no.txt")):
         put(tmp_path / split / label / name, "x" * 10)
     found = files.scan_labelled_files(spark, str(tmp_path), "*.jpg")
-    assert rows(found.groupBy("split", "label").count()) == [("test", "sushi", 1), ("train", "pizza", 2)]
+    assert rows(found.groupBy("split", "label").count()) == [("test", "dog", 1), ("train", "cat", 2)]
     assert "content" not in found.columns
     assert rows(files.folder_inventory(found), "files", "bytes") == [(1, 10), (2, 20)]
 
 
 def test_lines(spark, tmp_path):
-    put(tmp_path / "names.txt", "emma\nolivia\n")
-    assert rows(files.scan_lines(spark, str(tmp_path / "names.txt"))) == [("emma",), ("olivia",)]
+    put(tmp_path / "names.txt", "lower\nwords\n")
+    assert rows(files.scan_lines(spark, str(tmp_path / "names.txt"))) == [("lower",), ("words",)]
 
 
 def test_retry_until_it_answers_or_the_budget_ends():

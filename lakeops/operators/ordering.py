@@ -9,6 +9,7 @@ offsets. Executors never hold more than a sort partition.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -106,6 +107,19 @@ class _Wanted:
     below: int = 0
 
 
+def _values_inside(df: DataFrame, column: str, brackets: dict[int, _Wanted]) -> DataFrame:
+    """``k, v, n``: each value inside bracket ``k`` and its rows; reads one column."""
+    inside = {k: F.col("v").between(w.low, w.high) for k, w in brackets.items()}
+    counted = (
+        df.select(F.col(column).cast("double").alias("v"))
+        .where(reduce(lambda a, b: a | b, inside.values()))
+        .groupBy("v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    hits = F.array(*[F.when(hit, F.lit(k)) for k, hit in inside.items()])
+    return counted.select(F.explode(F.filter(hits, lambda k: k.isNotNull())).alias("k"), "v", "n")
+
+
 def exact_quantiles(
     df: DataFrame, columns: list[str], probs: list[float]
 ) -> dict[str, dict[float, float | None]]:
@@ -142,11 +156,12 @@ def exact_quantiles(
         w.below = counts[f"below{k}"]
         if w.first < w.below or w.second >= counts[f"upto{k}"]:
             w.low, w.high, w.below = float("-inf"), float("inf"), 0
-    inside = F.filter(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.when(F.col(w.column).cast("double").between(w.low, w.high), F.col(w.column).cast("double")).alias("v"))
-        for k, w in enumerate(wanted)
-    ]), lambda cell: cell["v"].isNotNull())
-    values = df.select(F.inline(inside)).groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    by_column: dict[str, list[int]] = {}
+    for k, w in enumerate(wanted):
+        by_column.setdefault(w.column, []).append(k)
+    values = reduce(DataFrame.unionAll, [
+        _values_inside(df, c, {k: wanted[k] for k in ks}) for c, ks in by_column.items()
+    ])
     running = add_running_totals(values, ["k", "v"], {"upto": "n"})
     sizes = {r["k"]: r["n"] for r in running.groupBy("k").agg(F.sum("n").alias("n")).collect()}
     start, ranks = 0, {}

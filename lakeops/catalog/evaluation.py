@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from lakeops.catalog.base import query
+from lakeops.durable import fresh_path
 from lakeops.functions import arrays
 from lakeops.ml import metrics
+from lakeops.sinks.tables import append_partitioned
 
 # truth, score and call of every labelled document
 BINARY = """(SELECT doc_id, quality, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS called FROM (
@@ -193,7 +195,10 @@ def model_comparison(t):
     SELECT data, run, metric FROM (SELECT *, row_number() OVER (PARTITION BY data ORDER BY metric DESC, run) AS rn FROM l) WHERE rn = 1""")
 def experiment_log(t):
     log = t.events.groupBy(F.col("event_type").alias("data"), F.col("user_id").alias("run")).agg(F.round(F.avg("value"), 4).alias("metric"))
-    return metrics.best_runs(log, ["data"], "metric", "run")
+    # the log is a table with a folder per day of logging, read back to find the best runs
+    path = fresh_path(t.spark, "experiments")
+    append_partitioned(log.withColumn("logged_on", F.lit("2024-02-01").cast("date")), path, ["logged_on"])
+    return metrics.best_runs(t.spark.read.schema(log.schema).parquet(path), ["data"], "metric", "run")
 
 
 @query("e18_epoch_curves", """

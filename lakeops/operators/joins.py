@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.skew import spread_join
+from lakeops.operators.skew import broadcast_if_small, spread_join
 
 
 def inner_detail(rows: DataFrame, details: DataFrame, on: list[str]) -> DataFrame:
@@ -52,7 +52,8 @@ def weighted_totals(
     Quantities are summed per (group, item) first, so the join sees one row each.
     """
     summed = quantities.groupBy(group, item).agg(F.sum(quantity).alias(quantity))
-    priced = spread_join(summed, prices.select(item, price), [item], may_be_small=True)
+    # an item now has one row per group at most, so there are no hot items left to spread
+    priced = summed.join(broadcast_if_small(prices.select(item, price)), item)
     return priced.groupBy(group).agg(F.sum(F.col(quantity) * F.col(price)).alias("total"))
 
 

@@ -4,9 +4,9 @@ Plain Spark tables have no ``MERGE``. Each function here takes the target and th
 batch and returns the new target, which the caller writes beside the old one and
 swaps in (see ``lakeops.sinks.tables``).
 
-No step joins the target in full outer form: the target is left-joined to the
-batch, which Spark broadcasts when its size allows, and only the batch's own keys
-come back for the anti join. A small batch thus never shuffles the target.
+A batch that measures small is broadcast to the target, and only the keys it meets
+come back, so the target is not shuffled. A large batch meets the target in one
+full outer join, with one shuffle of each; keys are unique on both sides.
 """
 
 from __future__ import annotations
@@ -14,10 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.durable import materialize
 from lakeops.operators.joins import current_version, not_yet_loaded, unknown_keys
 from lakeops.operators.ordering import add_row_index
 from lakeops.operators.ranking import latest_per_key
-from lakeops.durable import materialize
+from lakeops.operators.skew import is_small
 
 # Fixed value: the end of a version that is still open.
 OPEN_END = "9999-12-31T23:59:59"
@@ -52,22 +53,37 @@ def merge_actions(
     audit = [c for c in (created, updated) if c in target.columns]
     values = [c for c in source.columns if c not in keys and c not in audit]
     batch = source.select(*keys, F.struct(F.lit(1).alias("__in"), *values).alias("__new"))
-    hit = F.col("__new").isNotNull()
 
-    def merged(c: str) -> Column:
+    def merged(c: str, old: Column) -> Column:
+        """Column ``c`` of a row that has a batch row, ``old`` being the target's value."""
         if c == updated:
-            return F.when(hit, load_ts).otherwise(F.col(c)).alias(c)
-        if c in values:
-            return F.when(hit, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c)
-        return F.col(c)
-
-    action = F.when(hit, "update").otherwise("keep").alias("__action")
-    kept = target.join(batch, keys, "left").select(*[merged(c) for c in target.columns], action)
-    matched = target.select(*keys).join(source.select(*keys), keys, "left_semi")
-    fresh = source.join(matched, keys, "left_anti").withColumns({c: load_ts for c in audit})
-    lacking = {c: F.lit(None).cast(target.schema[c].dataType) for c in target.columns if c not in fresh.columns}
-    added = fresh.withColumns(lacking).select(*target.columns, F.lit("insert").alias("__action"))
-    return kept.unionByName(added)
+            return load_ts
+        return F.col(f"__new.{c}") if c in values else old
+
+    hit = F.col("__new").isNotNull()
+    if is_small(source):
+        kept = target.join(F.broadcast(batch), keys, "left").select(
+            *[F.when(hit, merged(c, F.col(c))).otherwise(F.col(c)).alias(c) for c in target.columns],
+            F.when(hit, "update").otherwise("keep").alias("__action"),
+        )
+        matched = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
+        fresh = source.join(matched, keys, "left_anti").withColumns({c: load_ts for c in audit})
+        lacking = {c: F.lit(None).cast(target.schema[c].dataType) for c in target.columns if c not in fresh.columns}
+        added = fresh.withColumns(lacking).select(*target.columns, F.lit("insert").alias("__action"))
+        return kept.unionByName(added)
+    others = [c for c in target.columns if c not in keys]
+    known = target.select(*keys, F.struct(F.lit(1).alias("__in"), *others).alias("__old"))
+    there = F.col("__old").isNotNull()
+
+    def either(c: str) -> Column:
+        old = F.col(f"__old.{c}")
+        if c == created:
+            return F.when(there, old).otherwise(load_ts).alias(c)
+        return F.when(hit, merged(c, old)).otherwise(old).alias(c)
+
+    action = F.when(~there, "insert").when(hit, "update").otherwise("keep").alias("__action")
+    both = known.join(batch, keys, "full_outer")
+    return both.select(*[F.col(c) if c in keys else either(c) for c in target.columns], action)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], load_ts: Column, **options) -> DataFrame:

@@ -27,6 +27,11 @@ def is_small(df: DataFrame) -> bool:
     return seen["rows"] <= SMALL_ROWS and seen["bytes"] <= SMALL_BYTES
 
 
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it measures small."""
+    return F.broadcast(df) if is_small(df) else df
+
+
 def hashable(df: DataFrame) -> list[str]:
     """The columns Spark can hash: all but maps."""
     return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]

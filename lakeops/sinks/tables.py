@@ -72,11 +72,15 @@ def merge_partitions(target: DataFrame, batch: DataFrame, merge: Callable[[DataF
     overwrite_partitions(materialize(merge(rows), "merged"), path, [partition])
 
 
+def append_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:
+    """Add rows to a table on files."""
+    df.write.mode("append").partitionBy(*partitions).parquet(path)
+
+
 def append_log(spark: SparkSession, entries: list[dict], path: str) -> None:
     """Append DQ log rows, one folder per source asset; values are bound, not spliced into SQL."""
     rows = [tuple(e.get(c) for c in DQ_LOG_SCHEMA.names) for e in entries]
-    df = spark.createDataFrame(rows, DQ_LOG_SCHEMA).coalesce(1)
-    df.write.mode("append").partitionBy("SourceDataAsset").parquet(path)
+    append_partitioned(spark.createDataFrame(rows, DQ_LOG_SCHEMA).coalesce(1), path, ["SourceDataAsset"])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

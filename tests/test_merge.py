@@ -21,6 +21,13 @@ def target(spark):
     return df.withColumns({"__CreatedOn": then(), "__UpdatedOn": then()})
 
 
+@pytest.fixture(params=["small", "large"], autouse=True)
+def batch_size(request, monkeypatch):
+    """Every test runs with the broadcast form and with the full join."""
+    if request.param == "large":
+        monkeypatch.setattr("lakeops.operators.merge.is_small", lambda df: False)
+
+
 def test_upsert_updates_all_columns_and_inserts_null_keys(spark):
     batch = spark.createDataFrame([(2, None, 21), (3, "c", 30), (None, "m", 1)], "k int, x string, y int")
     out = merge.upsert(target(spark), batch, ["k"], now())

@@ -29,7 +29,7 @@ def test_query(spark, con, name):
     for spec in re.findall(r"windowspecdefinition\(([^,]*),", plan):
         assert not re.search(r" (ASC|DESC) ", spec), spec
     if name in SQL:
-        assert compare(df, con.execute(SQL[name])) == []
+        assert compare(df, con, SQL[name]) == []
     else:
         assert df.count() > 0
 

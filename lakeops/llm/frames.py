@@ -33,16 +33,18 @@ def map_texts(
     keep: list[str],
     text: str,
     new: str,
-    build: Callable[[], Callable[[list[bytes]], list]],
+    build: Callable[[], Callable[[list[bytes], pa.RecordBatch], list]],
+    prefix: str = "",
 ) -> DataFrame:
     """The ``keep`` columns of every row, and the ``new`` columns computed from its whole text.
 
-    ``new`` is a DDL list. ``build`` runs once in each task and returns the function
-    from the UTF-8 texts of some rows (null is empty) to one array or list for each
-    new column. A kept column that has the name of a new one gives way to it. Rows
-    are never moved, so a lost task is computed again from its part of the input.
+    ``new`` is a DDL list; ``prefix`` goes before its names. ``build`` runs once in
+    each task and returns the function from the UTF-8 texts of some rows (null is
+    empty) and their kept columns to one array or list for each new column. A kept
+    column that has the name of a new one gives way to it. Rows are never moved, so a
+    lost task is computed again from its part of the input.
     """
-    added = fields(new)
+    added = [T.StructField(prefix + f.name, f.dataType) for f in fields(new)]
     taken = {f.name.lower() for f in added}
     keep = [c for c in keep if c.lower() not in taken]
     source = df.select(*[named(c) for c in keep], named(text).cast("string").alias(TEXT))
@@ -53,7 +55,7 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
         for rows, texts in small_blocks(batches, TEXT):
-            made = [x if isinstance(x, pa.Array) else pa.array(x, type=t) for x, t in zip(work(texts), types)]
+            made = [x if isinstance(x, pa.Array) else pa.array(x, type=t) for x, t in zip(work(texts, rows), types)]
             yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *made], names=names)
 
     return source.mapInArrow(run, schema)
@@ -68,3 +70,15 @@ def _arrow(kind: T.DataType) -> pa.DataType:
         "string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(),
         "boolean": pa.bool_(), "binary": pa.binary(), "smallint": pa.int16(),
     }[kind.simpleString()]
+
+
+def free_prefix(df: DataFrame, base: str = "__") -> str:
+    """A prefix that no column of ``df`` begins with."""
+    while any(c.lower().startswith(base) for c in df.columns):
+        base += "_"
+    return base
+
+
+def as_text(data: bytes) -> str:
+    """Bytes that are not UTF-8 read as U+FFFD."""
+    return data.decode("utf-8", "replace")

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.frames import map_texts, named
+from lakeops.llm.frames import as_text, map_texts, named
 
 UNDETERMINED = "und"
 
@@ -130,7 +130,7 @@ RESULT = "lang_pred string, score double, margin double, rejected boolean"
 
 def identify(
     docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str],
-    text: str = "text", settings: Settings = Settings(),
+    text: str = "text", settings: Settings = Settings(), prefix: str = "",
 ) -> DataFrame:
     """The ``keep`` columns of each row with ``lang_pred``, ``score``, ``margin`` and ``rejected``.
 
@@ -144,9 +144,9 @@ def identify(
     def build():
         classifier = Classifier(sent.value, settings)
 
-        def work(texts):
-            labels = [classifier.label(t.decode()) for t in texts]
+        def work(texts, rows):
+            labels = [classifier.label(as_text(t)) for t in texts]
             return [list(c) for c in zip(*labels)] if labels else [[]] * 4
         return work
 
-    return map_texts(docs, keep, text, RESULT, build)
+    return map_texts(docs, keep, text, RESULT, build, prefix)

@@ -159,7 +159,7 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str], text: str = "te
     def build():
         w = sent.value
 
-        def work(texts):
+        def work(texts, rows):
             index, counts = features(texts, settings.bits)
             sums = np.concatenate([[0.0], np.cumsum(w[index], dtype=np.float64)])
             ends = np.cumsum(counts)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import language, quality
+from lakeops.llm import bpe, decontaminate, language, nearest, pii, quality
 from lakeops.llm.base import QUERIES, SQL, query, table  # noqa: F401
 from lakeops.llm.frames import remainder
 
@@ -24,6 +25,31 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document and what they decode to."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    vocabulary = bpe.serialise(ranks, public_tokenizers.PATTERN)
+    ids = bpe.encode(table(spark, folder, "documents"), vocabulary, ["doc_id"])
+    return bpe.decode(ids, vocabulary, ["doc_id", "ids"]).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op5_decontaminate")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
+    # hits holds begins and ends in turn
+    n_hit = F.aggregate("hits", F.lit(0), lambda s, x: x - s, lambda s: s).cast("long")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 @query("op7_language")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
@@ -33,3 +59,35 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, dictionaries, ["doc_id"]).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected",
     )
+
+
+@query("op8_personal_data")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: what the patterns find, and terms that disclose it."""
+    found = pii.find_personal(table(spark, folder, "documents"), ["doc_id"])
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    terms = F.transform("terms", lambda x: F.struct(F.lit(pii.TERM).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    base = pii.joined(F.col("base"))
+    return found.select(
+        "doc_id", *[count(kind) for kind in pii.KINDS], F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        F.concat_ws(",", F.when(base != "", base), F.when(F.size("terms") > 0, pii.joined(terms))).alias("spans"),
+    )
+
+
+OP9_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+s AS (
+    SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op9_top_k", OP9_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best vectors for every vector whose id is divisible by 50."""
+    vectors = table(spark, folder, "embeddings")
+    return nearest.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, decontaminate, language, nearest, pii, quality
+from lakeops.llm import bpe, chat, decontaminate, language, nearest, pii, quality, urls
 from lakeops.llm.base import QUERIES, SQL, query, table  # noqa: F401
 from lakeops.llm.frames import remainder
 
@@ -25,6 +25,17 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+
+@query("op2_urls")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    return urls.judge(table(spark, folder, "pages"), URL_RULES, ["page_id"])
+
+
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document and what they decode to."""
@@ -50,6 +61,28 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_chat")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation and one of control strings, formatted and read back."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").cast("int").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    written = chat.formatted(chat.canonical(rows.unionByName(added)))
+    return written.select(
+        "conv_id", "formatted", "mask", chat.read_back(F.col("formatted")).alias("read"),
+    ).select(
+        "conv_id", "formatted", F.size("read").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").cast("binary"), 256)
+        .alias("turns_sha256"),
+        chat.under_mask(F.col("formatted"), F.col("mask")).alias("loss"),
+    ).select(
+        "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query("op7_language")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""

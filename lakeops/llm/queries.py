@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, chat, decontaminate, language, nearest, pii, quality, urls
+from lakeops.llm import bpe, chat, decontaminate, language, nearest, pii, quality, similar, urls
 from lakeops.llm.base import QUERIES, SQL, query, table  # noqa: F401
 from lakeops.llm.frames import remainder
 
@@ -124,3 +124,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     """The five best vectors for every vector whose id is divisible by 50."""
     vectors = table(spark, folder, "embeddings")
     return nearest.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+@query("op10_jaccard")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of near copies of every document."""
+    return similar.link(table(spark, folder, "documents"), ["doc_id"])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.words import small_blocks
+from lakeops.llm.words import BLOCK_BYTES, small_blocks
 
 TEXT = "__text_to_read"
 
@@ -35,6 +35,7 @@ def map_texts(
     new: str,
     build: Callable[[], Callable[[list[bytes], pa.RecordBatch], list]],
     prefix: str = "",
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The ``keep`` columns of every row, and the ``new`` columns computed from its whole text.
 
@@ -54,7 +55,7 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
-        for rows, texts in small_blocks(batches, TEXT):
+        for rows, texts in small_blocks(batches, TEXT, block_bytes):
             made = [x if isinstance(x, pa.Array) else pa.array(x, type=t) for x, t in zip(work(texts, rows), types)]
             yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *made], names=names)
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, chat, decontaminate, language, nearest, pii, quality, similar, urls
+from lakeops.llm import bpe, chat, decontaminate, language, lm, nearest, pii, quality, similar, urls
 from lakeops.llm.base import QUERIES, SQL, query, table  # noqa: F401
 from lakeops.llm.frames import remainder
 
@@ -36,6 +36,18 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), URL_RULES, ["page_id"])
 
 
+@query("op3_language_model")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """The log10 probability of every document under a model of those that are not held out."""
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 10) == 0, F.lit(False))
+    model = lm.fit(docs.where(~held_out))
+    return lm.score(docs, model, ["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score",
+    )
+
+
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document and what they decode to."""

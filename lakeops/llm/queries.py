@@ -60,7 +60,30 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op5_decontaminate")
+OP5_SQL = r"""
+WITH cut AS (
+    SELECT *, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+    FROM (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark)),
+w AS (
+    SELECT DISTINCT id::VARCHAR AS item, width, array_to_string(words[pos:pos + width - 1], ' ') AS words
+    FROM (SELECT *, least(10, len(words)) AS width, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS pos
+          FROM cut WHERE side = 'b' AND len(words) > 0)),
+f AS (
+    SELECT id, pos, p.width, w.item
+    FROM (SELECT c.id, l.width, c.words, unnest(range(1, len(c.words) - l.width + 2)) AS pos
+          FROM cut c JOIN (SELECT DISTINCT width FROM w) l ON c.side = 'd' AND len(c.words) >= l.width) p
+    JOIN w ON w.width = p.width AND w.words = array_to_string(p.words[pos:pos + p.width - 1], ' ')),
+h AS (SELECT id, count(DISTINCT place) AS n_hit FROM (SELECT id, unnest(range(pos, pos + width)) AS place FROM f) GROUP BY id),
+i AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT id, item FROM f) GROUP BY id)
+SELECT c.id AS doc_id, len(c.words)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
+    coalesce(i.n_items, 0)::BIGINT AS n_items, sha256(coalesce(i.items, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
+FROM cut c LEFT JOIN h ON h.id = c.id LEFT JOIN i ON i.id = c.id WHERE c.side = 'd'
+"""
+
+
+@query("op5_decontaminate", OP5_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
@@ -73,7 +96,23 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op6_chat")
+OP6_SQL = r"""
+WITH c AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+    SELECT *, regexp_replace(replace(text, '\', '\\'), '([<\[])(/?INST\]|/?ROLE\]|/?s>|</?SYS>>)', '\1\\\2', 'g') AS escaped FROM c)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    (3 + sum(length(escaped) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 WHEN 'system' THEN 17 ELSE 23 + length(role) END))::BIGINT
+        AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op6_chat", OP6_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation and one of control strings, formatted and read back."""
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -138,7 +177,24 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
-@query("op10_jaccard")
+OP10_SQL = r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(words[pos:pos + least(5, len(words)) - 1], ' ') AS shingle
+    FROM (SELECT *, unnest(range(1, len(words) - least(5, len(words)) + 2)) AS pos FROM cut WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+"""
+
+
+@query("op10_jaccard", OP10_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """The group of near copies of every document."""
-    return similar.link(table(spark, folder, "documents"), ["doc_id"])
+    return similar.link(table(spark, folder, "documents"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.frames import as_text, map_texts, named
+from lakeops.llm.frames import as_text, map_batches, map_texts, named
 
 #: pre-tokens a task keeps encoded; beyond it, it starts anew
 KEPT = 300_000
@@ -151,6 +151,7 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, keep: list[str], ids: str =
     keep = [c for c in keep if c.lower() != "decoded"]
     source = coded.select(*[named(c) for c in keep], named(ids).alias("__ids"))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("decoded", T.BinaryType())])
+    names, ids_at = schema.names, len(keep)
 
     def run(batches):
         table = dict(zip(sent.value.ids, sent.value.pieces))
@@ -160,9 +161,9 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, keep: list[str], ids: str =
                 rows = batch.slice(at, 256)
                 texts = [
                     b"".join(map(table.__getitem__, np.frombuffer(x or b"", "<u4").tolist()))
-                    for x in rows.column(len(keep)).to_pylist()
+                    for x in rows.column(ids_at).to_pylist()
                 ]
-                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(texts, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(texts, pa.binary())], names=names)
                 at += 256
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)

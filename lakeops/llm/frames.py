@@ -59,7 +59,19 @@ def map_texts(
             made = [x if isinstance(x, pa.Array) else pa.array(x, type=t) for x, t in zip(work(texts, rows), types)]
             yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *made], names=names)
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for any column names, also with dots in them."""
+    names, made = df.columns, [f.name for f in schema]
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=plain.names)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, plain).toDF(*made)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.durable import materialize
-from lakeops.llm.frames import TEXT, as_text, free_prefix, map_texts, named
+from lakeops.llm.frames import TEXT, as_text, free_prefix, map_batches, map_texts, named
 from lakeops.llm.words import LETTERED, Block, small_blocks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -271,7 +271,7 @@ def sanitise(docs: DataFrame, text: str = "text", settings: Settings = Settings(
     prefix = free_prefix(docs)
     found = find_personal(docs, docs.columns, text, settings, prefix)
     at = [found.columns.index(c) for c in (f"{prefix}base", f"{prefix}terms")]
-    place, width = docs.columns.index(text), len(docs.columns)
+    names, place, width = docs.columns, docs.columns.index(text), len(docs.columns)
 
     def run(batches):
         for batch in batches:
@@ -281,9 +281,9 @@ def sanitise(docs: DataFrame, text: str = "text", settings: Settings = Settings(
             columns[place] = pa.array([
                 None if t is None else redacted(t, b, w, settings) for t, b, w in zip(texts, base, terms)
             ], pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return found.mapInArrow(run, docs.schema)
+    return map_batches(found, run, docs.schema)
 
 
 def redacted(text: str, base: list[dict], terms: list[dict], settings: Settings = Settings()) -> str:

@@ -47,12 +47,12 @@ def features(texts: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(block.data, np.uint8)
     first, last = data[block.starts], data[block.ends - 1]
     length = np.minimum(np.log2(block.ends - block.starts + 1) * 2, 30).astype(np.uint64)
+    owner = block.owners()
     same = np.zeros(n, dtype=np.uint64)
-    same[1:] = block.hashes[1:] == block.hashes[:-1]
-    same[2:] |= (block.hashes[2:] == block.hashes[:-2]).astype(np.uint64) << np.uint64(1)
+    same[1:] = (block.hashes[1:] == block.hashes[:-1]) & (owner[1:] == owner[:-1])
+    same[2:] |= ((block.hashes[2:] == block.hashes[:-2]) & (owner[2:] == owner[:-2])).astype(np.uint64) << np.uint64(1)
     kinds = _KINDS[first].astype(np.uint64) << np.uint64(4) | _KINDS[last].astype(np.uint64)
     shapes = mix(_SHAPE + (length << np.uint64(16) | kinds << np.uint64(4) | same))
-    owner = block.owners()
     found = [block.hashes, shapes]
     joined = owner[1:] == owner[:-1]
     of = [owner, owner]

@@ -193,6 +193,6 @@ def _chained(found: DataFrame, patterns: Patterns, carried: list[str], text: str
     if earlier:
         # the new columns take these names, so the earlier ones are read under others
         old = {f"{prefix}hits": f"{prefix}hits__before", f"{prefix}items": f"{prefix}items__before"}
-        found = found.drop(f"{prefix}n_words").withColumnsRenamed(old)
+        found = found.drop(f"{prefix}n_words", *old.values()).withColumnsRenamed(old)
         keep = [old.get(c, c) for c in keep]
     return _search(found, patterns, keep, text, prefix)

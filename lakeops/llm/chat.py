@@ -105,6 +105,10 @@ def _turn(role: Column, text: Column) -> Column:
     return F.struct(role.alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
 
 
+def _messages(items: Column, m: Mapping) -> Column:
+    return F.transform(items, lambda x: _turn(_role(x[m.role]), x[m.text]))
+
+
 def canonical(df: DataFrame, keys: list[str] | None = None, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """``keys`` and ``turns``, a list of role and text, of every conversation.
 
@@ -126,7 +130,7 @@ def canonical(df: DataFrame, keys: list[str] | None = None, mappings: tuple[Mapp
     keys = keys or []
     if m.messages:
         items = F.coalesce(F.col(m.messages), F.array().cast(df.schema[m.messages].dataType))
-        turns = F.transform(items, lambda x: _turn(_role(x[m.role]), x[m.text]))
+        turns = _messages(items, m)
     else:
         entries = []
         for i, (role, path) in enumerate(m.turns):
@@ -172,8 +176,7 @@ def canonical_json(df: DataFrame, column: str, keys: list[str], mappings: tuple[
     for m in one_row:
         if m.messages:
             items = F.try_variant_get(value, f"$.{m.messages}", f"array<struct<{m.role}:string,{m.text}:string>>")
-            found = F.transform(F.coalesce(items, F.array().cast(f"array<struct<{m.role}:string,{m.text}:string>>")),
-                                lambda x, m=m: _turn(_role(x[m.role]), x[m.text]))
+            found = _messages(F.coalesce(items, F.array().cast(f"array<struct<{m.role}:string,{m.text}:string>>")), m)
         else:
             entries = []
             for i, (role, path) in enumerate(m.turns):

@@ -13,8 +13,13 @@ BINARY = """(SELECT doc_id, quality, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0
     SELECT doc_id, quality, ((doc_id * 37) % 101) / 101.0::DOUBLE AS score FROM labels))"""
 # truth and estimate of every order's price
 PRICES = """(SELECT o_orderkey, year(o_orderdate) AS y, o_totalprice AS truth, o_totalprice * (0.9 + (o_orderkey % 21) / 100.0::DOUBLE) AS guess FROM orders)"""
-# class and most prominent of the first ten positions of every vector
-CLASSES = """(SELECT vec_id, label::BIGINT AS truth, list_position(embedding[1:10], list_max(embedding[1:10]))::BIGINT - 1 AS called FROM embeddings)"""
+# minus the squared distance of every vector to the centre of every class
+CENTRES = """c AS (SELECT label AS k, pos, avg(x) AS m FROM (
+      SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY 1, 2),
+    cc AS (SELECT k, list(m ORDER BY pos) AS centre FROM c GROUP BY k),
+    near AS (SELECT vec_id, label, k, -list_sum(list_transform(list_zip(embedding, centre), lambda p: (p[1]::DOUBLE - p[2]) ** 2)) AS score FROM embeddings, cc)"""
+# class of every vector and the class whose centre is nearest
+CLASSES = f"""(WITH {CENTRES} SELECT vec_id, label::BIGINT AS truth, arg_max(k, score)::BIGINT AS called FROM near GROUP BY vec_id, label)"""
 
 
 def binary(t):
@@ -29,8 +34,27 @@ def prices(t):
                            (F.col("o_totalprice") * factor).alias("guess"))
 
 
+def scored_vectors(t):
+    """Every vector with its class, and per class, in order, minus the squared distance to its centre."""
+    cells = t.embeddings.select("label", F.posexplode("embedding").alias("pos", "x"))
+    means = cells.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    centre = F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("centre")
+    # one row for each class
+    centres = means.groupBy("label").agg(centre).agg(F.array_sort(F.collect_list(F.struct("label", "centre"))).alias("c")).scalar()
+
+    def score(c):
+        apart = F.zip_with("embedding", c["centre"], lambda x, m: F.pow(x.cast("double") - m, F.lit(2.0)))
+        return -F.aggregate(apart, F.lit(0.0), lambda s, x: s + x)
+    return t.embeddings.withColumn("centres", centres).select(
+        "vec_id", "label", F.transform("centres", lambda c: c["label"]).alias("labels"), F.transform("centres", score).alias("scores"),
+    )
+
+
 def classes(t):
-    return t.embeddings.select("vec_id", F.col("label").cast("bigint").alias("truth"), arrays.argmax(F.slice("embedding", 1, 10)).alias("called"))
+    rows = scored_vectors(t)
+    return rows.select(
+        "vec_id", F.col("label").cast("bigint").alias("truth"), F.get("labels", arrays.argmax(F.col("scores")).cast("int")).cast("bigint").alias("called"),
+    )
 
 
 @query("e1_accuracy", f"SELECT round(100 * avg(CASE WHEN quality = called THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM {BINARY}")
@@ -70,7 +94,7 @@ def confusion(t):
 @query("e4_confusion_wide", f"""
     SELECT quality AS truth, count(*) FILTER (called = 0) AS predicted_0, count(*) FILTER (called = 1) AS predicted_1 FROM {BINARY} GROUP BY 1""")
 def confusion_wide(t):
-    return metrics.confusion_wide(binary(t), "quality", "called", [0, 1])
+    return metrics.confusion_wide(binary(t), "quality", "called")
 
 
 @query("e5_roc_points", f"""
@@ -129,12 +153,13 @@ def split_scores(t):
     return scores.select("part", F.round("mae", 4).alias("mae"), F.round("rmsle", 6).alias("rmsle"), F.round("r2", 6).alias("r2"))
 
 
-@query("e11_cross_entropy", """
-    WITH s AS (SELECT label, list_transform(embedding[1:10], lambda x: exp(x::DOUBLE)) AS e FROM embeddings)
-    SELECT round(avg(-ln(e[label + 1] / list_sum(e))), 6) AS cross_entropy FROM s""")
+@query("e11_cross_entropy", f"""
+    WITH {CENTRES}, e AS (SELECT vec_id, label, k, exp(score - max(score) OVER (PARTITION BY vec_id)) AS e FROM near),
+    p AS (SELECT *, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM e)
+    SELECT round(avg(-ln(p)), 6) AS cross_entropy FROM p WHERE k = label""")
 def cross_entropy(t):
-    rows = t.embeddings.select("label", arrays.softmax(F.slice("embedding", 1, 10)).alias("p"))
-    return rows.agg(F.round(metrics.cross_entropy(F.col("label"), F.col("p")), 6).alias("cross_entropy"))
+    rows = scored_vectors(t).select((F.array_position("labels", F.col("label")) - 1).alias("at"), arrays.softmax(F.col("scores")).alias("p"))
+    return rows.agg(F.round(metrics.cross_entropy(F.col("at"), F.col("p")), 6).alias("cross_entropy"))
 
 
 @query("e12_batch_means", """
@@ -145,20 +170,19 @@ def batch_means(t):
     return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
 
 
-@query("e13_prediction_table", """
-    WITH s AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: exp(x::DOUBLE)) AS e FROM embeddings)
-    SELECT 'vectors/' || label || '/' || vec_id AS path, label::VARCHAR AS class_name, round(list_max(e) / list_sum(e), 6) AS pred_prob,
-           (list_position(e, list_max(e)) - 1)::VARCHAR AS pred_class, list_position(e, list_max(e)) - 1 = label AS correct FROM s""")
+@query("e13_prediction_table", f"""
+    WITH {CENTRES}, e AS (SELECT *, exp(score - max(score) OVER (PARTITION BY vec_id)) AS e FROM near)
+    SELECT 'vectors/' || label || '/' || vec_id AS path, label::VARCHAR AS class_name, round(max(e) / sum(e), 6) AS pred_prob,
+           arg_max(k, score)::VARCHAR AS pred_class, arg_max(k, score) = label AS correct FROM e GROUP BY vec_id, label""")
 def prediction_table(t):
     # truth is read back from the path's parent folder
-    rows = t.embeddings.select(
-        F.concat_ws("/", F.lit("vectors"), F.col("label"), F.col("vec_id")).alias("path"),
-        arrays.softmax(F.slice("embedding", 1, 10)).alias("p"),
+    rows = scored_vectors(t).select(
+        F.concat_ws("/", F.lit("vectors"), F.col("label"), F.col("vec_id")).alias("path"), "labels", "scores",
     )
     named = rows.withColumns({
-        "class_name": F.element_at(F.split("path", "/"), -2), "pred_prob": F.round(F.array_max("p"), 6),
-        "pred_class": arrays.argmax(F.col("p")).cast("string"),
-    }).drop("p")
+        "class_name": F.element_at(F.split("path", "/"), -2), "pred_prob": F.round(F.array_max(arrays.softmax(F.col("scores"))), 6),
+        "pred_class": F.get("labels", arrays.argmax(F.col("scores")).cast("int")).cast("string"),
+    }).drop("labels", "scores")
     return named.withColumn("correct", F.col("class_name") == F.col("pred_class"))
 
 
@@ -172,8 +196,8 @@ def wrong_predictions(t):
     FROM lineitem GROUP BY 1""")
 def mean_time(t):
     # flag stands for the model, status for the device and tax for the time
-    spread = t.lineitem.groupBy(F.col("l_returnflag").alias("model")).pivot("l_linestatus", ["F", "O"]).agg(F.avg("l_tax"))
-    return spread.select("model", F.round("F", 6).alias("F"), F.round("O", 6).alias("O"))
+    spread = t.lineitem.groupBy(F.col("l_returnflag").alias("model")).pivot("l_linestatus").agg(F.avg("l_tax"))
+    return spread.select("model", *[F.round(c, 6).alias(c) for c in spread.columns[1:]])
 
 
 @query("e16_model_comparison", f"""

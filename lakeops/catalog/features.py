@@ -59,9 +59,11 @@ def one_hot(t):
 
 
 @query("f5_dummy_columns", """
-    SELECT c_custkey, c_mktsegment = 'BUILDING' AS c_mktsegment_BUILDING, c_mktsegment = 'MACHINERY' AS c_mktsegment_MACHINERY FROM customer""")
+    SELECT c_custkey, c_mktsegment = 'AUTOMOBILE' AS c_mktsegment_AUTOMOBILE, c_mktsegment = 'BUILDING' AS c_mktsegment_BUILDING,
+           c_mktsegment = 'FURNITURE' AS c_mktsegment_FURNITURE, c_mktsegment = 'HOUSEHOLD' AS c_mktsegment_HOUSEHOLD,
+           c_mktsegment = 'MACHINERY' AS c_mktsegment_MACHINERY FROM customer""")
 def dummy_columns(t):
-    return features.dummy_columns(t.customer.select("c_custkey", "c_mktsegment"), "c_mktsegment", ["BUILDING", "MACHINERY"])
+    return features.dummy_columns(t.customer.select("c_custkey", "c_mktsegment"), "c_mktsegment")
 
 
 @query("f6_impute", f"""

@@ -193,14 +193,14 @@ def overwrite_partitions(t):
     FROM events GROUP BY 1""")
 def append_log(t):
     path = fresh_path(t.spark, "log")
-    now = datetime(2024, 2, 1)
-    # one row per event type, appended one by one
-    for row in t.events.groupBy("event_type").count().collect():
-        entry = quality.log_entry(
-            "CountIntegrity", ("NumRecordsInSource", row["count"]), ("NumRecordsInTarget", row["count"]), now,
-            SourceDataAsset=f"events.{row['event_type']}",
-        )
-        tables.append_log(t.spark, [entry], path)
+    n, now = F.count(F.lit(1)), F.lit(datetime(2024, 2, 1))
+    entries = t.events.groupBy(F.concat(F.lit("events."), "event_type").alias("SourceDataAsset")).agg(
+        n.alias("FirstRecordMeasureValue"), n.alias("SecondRecordMeasureValue"),
+    ).withColumns({
+        "DqCheckType": F.lit("CountIntegrity"), "FirstRecordMeasureTitle": F.lit("NumRecordsInSource"),
+        "SecondRecordMeasureTitle": F.lit("NumRecordsInTarget"), "DqCheckDate": now.cast("date"), "__CreatedOn": now,
+    })
+    tables.append_log(t.spark, entries, path)
     return tables.read_log(t.spark, path).select("SourceDataAsset", "DqCheckType", "FirstRecordMeasureValue", "SecondRecordMeasureValue")
 
 
@@ -294,18 +294,23 @@ def quality_log(t):
 
 
 @query("r6_ingest_upsert", """
-    SELECT event_id, CASE WHEN event_type = 'click' THEN value + 1 ELSE value END AS value, event_type = 'click' AS corrected FROM events""")
+    SELECT event_id, CASE WHEN event_type = 'click' THEN value + 1 ELSE value END AS value, event_type = 'click' AS corrected,
+           CASE WHEN event_type = 'click' THEN DATE '2024-03-05' ELSE CAST(ts AS DATE) END AS d FROM events""")
 def ingest_upsert(t):
     feed, first, options = event_feed(t, "upsert")
     start, end = datetime(2024, 1, 1), datetime(2024, 2, 1)
     ingest.ingest_cleaned(t.spark, feed, start, end, datetime(2024, 2, 1))
-    # a second feed folder brings corrected rows only, which update by key
+    # a second feed folder brings corrected rows only, on a later day, which update by key
     later = ingest.Feed(**{**feed.__dict__, "raw_path": feed.raw_path + "-later"})
-    clicks = first.where("event_type = 'click'").withColumn("value", F.col("value") + 1)
+    clicks = first.where("event_type = 'click'").withColumns({
+        "value": F.col("value") + 1, "year": F.lit("2024"), "month": F.lit("03"), "day": F.lit("05"),
+    })
     clicks.write.options(**options).partitionBy(*FOLDERS).csv(later.raw_path)
-    ingest.ingest_cleaned(t.spark, later, start, end, datetime(2024, 2, 2), mode="upsert")
+    ingest.ingest_cleaned(t.spark, later, datetime(2024, 3, 1), datetime(2024, 4, 1), datetime(2024, 4, 1), mode="upsert")
     cleaned = t.spark.read.parquet(feed.cleaned_path)
-    return cleaned.select("event_id", "value", (F.col("__UpdatedOn") > F.col("__CreatedOn")).alias("corrected"))
+    return cleaned.select(
+        "event_id", "value", (F.col("__UpdatedOn") > F.col("__CreatedOn")).alias("corrected"), F.col("__RawPartitionDate").alias("d"),
+    )
 
 
 @query("r7_conform_scd2", """

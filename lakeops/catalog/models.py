@@ -61,7 +61,7 @@ def forest_classifier(t):
 @query("l3_forest_regressor")
 def forest_regressor(t):
     rows = lines(t)
-    forest = models.capped_forest(rows.count(), 10_000, numTrees=10, maxDepth=6, seed=42)
+    forest = models.forest_regressor(numTrees=10, maxDepth=6, seed=42)
     return scored(forest.fit(rows), rows, "l_orderkey", "l_linenumber")
 
 

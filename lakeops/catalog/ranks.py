@@ -31,7 +31,7 @@ def global_numbering(t):
 
 @query("w4_group_ordinals", """
     WITH m AS (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS d FROM orders)
-    SELECT o_orderkey, d, dense_rank() OVER (ORDER BY d) - 1 AS "Check", dense_rank() OVER (ORDER BY d DESC) AS "Check2" FROM m""")
+    SELECT o_orderkey, d, dense_rank() OVER (ORDER BY d) - 1 AS "ordinal", dense_rank() OVER (ORDER BY d DESC) AS "reverse_ordinal" FROM m""")
 def group_ordinals(t):
     rows = t.orders.select("o_orderkey", F.trunc("o_orderdate", "month").alias("d"))
     return ranking.group_ordinals(rows, "d")

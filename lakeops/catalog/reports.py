@@ -27,7 +27,7 @@ def activities(t):
          v AS (SELECT *, date_diff('day', baseline, finish) AS days, dense_rank() OVER (ORDER BY snapshot) - 1 AS c1,
                       dense_rank() OVER (ORDER BY snapshot DESC) AS c2, max(snapshot) OVER () = snapshot AS is_current FROM a),
          o AS (SELECT *, row_number() OVER (PARTITION BY code, snapshot ORDER BY baseline DESC, o_orderkey) AS rn FROM v)
-    SELECT code, snapshot, o_orderkey, baseline, finish, days AS variance_days, c1 AS "Check", c2 AS "Check2", is_current,
+    SELECT code, snapshot, o_orderkey, baseline, finish, days AS variance_days, c1 AS "ordinal", c2 AS "reverse_ordinal", is_current,
            CASE WHEN status = 'Completed' THEN 'Blue' WHEN days <= 7 THEN 'Green' WHEN days < 14 THEN 'Amber' ELSE 'Red' END AS rag
     FROM o WHERE rn = 1""")
 def milestone_variance(t):
@@ -36,7 +36,7 @@ def milestone_variance(t):
     )
     return rows.select(
         "code", "snapshot", "o_orderkey", "baseline", "finish", F.col("variance_days").cast("bigint").alias("variance_days"),
-        "Check", "Check2", "is_current", "rag",
+        "ordinal", "reverse_ordinal", "is_current", "rag",
     )
 
 

@@ -37,31 +37,31 @@ def stack_runs(t):
     })
 
 
-TOKEN_SETS = r"""(SELECT conv_id, a, b, list_distinct(list_filter(regexp_split_to_array(trim(a), '\s+'), lambda w: w <> '')) AS x,
-    list_distinct(list_filter(regexp_split_to_array(trim(b), '\s+'), lambda w: w <> '')) AS y FROM (
-      SELECT conv_id, max(text) FILTER (turn = 0) AS a, max(text) FILTER (turn = 1) AS b FROM conversations GROUP BY 1)
-    WHERE a IS NOT NULL AND b IS NOT NULL)"""
+TOKEN_SETS = r"""(SELECT b.conv_id, b.turn, list_distinct(list_filter(regexp_split_to_array(trim(a.text), '\s+'), lambda w: w <> '')) AS x,
+    list_distinct(list_filter(regexp_split_to_array(trim(b.text), '\s+'), lambda w: w <> '')) AS y
+    FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn + 1 = b.turn AND a.text IS NOT NULL AND b.text IS NOT NULL)"""
 
 
 def token_rows(t):
-    first = F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("a")
-    second = F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("b")
-    return t.conversations.groupBy("conv_id").agg(first, second).dropna()
+    """Each turn's text, ``b``, and that of the turn before it, ``a``."""
+    rows = t.conversations.select("conv_id", "turn", F.col("text").alias("b"))
+    before = t.conversations.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("a"))
+    return rows.join(before, ["conv_id", "turn"]).dropna(subset=["a", "b"])
 
 
 @query("u5_shared_tokens", f"""
-    SELECT conv_id, array_to_string(list_sort(list_filter(x, lambda w: list_contains(y, w))), ' ') AS shared FROM {TOKEN_SETS}""")
+    SELECT conv_id, turn, array_to_string(list_sort(list_filter(x, lambda w: list_contains(y, w))), ' ') AS shared FROM {TOKEN_SETS}""")
 def shared_tokens(t):
     shared = sets.shared_tokens(F.col("a"), F.col("b"))
-    return token_rows(t).select("conv_id", F.array_join(shared, " ").alias("shared"))
+    return token_rows(t).select("conv_id", "turn", F.array_join(shared, " ").alias("shared"))
 
 
 @query("u5_unshared_tokens", f"""
-    SELECT conv_id, array_to_string(list_sort(list_concat(list_filter(x, lambda w: NOT list_contains(y, w)),
+    SELECT conv_id, turn, array_to_string(list_sort(list_concat(list_filter(x, lambda w: NOT list_contains(y, w)),
            list_filter(y, lambda w: NOT list_contains(x, w)))), ' ') AS unshared FROM {TOKEN_SETS}""")
 def unshared_tokens(t):
     unshared = sets.unshared_tokens(F.col("a"), F.col("b"))
-    return token_rows(t).select("conv_id", F.array_join(unshared, " ").alias("unshared"))
+    return token_rows(t).select("conv_id", "turn", F.array_join(unshared, " ").alias("unshared"))
 
 
 @query("u6_column_difference", "SELECT l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem")

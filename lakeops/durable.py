@@ -1,34 +1,27 @@
 """Intermediate results that outlive a lost executor.
 
 Results used by several later jobs are written once, as parquet, to the shared
-folder named by ``spark.checkpoint.dir``. Where that is unset a temporary folder
-is used, which is only right in local mode, so anything else is refused.
+folder named by ``spark.checkpoint.dir``. A session that names none is refused.
+Copies stay until ``passing_stages`` ends or the folder is cleared between runs.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
 _stages: ContextVar[list[str] | None] = ContextVar("stages", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach."""
-    global _local_folder
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="lakeops-")
-    return _local_folder
+    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -59,5 +52,10 @@ def passing_stages(spark: SparkSession):
         made = _stages.get()
         _stages.reset(token)
         for path in made:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of written rows."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

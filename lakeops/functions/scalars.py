@@ -76,7 +76,7 @@ def variance_rag(days: Column) -> Column:
     """Red from 14 days late, Amber from 8, Green up to 7, else empty (also for null)."""
     return (
         F.when(days <= GREEN_UP_TO, "Green")
-        .when(days.between(AMBER_FROM, RED_FROM - 1), "Amber")
+        .when((days >= AMBER_FROM) & (days < RED_FROM), "Amber")
         .when(days >= RED_FROM, "Red")
         .otherwise("")
     )

@@ -58,7 +58,7 @@ def apply_codes(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> Dat
         )
         keyed = df.withColumns({f"{c}_is_missing": F.col(c).isNull(), "__value": F.col(c).cast("string")})
         counted = plain.select(F.col(c).cast("string").alias("__value"))
-        df = spread_join(keyed, codes, ["__value"], "left", may_be_small=True, counted=counted).withColumn(
+        df = spread_join(keyed, codes, ["__value"], "left", counted=counted).withColumn(
             c, F.coalesce("__code", F.lit(0)).cast("bigint")
         ).drop("__value", "__code")
     return df
@@ -95,9 +95,25 @@ def expand_date(df: DataFrame, column: str, prefix: str) -> DataFrame:
     return df.withColumns(date_parts(F.col(column), prefix)).drop(column)
 
 
-def dummy_columns(df: DataFrame, column: str, values: list[str]) -> DataFrame:
-    """One boolean column per value in place of the column."""
-    return df.withColumns({f"{column}_{v}": F.coalesce(F.col(column) == v, F.lit(False)) for v in values}).drop(column)
+# more columns than this are no table any more
+MOST_DUMMIES = 10_000
+
+
+def dummy_columns(df: DataFrame, columns: str | list[str], values: dict[str, list] | None = None) -> DataFrame:
+    """One boolean column per value in place of each of the columns, also where it is null.
+
+    Without ``values`` they are those that occur, in order; too many raise an error.
+    """
+    columns = [columns] if isinstance(columns, str) else columns
+    for c in columns:
+        found = (values or {}).get(c)
+        if found is None:
+            held = df.select(c).where(F.col(c).isNotNull()).distinct().limit(MOST_DUMMIES + 1).collect()
+            if len(held) > MOST_DUMMIES:
+                raise ValueError(f"{c} has more than {MOST_DUMMIES} values")
+            found = sorted(r[0] for r in held)
+        df = df.withColumns({f"{c}_{v}": F.coalesce(F.col(c) == v, F.lit(False)) for v in found}).drop(c)
+    return df
 
 
 def ordinal_codes(train: DataFrame, columns: list[str], unknown: float = -1.0):

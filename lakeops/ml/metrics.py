@@ -38,8 +38,13 @@ def confusion(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     )
 
 
-def confusion_wide(df: DataFrame, truth: str, predicted: str, classes: list) -> DataFrame:
-    """Confusion matrix with one column per predicted class; 0 where no row falls."""
+def confusion_wide(df: DataFrame, truth: str, predicted: str, classes: list | None = None) -> DataFrame:
+    """Confusion matrix with one column per predicted class; 0 where no row falls.
+
+    Without ``classes`` the columns are the predicted classes that occur, a bounded list.
+    """
+    if classes is None:
+        classes = sorted(r[0] for r in df.select(predicted).where(F.col(predicted).isNotNull()).distinct().collect())
     spread = df.groupBy(F.col(truth).alias("truth")).pivot(predicted, classes).agg(F.count(F.lit(1))).fillna(0)
     return spread.select("truth", *[F.col(str(c)).alias(f"predicted_{c}") for c in classes])
 

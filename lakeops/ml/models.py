@@ -28,9 +28,10 @@ def assembled(df: DataFrame, columns: list[str], label: str, keep: list[str] | N
     return chain.transform(named).select(*(keep or []), "features", "label")
 
 
-def capped_forest(rows: int, cap: int, **settings) -> RandomForestRegressor:
-    """A forest whose trees each see about ``cap`` of ``rows`` rows."""
-    return RandomForestRegressor(subsamplingRate=min(1.0, cap / max(rows, 1)), **settings)
+def forest_regressor(rows: int = 0, cap: int | None = None, **settings) -> RandomForestRegressor:
+    """A forest whose trees see all rows or, with ``cap``, about that many of ``rows`` each."""
+    share = 1.0 if cap is None else min(1.0, cap / max(rows, 1))
+    return RandomForestRegressor(subsamplingRate=share, **settings)
 
 
 def fit_and_score(models: dict[str, Estimator], train: DataFrame, test: DataFrame, evaluator: Evaluator) -> DataFrame:

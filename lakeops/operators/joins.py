@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.skew import broadcast_if_small, spread_join
+from lakeops.operators.skew import spread_join
 
 
 def inner_detail(rows: DataFrame, details: DataFrame, on: list[str]) -> DataFrame:
     """Inner join to a detail table with one row per key."""
-    return spread_join(rows, details, on, may_be_small=True)
+    return spread_join(rows, details, on)
 
 
 def code_lookup(rows: DataFrame, codes: DataFrame, on: list[str], keep: Column | None = None) -> DataFrame:
     """Left join to the codes that pass ``keep``; rows without one get nulls."""
-    return spread_join(rows, codes if keep is None else codes.where(keep), on, "left", may_be_small=True)
+    return spread_join(rows, codes if keep is None else codes.where(keep), on, "left")
 
 
 def current_version(rows: DataFrame, dimension: DataFrame, on: list[str], current: str = "CurrInd") -> DataFrame:
     """Left join to the current version of each member."""
-    return spread_join(rows, dimension.where(F.col(current)).drop(current), on, "left", may_be_small=True)
+    return spread_join(rows, dimension.where(F.col(current)).drop(current), on, "left")
 
 
 def unknown_keys(rows: DataFrame, dimension: DataFrame, key: str, dim_key: str) -> DataFrame:
@@ -40,7 +40,7 @@ def not_yet_loaded(rows: DataFrame, target: DataFrame, on: list[str]) -> DataFra
 def of_batch_dates(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
     """Target rows of the dates in the batch, and the ones without a date."""
     dates = batch.select(column).distinct()
-    dated = spread_join(target, dates, [column], "left_semi", may_be_small=True)
+    dated = spread_join(target, dates, [column], "left_semi")
     return dated.unionByName(target.where(F.col(column).isNull()))
 
 
@@ -53,7 +53,7 @@ def weighted_totals(
     """
     summed = quantities.groupBy(group, item).agg(F.sum(quantity).alias(quantity))
     # an item now has one row per group at most, so there are no hot items left to spread
-    priced = summed.join(broadcast_if_small(prices.select(item, price)), item)
+    priced = summed.join(prices.select(item, price), item)
     return priced.groupBy(group).agg(F.sum(F.col(quantity) * F.col(price)).alias("total"))
 
 

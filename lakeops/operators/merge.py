@@ -4,13 +4,15 @@ Plain Spark tables have no ``MERGE``. Each function here takes the target and th
 batch and returns the new target, which the caller writes beside the old one and
 swaps in (see ``lakeops.sinks.tables``).
 
-A batch that measures small is broadcast to the target, and only the keys it meets
-come back, so the target is not shuffled. A large batch meets the target in one
-full outer join, with one shuffle of each; keys are unique on both sides.
+The target is joined to the batch, and of the target only the keys that the batch
+holds come back to tell which of its rows are new. Spark broadcasts the batch where
+its size allows, and then does not shuffle the target.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,6 @@ from lakeops.durable import materialize
 from lakeops.operators.joins import current_version, not_yet_loaded, unknown_keys
 from lakeops.operators.ordering import add_row_index
 from lakeops.operators.ranking import latest_per_key
-from lakeops.operators.skew import is_small
 
 # Fixed value: the end of a version that is still open.
 OPEN_END = "9999-12-31T23:59:59"
@@ -61,29 +62,19 @@ def merge_actions(
         return F.col(f"__new.{c}") if c in values else old
 
     hit = F.col("__new").isNotNull()
-    if is_small(source):
-        kept = target.join(F.broadcast(batch), keys, "left").select(
-            *[F.when(hit, merged(c, F.col(c))).otherwise(F.col(c)).alias(c) for c in target.columns],
-            F.when(hit, "update").otherwise("keep").alias("__action"),
-        )
-        matched = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-        fresh = source.join(matched, keys, "left_anti").withColumns({c: load_ts for c in audit})
-        lacking = {c: F.lit(None).cast(target.schema[c].dataType) for c in target.columns if c not in fresh.columns}
-        added = fresh.withColumns(lacking).select(*target.columns, F.lit("insert").alias("__action"))
-        return kept.unionByName(added)
-    others = [c for c in target.columns if c not in keys]
-    known = target.select(*keys, F.struct(F.lit(1).alias("__in"), *others).alias("__old"))
-    there = F.col("__old").isNotNull()
-
-    def either(c: str) -> Column:
-        old = F.col(f"__old.{c}")
-        if c == created:
-            return F.when(there, old).otherwise(load_ts).alias(c)
-        return F.when(hit, merged(c, old)).otherwise(old).alias(c)
-
-    action = F.when(~there, "insert").when(hit, "update").otherwise("keep").alias("__action")
-    both = known.join(batch, keys, "full_outer")
-    return both.select(*[F.col(c) if c in keys else either(c) for c in target.columns], action)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # rows without a key match nothing and pass around the joins
+    kept = target.where(~no_key).join(batch.where(~no_key), keys, "left").select(
+        *[F.when(hit, merged(c, F.col(c))).otherwise(F.col(c)).alias(c) for c in target.columns],
+        F.when(hit, "update").otherwise("keep").alias("__action"),
+    )
+    passed = target.where(no_key).withColumn("__action", F.lit("keep"))
+    # of the target only the keys that the batch holds come back
+    matched = target.select(*keys).where(~no_key).join(source.select(*keys), keys, "left_semi")
+    fresh = source.where(~no_key).join(matched, keys, "left_anti").unionByName(source.where(no_key))
+    lacking = {c: F.lit(None).cast(target.schema[c].dataType) for c in target.columns if c not in (*fresh.columns, *audit)}
+    added = fresh.withColumns({c: load_ts for c in audit}).withColumns(lacking)
+    return kept.unionByName(passed).unionByName(added.select(*target.columns, F.lit("insert").alias("__action")))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], load_ts: Column, **options) -> DataFrame:
@@ -150,8 +141,9 @@ def scd1_source(
 def scd1_apply(
     target: DataFrame, cleaned: DataFrame, key: str, date: str, start: str, end: str, unknown: dict, load_ts: Column
 ) -> DataFrame:
-    """The type 1 dimension after a batch of cleaned rows."""
-    return upsert(target, scd1_source(cleaned, key, date, start, end, unknown), [key], load_ts)
+    """The type 1 dimension after a batch of cleaned rows, which is computed once."""
+    batch = materialize(scd1_source(cleaned, key, date, start, end, unknown), "batch")
+    return upsert(target, batch, [key], load_ts)
 
 
 # columns a type 2 dimension has besides its keys and business columns
@@ -206,7 +198,9 @@ def scd2_versions(
     changes = materialize(scd2_changes(target, source, key).where(F.col("RowAction") != "None"), "changes")
     changes = changes.withColumn("LoadID", F.lit(load_id))
     updates = not_yet_loaded(
-        changes.where(F.col("RowAction") == "Update"), target.select("Ekid", "LoadID"), ["Ekid", "LoadID"]
+        changes.where(F.col("RowAction") == "Update"),
+        # all changes carry this load's id, so no other load's versions matter
+        target.where(F.col("LoadID") == load_id).select("Ekid", "LoadID"), ["Ekid", "LoadID"],
     )
     added = updates.unionByName(changes.where(F.col("RowAction") == "Insert"))
     current = target.where("CurrInd")

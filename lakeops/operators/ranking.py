@@ -16,8 +16,9 @@ def latest_per_key(df: DataFrame, keys: list[str], version: str, floor: int = HO
 
     That is ``dense_rank() = 1`` over the key, descending, with nulls last. Spark
     drops outranked rows before the shuffle, but ties of one key still meet in one
-    task. So keys with very many rows, of which there are at most a few hundred, are
-    taken out: their highest version is broadcast and their rows never shuffle.
+    task. So keys with very many rows are taken out: their highest version is found by
+    an aggregate and joined back, and Spark sees from their written list how few they
+    are, so that their rows need no shuffle.
     """
     by_version = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(version))
 
@@ -27,25 +28,25 @@ def latest_per_key(df: DataFrame, keys: list[str], version: str, floor: int = HO
     hot = hot_keys(df, keys, floor)
     if hot is None:
         return ranked(df)
-    hot = hot.withColumnsRenamed({k: f"__hot_{k}" for k in keys})
+    hot = hot.drop("__parts").withColumnsRenamed({k: f"__hot_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
-    hot_rows = df.join(F.broadcast(hot), same)
+    hot_rows = df.join(hot, same)
     last = hot_rows.groupBy(*hot.columns).agg(F.max(version).alias("__last"))
-    kept = df.join(F.broadcast(last), same).where(F.col(version).eqNullSafe(F.col("__last")))
-    others = df.join(F.broadcast(hot), same, "left_anti")
+    kept = df.join(last, same).where(F.col(version).eqNullSafe(F.col("__last")))
+    others = df.join(hot, same, "left_anti")
     return kept.select(*df.columns).unionByName(ranked(others))
 
 
 def group_ordinals(df: DataFrame, column: str) -> DataFrame:
-    """Ordinal of each row's value: ``Check`` from 0 ascending, ``Check2`` from 1 descending.
+    """Ordinal of each row's value: ``ordinal`` from 0 ascending, ``reverse_ordinal`` from 1 descending.
 
     Only the distinct values are numbered.
     """
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    numbered = add_row_index(values, [column], "Check")
+    numbered = add_row_index(values, [column], "ordinal")
     size = numbered.agg(F.count(F.lit(1)).alias("n")).scalar()
-    numbered = numbered.withColumn("Check2", size - F.col("Check"))
-    return spread_join(df, numbered, [column], "left", may_be_small=True)
+    numbered = numbered.withColumn("reverse_ordinal", size - F.col("ordinal"))
+    return spread_join(df, numbered, [column], "left")
 
 
 def cumulative_by(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
@@ -57,7 +58,7 @@ def cumulative_by(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
 def slots(df: DataFrame, group: str, first_seen: str, date: str, item: str) -> DataFrame:
     """Number the items 1, 2, ...: groups as first seen, then date, then name."""
     firsts = df.groupBy(group).agg(F.min(first_seen).alias("__first"))
-    ordered = spread_join(df, firsts, [group], may_be_small=True)
+    ordered = spread_join(df, firsts, [group])
     return add_row_index(ordered, ["__first", group, date, item], "slot", start=1).drop("__first")
 
 

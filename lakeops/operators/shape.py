@@ -77,7 +77,9 @@ def attach_by_position(df: DataFrame, order_by: list, values: list, name: str) -
     """Add a column from a positional list; rows beyond its end get null."""
     indexed = add_row_index(df, order_by, "__at")
     held = F.array(*[F.lit(v) for v in values])
-    return indexed.withColumn(name, F.get(held, F.col("__at").cast("int"))).drop("__at")
+    # only a place inside the list is narrowed to an integer
+    inside = F.when(F.col("__at") < len(values), F.col("__at")).cast("int")
+    return indexed.withColumn(name, F.get(held, inside)).drop("__at")
 
 
 def attach_series(df: DataFrame, order_by: list, series: DataFrame, series_order: list, name: str) -> DataFrame:

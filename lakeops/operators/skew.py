@@ -7,29 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The most frequent keys are treated as hot. A key beyond this many has less than
-# 1 / MAX_HOT of all rows and joins as usual, so the bound loses nothing.
-MAX_HOT = 500
+from lakeops.durable import materialize
+
+# a key with more rows than this is dealt out over several tasks, about this many in each
 HOT_ROWS = 1_000_000
 SAMPLED_ROWS = 10_000
-SALTS = 64
-# a lookup is broadcast when it has been counted and measured to be within both
-SMALL_ROWS = 200_000
-SMALL_BYTES = 32 * 1024 * 1024
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether ``df`` is within the broadcast bounds, by looking at no more rows than they allow."""
-    size = F.octet_length(F.to_json(F.struct("*")))
-    seen = df.limit(SMALL_ROWS + 1).select(size.alias("size")).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")
-    ).first()
-    return seen["rows"] <= SMALL_ROWS and seen["bytes"] <= SMALL_BYTES
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if it measures small."""
-    return F.broadcast(df) if is_small(df) else df
+# rows without a key match nothing and can be dealt out as finely as there are tasks
+_ANYWHERE = (1 << 31) - 1
 
 
 def hashable(df: DataFrame) -> list[str]:
@@ -38,18 +22,20 @@ def hashable(df: DataFrame) -> list[str]:
 
 
 def hot_keys(rows: DataFrame, on: list[str], floor: int = HOT_ROWS) -> DataFrame | None:
-    """The keys with more than about ``floor`` rows (at most ``MAX_HOT``), or None.
+    """The keys with more than about ``floor`` rows and the ``__parts`` to deal each into, or None.
 
     Counted on a share of the rows that still holds thousands of each hot key, from
-    the key columns only. Which keys are found decides how rows travel, never which
-    rows there are.
+    the key columns only. All such keys are taken, and a key has a part for each
+    ``floor`` of its estimated rows. They are kept as a written frame, so Spark sees
+    how large it is. Which keys are found decides how rows travel, never which rows
+    there are.
     """
     share = min(1.0, SAMPLED_ROWS / floor)
     seen = rows.select(*on) if share == 1.0 else rows.select(*on).sample(share, seed=17)
     counts = seen.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > floor * share)
-    top = counts.orderBy(F.desc("__rows")).limit(MAX_HOT).select(*on)
-    found = top.collect()
-    return rows.sparkSession.createDataFrame(found, top.schema) if found else None
+    parts = F.ceil(F.col("__rows") / F.lit(floor * share)).cast("bigint").alias("__parts")
+    found = materialize(counts.select(*on, parts), "hot")
+    return None if found.isEmpty() else found
 
 
 def spread_join(
@@ -58,31 +44,24 @@ def spread_join(
     on: list[str],
     how: str = "inner",
     floor: int = HOT_ROWS,
-    salts: int = SALTS,
-    may_be_small: bool = False,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to ``lookup`` (few rows per key) on equal keys.
 
-    With ``may_be_small`` the lookup is measured and broadcast if it is small;
-    leave it off where measuring would mean computing a large aggregate. Otherwise,
-    without hot keys, this is the plain join. With hot keys their rows are dealt
-    out over ``salts``, and the few lookup rows of such a key are repeated once per
-    salt. ``counted`` is a cheaper frame with the same key counts. ``how`` is inner,
-    left, left_semi or left_anti.
+    Whether a side is broadcast is left to Spark, which knows its size, at the latest
+    when it has been computed. Without hot keys this is the plain join. With hot keys
+    their rows are dealt out over as many parts as they need, and the few lookup rows
+    of such a key are repeated once per part. ``counted`` is a cheaper frame with the
+    same key counts. ``how`` is inner, left, left_semi or left_anti.
     """
-    if may_be_small and is_small(lookup):
-        return rows.join(F.broadcast(lookup), on, how)
     hot = hot_keys(rows if counted is None else counted, on, floor)
     if hot is None:
         return rows.join(lookup, on, how)
-    hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
     # equal rows lie in several input partitions, so the partition splits them too
-    dealt = F.pmod(F.xxhash64(*hashable(rows), F.spark_partition_id()), F.lit(salts)).cast("int")
+    dealt = F.xxhash64(*hashable(rows), F.spark_partition_id())
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    left = rows.join(hot, on, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | no_key, dealt).otherwise(0)
-    )
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(no_key, F.pmod(dealt, F.lit(_ANYWHERE))).otherwise(F.pmod(dealt, F.coalesce("__parts", F.lit(1))))
+    left = rows.join(hot, on, "left").withColumn("__salt", salt.cast("bigint"))
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)) - 1)
     right = lookup.join(hot, on, "left").withColumn("__salt", F.explode(copies))
-    return left.drop("__hot").join(right.drop("__hot"), [*on, "__salt"], how).drop("__salt")
+    return left.drop("__parts").join(right.drop("__parts"), [*on, "__salt"], how).drop("__salt")

@@ -80,7 +80,7 @@ def negative_log_likelihood(words: DataFrame, transitions: DataFrame) -> DataFra
     A pair the table lacks, or holds with probability 0, makes the word infinite.
     """
     known = transitions.select("c1", "c2", "p")
-    scored = spread_join(pairs_of_words(words), known, ["c1", "c2"], "left", may_be_small=True)
+    scored = spread_join(pairs_of_words(words), known, ["c1", "c2"], "left")
     cost = F.when(F.coalesce(F.col("p"), F.lit(0.0)) > 0, -F.log("p")).otherwise(F.lit(float("inf")))
     return scored.groupBy("word", "n").agg(F.sum(cost).alias("nll"), F.avg(cost).alias("mean_nll"))
 

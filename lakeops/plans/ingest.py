@@ -20,8 +20,6 @@ from lakeops.sinks import tables
 from lakeops.sources import files
 
 DATE = "__RawPartitionDate"
-# up to this many file names are written into the log row itself
-LOGGED_FILES = 1000
 
 
 def parse_window(start: str, end: str = "") -> tuple[datetime, datetime]:
@@ -46,7 +44,7 @@ class Feed:
     schema: StructType
     keys: list[str]
     kind: str = "csv"  # or json
-    multiline: bool = True
+    multiline: bool = False  # a file with line ends inside values cannot be split
 
 
 def scan_feed(spark: SparkSession, feed: Feed, start: datetime, end: datetime) -> DataFrame:
@@ -69,8 +67,9 @@ def ingest_cleaned(
 ) -> dict[str, int]:
     """Load one window of a feed into its cleaned table and log every check.
 
-    ``mode`` is ``partitions`` (replace the days of the batch) or ``upsert`` (update
-    by key and day). The scan is written once and every check reads that copy.
+    ``mode`` is ``partitions`` (replace the days of the batch) or ``upsert`` (update by
+    business key: a key that comes again on a later day moves there). The scan is
+    written once; checks and the table are made from that copy.
     """
     checks = _Checks(spark, feed, load_ts)
     with passing_stages(spark):
@@ -89,7 +88,7 @@ def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
         holds=counts[1] == 0, message=f"{counts[1]} rows do not fit the schema in {checks.files}",
     )
     keys = [*feed.keys, DATE]
-    rows = materialize(latest_per_key(batch.drop(files.CORRUPT), keys, "__RawFileModificationTime"), "latest")
+    rows = latest_per_key(batch.drop(files.CORRUPT), keys, "__RawFileModificationTime")
     # once the first of these holds the rows are distinct, so no DISTINCT is needed further on
     found = quality.row_and_key_counts(rows, keys).first()
     checks.run(
@@ -103,12 +102,14 @@ def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
     )
     stamp = F.lit(load_ts).cast("timestamp")
     loaded = rows.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
+    if mode == "upsert":
+        # a key on several days of the batch takes the latest one
+        rows = materialize(latest_per_key(rows, feed.keys, DATE), "upserted")
+        loaded = rows.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
     existing = _existing(spark, feed.cleaned_path, loaded) if mode == "upsert" else None
     if existing is not None:
-        # the day is part of the key, so only the days of the batch are read and rewritten;
-        # the key check above has shown that the batch has one row per key
         tables.merge_partitions(
-            existing, rows, lambda part: upsert(part, rows, keys, stamp, check=False), feed.cleaned_path, DATE
+            existing, rows, feed.keys, lambda part: upsert(part, rows, feed.keys, stamp), feed.cleaned_path, DATE
         )
     else:
         tables.overwrite_partitions(loaded, feed.cleaned_path, [DATE])
@@ -125,14 +126,11 @@ def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
 
 
 def _list_files(batch: DataFrame, log_path: str) -> tuple[int, str]:
-    """Number of files, and their names for the log: in full, or where a long list is kept."""
-    names = files.files_processed(batch)
-    shown = [r[0] for r in names.limit(LOGGED_FILES + 1).collect()]
-    if len(shown) <= LOGGED_FILES:
-        return len(shown), ", ".join(sorted(shown))
-    path = f"{log_path}-files/{uuid.uuid4().hex}"
-    names.write.parquet(path)
-    return batch.sparkSession.read.parquet(path).count(), f"listed in {path}"
+    """Number of files, and for the log how many and the table that lists them."""
+    path = f"{log_path}-files/load={uuid.uuid4().hex}"
+    files.files_processed(batch).write.parquet(path)
+    count = batch.sparkSession.read.parquet(path).count()
+    return count, f"{count} listed in {path}"
 
 
 def _existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.durable import materialize
+from lakeops.durable import materialize, remove
 from lakeops.operators.quality import DQ_LOG_SCHEMA
 
 
@@ -60,16 +60,24 @@ def point_partition(spark: SparkSession, table: str, partition: dict[str, str],
     spark.catalog.refreshTable(table)
 
 
-def merge_partitions(target: DataFrame, batch: DataFrame, merge: Callable[[DataFrame], DataFrame], path: str, partition: str) -> None:
-    """Rewrite only the partitions the batch touches.
+def merge_partitions(
+    target: DataFrame, batch: DataFrame, keys: list[str], merge: Callable[[DataFrame], DataFrame], path: str, partition: str
+) -> None:
+    """Rewrite only the partitions the batch touches: its own and those that hold its keys.
 
     ``merge`` takes the target rows of those partitions; their names (one per
     folder) go through the driver so that the scan lists no other folder. The result
     is written aside first, because it reads the files that are about to be replaced.
+    A partition all of whose rows moved to others is removed.
     """
-    touched = [r[0] for r in batch.select(partition).distinct().collect()]
+    held = target.select(*keys, partition).join(batch.select(*keys), keys, "left_semi").select(partition)
+    touched = [r[0] for r in batch.select(partition).unionByName(held).distinct().collect()]
     rows = target.where(F.col(partition).isin(touched))
-    overwrite_partitions(materialize(merge(rows), "merged"), path, [partition])
+    merged = materialize(merge(rows), "merged")
+    overwrite_partitions(merged, path, [partition])
+    left = {r[0] for r in merged.select(partition).distinct().collect()}
+    for value in set(touched) - left:
+        remove(target.sparkSession, f"{path}/{partition}={value}")
 
 
 def append_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:
@@ -77,10 +85,18 @@ def append_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:
     df.write.mode("append").partitionBy(*partitions).parquet(path)
 
 
-def append_log(spark: SparkSession, entries: list[dict], path: str) -> None:
-    """Append DQ log rows, one folder per source asset; values are bound, not spliced into SQL."""
-    rows = [tuple(e.get(c) for c in DQ_LOG_SCHEMA.names) for e in entries]
-    append_partitioned(spark.createDataFrame(rows, DQ_LOG_SCHEMA).coalesce(1), path, ["SourceDataAsset"])
+def append_log(spark: SparkSession, entries: list[dict] | DataFrame, path: str) -> None:
+    """Append DQ log rows, one folder per source asset, in one write.
+
+    ``entries`` are a few rows as dictionaries, whose values are bound and not spliced
+    into SQL, or a frame with some of the log's columns; the others are null.
+    """
+    if isinstance(entries, DataFrame):
+        held = {f.name: F.col(f.name) if f.name in entries.columns else F.lit(None) for f in DQ_LOG_SCHEMA}
+        rows = entries.select(*[held[f.name].cast(f.dataType).alias(f.name) for f in DQ_LOG_SCHEMA])
+    else:
+        rows = spark.createDataFrame([tuple(e.get(c) for c in DQ_LOG_SCHEMA.names) for e in entries], DQ_LOG_SCHEMA).coalesce(1)
+    append_partitioned(rows, path, ["SourceDataAsset"])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

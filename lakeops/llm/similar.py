@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,18 +34,19 @@ from pyspark.sql import functions as F
 
 from lakeops.durable import materialize
 from lakeops.llm.components import components
-from lakeops.llm.frames import TEXT, map_texts, named
+from lakeops.llm.frames import TEXT, free_prefix, map_texts, named
 from lakeops.llm.words import SPACED, Block, mix, small_blocks, window_hashes
 
 WIDTH = 5
 #: postings a task sorts at a time, and those of one range of hashes
-BLOCK_POSTINGS = 2_000_000
-RANGE_POSTINGS = 4_000_000
+BLOCK_POSTINGS = 1_500_000
+RANGE_POSTINGS = 2_500_000
 #: hash bits of a shingle in the index
 BITS = 48
 #: list entries that one task orders; a longer list is split
 LIST_PART = 4096
-_ID = np.dtype([("hi", "<u8"), ("lo", "<u8"), ("n", "<u4")])
+#: what names a set: 96 bits and its size
+_ID = np.dtype([("hi", "<u8"), ("lo", "<u4"), ("n", "<u4")])
 
 
 def needed(n):
@@ -61,23 +63,25 @@ def shingles(block: Block, i: int, width: int = WIDTH) -> np.ndarray:
 
 
 def _identity(s: np.ndarray) -> tuple[int, int]:
-    return int(s.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)))) if len(s) else 0
+    """64 and 32 bits that do not depend on the order."""
+    low = int(np.bitwise_xor.reduce(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)))) if len(s) else 0
+    return int(s.sum(dtype=np.uint64)), low >> 32
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def set_keys(docs: DataFrame, keep: list[str], text: str, width: int) -> DataFrame:
+def set_keys(docs: DataFrame, keep: list[str], text: str, width: int, prefix: str = "") -> DataFrame:
     """The ``keep`` columns with the size of each text's set and 128 bits that name the set."""
     def build():
         def work(texts, rows):
             block = Block(texts, SPACED)
             sets = [shingles(block, i, width) for i in range(len(texts))]
             keys = [_identity(s) for s in sets]
-            return [[len(s) for s in sets], [_signed(k[0]) for k in keys], [_signed(k[1]) for k in keys]]
+            return [[len(s) for s in sets], [_signed(k[0]) for k in keys], [k[1] for k in keys]]
         return work
-    return map_texts(docs, keep, text, "n_shingles long, hi long, lo long", build)
+    return map_texts(docs, keep, text, "n_shingles long, hi long, lo long", build, prefix)
 
 
 # --- packed arrays -------------------------------------------------------------------
@@ -130,7 +134,8 @@ def _postings(docs: DataFrame, text: str, width: int, ranges: int) -> DataFrame:
             names = np.array(list(ids), dtype=_ID)
             lengths = names["n"]
             h = np.concatenate(held) >> np.uint64(64 - BITS)
-            order = np.argsort(h)
+            held.clear()
+            order = np.argsort(h).astype(np.uint32)
             h, owner = h[order], np.repeat(np.arange(len(names), dtype=np.uint32), lengths)[order]
             cuts = np.searchsorted(h, np.arange(0, ranges + 1, dtype=np.uint64) * np.uint64(step))
             for r in range(ranges):
@@ -161,42 +166,50 @@ def _postings(docs: DataFrame, text: str, width: int, ranges: int) -> DataFrame:
     return docs.select(named(text).cast("string").alias(TEXT)).mapInArrow(run, "part int, blob binary")
 
 
+def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different sets in order, and for each name the number of its set."""
+    order = np.lexsort((names["n"], names["lo"], names["hi"]))
+    ranked = names[order]
+    new = np.ones(len(ranked), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    number = np.empty(len(names), np.uint32)
+    number[order] = np.cumsum(new) - 1
+    return ranked[new], number
+
+
 def _shared(postings: DataFrame, groups: int) -> DataFrame:
     """Postings of the shingles that at least two classes hold, packed by groups of classes."""
     def merge(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         step = -(-(1 << BITS) // groups)
         names, hashes, owners, count = [], [], [], 0
-        for data in table.column("blob").to_pylist():
-            n, gaps, local = _unpack(data, _ID, "<u8", "<u4")
+        for data in table.column("blob"):
+            n, gaps, local = _unpack(data.as_py(), _ID, "<u8", "<u4")
             names.append(n)
             hashes.append(np.cumsum(gaps, dtype=np.uint64))
-            owners.append(local.astype(np.int64) + count)
+            owners.append(local + np.uint32(count))
             count += len(n)
-        every = np.concatenate(names)
         # copies of a set come from several blocks
-        order = np.lexsort((every["n"], every["lo"], every["hi"]))
-        ranked = every[order]
-        new = np.ones(len(ranked), bool)
-        new[1:] = ranked[1:] != ranked[:-1]
-        number = np.empty(len(every), np.int64)
-        number[order] = np.cumsum(new) - 1
-        classes = ranked[new]
-        h, owner = np.concatenate(hashes), number[np.concatenate(owners)]
-        del hashes, owners, every, names
+        classes, number = _distinct(np.concatenate(names))
+        names.clear()
+        h = np.concatenate(hashes)
+        hashes.clear()
+        owner = number[np.concatenate(owners)]
+        owners.clear()
         # by shingle, and within it by class
-        order = np.argsort(owner, kind="stable")
-        order = order[np.argsort(h[order], kind="stable")]
+        order = np.lexsort((owner, h)).astype(np.uint32)
         h, owner = h[order], owner[order]
-        single = np.ones(len(h), bool)
-        single[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-        h, owner = h[single], owner[single]
+        del order
         first = np.ones(len(h), bool)
         first[1:] = h[1:] != h[:-1]
-        run = np.cumsum(first) - 1
-        df = np.bincount(run)[run]
-        keep = df >= 2
-        h, owner, df = h[keep], owner[keep], df[keep].astype(np.uint32)
+        single = first.copy()
+        single[1:] |= owner[1:] != owner[:-1]
+        h, owner, first = h[single], owner[single], first[single]
+        begins = np.flatnonzero(first)
+        run = np.diff(np.append(begins, len(h)))
+        keep = np.repeat(run >= 2, run)
+        df = np.repeat(run, run)[keep].astype(np.uint32)
+        h, owner = h[keep], owner[keep]
         order = np.argsort(owner, kind="stable")  # classes are in the order of their names
         h, owner, df = h[order], owner[order], df[order]
         own, starts = np.unique(owner, return_index=True)
@@ -226,22 +239,16 @@ def _candidates(shared: DataFrame) -> DataFrame:
     """The classes with enough shared shingles, with their first ones from the rarest on."""
     def gather(table: pa.Table) -> pa.Table:
         names, lengths, hashes, dfs = [], [], [], []
-        for data in table.column("blob").to_pylist():
-            n, k, h, df = _unpack(data, _ID, "<u4", "<u8", "<u4")
+        for data in table.column("blob"):
+            n, k, h, df = _unpack(data.as_py(), _ID, "<u4", "<u8", "<u4")
             names.append(n)
             lengths.append(k)
             hashes.append(h)
             dfs.append(df)
-        every, k = np.concatenate(names), np.concatenate(lengths)
+        classes, number = _distinct(np.concatenate(names))
         h, df = np.concatenate(hashes), np.concatenate(dfs)
-        order = np.lexsort((every["n"], every["lo"], every["hi"]))
-        ranked = every[order]
-        new = np.ones(len(ranked), bool)
-        new[1:] = ranked[1:] != ranked[:-1]
-        number = np.empty(len(every), np.int64)
-        number[order] = np.cumsum(new) - 1
-        classes = ranked[new]
-        owner = np.repeat(number, k)
+        hashes.clear()
+        owner = np.repeat(number, np.concatenate(lengths))
         shared_count = np.bincount(owner, minlength=len(classes))
         good = shared_count >= needed(classes["n"].astype(np.int64))
         keep = good[owner]
@@ -258,7 +265,7 @@ def _candidates(shared: DataFrame) -> DataFrame:
             places = max(0, n - int(needed(n)) + 1 - (n - held))
             first = min(held, places + 1)
             rows["hi"].append(_signed(int(classes["hi"][c])))
-            rows["lo"].append(_signed(int(classes["lo"][c])))
+            rows["lo"].append(int(classes["lo"][c]))
             rows["n"].append(n)
             rows["shared"].append(held)
             rows["shingles"].append(_shingle_bytes(np.sort(h[a:b])))
@@ -402,42 +409,82 @@ def _rest(keys: DataFrame, roots: DataFrame, compared: DataFrame) -> DataFrame:
     return _pairs(met).join(compared, ["a", "b"], "left_anti")
 
 
-def link(docs: DataFrame, keep: list[str], text: str = "text", doc_id: str = "doc_id", width: int = WIDTH) -> DataFrame:
-    """The ``keep`` columns with ``n_shingles`` and ``component_id`` of every row.
+def classes_of(docs: DataFrame, text: str, doc_id: str, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+    """The rows' sets, and for each non-empty set that occurs its ``smallest`` id and its group.
 
-    Words are runs of characters other than white space, A-Z in lower case. A text's set
-    holds its distinct shingles of ``width`` words, or, with fewer words, all of them as
-    one. Two rows are linked when their sets' similarity is 0.75 or more; the component
-    is the smallest ``doc_id`` reachable. Null, empty and blank texts have empty sets,
-    are linked with nothing and are their own component, also where the id is null;
-    repeated rows are rows of their own. Kept columns of these names give way.
+    The first frame has a row for each row of ``docs``: ``id``, ``n_shingles``, ``hi`` and
+    ``lo``, which name the set. The second has ``hi``, ``lo``, ``n_shingles``, ``smallest``,
+    the ``component_id`` (the smallest id of the group, nulls aside) and ``chosen``, true
+    for one set of each group: the one that holds the smallest id.
     """
-    kept = [c for c in keep if c.lower() not in ("n_shingles", "component_id", "hi", "lo")]
-    own = docs.withColumn("__id", named(doc_id).cast("long")) if "__id" not in docs.columns else docs
-    rows = materialize(set_keys(own.select(*[named(c) for c in kept], F.col("__id"), named(text).alias(TEXT)), [*kept, "__id"], TEXT, width), "sets")
-    classes = rows.where("n_shingles > 0").groupBy("hi", "lo", "n_shingles").agg(F.min("__id").alias("smallest"))
+    source = docs.select(named(doc_id).cast("long").alias("id"), named(text).cast("string").alias("body"))
+    rows = materialize(set_keys(source, ["id"], "body", width), "sets")
+    name = ["hi", "lo", "n_shingles"]
+    classes = materialize(rows.where("n_shingles > 0").groupBy(*name).agg(F.min("id").alias("smallest")), "classes")
     total = classes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first()["n"]
     ranges = max(1, -(-total // RANGE_POSTINGS))
     sets = materialize(
-        _candidates(_shared(_postings(docs, text, width, ranges), ranges)).withColumn("node", F.monotonically_increasing_id()),
+        _candidates(_shared(_postings(source, "body", width, ranges), ranges)).withColumn("node", F.monotonically_increasing_id()),
         "candidates",
     )
     keys = materialize(_keys(sets, boundary(sets)), "keys")
-    first = materialize(_neighbours(keys), "pairs")
+    first = materialize(_neighbours(keys), "neighbours")
     links = materialize(_linked(first, sets), "links")
     roots = components(links)
-    more = materialize(_rest(keys, roots, first), "pairs")
+    more = materialize(_rest(keys, roots, first), "others")
     links = materialize(_linked(more, sets), "links")
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
-    # from sets to classes to rows
-    of_class = sets.select("hi", "lo", F.col("n").cast("long").alias("n_shingles"), "node").join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
-    ).select("hi", "lo", "n_shingles", "root")
-    placed = classes.join(of_class, ["hi", "lo", "n_shingles"])
-    lowest = placed.groupBy("root").agg(F.min("smallest").alias("component"))
-    joined = placed.join(lowest, "root").select("hi", "lo", "n_shingles", "component")
-    known = materialize(classes.join(joined, ["hi", "lo", "n_shingles"], "left").select(
-        "hi", "lo", "n_shingles", F.coalesce("component", "smallest").alias("component_id")
-    ), "components")
-    out = rows.join(known, ["hi", "lo", "n_shingles"], "left")
-    return out.select(*[named(c) for c in kept], "n_shingles", F.coalesce("component_id", "__id").alias("component_id"))
+    # all but the sets that are linked with another are groups of their own
+    both = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    linked = sets.select("hi", "lo", F.col("n").cast("long").alias("n_shingles"), "node").join(both, "node")
+    placed = linked.select(*name, "root").join(classes, name)
+    # an id that is null comes last
+    best = F.min(F.struct(F.col("smallest").isNull(), "smallest", *name)).alias("best")
+    lowest = placed.groupBy("root").agg(best).select("root", F.col("best.smallest").alias("component_id"), *[F.col(f"best.{c}").alias(f"best_{c}") for c in name])
+    same = (F.col("hi") == F.col("best_hi")) & (F.col("lo") == F.col("best_lo")) & (F.col("n_shingles") == F.col("best_n_shingles"))
+    grouped = materialize(placed.join(lowest, "root").select(*name, "component_id", same.alias("chosen")), "groups")
+    alone = F.col("chosen").isNull()
+    known = classes.join(grouped, name, "left").select(
+        *name, "smallest", F.when(alone, F.col("smallest")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("chosen", F.lit(True)).alias("chosen"),
+    )
+    return rows, materialize(known, "classes")
+
+
+def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row.
+
+    Words are runs of characters other than white space, A-Z in lower case. A text's set
+    holds its distinct shingles of ``width`` words, or, with fewer words, all of them as
+    one. Two rows are linked when their sets' similarity is 0.75 or more; the component
+    is the smallest ``doc_id`` reachable, null if all of its ids are. Null, empty and
+    blank texts have empty sets, are linked with nothing and are their own component.
+    Repeated rows are rows of their own.
+    """
+    rows, known = classes_of(docs, text, doc_id, width)
+    out = rows.join(known.select("hi", "lo", "n_shingles", "component_id", "chosen"), ["hi", "lo", "n_shingles"], "left")
+    return out.select(
+        F.col("id").alias("doc_id"), "n_shingles",
+        F.when(F.col("chosen").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs`` without those that are linked with a kept one.
+
+    Of each component the row with the smallest id stays, of rows that repeat it one;
+    all rows with an empty set stay. The columns of ``docs`` are kept as they are.
+    """
+    _, known = classes_of(docs, text, doc_id, width)
+    p = free_prefix(docs)
+    kept = known.where("chosen").select(*[F.col(c).alias(f"{p}kept_{c}") for c in ("hi", "lo", "n_shingles", "smallest")])
+    rows = set_keys(docs, docs.columns, text, width, p)
+    is_kept = reduce(lambda x, y: x & y, [F.col(f"{p}{c}") == F.col(f"{p}kept_{c}") for c in ("hi", "lo", "n_shingles")])
+    same_id = named(doc_id).cast("long").eqNullSafe(F.col(f"{p}kept_smallest"))
+    # rows without a set are no copies of each other
+    alone = F.when(F.col(f"{p}n_shingles") == 0, F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
+    found = rows.withColumn(f"{p}alone", alone).join(kept, is_kept & same_id, "left").where(
+        F.col(f"{p}kept_hi").isNotNull() | (F.col(f"{p}n_shingles") == 0)
+    )
+    single = found.dropDuplicates([f"{p}hi", f"{p}lo", f"{p}n_shingles", f"{p}alone"])
+    return single.select(*[named(c) for c in docs.columns])

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE = 1 << 19
 BLOCK_BYTES = 2 << 20
@@ -126,23 +127,21 @@ class Block:
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts)
 
 
-def texts_of(column: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of a string column; null is empty."""
-    return [v or b"" for v in column.cast(pa.large_binary()).to_pylist()]
-
-
 def small_blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """The rows of ``batches`` in order, with texts of about ``most`` bytes, or one longer text, at a time."""
+    """The rows of ``batches`` in order, a few at a time, with their texts as UTF-8 bytes; null is empty.
+
+    A part holds about ``most`` bytes, or one longer text.
+    """
     for batch in batches:
-        texts = texts_of(batch.column(text))
-        first, size = 0, 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > most:
-                yield batch.slice(first, i - first), texts[first:i]
-                first, size = i, 0
-            size += len(t) + 1
-        if texts[first:]:
-            yield batch.slice(first), texts[first:]
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
+        upto = np.concatenate([[0], np.cumsum(sizes.astype(np.int64) + 1)])
+        first = 0
+        while first < len(batch):
+            after = int(np.searchsorted(upto, upto[first] + most, "right")) - 1
+            after = max(first + 1, after)
+            part = batch.slice(first, after - first)
+            yield part, [v or b"" for v in part.column(text).cast(pa.binary()).to_pylist()]
+            first = after
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:

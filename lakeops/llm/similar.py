@@ -11,12 +11,14 @@ join of the classes goes as follows.
    similar enough share ``k`` of their first ``n - ceil(0.75 n) + k`` shingles.
 3. Light sets enumerate all subsets of two of these (k = 2), heavy ones look their first
    shingles up in inverted lists (k = 1). The size that divides them is the one with
-   the least estimated cost, subsets enumerated against list entries scanned. Light sets
+   the least estimated cost, subsets enumerated against list entries scanned: a list is
+   scanned once, neighbour by neighbour, so each entry has a fixed cost. Light sets
    large enough to be similar to a heavy one are in the lists too.
 4. Neighbours in a list are compared first. Sets that are linked then need no further
    comparison with each other, so a large group of near copies never becomes all its
-   pairs; every other pair that shares a key, and whose sizes and places in the
-   order allow the similarity, is compared next. Nothing is capped.
+   pairs. Every other pair that shares a key is compared next, unless its sizes, its
+   places in the order, or the parity bits of its sets, which differ in at most as many
+   places as the sets do, rule the similarity out. Nothing is capped.
 5. Links become components.
 """
 
@@ -43,9 +45,13 @@ BLOCK_POSTINGS = 1_500_000
 RANGE_POSTINGS = 2_500_000
 #: hash bits of a shingle in the index
 BITS = 48
+#: an entry of an inverted list is written as a subset is, and compared with its neighbour as well
+ENTRY_COST = 2.0
 #: list entries that one task orders; a longer list is split
 LIST_PART = 4096
 #: what names a set: 96 bits and its size
+#: words of 64 parity bits of a set
+PARITY_WORDS = 16
 _ID = np.dtype([("hi", "<u8"), ("lo", "<u4"), ("n", "<u4")])
 
 
@@ -231,10 +237,16 @@ def _shared(postings: DataFrame, groups: int) -> DataFrame:
 
 _SETS = (
     "hi long, lo long, n int, shared int, shingles binary, first binary, first_df array<int>, "
-    "subsets double, scans double, size_class int"
+    "subsets double, scans double, size_class int, parity array<long>"
 )
 
 
+def _parity(h: np.ndarray) -> list[int]:
+    """Bits that say whether an odd number of the shingles falls on them."""
+    odd = np.bincount((mix(h) >> np.uint64(32)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
 def _candidates(shared: DataFrame) -> DataFrame:
     """The classes with enough shared shingles, with their first ones from the rarest on."""
     def gather(table: pa.Table) -> pa.Table:
@@ -272,9 +284,10 @@ def _candidates(shared: DataFrame) -> DataFrame:
             rows["first"].append(_shingle_bytes(h[a:a + first]))
             rows["first_df"].append(df[a:a + first].tolist())
             rows["subsets"].append(first * (first - 1) / 2)
-            rows["scans"].append(float(df[a:a + places].sum()))
+            rows["scans"].append(ENTRY_COST * places)
             rows["size_class"].append(int(math.log(n) / math.log(1.1)))
-        kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "array<int>": pa.list_(pa.int32())}
+            rows["parity"].append(_parity(h[a:b]))
+        kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
         return pa.table({f.split()[0]: pa.array(rows[f.split()[0]], kinds[f.split()[1]]) for f in _SETS.split(", ")})
 
     return shared.groupBy("grp").applyInArrow(gather, _SETS)
@@ -397,16 +410,25 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def _rest(keys: DataFrame, roots: DataFrame, compared: DataFrame) -> DataFrame:
-    """Pairs under a common key that are not connected yet and not compared."""
+def _rest(keys: DataFrame, roots: DataFrame, compared: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs under a common key that are not connected yet, not compared and not ruled out."""
     placed = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    placed = materialize(placed.join(open_keys, "key", "left_semi").select("key", "node", "n", "place", "root"), "placed")
-    other = placed.toDF("key", "node2", "n2", "place2", "root2")
+    bits = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_WORDS)]
+    own = sets.select("node", (F.col("n") - F.col("shared")).alias("unshared"), *bits)
+    placed = materialize(
+        placed.join(open_keys, "key", "left_semi").select("key", "node", "n", "place", "root").join(own, "node"), "placed"
+    )
+    other = placed.toDF(*[c if c == "key" else f"{c}_2" for c in placed.columns])
+    # shingles of one set alone are in the difference, and so is one at least for each bit that differs
+    differ = F.col("unshared") + F.col("unshared_2")
+    for i in range(PARITY_WORDS):
+        differ = differ + F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"p{i}_2")))
     met = placed.join(other, "key").where(
-        (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & _possible("n", "place", "n2", "place2")
+        (F.col("node") < F.col("node_2")) & (F.col("root") != F.col("root_2")) & _possible("n", "place", "n_2", "place_2")
+        & (7 * differ <= F.col("n") + F.col("n_2"))
     )
-    return _pairs(met).join(compared, ["a", "b"], "left_anti")
+    return _pairs(met.select("node", F.col("node_2").alias("node2"))).join(compared, ["a", "b"], "left_anti")
 
 
 def classes_of(docs: DataFrame, text: str, doc_id: str, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
@@ -431,7 +453,7 @@ def classes_of(docs: DataFrame, text: str, doc_id: str, width: int = WIDTH) -> t
     first = materialize(_neighbours(keys), "neighbours")
     links = materialize(_linked(first, sets), "links")
     roots = components(links)
-    more = materialize(_rest(keys, roots, first), "others")
+    more = materialize(_rest(keys, roots, first, sets), "others")
     links = materialize(_linked(more, sets), "links")
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
     # all but the sets that are linked with another are groups of their own

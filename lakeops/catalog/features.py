@@ -52,10 +52,9 @@ def ordinal_codes(t):
 @query("f4_one_hot", """
     SELECT o_orderkey, (o_orderstatus = 'F')::INT::DOUBLE AS f, (o_orderstatus = 'O')::INT::DOUBLE AS o, o_totalprice AS price FROM orders""")
 def one_hot(t):
-    chain = Pipeline(stages=features.one_hot_stages(["o_orderstatus"], ["o_totalprice"]))
-    fitted = chain.fit(t.orders.where(F.col("o_orderstatus") != "P"))
+    transform = features.one_hot(t.orders.where(F.col("o_orderstatus") != "P"), ["o_orderstatus"], ["o_totalprice"])
     values = vector_to_array("features")
-    return fitted.transform(t.orders).select("o_orderkey", values[0].alias("f"), values[1].alias("o"), values[2].alias("price"))
+    return transform(t.orders).select("o_orderkey", values[0].alias("f"), values[1].alias("o"), values[2].alias("price"))
 
 
 @query("f5_dummy_columns", """
@@ -75,13 +74,19 @@ def impute(t):
     return filled.withColumns({c: F.round(c, 4) for c in ("mean_price", "median_price")})
 
 
-@query("f7_chained_preparation")
+@query("f7_chained_preparation", """
+    SELECT l_orderkey, l_linenumber, round(l_quantity / (SELECT stddev_samp(l_quantity) FROM lineitem), 6) AS quantity,
+           round(l_discount / (SELECT stddev_samp(l_discount) FROM lineitem), 6) AS discount FROM lineitem""")
 def chained_preparation(t):
     stages = features.one_hot_stages(["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount"], "raw")
     scaled = StandardScaler(inputCol="raw", outputCol="features", withMean=False)
     chain = Pipeline(stages=[features.imputer_stage(["l_quantity"]), *stages, scaled])
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_discount")
-    return chain.fit(rows).transform(rows).select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"))
+    # each value over the sample deviation of its column; the passed columns come last
+    scaled = vector_to_array("features")
+    return chain.fit(rows).transform(rows).select(
+        "l_orderkey", "l_linenumber", F.round(F.element_at(scaled, -2), 6).alias("quantity"), F.round(F.element_at(scaled, -1), 6).alias("discount"),
+    )
 
 
 @query("f8_date_features", """

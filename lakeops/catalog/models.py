@@ -4,12 +4,14 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from lakeops.catalog.base import query
-from lakeops.durable import fresh_path
+from lakeops.catalog.texts import PAIRS, WORDS
+from lakeops.durable import fresh_path, materialize
 from lakeops.functions.scalars import date_parts
 from lakeops.ml import features, models, neighbours
 from lakeops.operators import ranking, text
@@ -48,31 +50,58 @@ def scored(model, df, *keep):
     return model.transform(df).select(*keep, "label", "prediction")
 
 
-@query("l1_logistic_regression")
+def per_label(df, *measures):
+    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"), *measures)
+
+
+def total_probability(name="probability"):
+    return F.aggregate(vector_to_array(name), F.lit(0.0), lambda s, x: s + x)
+
+
+# with a free intercept the probabilities of a class add up to its rows
+@query("l1_logistic_regression", "SELECT label::DOUBLE AS label, count(*) AS n, count(*) AS expected FROM embeddings GROUP BY 1")
 def logistic_regression(t):
-    return scored(LogisticRegression(regParam=0.01, maxIter=50).fit(vectors(t)), vectors(t), "vec_id")
+    fitted = LogisticRegression(regParam=0.01, maxIter=100, tol=1e-9).fit(vectors(t))
+    probabilities = fitted.transform(vectors(t)).select(F.posexplode(vector_to_array("probability")).alias("label", "p"))
+    expected = probabilities.groupBy(F.col("label").cast("double").alias("label")).agg(F.round(F.sum("p")).cast("bigint").alias("expected"))
+    return per_label(vectors(t)).join(expected, "label")
 
 
-@query("l2_forest_classifier")
+@query("l2_forest_classifier", "SELECT label::DOUBLE AS label, count(*) AS n, round(count(*), 6)::DOUBLE AS total FROM embeddings GROUP BY 1")
 def forest_classifier(t):
-    return scored(RandomForestClassifier(numTrees=20, maxDepth=6, seed=42).fit(vectors(t)), vectors(t), "vec_id")
+    fitted = RandomForestClassifier(numTrees=20, maxDepth=6, seed=42).fit(vectors(t))
+    return per_label(fitted.transform(vectors(t)), F.round(F.sum(total_probability()), 6).alias("total"))
 
 
-@query("l3_forest_regressor")
+# a forest's estimates are means of labels, so they lie between the extremes
+@query("l3_forest_regressor", "SELECT count(*) AS n, count(*) AS inside FROM lineitem")
 def forest_regressor(t):
     rows = lines(t)
-    forest = models.forest_regressor(numTrees=10, maxDepth=6, seed=42)
-    return scored(forest.fit(rows), rows, "l_orderkey", "l_linenumber")
+    found = scored(models.forest_regressor(numTrees=10, maxDepth=6, seed=42).fit(rows), rows)
+    low, high = (found.agg(f("label")).scalar() for f in (F.min, F.max))
+    inside = found.withColumns({"low": low, "high": high}).select(F.col("prediction").between(F.col("low"), F.col("high")).alias("i"))
+    return inside.agg(F.count(F.lit(1)).alias("n"), F.count_if("i").alias("inside"))
 
 
-@query("l4_ridge")
+# one column: the slope shrinks by 1 + penalty / deviation of the label
+@query("l4_ridge", """
+    SELECT round(regr_slope(l_extendedprice, l_quantity) / (1 + 1000.0::DOUBLE / stddev_samp(l_extendedprice)), 2) AS slope FROM lineitem""")
 def ridge(t):
-    return scored(LinearRegression(elasticNetParam=0.0, regParam=1.0).fit(lines(t)), lines(t), "l_orderkey", "l_linenumber")
+    rows = models.assembled(t.lineitem, ["l_quantity"], "l_extendedprice")
+    fitted = LinearRegression(elasticNetParam=0.0, regParam=1000.0, solver="normal").fit(rows)
+    return t.spark.createDataFrame([(round(float(fitted.coefficients[0]), 2),)], "slope double")
 
 
-@query("l5_linear_svm")
+@query("l5_linear_svm", """
+    SELECT quality::DOUBLE AS label, count(*) AS n, count(*) > 0.5 * (SELECT count(*) FROM documents JOIN labels USING (doc_id)) AS most_called
+    FROM documents JOIN labels USING (doc_id) GROUP BY 1""")
 def linear_svm(t):
-    return scored(LinearSVC(maxIter=30).fit(documents(t)), documents(t), "doc_id")
+    found = scored(LinearSVC(maxIter=30).fit(documents(t)), documents(t), "doc_id").cache()
+    called = found.groupBy(F.col("prediction").alias("label")).agg(F.count(F.lit(1)).alias("called"))
+    size = found.agg(F.count(F.lit(1))).scalar()
+    return per_label(found).join(called, "label", "left").withColumn("size", size).select(
+        "label", "n", (F.coalesce("called", F.lit(0)) > 0.5 * F.col("size")).alias("most_called")
+    )
 
 
 # every vector is classed by the five nearest of the others
@@ -98,99 +127,143 @@ def line_fit(t):
     )
 
 
-@query("l8_boosted_regression")
+# trees of leaf means leave residuals that add up to nothing
+@query("l8_boosted_regression", "SELECT count(*) AS n, round(avg(l_extendedprice)) AS mean FROM lineitem")
 def boosted_regression(t):
-    return scored(GBTRegressor(maxIter=10, maxDepth=4, seed=42).fit(lines(t)), lines(t), "l_orderkey", "l_linenumber")
+    found = scored(GBTRegressor(maxIter=10, maxDepth=4, seed=42).fit(lines(t)), lines(t))
+    return found.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction")).alias("mean"))
 
 
-@query("l9_perceptron")
+@query("l9_perceptron", "SELECT label::DOUBLE AS label, count(*) AS n, round(count(*), 6)::DOUBLE AS total FROM embeddings GROUP BY 1")
 def perceptron(t):
     net = MultilayerPerceptronClassifier(layers=[64, 16, 10], maxIter=30, seed=42)
-    return scored(net.fit(vectors(t)), vectors(t), "vec_id")
+    return per_label(net.fit(vectors(t)).transform(vectors(t)), F.round(F.sum(total_probability()), 6).alias("total"))
 
 
-@query("l10_pair_regression")
+@query("l10_pair_regression", f"""
+    WITH {WORDS}, {PAIRS} SELECT c1, CAST(sum(n) AS BIGINT) AS n, count(*)::DOUBLE AS total FROM pairs GROUP BY 1""")
 def pair_regression(t):
-    pairs = text.pair_counts(text.word_counts(t.documents, "text"))
-    fitted = models.pair_regression(pairs)
-    return fitted.transform(pairs.withColumn("n", F.col("n").cast("double"))).select("c1", "c2", "n", "label", "prediction")
+    pairs = materialize(text.pair_counts(text.word_counts(t.documents, "text")), "pairs")
+    found = models.pair_regression(pairs).transform(pairs)
+    return found.groupBy("c1").agg(F.sum("n").alias("n"), F.round(F.sum(total_probability()), 6).alias("total"))
 
 
 def quality_scores():
     return MulticlassClassificationEvaluator(metricName="accuracy")
 
 
-@query("l11_cross_validation")
+# the folds and parts of the labelled documents
+LABELLED = "(SELECT doc_id, md5('42:' || doc_id) AS h FROM documents JOIN labels USING (doc_id))"
+FOLDS = "(SELECT ('0x' || h[1:8])::BIGINT % {} AS fold, count(*) AS n FROM {} GROUP BY 1)"
+GOOD = 0.5
+
+
+def by_fold(table, df, ids, folds):
+    """Each draw's score, whether it is above ``GOOD``, beside the rows of each fold."""
+    counts = models.with_fold(df, ids, folds, 42).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    draws = table.select("draw", (F.col("score") > GOOD).alias("good"), F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
+    return draws.join(counts, "fold").select(F.col("draw").cast("bigint").alias("draw"), F.col("fold").cast("bigint").alias("fold"), "n", "good")
+
+
+def cross_sql(draws, folds, rows=LABELLED):
+    return f"SELECT draw, fold, n, TRUE AS good FROM {FOLDS.format(folds, rows)}, (SELECT unnest(range({draws})) AS draw)"
+
+
+@query("l11_cross_validation", cross_sql(1, 5))
 def cross_validation(t):
-    model = LogisticRegression(maxIter=20)
-    return models.cross_scores(model, [{}], documents(t), quality_scores(), folds=5)[1]
+    rows = documents(t)
+    _, table = models.cross_scores(LogisticRegression(maxIter=20), [{}], rows, quality_scores(), ["doc_id"], folds=5)
+    return by_fold(table, rows, ["doc_id"], 5)
 
 
-@query("l12_random_search")
+@query("l12_random_search", cross_sql(4, 3))
 def random_search(t):
     forest = RandomForestClassifier(seed=42)
     grid = models.grid_of({forest.numTrees: [5, 10], forest.maxDepth: [3, 5], forest.minInstancesPerNode: [1, 5]})
-    return models.cross_scores(forest, models.drawn_from(grid, 4), documents(t), quality_scores(), folds=3)[1]
+    _, table = models.cross_scores(forest, models.drawn_from(grid, 4), documents(t), quality_scores(), ["doc_id"], folds=3)
+    return by_fold(table, documents(t), ["doc_id"], 3)
 
 
-@query("l13_grid_search")
+@query("l13_grid_search", cross_sql(4, 3, "(SELECT md5('42:' || o_orderkey) AS h FROM orders)"))
 def grid_search(t):
     hot = features.one_hot_stages(["o_orderpriority"], ["o_totalprice"])
     model = LogisticRegression(maxIter=10)
-    rows = t.orders.select("o_orderpriority", "o_totalprice", (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+    rows = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice", (F.col("o_orderstatus") == "F").cast("double").alias("label"))
     grid = models.grid_of({hot[1].dropLast: [True, False], model.regParam: [0.0, 0.1]})
-    return models.cross_scores(Pipeline(stages=[*hot, model]), grid, rows, quality_scores(), folds=3)[1]
+    _, table = models.cross_scores(Pipeline(stages=[*hot, model]), grid, rows, quality_scores(), ["o_orderkey"], folds=3)
+    return by_fold(table, rows, ["o_orderkey"], 3)
+
+
+HALVES = f"(SELECT count(*) FILTER (h < 'cccccccc') AS train_rows, count(*) FILTER (h >= 'cccccccc') AS test_rows FROM {LABELLED})"
+
+
+def with_parts(table, train, test):
+    sizes = {"train_rows": train.agg(F.count(F.lit(1))).scalar(), "test_rows": test.agg(F.count(F.lit(1))).scalar()}
+    return table.withColumns(sizes)
 
 
-@query("l14_parameter_sweep")
+@query("l14_parameter_sweep", f"SELECT value, train_rows, test_rows, TRUE AS good FROM {HALVES}, (VALUES ('2'), ('5'), ('10')) v(value)")
 def parameter_sweep(t):
     forest = RandomForestClassifier(maxDepth=4, seed=42)
     train, test = halves(documents(t), "doc_id")
-    return models.sweep(forest, forest.numTrees, [2, 5, 10], train, test, quality_scores())
+    table = models.sweep(forest, forest.numTrees, [2, 5, 10], train, test, quality_scores())
+    good = (F.least("train_score", "test_score") > GOOD).alias("good")
+    return with_parts(table, train, test).select("value", "train_rows", "test_rows", good)
 
 
-@query("l15_fit_and_score")
+@query("l15_fit_and_score", f"""
+    SELECT model, train_rows, test_rows, TRUE AS good FROM {HALVES}, (VALUES ('logistic'), ('forest'), ('svm')) v(model)""")
 def fit_and_score(t):
     train, test = halves(documents(t), "doc_id")
-    return models.fit_and_score(
+    table = models.fit_and_score(
         {"logistic": LogisticRegression(maxIter=20), "forest": RandomForestClassifier(numTrees=10, seed=42), "svm": LinearSVC(maxIter=20)},
         train, test, quality_scores(),
     )
+    return with_parts(table, train, test).select("model", "train_rows", "test_rows", (F.col("score") > GOOD).alias("good"))
 
 
-@query("l16_probabilities")
+# the largest of ten probabilities is a tenth at least
+@query("l16_probabilities", "SELECT label::DOUBLE AS label, count(*) AS n, count(*) AS in_range FROM embeddings GROUP BY 1")
 def probabilities(t):
     fitted = LogisticRegression(regParam=0.01, maxIter=30).fit(vectors(t))
-    return models.with_probability(fitted.transform(vectors(t)), ["vec_id", "label"])
+    found = models.with_probability(fitted.transform(vectors(t)), ["vec_id", "label"])
+    classes = t.embeddings.agg(F.countDistinct("label")).scalar()
+    in_range = F.col("pred_prob").between(1 / F.col("classes") - 1e-9, F.lit(1.0))
+    return per_label(found.withColumn("classes", classes), F.count_if(in_range).alias("in_range"))
 
 
-@query("l17_id_and_prediction")
+@query("l17_id_and_prediction", """
+    WITH p AS (SELECT *, md5('42:' || l_orderkey || ':' || l_linenumber) < 'cccccccc' AS train FROM lineitem),
+         f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b FROM p WHERE train)
+    SELECT l_orderkey, l_linenumber, round(a * l_quantity + b, 2) AS price FROM lineitem, f""")
 def id_and_prediction(t):
-    train, _ = halves(lines(t), "l_orderkey", "l_linenumber")
-    fitted = LinearRegression(regParam=0.1).fit(train)
-    return fitted.transform(lines(t)).select("l_orderkey", "l_linenumber", F.col("prediction").alias("price"))
+    rows = models.assembled(t.lineitem, ["l_quantity"], "l_extendedprice", ["l_orderkey", "l_linenumber"])
+    train, _ = halves(rows, "l_orderkey", "l_linenumber")
+    fitted = LinearRegression(solver="normal").fit(train)
+    return fitted.transform(rows).select("l_orderkey", "l_linenumber", F.round("prediction", 2).alias("price"))
 
 
-@query("l18_named_weights")
+@query("l18_named_weights", f"SELECT feature, 1.0::DOUBLE AS total FROM (VALUES {', '.join(f'({c!r})' for c in PRICE_COLUMNS)}) v(feature)")
 def named_weights(t):
     forest = RandomForestRegressor(numTrees=10, maxDepth=5, seed=42).fit(lines(t))
-    return models.weights_table(t.spark, forest, PRICE_COLUMNS)
+    table = models.weights_table(t.spark, forest, PRICE_COLUMNS)
+    return table.withColumn("total", table.agg(F.round(F.sum("weight"), 6)).scalar()).select("feature", "total")
 
 
-@query("l19_saved_model")
+@query("l19_saved_model", "SELECT count(*) AS n, 0.0::DOUBLE AS largest_difference FROM lineitem")
 def saved_model(t):
     rows = lines(t)
-    evaluator = RegressionEvaluator(metricName="mae")
     fitted = Pipeline(stages=[LinearRegression(regParam=0.1)]).fit(rows)
     path = fresh_path(t.spark, "model")
     models.save_model(fitted, path)
     again = models.load_chain(path)
-    scores = [(name, float(evaluator.evaluate(m.transform(rows)))) for name, m in (("fitted", fitted), ("loaded", again))]
-    return t.spark.createDataFrame(scores, "model string, mae double")
+    both = again.transform(fitted.transform(rows).select("features", F.col("prediction").alias("before")))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("prediction") - F.col("before"))).alias("largest_difference"))
 
 
-@query("t5_top_features")
+# the price of a line is its quantity times that of the part
+@query("t5_top_features", "SELECT 'l_quantity' AS first, 3::BIGINT AS n")
 def top_features(t):
     forest = RandomForestRegressor(numTrees=10, maxDepth=5, seed=42).fit(lines(t))
-    weights = models.weights_table(t.spark, forest, PRICE_COLUMNS)
-    return ranking.first_rows(weights, [F.desc("weight"), "feature"], 3)
+    top = ranking.first_rows(models.weights_table(t.spark, forest, PRICE_COLUMNS), [F.desc("weight"), "feature"], 3)
+    return top.agg(F.max_by("feature", "weight").alias("first"), F.count(F.lit(1)).alias("n"))

@@ -56,7 +56,7 @@ def items_by_count(t):
     FROM each JOIN probs USING (c1, c2) GROUP BY word""")
 def text_likelihood(t):
     counted = materialize(words(t), "words")
-    table = text.transition_table(text.pair_counts(counted))
+    table = text.transition_probabilities(text.pair_counts(counted))
     scored = text.negative_log_likelihood(counted, table)
     return scored.select("word", F.round("nll", 6).alias("nll"), F.round("mean_nll", 6).alias("mean_nll"))
 

@@ -117,28 +117,49 @@ def dummy_columns(df: DataFrame, columns: str | list[str], values: dict[str, lis
 
 
 def ordinal_codes(train: DataFrame, columns: list[str], unknown: float = -1.0):
-    """Alphabetical codes fitted on ``train``; returns a function for any table.
+    """Codes 0, 1, ... in the order of the values of ``train``; returns a function for any table.
 
-    A value unseen in training gets ``unknown``. The indexer holds each column's
-    labels, so use ``category_dictionary`` for columns with very many.
+    The values stay a frame, however many they are. ``<column>_code`` is ``unknown`` for
+    a value unseen in training and for null.
     """
-    model = StringIndexer(
-        inputCols=columns, outputCols=[f"{c}_code" for c in columns],
-        handleInvalid="keep", stringOrderType="alphabetAsc",
-    ).fit(train)
-    beyond = {c: float(len(labels)) for c, labels in zip(columns, model.labelsArray)}
+    dictionary = materialize(category_dictionary(train, columns), "codes")
 
     def encode(df: DataFrame) -> DataFrame:
-        coded = model.transform(df)
-        return coded.withColumns({
-            f"{c}_code": F.when(F.col(f"{c}_code") == beyond[c], F.lit(unknown)).otherwise(F.col(f"{c}_code"))
-            for c in columns
-        })
+        for c in columns:
+            codes = dictionary.where(F.col("column") == c).select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+            keyed = df.withColumn("__value", F.col(c).cast("string"))
+            found = spread_join(keyed, codes, ["__value"], "left", counted=df.select(F.col(c).cast("string").alias("__value")))
+            df = found.withColumn(
+                f"{c}_code", F.coalesce((F.col("__code") - 1).cast("double"), F.lit(unknown))
+            ).drop("__value", "__code")
+        return df
     return encode
 
 
+# beyond every code, so the encoder takes it as unknown
+_UNKNOWN_PLACE = float((1 << 31) - 1)
+
+
+def one_hot(train: DataFrame, categories: list[str], passed: list[str], output: str = "features"):
+    """One-hot codes fitted on ``train``, other columns passed; returns a function for any table.
+
+    A value unseen in training, or null, is all zeros. The values stay a frame; the
+    encoder holds how many there are. A row with a null passed column is left out.
+    """
+    encode = ordinal_codes(train, categories, _UNKNOWN_PLACE)
+    encoder = OneHotEncoder(
+        inputCols=[f"{c}_code" for c in categories], outputCols=[f"{c}_hot" for c in categories],
+        handleInvalid="keep", dropLast=True,  # the last place is that of unknown values
+    ).fit(encode(train.dropna(subset=categories)))
+    assembler = VectorAssembler(inputCols=[*[f"{c}_hot" for c in categories], *passed], outputCol=output, handleInvalid="skip")
+    return lambda df: assembler.transform(encoder.transform(encode(df)))
+
+
 def one_hot_stages(categories: list[str], passed: list[str], output: str = "features") -> list:
-    """Stages that one-hot the categories and pass other columns through."""
+    """Stages that one-hot the categories and pass other columns through, as parts of one chain.
+
+    The chain holds the values of each column; ``one_hot`` serves columns with very many.
+    """
     indexer = StringIndexer(
         inputCols=categories, outputCols=[f"{c}_index" for c in categories],
         handleInvalid="keep", stringOrderType="alphabetAsc",

@@ -15,6 +15,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators.ranking import seeded_key
+
 
 def vector_of(column: str) -> Column:
     """A feature vector from an array column."""
@@ -40,11 +42,15 @@ def fit_and_score(models: dict[str, Estimator], train: DataFrame, test: DataFram
     return train.sparkSession.createDataFrame(scores, "model string, score double")
 
 
-def cross_scores(model: Estimator, grid: list, df: DataFrame, evaluator: Evaluator,
+def cross_scores(model: Estimator, grid: list, df: DataFrame, evaluator: Evaluator, id_columns: list[str],
                  folds: int = 5, seed: int = 42, parallelism: int = 4):
-    """Cross-validated search; returns (fitted search, table of parameters and mean score)."""
+    """Cross-validated search; returns (fitted search, table of parameters and mean score).
+
+    A row's fold comes from its seeded key, so folds do not depend on the partitioning.
+    """
+    folded = with_fold(df, id_columns, folds, seed)
     search = CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=evaluator,
-                            numFolds=folds, seed=seed, parallelism=parallelism).fit(df)
+                            numFolds=folds, seed=seed, parallelism=parallelism, foldCol="fold").fit(folded)
     rows = [
         (i, ", ".join(sorted(f"{p.name}={v}" for p, v in grid[i].items())), float(score))
         for i, score in enumerate(search.avgMetrics)
@@ -52,6 +58,12 @@ def cross_scores(model: Estimator, grid: list, df: DataFrame, evaluator: Evaluat
     return search, df.sparkSession.createDataFrame(rows, "draw int, parameters string, score double")
 
 
+def with_fold(df: DataFrame, id_columns: list[str], folds: int, seed: int) -> DataFrame:
+    """``df`` with its ``fold``, from 0, by the seeded key."""
+    key = F.conv(F.substring(seeded_key(id_columns, seed), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn("fold", (key % folds).cast("int"))
+
+
 def grid_of(choices: dict) -> list:
     """All combinations of the given values per parameter."""
     builder = ParamGridBuilder()

@@ -9,7 +9,6 @@ offsets. Executors never hold more than a sort partition.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -107,17 +106,18 @@ class _Wanted:
     below: int = 0
 
 
-def _values_inside(df: DataFrame, column: str, brackets: dict[int, _Wanted]) -> DataFrame:
-    """``k, v, n``: each value inside bracket ``k`` and its rows; reads one column."""
-    inside = {k: F.col("v").between(w.low, w.high) for k, w in brackets.items()}
-    counted = (
-        df.select(F.col(column).cast("double").alias("v"))
-        .where(reduce(lambda a, b: a | b, inside.values()))
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    hits = F.array(*[F.when(hit, F.lit(k)) for k, hit in inside.items()])
-    return counted.select(F.explode(F.filter(hits, lambda k: k.isNotNull())).alias("k"), "v", "n")
+def _values_inside(df: DataFrame, wanted: list[_Wanted]) -> DataFrame:
+    """``k, v, n``: each value inside bracket ``k`` and its rows, for all columns in one scan."""
+    brackets: dict[str, list[int]] = {}
+    for k, w in enumerate(wanted):
+        brackets.setdefault(w.column, []).append(k)
+    # a value goes on only with the brackets of its column that hold it
+    hits = [
+        F.when(F.col(c).between(wanted[k].low, wanted[k].high), F.struct(F.lit(k).alias("k"), F.col(c).alias("v")))
+        for c, ks in brackets.items() for k in ks
+    ]
+    held = df.select(F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("h"))
+    return held.groupBy(F.col("h.k").alias("k"), F.col("h.v").alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def exact_quantiles(
@@ -128,11 +128,13 @@ def exact_quantiles(
     A sketch gives a narrow bracket around each quantile, one pass counts the rows
     below each bracket, and only the values inside are sorted. Repeated values are
     counted before the sort. A bracket that turns out to miss its rank is widened
-    to the whole column, so the result never depends on the sketch.
+    to the whole column, so the result never depends on the sketch. NaN counts as
+    missing, as null does.
     """
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
     sketch = df.agg(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(F.col(c).cast("double"), _edges(probs), F.lit(_ACCURACY)).alias(f"q{i}")
+        *[F.percentile_approx(F.col(c), _edges(probs), F.lit(_ACCURACY)).alias(f"q{i}")
           for i, c in enumerate(columns)],
     ).first()
     wanted = []
@@ -148,20 +150,15 @@ def exact_quantiles(
         return result
     counts = df.agg(*[
         f.alias(f"{kind}{k}") for k, w in enumerate(wanted) for kind, f in (
-            ("below", F.count_if(F.col(w.column).cast("double") < w.low)),
-            ("upto", F.count_if(F.col(w.column).cast("double") <= w.high)),
+            ("below", F.count_if(F.col(w.column) < w.low)),
+            ("upto", F.count_if(F.col(w.column) <= w.high)),
         )
     ]).first()
     for k, w in enumerate(wanted):
         w.below = counts[f"below{k}"]
         if w.first < w.below or w.second >= counts[f"upto{k}"]:
             w.low, w.high, w.below = float("-inf"), float("inf"), 0
-    by_column: dict[str, list[int]] = {}
-    for k, w in enumerate(wanted):
-        by_column.setdefault(w.column, []).append(k)
-    values = reduce(DataFrame.unionAll, [
-        _values_inside(df, c, {k: wanted[k] for k in ks}) for c, ks in by_column.items()
-    ])
+    values = _values_inside(df, wanted)
     running = add_running_totals(values, ["k", "v"], {"upto": "n"})
     sizes = {r["k"]: r["n"] for r in running.groupBy("k").agg(F.sum("n").alias("n")).collect()}
     start, ranks = 0, {}
@@ -176,5 +173,6 @@ def exact_quantiles(
     at_rank = {r["rank"]: r["v"] for r in hits}
     for k, w in enumerate(wanted):
         low, high = (at_rank[r] for r in ranks[k])
-        result[w.column][w.prob] = low + w.part * (high - low)
+        # between infinite values there is nothing to interpolate when the rank is whole
+        result[w.column][w.prob] = low + w.part * (high - low) if w.part else low
     return result

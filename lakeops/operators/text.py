@@ -55,33 +55,57 @@ def pair_counts(words: DataFrame) -> DataFrame:
     return pairs_of_words(words).groupBy("c1", "c2").agg(F.sum("n").alias("n"))
 
 
+def _totals(pairs: DataFrame, smoothing: int) -> DataFrame:
+    """``c1``, its smoothed total over the alphabet and, in ``size``, how many characters that has."""
+    every = pairs.select(F.explode(F.array("c1", "c2")).alias("c")).distinct()
+    size = every.agg(F.count(F.lit(1)).alias("size")).scalar()
+    # a character that nothing follows has smoothed counts alone
+    seen = pairs.groupBy("c1").agg(F.sum("n").alias("n"))
+    total = (F.coalesce("n", F.lit(0)) + F.lit(smoothing) * F.col("size")).alias("total")
+    return every.select(F.col("c").alias("c1")).join(seen, "c1", "left").withColumn("size", size).select("c1", total)
+
+
+def transition_probabilities(pairs: DataFrame, smoothing: int = 1) -> DataFrame:
+    """Of the pairs that occur, and of the others of each first character as one row.
+
+    ``c1, c2, n, p`` with the smoothed count; ``c2`` is null in the row that stands for
+    every character that never follows ``c1``. Its size is that of the pairs seen, not
+    of the alphabet squared.
+    """
+    pairs = materialize(pairs, "pairs")
+    totals = _totals(pairs, smoothing)
+    seen = pairs.select("c1", "c2", (F.col("n") + F.lit(smoothing)).alias("n")).join(totals, "c1")
+    others = totals.select("c1", F.lit(None).cast("string").alias("c2"), F.lit(smoothing).cast("bigint").alias("n"), "total")
+    return seen.unionByName(others).select("c1", "c2", "n", (F.col("n").cast("double") / F.col("total")).alias("p"))
+
+
 def transition_table(pairs: DataFrame, smoothing: int = 1) -> DataFrame:
-    """Probability of ``c2`` after ``c1`` over the whole character set.
+    """Probability of ``c2`` after ``c1`` over the whole character set, every cell written out.
 
-    The character set is one sorted array in a scalar subquery; each first
-    character is expanded over it once. Its size is bounded by the alphabet.
+    The alphabet squared is the size of this output; to score text use
+    ``transition_probabilities``.
     """
     pairs = materialize(pairs, "pairs")
     every = pairs.select(F.explode(F.array("c1", "c2")).alias("c")).distinct()
     alphabet = every.agg(F.array_sort(F.collect_set("c")).alias("a")).scalar()
-    grid = every.select(F.col("c").alias("c1"), F.explode(alphabet).alias("c2"))
-    filled = grid.join(pairs, ["c1", "c2"], "left").withColumn(
-        "n", F.coalesce("n", F.lit(0)) + F.lit(smoothing)
-    )
-    totals = filled.groupBy("c1").agg(F.sum("n").alias("__total"))
-    return filled.join(totals, "c1").select(
-        "c1", "c2", "n", (F.col("n").cast("double") / F.col("__total")).alias("p")
-    )
+    grid = _totals(pairs, smoothing).select("c1", "total", F.explode(alphabet).alias("c2"))
+    return grid.join(pairs, ["c1", "c2"], "left").select(
+        "c1", "c2", (F.coalesce("n", F.lit(0)) + F.lit(smoothing)).alias("n"), "total",
+    ).select("c1", "c2", "n", (F.col("n").cast("double") / F.col("total")).alias("p"))
 
 
 def negative_log_likelihood(words: DataFrame, transitions: DataFrame) -> DataFrame:
     """Per word, the sum and the mean over its pairs of ``-log p``.
 
-    A pair the table lacks, or holds with probability 0, makes the word infinite.
+    ``transitions`` may be sparse: a row without ``c2`` holds for all pairs of its ``c1``
+    that have no row. A pair the table lacks, or holds with probability 0, makes the
+    word infinite.
     """
-    known = transitions.select("c1", "c2", "p")
-    scored = spread_join(pairs_of_words(words), known, ["c1", "c2"], "left")
-    cost = F.when(F.coalesce(F.col("p"), F.lit(0.0)) > 0, -F.log("p")).otherwise(F.lit(float("inf")))
+    known = transitions.where("c2 IS NOT NULL").select("c1", "c2", "p")
+    others = transitions.where("c2 IS NULL").select("c1", F.col("p").alias("other"))
+    scored = spread_join(spread_join(pairs_of_words(words), known, ["c1", "c2"], "left"), others, ["c1"], "left")
+    p = F.coalesce(F.col("p"), F.col("other"), F.lit(0.0))
+    cost = F.when(p > 0, -F.log(p)).otherwise(F.lit(float("inf")))
     return scored.groupBy("word", "n").agg(F.sum(cost).alias("nll"), F.avg(cost).alias("mean_nll"))
 
 

@@ -55,15 +55,15 @@ def test_importances_and_saved_model(spark, tmp_path):
 
 
 def test_search_and_sweep(spark):
-    df = spark.range(200).select(F.array(F.col("id") / 200.0).alias("v"), (F.col("id") >= 100).cast("double").alias("label"))
-    data = df.select(models.vector_of("v").alias("features"), "label")
+    df = spark.range(200).select("id", F.array(F.col("id") / 200.0).alias("v"), (F.col("id") >= 100).cast("double").alias("label"))
+    data = df.select("id", models.vector_of("v").alias("features"), "label")
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     scorer = MulticlassClassificationEvaluator(metricName="accuracy")
     forest = RandomForestClassifier(seed=1)
     grid = models.grid_of({forest.numTrees: [1, 3], forest.maxDepth: [1, 2]})
     drawn = models.drawn_from(grid, 2)
     assert len(drawn) == 2 and models.drawn_from(grid, 2) == drawn
-    _, table = models.cross_scores(forest, drawn, data, scorer, folds=2)
+    _, table = models.cross_scores(forest, drawn, data, scorer, ["id"], folds=2)
     assert table.count() == 2 and table.agg(F.min("score")).first()[0] > 0.8
     assert models.sweep(forest, forest.numTrees, [1, 2], data, data, scorer).count() == 2
     scored = models.with_probability(LogisticRegression().fit(data).transform(data), ["label"])
@@ -94,6 +94,9 @@ def test_codes_and_later_tables(spark):
     assert features.with_nulls(train, ["c", "n"]) == ["c", "n"]
     encode = features.ordinal_codes(train.dropna(), ["c"])
     assert rows(encode(later), "c", "c_code") == [("a", -1.0), ("zz", -1.0), (None, -1.0)]
+    hot = features.one_hot(spark.createDataFrame([("a", 1.0), ("b", 2.0), (None, 0.0)], "c string, n double"), ["c"], ["n"])
+    seen = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("zz", 5.0), (None, 3.0)], "c string, n double")
+    assert sorted(list(r["features"].toArray()) for r in hot(seen).collect()) == [[0, 0, 3], [0, 0, 5], [0, 1, 2], [1, 0, 1]]
 
 
 def test_splits_are_disjoint_and_cover(spark):
@@ -116,6 +119,11 @@ def test_bigram_table(spark):
     unseen = spark.createDataFrame([("ba", 1)], "word string, n long")
     raw = text.transition_table(pairs, smoothing=0)
     assert text.negative_log_likelihood(unseen, raw).first()["nll"] == float("inf")
+    sparse = text.transition_probabilities(pairs)
+    assert sparse.count() == 4 + 3 and sparse.where("c2 IS NULL").count() == 3
+    for table_ in (sparse, table):
+        found = text.negative_log_likelihood(unseen.unionByName(words), table_)
+        assert rows(found.select("word", F.round("nll", 9))) == rows(text.negative_log_likelihood(unseen.unionByName(words), table).select("word", F.round("nll", 9)))
     assert rows(text.vocabulary(words)) == [(".", 0), ("a", 1), ("b", 2)]
     assert rows(text.context_examples(words.where("n = 2")), "context", "next") == [("...", "a"), ("..a", "b"), (".ab", ".")]
 

@@ -69,3 +69,22 @@ def test_no_local_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (float("nan"),), (None,)], "x double")
+    assert exact_quantiles(df, ["x"], [0.0, 0.5, 1.0]) == {"x": {0.0: 1.0, 0.5: 2.0, 1.0: 3.0}}
+    infinite = spark.createDataFrame([(float("-inf"),), (5.0,), (float("inf"),)], "x double")
+    assert exact_quantiles(infinite, ["x"], [0.5]) == {"x": {0.5: 5.0}}
+
+
+def test_quantiles_of_many_columns_take_one_scan(spark):
+    df = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id AS DOUBLE) * 2 AS b")
+    assert exact_quantiles(df, ["a", "b"], [0.5]) == {"a": {0.5: 49.5}, "b": {0.5: 99.0}}
+
+
+def test_positions_beyond_an_integer(spark, monkeypatch):
+    from lakeops.operators import shape
+    far = spark.createDataFrame([(0, 1), (2**40, 2)], "__at long, x int")
+    monkeypatch.setattr(shape, "add_row_index", lambda df, order_by, name: df)
+    assert sorted(map(tuple, shape.attach_by_position(far, ["x"], [7], "v").select("x", "v").collect())) == [(1, 7), (2, None)]

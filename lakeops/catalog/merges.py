@@ -70,15 +70,18 @@ def cleaned(t):
            CASE WHEN n.id IS NULL THEN o.d ELSE n.d END AS d,
            coalesce(n.id, o.id) = -1 AS unknown_flag,
            CASE WHEN o.id IS NULL THEN TIMESTAMP '{TS}' ELSE TIMESTAMP '{OLD_TS}' END AS created_on,
-           CASE WHEN n.id IS NULL THEN TIMESTAMP '{OLD_TS}' ELSE TIMESTAMP '{TS}' END AS updated_on
+           CASE WHEN n.id IS NULL THEN TIMESTAMP '{OLD_TS}' ELSE TIMESTAMP '{TS}' END AS updated_on,
+           CASE WHEN n.id IS NULL THEN TIMESTAMP '1990-01-01' ELSE TIMESTAMP '1997-01-01' END AS window_start,
+           CASE WHEN n.id IS NULL THEN TIMESTAMP '1997-01-01' ELSE TIMESTAMP '2000-01-01' END AS window_end
     FROM old o FULL JOIN new n ON o.id = n.id""")
 def scd1_load(t):
     rows = cleaned(t)
     first = merge.scd1_source(rows, "id", "d", "1990-01-01", "1997-01-01", {"id": -1})
     target = first.where("id <> -1").withColumns({"__CreatedOn": at(OLD_TS), "__UpdatedOn": at(OLD_TS)})
     loaded = merge.scd1_apply(target, rows, "id", "d", "1997-01-01", "2000-01-01", {"id": -1, "code": "-1"}, at())
-    named = {"__UnknownFlag": "unknown_flag", "__CreatedOn": "created_on", "__UpdatedOn": "updated_on"}
-    return plain(loaded, "__CreatedOn", "__UpdatedOn").withColumnsRenamed(named)
+    named = {"__UnknownFlag": "unknown_flag", "__CreatedOn": "created_on", "__UpdatedOn": "updated_on",
+             "__WindowStartTime": "window_start", "__WindowEndTime": "window_end"}
+    return plain(loaded, "__CreatedOn", "__UpdatedOn", "__WindowStartTime", "__WindowEndTime").withColumnsRenamed(named)
 
 
 def dimension(t):

@@ -1,61 +1,139 @@
-"""Exact k-nearest-neighbour vote."""
+"""Exact k-nearest-neighbour vote, with cells that cannot matter skipped.
+
+Training rows belong to the nearest of a few of them, the centres, and a cell's radius
+is the distance of its farthest row. A query first meets its own cell, which bounds how
+far its k-th neighbour can be. By the triangle inequality no row of a cell is nearer than
+the distance to the centre less the radius, so only cells below the bound are searched.
+"""
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.durable import materialize
 
-def nearest(
-    train: DataFrame, queries: DataFrame, id_column: str, vector: str, label: str, k: int,
-    skip_self: bool = False, block_rows: int = 4096,
-) -> DataFrame:
-    """``query, neighbour, label, distance, rank``: the k nearest training rows, exactly.
+# distances of rows to centres are compared with this much room for rounding
+_ROOM = 1e-9
 
-    Both sides are dealt into blocks of about ``block_rows`` by a hash of their id.
-    Each task compares one block with one block and keeps k rows per query, so no
-    task holds more than two blocks and no pair of rows leaves a task unless it is
-    among the k. Ties go to the lower id.
-    """
-    n_train, n_query = (max(1, ceil(df.count() / block_rows)) for df in (train, queries))
 
-    def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int, *columns) -> DataFrame:
-        block = F.pmod(F.xxhash64(id_column), F.lit(n_own)).alias(own)
-        every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other)
-        return df.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).alias("v"), *columns, block, every)
+def _matrix(values) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype="float64") for v in values])
+
 
-    t = dealt(train, "tb", n_train, "qb", n_query, F.col(label).cast("string").alias("label"))
-    q = dealt(queries, "qb", n_query, "tb", n_train)
+def _centres(train: DataFrame, id_column: str, vector: str) -> np.ndarray:
+    """About as many rows as the root of their number, chosen by a hash of the id."""
+    n = train.count()
+    wanted, buckets = ceil(sqrt(n)), 1 << 30
+    share = F.pmod(F.xxhash64(id_column), F.lit(buckets)) < ceil(buckets * min(1.0, wanted / max(n, 1)))
+    chosen = train.where(share).select(vector).distinct().collect()
+    return _matrix(r[0] for r in chosen) if chosen else _matrix(r[0] for r in train.select(vector).limit(1).collect())
 
+
+def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T, 0)
+
+
+def _assigned(df: DataFrame, centres) -> DataFrame:
+    """``df`` of ``id, v, label`` with its ``cell`` and the distance ``away`` from its centre."""
+    def assign(batches):
+        for rows in batches:
+            if len(rows):
+                apart = np.sqrt(_squared(_matrix(rows["v"]), centres.value))
+                cell = apart.argmin(axis=1)
+                rows = rows.assign(cell=cell, away=apart[np.arange(len(rows)), cell])
+                yield rows
+    return df.mapInPandas(assign, "id bigint, v array<double>, label string, cell int, away double")
+
+
+def _best_in_cells(queries: DataFrame, train: DataFrame, k: int, skip_self: bool) -> DataFrame:
+    """The k best rows of each (cell, part) for the queries dealt to it."""
     def best(queries_block: pd.DataFrame, train_block: pd.DataFrame) -> pd.DataFrame:
         columns = ["query", "neighbour", "label", "distance"]
         if queries_block.empty or train_block.empty:
             return pd.DataFrame(columns=columns)
         train_block = train_block.sort_values("id", ignore_index=True)
-        points = np.stack(train_block["v"].to_numpy()).astype("float64")
-        ids, labels = train_block["id"].to_numpy(), train_block["label"].to_numpy()
+        points, ids, labels = _matrix(train_block["v"]), train_block["id"].to_numpy(), train_block["label"].to_numpy()
+        near = _squared(_matrix(queries_block["v"]), points)
         found = []
-        for query, vector_ in zip(queries_block["id"], queries_block["v"]):
-            distance = ((points - np.asarray(vector_, dtype="float64")) ** 2).sum(axis=1)
+        for query, vector, row in zip(queries_block["id"], queries_block["v"], near):
             if skip_self:
-                distance[ids == query] = np.inf
-            order = np.argsort(distance, kind="stable")[:k]
-            order = order[np.isfinite(distance[order])]
-            found.append(pd.DataFrame({
-                "query": query, "neighbour": ids[order], "label": labels[order], "distance": distance[order]
-            }))
+                row[ids == query] = np.inf
+            # a few more than k by the product form, then their distances term by term
+            take = np.flatnonzero(row <= np.partition(row, min(k, len(row)) - 1)[min(k, len(row)) - 1] * (1 + _ROOM) + _ROOM)
+            take = take[np.isfinite(row[take])]
+            exact = ((points[take] - np.asarray(vector, dtype="float64")) ** 2).sum(axis=1)
+            order = np.argsort(exact, kind="stable")[:k]
+            found.append(pd.DataFrame({"query": query, "neighbour": ids[take[order]], "label": labels[take[order]], "distance": exact[order]}))
         return pd.concat(found)
 
-    candidates = q.groupBy("tb", "qb").cogroup(t.groupBy("tb", "qb")).applyInPandas(
+    return queries.groupBy("cell", "part", "qpart").cogroup(train.groupBy("cell", "part", "qpart")).applyInPandas(
         best, "query bigint, neighbour bigint, label string, distance double"
     )
-    # at most k rows per block and query are left to rank
-    ranked = Window.partitionBy("query").orderBy("distance", "neighbour")
-    return candidates.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+
+
+def _ranked(candidates: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query").orderBy("distance", "neighbour")
+    return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def cells_to_search(queries: DataFrame, bounds: DataFrame, cells: list, centres) -> DataFrame:
+    """``queries`` with each further ``cell`` that may hold one of its k nearest."""
+    numbers = np.array([c["cell"] for c in cells])
+    radius = np.array([c["radius"] for c in cells])
+
+    def reach(batches):
+        for rows in batches:
+            if len(rows):
+                apart = np.sqrt(_squared(_matrix(rows["v"]), centres.value[numbers]))
+                bound = np.sqrt(rows["bound"].fillna(np.inf).to_numpy())[:, None]
+                i, j = np.nonzero((apart - radius[None, :] <= bound * (1 + _ROOM) + _ROOM) & (numbers[None, :] != rows["cell"].to_numpy()[:, None]))
+                yield pd.DataFrame({"id": rows["id"].to_numpy()[i], "v": rows["v"].to_numpy()[i], "cell": numbers[j].astype("int32")})
+    bounded = queries.join(bounds, "id", "left").select("id", "v", "cell", "bound")
+    return bounded.mapInPandas(reach, "id bigint, v array<double>, cell int")
+
+
+def nearest(
+    train: DataFrame, queries: DataFrame, id_column: str, vector: str, label: str, k: int,
+    skip_self: bool = False, block_rows: int = 4096,
+) -> DataFrame:
+    """``query, neighbour, label, distance, rank``: the k nearest training rows, exactly.
+
+    A cell is searched by the queries it may matter to; cells, and the queries of one,
+    are cut into blocks of about ``block_rows``, so no task holds more than two blocks and
+    no pair of rows leaves a task unless it is among the k. Ties go to the lower id.
+    """
+    spark = train.sparkSession
+    if train.isEmpty():
+        return spark.createDataFrame([], "query bigint, neighbour bigint, label string, distance double, rank int")
+    centres = spark.sparkContext.broadcast(_centres(train, id_column, vector))
+    columns = [F.col(id_column).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v")]
+    rows = materialize(_assigned(train.select(*columns, F.col(label).cast("string").alias("label")), centres), "cells")
+    asked = materialize(_assigned(queries.select(*columns, F.lit(None).cast("string").alias("label")), centres).drop("label", "away"), "queries")
+    cells = rows.groupBy("cell").agg(F.max("away").alias("radius"), F.count(F.lit(1)).alias("n")).collect()  # a row a cell
+    parts = spark.createDataFrame([(c["cell"], ceil(c["n"] / block_rows)) for c in cells], "cell int, parts int")
+
+    def dealt(q: DataFrame) -> DataFrame:
+        """The candidates of queries that were sent to cells."""
+        sizes = q.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("qparts")).join(parts, "cell")
+        own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
+        every = F.explode(F.sequence(F.lit(0), F.col("qparts") - 1)).alias("qpart")
+        t = rows.join(sizes, "cell").select("id", "v", "label", "cell", own, every)
+        q = q.join(sizes, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        q = q.withColumn("qpart", F.pmod(F.xxhash64("id"), F.col("qparts")).cast("int")).select("id", "v", "cell", "part", "qpart")
+        return _best_in_cells(q, t, k, skip_self)
+
+    first = materialize(_ranked(dealt(asked), k).drop("rank"), "own")
+    # where the own cell holds fewer than k, there is no bound yet
+    bounds = first.groupBy(F.col("query").alias("id")).agg(
+        F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("bound")
+    )
+    further = materialize(cells_to_search(asked, bounds, cells, centres), "further")
+    return _ranked(first.unionByName(dealt(further)), k)
 
 
 def vote(neighbours: DataFrame) -> DataFrame:

@@ -132,10 +132,16 @@ def highest(df: DataFrame, column: str) -> int:
 def scd1_source(
     cleaned: DataFrame, key: str, date: str, start: str, end: str, unknown: dict
 ) -> DataFrame:
-    """The batch for a type 1 dimension: last partition per key, and the unknown member."""
+    """The batch for a type 1 dimension: last partition per key, and the unknown member.
+
+    Every row carries the bounds of the load's window.
+    """
     window = cleaned.where((F.col(date) >= F.lit(start).cast("date")) & (F.col(date) < F.lit(end).cast("date")))
     flagged = window.withColumn("__UnknownFlag", F.lit(False))
-    return latest_per_key(unknown_member(flagged, {**unknown, "__UnknownFlag": True}), [key], date)
+    rows = latest_per_key(unknown_member(flagged, {**unknown, "__UnknownFlag": True}), [key], date)
+    return rows.withColumns({
+        "__WindowStartTime": F.lit(start).cast("timestamp"), "__WindowEndTime": F.lit(end).cast("timestamp"),
+    })
 
 
 def scd1_apply(

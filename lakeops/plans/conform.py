@@ -25,15 +25,16 @@ def load_id_for(now: datetime) -> str:
 
 def conform_scd2(
     spark: SparkSession, table: str, root: str, source: DataFrame, key: str,
-    load_id: str, load_ts: datetime, system: str, log_path: str,
+    load_id: str | None, load_ts: datetime, system: str, log_path: str,
 ) -> None:
-    """Load a batch into a type 2 dimension table.
+    """Load a batch into a type 2 dimension table; without a ``load_id`` the load's time is it.
 
     The table has one partition of current versions and one of ended versions per
     load. A load writes the current versions and the ones it ends into a new folder,
     checks them, and only then lets the table read it: history is never rewritten.
     A rerun after a failure between the two last steps gives the same table.
     """
+    load_id = load_id or load_id_for(load_ts)
     with passing_stages(spark):
         stamp = F.lit(load_ts).cast("timestamp")
         source = materialize(source, "source")
@@ -48,7 +49,7 @@ def conform_scd2(
         path = tables.write_version(rows, root, ["CurrInd"])
         new = spark.read.schema(rows.schema).parquet(path)
         every = new if target is None else target.where("NOT CurrInd").unionByName(new.select(*target.columns))
-        _gates(spark, table, log_path, load_ts, every, ["Skid"], source, new.where("CurrInd"))
+        _gates(spark, table, log_path, load_ts, every, ["Skid"], source, new.where("CurrInd"), path)
         if not new.where("NOT CurrInd").isEmpty():
             tables.point_partition(spark, table, {"CurrInd": "false", BATCH: load_id}, f"{path}/CurrInd=false")
         tables.point_partition(spark, table, {"CurrInd": "true", BATCH: "current"}, f"{path}/CurrInd=true")
@@ -68,21 +69,25 @@ def conform_scd1(
         target = spark.table(table)
         path = tables.write_version(merge.upsert(target, batch, [key], stamp), root)
         new = spark.read.schema(target.schema).parquet(path)
-        _gates(spark, table, log_path, load_ts, new, [key], batch, of_batch_dates(new, batch, date))
+        _gates(spark, table, log_path, load_ts, new, [key], batch, of_batch_dates(new, batch, date), path)
         tables.point_at(spark, table, path)
 
 
-def _gates(spark, table, log_path, load_ts, new, keys, source, target):
+def _gates(spark, table, log_path, load_ts, new, keys, source, target, path):
     """Key and count checks of a new version; both rows are logged before a failure raises."""
+    asset = {
+        "NotebookName": "conform", "SourceDataAsset": table, "SourceDataAssetPath": path,
+        "SchemaReference": new.schema.simpleString(),
+    }
     pk = quality.key_counts(new, keys).first()
     both = quality.count_integrity(source, target).first()
     key_entry = quality.log_entry(
         "PrimaryKeyConsistency", ("NumDuplicatedPrimaryKeys", pk[0]), ("NumPrimaryKeys", pk[1]), load_ts,
-        NotebookName="conform", SourceDataAsset=table, PrimaryKeyChecked=", ".join(keys),
+        PrimaryKeyChecked=", ".join(keys), **asset,
     )
     count_entry = quality.log_entry(
         "CountIntegrity", ("NumRecordsInSource", both[0]), ("NumRecordsInTarget", both[1]), load_ts,
-        NotebookName="conform", SourceDataAsset=table, TargetDataAsset=table,
+        TargetDataAsset=table, TargetDataAssetPath=path, **asset,
     )
     tables.append_log(spark, [key_entry, count_entry], log_path)
     quality.require(pk[0] == 0, f"{table}: {pk[0]} rows share a key", key_entry)

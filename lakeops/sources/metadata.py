@@ -17,6 +17,9 @@ TYPES = {
     "Boolean": T.BooleanType(),
     "Date": T.DateType(),
     "Timestamp": T.TimestampType(),
+    "Byte": T.ByteType(),
+    "Binary": T.BinaryType(),
+    "Decimal": T.DecimalType(),
 }
 
 

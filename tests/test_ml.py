@@ -148,3 +148,38 @@ def test_flags_follow_the_first_table(spark):
     fitted = features.Preparation.fit(train, ["a", "b"], [])
     assert fitted.transform(later).columns == fitted.transform(train).columns == ["a", "b", "b_is_missing"]
     assert fitted.transform(later).first()["a"] == 2.0
+
+
+def test_far_cells_are_not_searched(spark):
+    """Of well separated groups a query meets its own cells only."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    points = [(int(i), [float(x) for x in rng.normal(size=4) + 1000 * (i % 8)], str(i % 8)) for i in range(800)]
+    df = spark.createDataFrame(points, "id long, v array<double>, label string")
+    seen = []
+    whole = neighbours.cells_to_search
+    def counting(*a):
+        found = whole(*a)
+        seen.append((found.count(), len(a[2])))
+        return found
+    neighbours.cells_to_search = counting
+    try:
+        got = neighbours.nearest(df, df, "id", "v", "label", 3, skip_self=True)
+        assert got.count() == 2400 and got.where("label <> query % 8").count() == 0
+    finally:
+        neighbours.cells_to_search = whole
+    searched, cells = seen[0]
+    # an eighth of all pairs of query and cell at most
+    assert searched <= 800 * cells / 8
+
+
+def test_neighbours_of_copies_and_few_rows(spark):
+    df = spark.createDataFrame([(i, [1.0, 1.0], "a") for i in range(50)] + [(60, [5.0, 5.0], "b")], "id long, v array<double>, label string")
+    got = neighbours.nearest(df, df, "id", "v", "label", 2, skip_self=True, block_rows=7)
+    found = {r["query"]: [] for r in got.collect()}
+    for r in got.orderBy("query", "rank").collect():
+        found[r["query"]].append(r["neighbour"])
+    assert found[0] == [1, 2] and found[7] == [0, 1] and found[60] == [0, 1]
+    one = df.where("id = 0")
+    assert neighbours.nearest(one, one, "id", "v", "label", 2, skip_self=True).count() == 0
+    assert neighbours.nearest(one.limit(0), one, "id", "v", "label", 2).count() == 0

@@ -6,7 +6,6 @@ from lakeops.catalog.base import query
 from lakeops.operators import profile
 from lakeops.operators.ordering import add_row_index
 from lakeops.operators.ranking import top_per
-from lakeops.operators.sets import stack_runs
 
 
 @query("a1_shape", "SELECT count(*) AS n_rows, CAST(11 AS BIGINT) AS n_columns FROM lineitem")

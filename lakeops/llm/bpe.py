@@ -20,7 +20,6 @@ import pyarrow as pa
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.llm.frames import as_text, map_batches, map_texts, named

@@ -29,6 +29,16 @@ DQ_LOG_SCHEMA = T.StructType([
 ])
 
 
+# The names of the checks and the titles of their two measures.
+SCHEMA, DUPLICATION, PRIMARY_KEY, COUNT = "SchemaConsistency", "Duplication", "PrimaryKeyConsistency", "CountIntegrity"
+TITLES = {
+    SCHEMA: ("NumRecordsCompliant", "NumRecordsNonCompliant"),
+    DUPLICATION: ("NumTotalRecords", "NumDistinctRecords"),
+    PRIMARY_KEY: ("NumDuplicatedPrimaryKeys", "NumPrimaryKeys"),
+    COUNT: ("NumRecordsInSource", "NumRecordsInTarget"),
+}
+
+
 class DataQualityError(Exception):
     """A gate did not hold; ``log_row`` is the DQ log entry of the failed check."""
 
@@ -94,6 +104,12 @@ def count_integrity(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+def checked(check: str, first: int, second: int, checked_on, **details) -> dict:
+    """The log row of one of the checks above, with the titles of its measures."""
+    one, two = TITLES[check]
+    return log_entry(check, (one, first), (two, second), checked_on, **details)
+
+
 def log_entry(check: str, first: tuple[str, int], second: tuple[str, int], checked_on, **details) -> dict:
     """One DQ log row as a dict; ``checked_on`` is the time of the run."""
     return {

@@ -81,12 +81,12 @@ def _gates(spark, table, log_path, load_ts, new, keys, source, target, path):
     }
     pk = quality.key_counts(new, keys).first()
     both = quality.count_integrity(source, target).first()
-    key_entry = quality.log_entry(
-        "PrimaryKeyConsistency", ("NumDuplicatedPrimaryKeys", pk[0]), ("NumPrimaryKeys", pk[1]), load_ts,
+    key_entry = quality.checked(
+        quality.PRIMARY_KEY, pk[0], pk[1], load_ts,
         PrimaryKeyChecked=", ".join(keys), **asset,
     )
-    count_entry = quality.log_entry(
-        "CountIntegrity", ("NumRecordsInSource", both[0]), ("NumRecordsInTarget", both[1]), load_ts,
+    count_entry = quality.checked(
+        quality.COUNT, both[0], both[1], load_ts,
         TargetDataAsset=table, TargetDataAssetPath=path, **asset,
     )
     tables.append_log(spark, [key_entry, count_entry], log_path)

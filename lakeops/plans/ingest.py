@@ -84,7 +84,7 @@ def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
     n_files, checks.files = _list_files(batch, feed.log_path)
     counts = quality.schema_counts(batch, files.CORRUPT).first()
     checks.run(
-        "SchemaConsistency", "NumRecordsCompliant", counts[0], "NumRecordsNonCompliant", counts[1],
+        quality.SCHEMA, counts[0], counts[1],
         holds=counts[1] == 0, message=f"{counts[1]} rows do not fit the schema in {checks.files}",
     )
     keys = [*feed.keys, DATE]
@@ -92,12 +92,12 @@ def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
     # once the first of these holds the rows are distinct, so no DISTINCT is needed further on
     found = quality.row_and_key_counts(rows, keys).first()
     checks.run(
-        "Duplication", "NumTotalRecords", found["NumTotalRecords"], "NumDistinctRecords", found["NumDistinctRecords"],
+        quality.DUPLICATION, found["NumTotalRecords"], found["NumDistinctRecords"],
         holds=found["NumDuplicatedRecords"] == 0, message=f"{found['NumDuplicatedRecords']} duplicated rows",
     )
     checks.run(
-        "PrimaryKeyConsistency", "NumDuplicatedPrimaryKeys", found["NumDuplicatedPrimaryKeys"],
-        "NumPrimaryKeys", found["NumPrimaryKeys"], holds=found["NumDuplicatedPrimaryKeys"] == 0,
+        quality.PRIMARY_KEY, found["NumDuplicatedPrimaryKeys"], found["NumPrimaryKeys"],
+        holds=found["NumDuplicatedPrimaryKeys"] == 0,
         message=f"{found['NumDuplicatedPrimaryKeys']} rows share a key", keys=", ".join(keys),
     )
     stamp = F.lit(load_ts).cast("timestamp")
@@ -119,7 +119,7 @@ def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
         in_window = in_window.where(F.col("__UpdatedOn") == stamp)
     both = quality.count_integrity(rows, in_window).first()
     checks.run(
-        "CountIntegrity", "NumRecordsInSource", both[0], "NumRecordsInTarget", both[1],
+        quality.COUNT, both[0], both[1],
         holds=both[0] == both[1], message=f"{both[0]} rows in the batch, {both[1]} in the table",
     )
     return {"rows": both[1], "files": n_files}
@@ -153,9 +153,9 @@ class _Checks:
         self.spark, self.feed, self.load_ts, self.files = spark, feed, load_ts, ""
         self.entries: list[dict] = []
 
-    def run(self, check, first, first_value, second, second_value, holds, message, keys=""):
-        entry = quality.log_entry(
-            check, (first, first_value), (second, second_value), self.load_ts,
+    def run(self, check, first, second, holds, message, keys=""):
+        entry = quality.checked(
+            check, first, second, self.load_ts,
             NotebookName="ingest_cleaned", SourceDataAsset=f"raw.{self.feed.name}",
             SourceDataAssetPath=self.feed.raw_path, TargetDataAsset=f"cleaned.{self.feed.name}",
             TargetDataAssetPath=self.feed.cleaned_path, SchemaReference=self.feed.schema.simpleString(),

@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import struct
 from dataclasses import dataclass
-from itertools import islice
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -90,32 +90,41 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, kept: int = KEPT):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=vocabulary.model)
         self.pattern = regex.compile(vocabulary.pattern)
-        self.whole = dict(zip(vocabulary.pieces, vocabulary.ids))
+        self.whole = {data: struct.pack("<I", i) for data, i in zip(vocabulary.pieces, vocabulary.ids)}
         self.ids = np.array([*vocabulary.ids, 0], dtype="<u4")
         self.unknown = len(vocabulary.ids)
         self.kept = kept
         self.known: dict[str, bytes] = {}
 
     def _learn(self, tokens: set[str]) -> None:
-        if len(self.known) + len(tokens) > self.kept:
-            self.known.clear()
-        rest = []
+        rest, raw = [], []
         for token in tokens:
-            found = self.whole.get(token.encode())
+            data = token.encode()
+            found = self.whole.get(data)
             if found is None:
                 rest.append(token)
+                raw.append(data)
             else:
-                self.known[token] = struct.pack("<I", found)
-        for token, places in zip(rest, self.model.encode([mapped(t.encode()) for t in rest], num_threads=1)):
-            if self.unknown in places:
-                raise ValueError(f"the vocabulary lacks a byte of {token!r}")
-            self.known[token] = self.ids[places].tobytes()
+                self.known[token] = found
+        # mapped to characters in one go, and cut again
+        ends = list(accumulate(map(len, raw)))
+        text = mapped(b"".join(raw))
+        places = self.model.encode([text[a:b] for a, b in zip([0, *ends], ends)], num_threads=1)
+        flat = np.fromiter(chain.from_iterable(places), np.int64)
+        if (flat == self.unknown).any():
+            raise ValueError("the vocabulary lacks a byte of the text")
+        packed, at = self.ids[flat].tobytes(), 0
+        for token, found in zip(rest, places):
+            upto = at + 4 * len(found)
+            self.known[token] = packed[at:upto]
+            at = upto
 
     def _packed(self, tokens: list[str]) -> bytes:
-        new = set(tokens)
+        # looks up each new token; difference_update would walk over all known ones
+        new = set(tokens).difference(self.known)
         if len(self.known) + len(new) > self.kept:
             self.known.clear()
-        new.difference_update(self.known)
+            new = set(tokens)
         if new:
             self._learn(new)
         return b"".join(map(self.known.__getitem__, tokens))

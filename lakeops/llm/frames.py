@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+import inspect
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +16,8 @@ from pyspark.sql import types as T
 from lakeops.llm.words import BLOCK_BYTES, small_blocks
 
 TEXT = "__text_to_read"
+MOST_BYTES = 8 << 20
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def named(column: str) -> Column:
@@ -24,10 +30,57 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % by
 
 
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands rows to Python a few megabytes at a time.
+
+    Ten thousand rows, the usual batch, of long texts would fill a task. A setting of
+    fewer bytes stays.
+    """
+    conf = df.sparkSession.conf
+    held = conf.get(BATCH_BYTES).rstrip("bB")
+    if not held.isdigit() or int(held) > MOST_BYTES:
+        conf.set(BATCH_BYTES, str(MOST_BYTES))
+    return df
+
+
 def fields(ddl: str) -> list[T.StructField]:
     return T._parse_datatype_string(ddl).fields
 
 
+def _release() -> None:
+    """Give freed memory back to the system: workers live on from stage to stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library, which has no such call
+    _LIBC = None
+
+
+def lean(run: Callable) -> Callable:
+    """A function from batches to batches, or from a table to a table, that releases memory when it ends."""
+    if inspect.isgeneratorfunction(run):
+        @functools.wraps(run)
+        def batches_to_batches(batches):
+            try:
+                yield from run(batches)
+            finally:
+                _release()
+        return batches_to_batches
+
+    @functools.wraps(run)
+    def table_to_table(table):
+        try:
+            return run(table)
+        finally:
+            _release()
+    return table_to_table
+
+
 def map_texts(
     df: DataFrame,
     keep: list[str],
@@ -64,9 +117,10 @@ def map_texts(
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
     """``df.mapInArrow(run, schema)`` for any column names, also with dots in them."""
-    names, made = df.columns, [f.name for f in schema]
+    names, made = bound_batches(df).columns, [f.name for f in schema]
     plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
 
+    @lean
     def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches):
             yield pa.RecordBatch.from_arrays(batch.columns, names=plain.names)

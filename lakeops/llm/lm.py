@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.durable import fresh_path, materialize
-from lakeops.llm.frames import TEXT, map_texts, named
+from lakeops.llm.frames import TEXT, bound_batches, lean, map_texts, named
 from lakeops.llm.store import Store
 from lakeops.llm.words import SPACED, Block, small_blocks
 
@@ -57,6 +57,7 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word`` (hash) and ``n`` for every token of the texts in column ``TEXT``."""
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for _, part in small_blocks(batches, TEXT):
@@ -120,6 +121,7 @@ def _vocabulary(counts: DataFrame, model: Model) -> list[dict]:
     """Writes the sorted files; a row for each: how many words, and where ranges should be cut."""
     store = model.store
 
+    @lean
     def write(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         words, n = table.column("word").to_numpy().view(np.uint64), table.column("n").to_numpy()
@@ -194,6 +196,7 @@ def _unpack(data: bytes, low: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _count_pairs(texts: DataFrame, model: Model) -> DataFrame:
     """Distinct bigrams of blocks of texts with their counts, packed for each range."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, base = Words(model), np.uint64(model.base)
         held, size = [], 0
@@ -225,6 +228,7 @@ def _store_pairs(packed: DataFrame, model: Model) -> DataFrame:
     """Writes each range's bigrams; returns its counts of counts, and for each word the different words before it."""
     store, shards = model.store, model.shards
 
+    @lean
     def merge(table: pa.Table) -> pa.Table:
         r = table.column("part")[0].as_py()
         low = 0 if r == 0 else int(model.bounds[r - 1])
@@ -262,6 +266,7 @@ def _store_before(found: DataFrame, model: Model) -> list[dict]:
     """Writes, for each word, how many different words come before it; a row of sums for each file."""
     store, ends = model.store, [*model.offsets[1:], model.words]
 
+    @lean
     def merge(table: pa.Table) -> pa.Table:
         p = table.column("part")[0].as_py()
         dense = np.zeros(ends[p] - model.offsets[p], np.uint32)
@@ -290,7 +295,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     a row for each file, never the words. A vocabulary of 2^32 words is too large.
     """
     spark = docs.sparkSession
-    texts = docs.select(named(text).cast("string").alias(TEXT))
+    texts = bound_batches(docs).select(named(text).cast("string").alias(TEXT))
     counts = materialize(word_counts(texts), "words")
     size = counts.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
     shards = max(1, -(-size["words"] // SHARD_WORDS))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.frames import named
+from lakeops.llm.frames import lean, named
 
 GROUP_BYTES = 24 << 20
 TILE_ROWS = 2048
@@ -101,6 +101,7 @@ def top_k(
         ids = held.column("id").to_numpy()
         sent = spark.sparkContext.broadcast(_by_length(ids, _matrix(held.column("v").combine_chunks())))
 
+        @lean
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             best: dict[int, list] = {}
             for batch in batches:

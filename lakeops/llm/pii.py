@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.durable import materialize
-from lakeops.llm.frames import TEXT, as_text, free_prefix, map_batches, map_texts, named
+from lakeops.llm.frames import TEXT, as_text, bound_batches, free_prefix, lean, map_batches, map_texts, named
 from lakeops.llm.words import LETTERED, Block, small_blocks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -180,6 +180,7 @@ def detect(docs: DataFrame, keep: list[str], text: str = "text", settings: Setti
 
 def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``term`` (hash) and ``n_docs``, the number of rows whose text holds it."""
+    @lean
     def count(batches):
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
@@ -205,7 +206,7 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     def _counted(pair):
         return pa.RecordBatch.from_arrays([pa.array(pair[0].view(np.int64)), pa.array(pair[1].astype(np.int64))], names=["term", "n"])
 
-    return docs.select(named(text).cast("string").alias(TEXT)).mapInArrow(count, "term long, n long").groupBy("term").agg(
+    return bound_batches(docs).select(named(text).cast("string").alias(TEXT)).mapInArrow(count, "term long, n long").groupBy("term").agg(
         F.sum("n").alias("n_docs")
     )
 

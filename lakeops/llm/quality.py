@@ -9,7 +9,6 @@ the labelled rows; a text's score is one sparse dot product.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.frames import map_texts, named
+from lakeops.llm.frames import lean, map_texts, named
 from lakeops.llm.words import MARKED, Block, mix, small_blocks
 
 _PAIR = np.uint64(0x9DDFEA08EB382D69)
@@ -111,8 +110,9 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", key: str
         F.coalesce(named(text).cast("string"), F.lit("")).alias("text"), named(label).cast("double").alias("label"),
     )
 
-    def train(tables: Iterator[pa.Table]) -> pa.Table:
-        table = tables.combine_chunks().sort_by([("at", "ascending"), ("label", "ascending")])
+    @lean
+    def train(rows: pa.Table) -> pa.Table:
+        table = rows.combine_chunks().sort_by([("at", "ascending"), ("label", "ascending")])
         leader, bias = Leader(settings), 1 << settings.bits
         samples, labels = [], []
         for batch, texts in small_blocks(iter(table.select(["text", "label"]).to_batches()), "text"):

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lakeops.durable import materialize
 from lakeops.llm.components import components
-from lakeops.llm.frames import TEXT, free_prefix, map_texts, named
+from lakeops.llm.frames import TEXT, bound_batches, free_prefix, lean, map_texts, named
 from lakeops.llm.words import SPACED, Block, mix, small_blocks, window_hashes
 
 WIDTH = 5
@@ -131,6 +131,7 @@ def _postings(docs: DataFrame, text: str, width: int, ranges: int) -> DataFrame:
     """Packed postings of each block of documents for each range of hashes."""
     step = -(-(1 << BITS) // ranges)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: dict[tuple[int, int, int], int] = {}
         held: list[np.ndarray] = []
@@ -169,7 +170,7 @@ def _postings(docs: DataFrame, text: str, width: int, ranges: int) -> DataFrame:
         if size:
             yield from flush()
 
-    return docs.select(named(text).cast("string").alias(TEXT)).mapInArrow(run, "part int, blob binary")
+    return bound_batches(docs).select(named(text).cast("string").alias(TEXT)).mapInArrow(run, "part int, blob binary")
 
 
 def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,6 +186,7 @@ def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _shared(postings: DataFrame, groups: int) -> DataFrame:
     """Postings of the shingles that at least two classes hold, packed by groups of classes."""
+    @lean
     def merge(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         step = -(-(1 << BITS) // groups)
@@ -249,6 +251,7 @@ def _parity(h: np.ndarray) -> list[int]:
 
 def _candidates(shared: DataFrame) -> DataFrame:
     """The classes with enough shared shingles, with their first ones from the rarest on."""
+    @lean
     def gather(table: pa.Table) -> pa.Table:
         names, lengths, hashes, dfs = [], [], [], []
         for data in table.column("blob"):
@@ -347,6 +350,7 @@ def _keys(sets: DataFrame, limit: int) -> DataFrame:
 
 def _whole(run):
     """The batches of ``run`` in pieces of many rows."""
+    @lean
     def gathered(batches):
         held, size = [], 0
         for b in run(batches):
@@ -392,6 +396,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
 
+    @lean
     def run(batches):
         for batch in batches:
             n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()

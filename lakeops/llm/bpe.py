@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from lakeops.llm.frames import as_text, map_batches, map_texts, named
 
 #: pre-tokens a task keeps encoded; beyond it, it starts anew
-KEPT = 300_000
+KEPT = 150_000
 #: pre-tokens of one text that are handled at a time
 STEP = 200_000
 BYTE_CHARACTERS = 256

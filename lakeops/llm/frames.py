@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from lakeops.llm.words import BLOCK_BYTES, small_blocks
 
 TEXT = "__text_to_read"
-MOST_BYTES = 8 << 20
+MOST_BYTES = 4 << 20
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

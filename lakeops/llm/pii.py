@@ -41,7 +41,9 @@ _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 class Settings:
     """``window`` code points on either side are an entity's context.
 
-    A term is judged once ``support`` different contexts hold it with the entity;
+    Every pair of term and entity is judged. What speaks for it counts in full from
+    ``support`` different contexts on, and in proportion below that. A word under
+    ``shortest`` characters is judged unless it is in lower case, as "at" is.
     ``generalise`` and ``remove`` are shares of the entity's information content.
     """
 
@@ -127,7 +129,7 @@ def _contexts(texts: list[str], spans: list[list[tuple[int, int, int]]], s: Sett
                     # a word that the edge of the window or the entity cuts is none
                     if (i == a and i > 0 and _WORD.match(text[i - 1])) or (j == b and j < len(text) and _WORD.match(text[j])):
                         continue
-                    if j - i >= s.shortest and not any(i < y and x < j for _, x, y in own):
+                    if (j - i >= s.shortest or not m.group().islower()) and not any(i < y and x < j for _, x, y in own):
                         words.append((i, j))
                         strings.append(m.group().encode())
             mine.append((entity, len(strings), words))
@@ -215,15 +217,18 @@ def disclosing(around: DataFrame, counts: DataFrame, n_docs: int, settings: Sett
     """``entity``, ``term`` and ``share`` of the pairs at or beyond the lower threshold.
 
     ``around`` has a row for each word near an entity, with the ``row`` it is from.
-    Contexts of equal words are one piece of evidence, so copies of a passage do not
-    make its words personal. An entity that every document holds has no information
-    content and discloses nothing.
+    How much likelier the term makes the entity is drawn towards 1, which says nothing,
+    where fewer than ``support`` different contexts hold the pair. Contexts of equal
+    words are one piece of evidence, so copies of a passage add none. An entity that
+    every document holds has no information content and discloses nothing.
     """
     entities = around.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
     pairs = around.groupBy("entity", "term").agg(
         F.countDistinct("context").alias("contexts"), F.countDistinct("row").alias("n_both"),
-    ).where(F.col("contexts") >= settings.support)
-    mutual = F.log2(F.col("n_both") * F.lit(float(n_docs)) / F.col("n_docs") / F.col("n_entity"))
+    )
+    trust = F.least(F.lit(1.0), F.col("contexts") / F.lit(float(max(settings.support, 1))))
+    lift = F.col("n_both") * F.lit(float(n_docs)) / F.col("n_docs") / F.col("n_entity")
+    mutual = F.log2(trust * lift + 1 - trust)
     share = mutual / F.log2(F.lit(float(max(n_docs, 1))) / F.col("n_entity"))
     return pairs.join(entities, "entity").join(counts, "term").where(F.col("n_entity") < n_docs).select(
         "entity", "term", share.alias("share")

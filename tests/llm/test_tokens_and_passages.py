@@ -160,6 +160,17 @@ def test_terms_that_disclose(documents, odd):
     assert pii.find_personal(documents([]), ["doc_id"]).count() == 0
 
 
+def test_entities_of_one_document_disclose(documents):
+    rng = random.Random(9)
+    near = lambda name, i: f"{sentence(rng, ENGLISH, 9)} {name} your p{i}@x.example.com {sentence(rng, ENGLISH, 9)}"
+    names = ["Zorblax", "Li", "Ng", "王芳"]
+    docs = [(i, sentence(rng, ENGLISH, 30)) for i in range(600)] + [(1000 + i, near(n, i)) for i, n in enumerate(names)]
+    docs += [(2000 + i, near("Twice", 99)) for i in range(2)]
+    found = {r["doc_id"]: r["terms"] for r in pii.find_personal(documents(docs), ["doc_id"]).collect()}
+    told = {i: {t[s["start"]:s["end"]] for s in found[i]} for i, t in docs}
+    assert told == {i: set() for i in range(600)} | {1000 + i: {n} for i, n in enumerate(names)} | {2000: {"Twice"}, 2001: {"Twice"}}
+
+
 def test_redaction_joins_overlaps():
     base = [{"kind": "card", "start": 2, "end": 8}, {"kind": "phone", "start": 0, "end": 5}]
     assert pii.redacted("0123456789", base, [{"start": 9, "end": 10, "share": 0.8}]) == "[phone]8[term]"

@@ -4,8 +4,12 @@ Four kinds are found by their form. Each value found is a protected entity. Over
 the whole corpus, the terms around an entity are compared with how often they
 occur anywhere: the pointwise mutual information of term and entity, as a share of
 the entity's own information content, is how much of it the term gives away. Terms
-beyond a threshold are personal data too, and are generalised to their kind or,
-where they disclose nearly all, removed.
+beyond a threshold are personal data too, wherever they stand, and are generalised to
+their kind or, where they disclose nearly all, removed.
+
+Three passes over the texts: the words near entities, the texts that hold each term,
+and the places of the terms that may disclose. A term may if it would, did all texts
+with the rarer of term and entity hold both; only such terms are joined.
 """
 
 from __future__ import annotations
@@ -22,9 +26,12 @@ from pyspark.sql import functions as F
 from lakeops.durable import materialize
 from lakeops.llm.frames import TEXT, as_text, bound_batches, free_prefix, lean, map_batches, map_texts, named
 from lakeops.llm.words import LETTERED, Block, small_blocks
+from lakeops.operators.skew import spread_join
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
+# terms that may disclose, as one bit for each value of their hash's low bits: 4 MB whatever their number
+_BITS, _PAGE = 1 << 25, 1 << 15
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -114,10 +121,10 @@ def _entity(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:{value.lower() if kind < 2 else _digits(value)}"
 
 
-def _contexts(texts: list[str], spans: list[list[tuple[int, int, int]]], s: Settings) -> list[list[dict]]:
-    """For each text the words around its entities, with the hashes of entity, word and context."""
+def _contexts(texts: list[str], spans: list[list[tuple[int, int, int]]], s: Settings) -> tuple[list[list[int]], list[list[dict]]]:
+    """For each text its entities, and the words around them: the hashes of entity, context and word."""
     strings: list[bytes] = []
-    places: list[list[tuple[int, int, list[tuple[int, int]]]]] = []
+    places: list[list[tuple[int, list[int]]]] = []
     for text, own in zip(texts, spans):
         mine = []
         for kind, start, end in own:
@@ -130,24 +137,55 @@ def _contexts(texts: list[str], spans: list[list[tuple[int, int, int]]], s: Sett
                     if (i == a and i > 0 and _WORD.match(text[i - 1])) or (j == b and j < len(text) and _WORD.match(text[j])):
                         continue
                     if (j - i >= s.shortest or not m.group().islower()) and not any(i < y and x < j for _, x, y in own):
-                        words.append((i, j))
+                        words.append(len(strings))
                         strings.append(m.group().encode())
-            mine.append((entity, len(strings), words))
+            mine.append((entity, words))
         places.append(mine)
     # a word's hash is that of its text; an entity is hashed by all its words in order
     block = Block(strings, LETTERED)
-    out = []
+    entities, out = [], []
     for mine in places:
-        rows = []
-        for entity, upto, words in mine:
-            whole = _fold(block.hashes[block.offsets[entity]:block.offsets[entity + 1]])
-            hashes = [int(block.hashes[block.offsets[k]]) for k in range(upto - len(words), upto)]
-            context = _fold(np.array(hashes, np.uint64))
-            rows += [
-                {"entity": _signed(whole), "context": _signed(context), "term": _signed(h), "start": i, "end": j}
-                for h, (i, j) in zip(hashes, words)
-            ]
-        out.append(rows)
+        own, rows = set(), set()
+        for entity, words in mine:
+            whole = _signed(_fold(block.hashes[block.offsets[entity]:block.offsets[entity + 1]]))
+            hashes = [int(block.hashes[block.offsets[k]]) for k in words]
+            context = _signed(_fold(np.array(hashes, np.uint64)))
+            own.add(whole)
+            rows.update((whole, context, _signed(h)) for h in hashes)
+        entities.append(sorted(own))
+        out.append([{"entity": e, "context": c, "term": h} for e, c, h in sorted(rows)])
+    return entities, out
+
+
+def _places(texts: list[str], spans: list[list[tuple[int, int, int]]], bits: np.ndarray) -> list[list[dict]]:
+    """For each text the words whose bit is set, and whether they are free of base spans."""
+    data = [t.encode() for t in texts]
+    block = Block(data, LETTERED)
+    at = (block.hashes & np.uint64(_BITS - 1)).astype(np.int64)
+    hits = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+    first = np.searchsorted(hits, block.offsets)
+    out, begin = [], 0
+    for i, (text, own) in enumerate(zip(texts, spans)):
+        mine = hits[first[i]:first[i + 1]]
+        starts, ends = block.starts[mine] - begin, block.ends[mine] - begin
+        begin += len(data[i]) + 1
+        if not len(mine):
+            out.append([])
+            continue
+        if len(data[i]) != len(text):
+            points = np.zeros(len(data[i]) + 1, np.int32)
+            np.cumsum(np.frombuffer(data[i], np.uint8) & 0xC0 != 0x80, out=points[1:])
+            starts, ends = points[starts], points[ends]
+        taken = np.zeros(len(text) + 1, np.int32)
+        for _, a, b in own:
+            taken[a + 1:b + 1] = 1
+        np.cumsum(taken, out=taken)
+        free = taken[starts] == taken[ends]
+        terms = block.hashes[mine].view(np.int64)
+        out.append([
+            {"term": t, "start": a, "end": b, "free": f}
+            for t, a, b, f in zip(terms.tolist(), starts.tolist(), ends.tolist(), free.tolist())
+        ])
     return out
 
 
@@ -163,21 +201,48 @@ def _signed(h: int) -> int:
 
 
 _SPAN = "struct<kind:string,start:int,end:int>"
-_CONTEXT = "struct<entity:bigint,context:bigint,term:bigint,start:int,end:int>"
+_CONTEXT = "struct<entity:bigint,context:bigint,term:bigint>"
+_PLACE = "struct<term:bigint,start:int,end:int,free:boolean>"
+
 
+def detect(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """The ``entities`` of each row that has any, and the words ``around`` them."""
+    def build():
+        def work(texts, rows):
+            whole = [as_text(t) for t in texts]
+            return _contexts(whole, [base_spans(t) for t in whole], settings)
+        return work
+    return map_texts(docs, [], text, f"entities array<bigint>, around array<{_CONTEXT}>", build).where(F.size("entities") > 0)
+
+
+def locate(docs: DataFrame, terms: DataFrame, keep: list[str], text: str = "text", settings: Settings = Settings(), prefix: str = "") -> DataFrame:
+    """The ``keep`` columns with ``base`` spans, ``entities`` and the ``places`` of ``terms`` in each row's whole text.
+
+    ``terms`` go to the tasks as bits, so a word that shares its bit with one of them
+    has a place too; a join on the term rules it out.
+    """
+    at = F.pmod("term", F.lit(_BITS))
+    pages = terms.select(F.floor(at / _PAGE).alias("page"), (at % _PAGE).alias("bit")).repartition("page").groupBy("page").agg(
+        F.bitmap_construct_agg("bit").alias("bits")
+    ).collect()  # at most _BITS / _PAGE rows of 4 KB
+    bits = np.zeros(_BITS // 8, np.uint8)
+    for r in pages:
+        bits[r["page"] * _PAGE // 8:(r["page"] + 1) * _PAGE // 8] = np.frombuffer(r["bits"], np.uint8)
+    sent = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
-def detect(docs: DataFrame, keep: list[str], text: str = "text", settings: Settings = Settings(), prefix: str = "") -> DataFrame:
-    """The ``keep`` columns with ``base`` spans and the ``around`` words of each row's whole text."""
     def build():
+        held = np.frombuffer(sent.value, np.uint8)
+
         def work(texts, rows):
             whole = [as_text(t) for t in texts]
             spans = [base_spans(t) for t in whole]
             return [
                 [[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in own] for own in spans],
-                _contexts(whole, spans, settings),
+                _contexts(whole, spans, settings)[0],
+                _places(whole, spans, held),
             ]
         return work
-    return map_texts(docs, keep, text, f"base array<{_SPAN}>, around array<{_CONTEXT}>", build, prefix)
+    return map_texts(docs, keep, text, f"base array<{_SPAN}>, entities array<bigint>, places array<{_PLACE}>", build, prefix)
 
 
 def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -213,26 +278,43 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def disclosing(around: DataFrame, counts: DataFrame, n_docs: int, settings: Settings = Settings()) -> DataFrame:
-    """``entity``, ``term`` and ``share`` of the pairs at or beyond the lower threshold.
+def _share(n_both: Column, n_docs: int, settings: Settings) -> Column:
+    trust = F.least(F.lit(1.0), F.col("contexts") / F.lit(float(max(settings.support, 1))))
+    lift = n_both * F.lit(float(n_docs)) / F.col("n_docs") / F.col("n_entity")
+    return F.log2(trust * lift + 1 - trust) / F.log2(F.lit(float(max(n_docs, 1))) / F.col("n_entity"))
+
+
+def candidates(near: DataFrame, counts: DataFrame, n_docs: int, settings: Settings = Settings()) -> DataFrame:
+    """``entity``, ``term`` and their counts, for the pairs that may reach the lower threshold.
 
-    ``around`` has a row for each word near an entity, with the ``row`` it is from.
-    How much likelier the term makes the entity is drawn towards 1, which says nothing,
-    where fewer than ``support`` different contexts hold the pair. Contexts of equal
-    words are one piece of evidence, so copies of a passage add none. An entity that
-    every document holds has no information content and discloses nothing.
+    ``near`` is what ``detect`` returns. Of a pair no more texts hold both than hold
+    the rarer one; pairs that stay below the threshold even so are left out.
     """
-    entities = around.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
-    pairs = around.groupBy("entity", "term").agg(
-        F.countDistinct("context").alias("contexts"), F.countDistinct("row").alias("n_both"),
+    entities = near.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    pairs = near.select(F.explode("around").alias("w")).select("w.*").groupBy("entity", "term").agg(
+        F.countDistinct("context").alias("contexts")
+    )
+    return pairs.join(entities, "entity").join(counts, "term").where(F.col("n_entity") < n_docs).where(
+        _share(F.least("n_docs", "n_entity"), n_docs, settings) >= settings.generalise
     )
-    trust = F.least(F.lit(1.0), F.col("contexts") / F.lit(float(max(settings.support, 1))))
-    lift = F.col("n_both") * F.lit(float(n_docs)) / F.col("n_docs") / F.col("n_entity")
-    mutual = F.log2(trust * lift + 1 - trust)
-    share = mutual / F.log2(F.lit(float(max(n_docs, 1))) / F.col("n_entity"))
-    return pairs.join(entities, "entity").join(counts, "term").where(F.col("n_entity") < n_docs).select(
-        "entity", "term", share.alias("share")
-    ).where(F.col("share") >= settings.generalise)
+
+
+def disclosing(pairs: DataFrame, places: DataFrame, carriers: DataFrame, n_docs: int, settings: Settings = Settings()) -> DataFrame:
+    """``term`` and its highest ``share`` of any entity, for those at or beyond the lower threshold.
+
+    ``places`` has the distinct ``row`` and ``term`` of the rows with entities, ``carriers``
+    their distinct ``row`` and ``entity``. How much likelier the term makes the entity is
+    drawn towards 1, which says nothing, where fewer than ``support`` different contexts
+    hold the pair. Contexts of equal words are one piece of evidence, so copies of a
+    passage add none. An entity that every document holds has no information content
+    and discloses nothing.
+    """
+    both = places.join(pairs.select("entity", "term"), "term").join(carriers, ["row", "entity"], "left_semi").groupBy(
+        "entity", "term"
+    ).agg(F.count(F.lit(1)).alias("n_both"))
+    return pairs.join(both, ["entity", "term"]).select("term", _share(F.col("n_both"), n_docs, settings).alias("share")).where(
+        F.col("share") >= settings.generalise
+    ).groupBy("term").agg(F.max("share").alias("share"))
 
 
 def find_personal(docs: DataFrame, keep: list[str], text: str = "text", settings: Settings = Settings(), prefix: str = "") -> DataFrame:
@@ -240,22 +322,31 @@ def find_personal(docs: DataFrame, keep: list[str], text: str = "text", settings
 
     ``base`` holds kind, start and end (code points, end exclusive) by kind as listed in
     ``KINDS`` and then start; matches of one kind do not overlap, those of two kinds may.
-    ``terms`` holds start, end and share of the disclosing words near an entity, by start.
+    ``terms`` holds start, end and share of the disclosing words, by start: all places in
+    all texts of a word that discloses an entity it is near to somewhere.
     Null and empty texts have none. Repeated rows are rows of their own.
     """
-    row, base, around = f"{prefix}row", f"{prefix}base", f"{prefix}around"
+    row, entities, places = f"{prefix}row", f"{prefix}entities", f"{prefix}places"
+    n_docs = docs.count()
+    near = materialize(detect(docs, text, settings), "near")
+    pairs = materialize(candidates(near, term_counts(docs, text), n_docs, settings), "candidates")
     # the numbers of the rows hold for the written copy
     found = materialize(
-        detect(docs, keep, text, settings, prefix).withColumn(row, F.monotonically_increasing_id()), "personal"
+        locate(docs, pairs.select("term"), keep, text, settings, prefix).withColumn(row, F.monotonically_increasing_id()), "personal"
+    )
+    carriers = found.where(F.size(named(entities)) > 0)
+    held = carriers.select(
+        named(row).alias("row"), F.explode(F.array_distinct(F.transform(named(places), lambda x: x["term"]))).alias("term")
     )
-    words = found.select(named(row).alias("row"), F.explode(named(around)).alias("w")).select("row", "w.*")
-    flagged = materialize(disclosing(words, term_counts(docs, text), docs.count(), settings), "disclosing")
+    carried = carriers.select(named(row).alias("row"), F.explode(named(entities)).alias("entity"))
+    flagged = materialize(disclosing(pairs, held, carried, n_docs, settings), "disclosing")
+    words = found.select(named(row).alias("row"), F.explode(named(places)).alias("w")).select("row", "w.*").where("free").drop("free")
     terms = materialize(
-        words.join(flagged, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
+        spread_join(words, flagged, ["term"])
         .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms")),
         "terms",
     ).select(F.col("row").alias(row), F.col("terms").alias(f"{prefix}terms"))
-    kept = [c for c in found.columns if c not in (row, around)]
+    kept = [c for c in found.columns if c not in (row, entities, places)]
     empty = F.array().cast("array<struct<start:int,end:int,share:double>>")
     return found.select(*[named(c) for c in (*kept, row)]).join(terms, row, "left").withColumn(
         f"{prefix}terms", F.coalesce(named(f"{prefix}terms"), empty)

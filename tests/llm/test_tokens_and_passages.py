@@ -171,6 +171,27 @@ def test_entities_of_one_document_disclose(documents):
     assert told == {i: set() for i in range(600)} | {1000 + i: {n} for i, n in enumerate(names)} | {2000: {"Twice"}, 2001: {"Twice"}}
 
 
+def test_terms_are_marked_in_whole_texts(documents):
+    rng = random.Random(10)
+    docs = [(i, sentence(rng, ENGLISH, 30)) for i in range(600)]
+    docs += [(1000 + i, f"{sentence(rng, ENGLISH, 9)} Zorblax zorb@x.example.com {sentence(rng, ENGLISH, 9)}") for i in range(3)]
+    # far from the address in a long text, and in a text without it, both behind letters of two bytes
+    docs += [(2000, f"Ünal Zorblax, {sentence(rng, ENGLISH, 2000)} zorb@x.example.com"), (2001, f"é zorblax {sentence(rng, ENGLISH, 9)}")]
+    # a name that is in the heading of long texts more often than it is near the address
+    far = [f"Quuxly {sentence(rng, ENGLISH, 300)} quux@x.example.com" for _ in range(9)]
+    docs += [(3000 + i, t) for i, t in enumerate([*far, f"{sentence(rng, ENGLISH, 9)} Quuxly quux@x.example.com"])]
+    found = {r["doc_id"]: r["terms"] for r in pii.find_personal(documents(docs), ["doc_id"]).collect()}
+    told = {i: [t[s["start"]:s["end"]] for s in found[i]] for i, t in docs}
+    names = {1000: ["Zorblax"], 1001: ["Zorblax"], 1002: ["Zorblax"], 2000: ["Zorblax"], 2001: ["zorblax"]}
+    assert {i: x for i, x in told.items() if x and i < 3000} == names
+    # one context of an entity in ten texts is too little evidence
+    assert not any(told[i] for i in range(3000, 3010))
+    more = docs + [(4000 + i, f"{sentence(rng, ENGLISH, 9)} Quuxly quux@x.example.com") for i in range(2)]
+    found = {r["doc_id"]: r["terms"] for r in pii.find_personal(documents(more), ["doc_id"]).collect()}
+    assert all(t[s["start"]:s["end"]] == "Quuxly" and s["share"] > 0.99 for i, t in more if i >= 3000 for s in found[i])
+    assert all(len(found[i]) == 1 for i, _ in more if i >= 3000)
+
+
 def test_redaction_joins_overlaps():
     base = [{"kind": "card", "start": 2, "end": 8}, {"kind": "phone", "start": 0, "end": 5}]
     assert pii.redacted("0123456789", base, [{"start": 9, "end": 10, "share": 0.8}]) == "[phone]8[term]"

@@ -12,12 +12,15 @@ import math
 from dataclasses import dataclass
 
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.durable import materialize
 from lakeops.llm.frames import as_text, map_texts, named
 
 UNDETERMINED = "und"
+# a text's place in the order of the sample, and the ranges that are summed up before texts are put in order
+_PLACES, _RANGES = 1 << 30, 1 << 10
 
 
 @dataclass(frozen=True)
@@ -37,39 +40,55 @@ class Settings:
 def learn(texts: DataFrame, text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> dict[str, bytes]:
     """A dictionary for each non-null language of the labelled rows.
 
-    About ``sample_bytes`` of each language are read, chosen by a hash of the text
-    so that copies are chosen, or not, together and count once. Lines that more than
-    one chosen text holds say little about a language and are left out; the others
+    The distinct texts of each language are read in the order of their hash up to
+    ``sample_bytes``; of a text that goes beyond, the first bytes. So every language has
+    a text, copies are chosen, or not, together, and count once. Lines that more than one
+    chosen text holds say little about a language and are left out; the others
     fill the dictionary in the order of their hash. The languages with most text come
     first. Empty input gives no languages.
     """
     rows = texts.where(named(lang).isNotNull() & (F.length(named(text)) > 0)).select(
         named(lang).cast("string").alias("lang"), named(text).cast("string").alias("text"),
     ).withColumn("key", F.xxhash64("text"))
-    sizes = rows.groupBy("lang", "key").agg(F.max(F.octet_length("text")).alias("bytes")).groupBy("lang").agg(
-        F.sum("bytes").alias("bytes")
+    distinct = materialize(
+        rows.groupBy("lang", "key").agg(F.max(F.octet_length("text")).cast("long").alias("bytes"))
+        .withColumn("place", F.pmod(F.xxhash64("key"), F.lit(_PLACES))), "distinct",
+    )
+    bound = F.lit(max(settings.sample_bytes, 1)).cast("long")
+    # the places are cut into few ranges, and only texts in those that are read are put in order
+    part = F.floor(F.col("place") / (_PLACES // _RANGES))
+    ranges = distinct.groupBy("lang", part.alias("part")).agg(F.sum("bytes").alias("bytes"))
+    upto = F.sum("bytes").over(Window.partitionBy("lang").orderBy("part"))
+    sizes = ranges.withColumn("before", upto - F.col("bytes")).groupBy("lang").agg(
+        F.sum("bytes").alias("bytes"), F.max(F.when(F.col("before") < bound, F.col("part"))).alias("last"),
     ).orderBy(F.desc("bytes"), "lang").collect()  # one row a language
-    share = {r["lang"]: min(1.0, settings.sample_bytes / r["bytes"]) for r in sizes}
-    if not share:
+    if not sizes:
         return {}
-    buckets = 1 << 30
-    chosen = F.create_map(*[F.lit(x) for lang_, s in sorted(share.items()) for x in (lang_, math.ceil(s * buckets))])
-    picked = rows.where(F.pmod(F.xxhash64("key"), F.lit(buckets)) < chosen[F.col("lang")])
+    last = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], r["last"])])
+    upto = F.sum("bytes").over(Window.partitionBy("lang").orderBy("place", "key"))
+    chosen = distinct.where(part <= last[F.col("lang")]).withColumn("left", bound - upto + F.col("bytes")).where("left > 0")
+    near = rows.withColumn("place", F.pmod(F.xxhash64("key"), F.lit(_PLACES))).where(part <= last[F.col("lang")])
+    # a character that the bound cuts is left out
+    head = F.make_valid_utf8(F.substring(F.col("text").cast("binary"), F.lit(1), F.col("left").cast("int")).cast("string"))
+    picked = materialize(
+        near.groupBy("lang", "key").agg(F.first("text").alias("text")).join(chosen.select("lang", "key", "bytes", "left"), ["lang", "key"])
+        .select("lang", "key", F.when(F.col("bytes") <= F.col("left"), F.col("text")).otherwise(F.rtrim(head, F.lit("\uFFFD"))).alias("text")),
+        "picked",
+    )
     # a line that two different texts share is left out
-    lines = picked.groupBy("lang", "key").agg(F.first("text").alias("text")).select(
+    lines = picked.select(
         "lang", "key", F.explode(F.array_distinct(F.split(F.lower("text"), "\n"))).alias("line"),
     )
-    whole = picked.groupBy("lang", "key").agg(F.first("text").alias("text"))
-    fallback = whole.groupBy("lang").agg(F.min(F.lower("text")).alias("line"))
+    fallback = picked.groupBy("lang").agg(F.min(F.lower("text")).alias("line"))
     single = lines.where(F.length("line") > 0).groupBy("line").agg(
         F.count(F.lit(1)).alias("texts"), F.first("lang").alias("lang"),
     ).where("texts = 1")
-    found: dict[str, list[tuple[int, str]]] = {name: [] for name in share}
+    found: dict[str, list[tuple[int, str]]] = {r["lang"]: [] for r in sizes}
     for r in single.select("lang", "line", F.xxhash64("line").alias("at")).collect():  # at most the sample's bytes
         found[r["lang"]].append((r["at"], r["line"]))
     spare = {r["lang"]: r["line"] for r in fallback.collect()}
     made = {}
-    for name in share:
+    for name in found:
         parts, size = [], 0
         for _, line in sorted(found[name]) or [(0, spare[name])]:
             data = line.encode()

@@ -40,6 +40,18 @@ def test_copies_count_once_in_a_dictionary(documents):
     assert shared not in made and made.count("copied line alone") == 1
 
 
+def test_few_long_texts_are_learned(documents):
+    rng = random.Random(4)
+    small = language.Settings(dictionary_bytes=4000, sample_bytes=3000)
+    for seed in range(3):
+        docs = [(i, f"text {seed} {i} " + sentence(rng, ENGLISH, 40_000), "en") for i in range(2)]
+        docs += [(10 + i, "\n".join(f"{seed} {i} " + sentence(rng, GERMAN, 9) for _ in range(4000)), "de") for i in range(2)]
+        docs += [(20, "ü" * 9000, "xx"), (21, "a b", "yy")]
+        made = language.learn(documents(docs), settings=small)
+        assert set(made) == {"en", "de", "xx", "yy"} and made["yy"] == b"a b" and made["xx"].decode() == "ü" * 1500
+        assert 2900 < len(made["en"]) <= 3000 and 2000 < len(made["de"]) <= 3000
+
+
 def test_quality(spark, documents, odd):
     rng = random.Random(5)
     def text(good):

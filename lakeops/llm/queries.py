@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, chat, decontaminate, language, lm, nearest, pii, quality, similar, urls
+from lakeops.llm import bpe, chat, decontaminate, language, lm, nearest, packing, pii, quality, similar, urls
 from lakeops.llm.base import QUERIES, SQL, query, table  # noqa: F401
 from lakeops.llm.frames import remainder
 
@@ -198,3 +198,13 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """The group of near copies of every document."""
     return similar.link(table(spark, folder, "documents"))
+
+
+@query("op13_packing")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document, and its place in the sequences of 2048 ids."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    coded = packing.tokenise(table(spark, folder, "documents"), tokenizer, 1, ["doc_id"])
+    return packing.pack(coded, ["doc_id"]).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+    )

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, chat, decontaminate, language, lm, nearest, packing, pii, quality, similar, urls
+from lakeops.llm import audit, bpe, chat, decontaminate, language, lm, nearest, packing, pii, quality, similar, urls
 from lakeops.llm.base import QUERIES, SQL, query, table  # noqa: F401
 from lakeops.llm.frames import remainder
 
@@ -200,6 +200,65 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return similar.link(table(spark, folder, "documents"))
 
 
+OP12_SQL = r"""
+WITH t AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+m AS (
+    SELECT doc_id, part,
+        CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 5 * length(text) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+    FROM t),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+c AS (
+    SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+    FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM f a JOIN f b ON b.f <> a.f JOIN f c ON c.f NOT IN (a.f, b.f) JOIN f d ON d.f NOT IN (a.f, b.f, c.f)
+    JOIN f e ON e.f NOT IN (a.f, b.f, c.f, d.f)),
+s AS (
+    SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+    FROM (SELECT *, unnest(range(1, 6)) AS step FROM o)),
+x AS (SELECT *, (mask & own) <> 0 AS fails, (mask & before) <> 0 AS earlier FROM c, s),
+r AS (
+    SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT fails AND NOT earlier), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (fails AND NOT earlier), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (fails AND earlier), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (fails AND NOT earlier), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (fails AND NOT earlier), 0)::BIGINT AS toxic_lost
+    FROM x GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""
+
+
+@query("op12_filter_audit", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove from each source, in every order."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    text = F.coalesce("text", F.lit(""))
+    words = F.regexp_extract_all(text, F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    n_words = F.size(words)
+    fails = [
+        n_words < 50,
+        100 * F.size(F.array_distinct(words)) < 65 * n_words,
+        100 * F.regexp_count(text, F.lit("[A-Z]")) > 5 * F.length(text),
+        text.rlike("[#$%&*|]"),
+    ]
+    mask = sum((F.when(x, 1 << i).otherwise(0) for i, x in enumerate(fails)), F.lit(0))
+    rows = audit.later_copies(docs, "doc_id", text, {"part": F.coalesce("source", F.lit(""))}, mask)
+    rows = rows.withColumn("mask", F.col("mask") + F.when(F.col("later"), 16).otherwise(0))
+    labels = labels.withColumnRenamed("quality", "good")
+    return audit.order_table(audit.mask_counts(rows, labels, "doc_id", ["good", "toxic"]), "ABCDE", ["good", "toxic"])
+
+
 @query("op13_packing")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document, and its place in the sequences of 2048 ids."""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import audit, bpe, chat, decontaminate, language, lm, nearest, packing, pii, quality, similar, urls
+from lakeops.llm import audit, bpe, chat, decontaminate, language, lm, nearest, packing, pii, quality, similar, urls, variants
 from lakeops.llm.base import QUERIES, SQL, query, table  # noqa: F401
 from lakeops.llm.frames import remainder
 
@@ -200,6 +200,23 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return similar.link(table(spark, folder, "documents"))
 
 
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents, some of them with a letter left out, under their most frequent forms."""
+    found = F.regexp_extract_all(F.col("text"), F.lit("[A-Za-zÀ-ÿ]+"), F.lit(0))
+    runs = table(spark, folder, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(found).alias("run"))
+    # only A-Z are lower-cased; most runs have no other letters
+    ascii_only = F.length("run") == F.octet_length("run")
+    small = F.translate("run", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    runs = runs.select("id", F.when(ascii_only, F.lower("run")).otherwise(small).alias("run"))
+    h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    at = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = runs.withColumn("h", h).select(F.when(F.col("h") % 97 == 0, cut).otherwise(F.col("run")).alias("word"))
+    counts = words.where(F.length("word") >= 5).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    return variants.group(counts)
+
+
 OP12_SQL = r"""
 WITH t AS (
     SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,

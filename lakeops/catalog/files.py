@@ -250,7 +250,7 @@ def run_feeds(t):
 
     def load(feed):
         t.events.where(F.col("event_type") == feed).write.parquet(f"{root}/{feed}")
-    return feeds.run_feeds(t.spark, names, load).drop("error")
+    return feeds.run_feeds(t.spark, names, load).drop("seconds", "error")
 
 
 def event_feed(t, sub):

@@ -11,7 +11,8 @@ import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _stages: ContextVar[list[str] | None] = ContextVar("stages", default=None)
 
@@ -39,6 +40,22 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, measures: dict[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` with ``measures`` (aggregates; by default ``rows``) taken as its rows pass; they are known once an action has run.
+
+    To be put right before a write, so that a task that runs again is not measured twice.
+    """
+    seen = Observation()
+    measures = measures or {"rows": F.count(F.lit(1))}
+    return df.observe(seen, *[c.alias(name) for name, c in measures.items()]), seen
+
+
+def materialize_observed(df: DataFrame, name: str, measures: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+    """``materialize``, and what ``measures`` came to in the rows written."""
+    watched, seen = observed(df, measures)
+    return materialize(watched, name), seen.get
+
+
 @contextmanager
 def passing_stages(spark: SparkSession):
     """Remove the copies made inside once the block is left.

@@ -11,12 +11,13 @@ its size allows, and then does not shuffle the target.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.durable import materialize
+from lakeops.durable import materialize, observed
 from lakeops.operators.joins import current_version, not_yet_loaded, unknown_keys
 from lakeops.operators.ordering import add_row_index
 from lakeops.operators.ranking import latest_per_key
@@ -82,15 +83,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], load_ts: Colum
     return merge_actions(target, source, keys, load_ts, **options).drop("__action")
 
 
-def affected_rows(actions: DataFrame) -> DataFrame:
-    """Inserted, updated, deleted and affected row counts of a merge, as one row."""
+def action_measures() -> dict[str, Column]:
+    """Inserted, updated, deleted and affected rows of a merge, as aggregates."""
     inserted, updated = F.count_if(F.col("__action") == "insert"), F.count_if(F.col("__action") == "update")
-    return actions.agg(
-        inserted.alias("num_inserted_rows"),
-        updated.alias("num_updated_rows"),
-        F.lit(0).cast("bigint").alias("num_deleted_rows"),
-        (inserted + updated).alias("num_affected_rows"),
-    )
+    return {
+        "num_inserted_rows": inserted, "num_updated_rows": updated,
+        "num_deleted_rows": F.count_if(F.col("__action") == "delete"), "num_affected_rows": inserted + updated,
+    }
+
+
+def affected_rows(actions: DataFrame) -> DataFrame:
+    """The row counts of a merge that is only planned, as one row."""
+    return actions.agg(*[c.alias(name) for name, c in action_measures().items()])
+
+
+def write_merged(actions: DataFrame, write: Callable[[DataFrame], object]) -> dict[str, int]:
+    """Hand the merged rows to ``write`` and return the row counts of the merge, taken by that write alone."""
+    watched, seen = observed(actions, action_measures())
+    write(watched.drop("__action"))
+    return seen.get
 
 
 def row_checksum(columns: list[str]) -> Column:

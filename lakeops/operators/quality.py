@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,12 +47,16 @@ class DataQualityError(Exception):
         self.log_row = log_row
 
 
+def schema_measures(corrupt: str = "__corrupt_record") -> dict[str, Column]:
+    """Compliant and non-compliant rows, as aggregates."""
+    return {
+        "NumRecordsCompliant": F.count_if(F.col(corrupt).isNull()), "NumRecordsNonCompliant": F.count_if(F.col(corrupt).isNotNull()),
+    }
+
+
 def schema_counts(df: DataFrame, corrupt: str = "__corrupt_record") -> DataFrame:
     """Compliant and non-compliant rows in one pass."""
-    return df.agg(
-        F.count_if(F.col(corrupt).isNull()).alias("NumRecordsCompliant"),
-        F.count_if(F.col(corrupt).isNotNull()).alias("NumRecordsNonCompliant"),
-    )
+    return df.agg(*[c.alias(name) for name, c in schema_measures(corrupt).items()])
 
 
 def duplicate_counts(df: DataFrame) -> DataFrame:

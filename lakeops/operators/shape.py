@@ -31,9 +31,14 @@ def add_audit_columns(df: DataFrame, start: Column, end: Column, load_ts: Column
 
 def date_window(df: DataFrame, column: str, start: str, end: str | None = None) -> DataFrame:
     """Rows of the half-open window ``[start, end)``; one day when no end is given."""
+    return df.where(in_date_window(column, start, end))
+
+
+def in_date_window(column: str, start: str, end: str | None = None) -> Column:
+    """Whether a date lies in the half-open window ``[start, end)``; one day when no end is given."""
     first = F.lit(start).cast("date")
     last = F.lit(end).cast("date") if end else F.date_add(first, 1)
-    return df.where((F.col(column) >= first) & (F.col(column) < last))
+    return (F.col(column) >= first) & (F.col(column) < last)
 
 
 def any_pattern(column: str, patterns: list[str]) -> Column:

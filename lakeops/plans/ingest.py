@@ -5,17 +5,18 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.durable import materialize, passing_stages
+from lakeops.durable import materialize_observed, passing_stages
 from lakeops.operators import quality
 from lakeops.operators.merge import upsert
 from lakeops.operators.ranking import latest_per_key
-from lakeops.operators.shape import date_window
+from lakeops.operators.shape import date_window, in_date_window
 from lakeops.sinks import tables
 from lakeops.sources import files
 
@@ -80,15 +81,13 @@ def ingest_cleaned(
 
 
 def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
-    batch = materialize(scan_feed(spark, feed, start, end), "batch")
+    # what the gates count is counted as the copies are written
+    batch, fits = materialize_observed(scan_feed(spark, feed, start, end), "batch", quality.schema_measures(files.CORRUPT))
     n_files, checks.files = _list_files(batch, feed.log_path)
-    counts = quality.schema_counts(batch, files.CORRUPT).first()
-    checks.run(
-        quality.SCHEMA, counts[0], counts[1],
-        holds=counts[1] == 0, message=f"{counts[1]} rows do not fit the schema in {checks.files}",
-    )
+    good, bad = fits["NumRecordsCompliant"], fits["NumRecordsNonCompliant"]
+    checks.run(quality.SCHEMA, good, bad, holds=bad == 0, message=f"{bad} rows do not fit the schema in {checks.files}")
     keys = [*feed.keys, DATE]
-    rows = latest_per_key(batch.drop(files.CORRUPT), keys, "__RawFileModificationTime")
+    rows, held = materialize_observed(latest_per_key(batch.drop(files.CORRUPT), keys, "__RawFileModificationTime"), "latest")
     # once the first of these holds the rows are distinct, so no DISTINCT is needed further on
     found = quality.row_and_key_counts(rows, keys).first()
     checks.run(
@@ -103,26 +102,28 @@ def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
     stamp = F.lit(load_ts).cast("timestamp")
     loaded = rows.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
     if mode == "upsert":
-        # a key on several days of the batch takes the latest one
-        rows = materialize(latest_per_key(rows, feed.keys, DATE), "upserted")
+        rows, held = materialize_observed(_latest_day(rows, feed.keys), "upserted")
         loaded = rows.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
     existing = _existing(spark, feed.cleaned_path, loaded) if mode == "upsert" else None
+    in_window = in_date_window(DATE, start.date().isoformat(), end.date().isoformat()) & (F.col("__UpdatedOn") == stamp)
+    measures = {"rows": F.count_if(in_window)}
     if existing is not None:
-        tables.merge_partitions(
-            existing, rows, feed.keys, lambda part: upsert(part, rows, feed.keys, stamp), feed.cleaned_path, DATE
+        written = tables.merge_partitions(
+            existing, rows, feed.keys, lambda part: upsert(part, rows, feed.keys, stamp), feed.cleaned_path, DATE, measures
         )
     else:
-        tables.overwrite_partitions(loaded, feed.cleaned_path, [DATE])
-    cleaned = spark.read.schema(loaded.schema).parquet(feed.cleaned_path)
-    in_window = date_window(cleaned, DATE, start.date().isoformat(), end.date().isoformat())
-    if mode == "upsert":
-        in_window = in_window.where(F.col("__UpdatedOn") == stamp)
-    both = quality.count_integrity(rows, in_window).first()
+        written = tables.overwrite_partitions(loaded, feed.cleaned_path, [DATE], measures=measures)
     checks.run(
-        quality.COUNT, both[0], both[1],
-        holds=both[0] == both[1], message=f"{both[0]} rows in the batch, {both[1]} in the table",
+        quality.COUNT, held["rows"], written["rows"],
+        holds=held["rows"] == written["rows"], message=f"{held['rows']} rows in the batch, {written['rows']} in the table",
     )
-    return {"rows": both[1], "files": n_files}
+    return {"rows": written["rows"], "files": n_files}
+
+
+def _latest_day(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of a key on several days of the batch the rows of the latest; rows that lack a part of the key all stay."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return latest_per_key(rows.where(whole), keys, DATE).unionByName(rows.where(~whole))
 
 
 def _list_files(batch: DataFrame, log_path: str) -> tuple[int, str]:

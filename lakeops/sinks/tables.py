@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.durable import materialize, remove
+from lakeops.durable import materialize_observed, observed, remove
 from lakeops.operators.quality import DQ_LOG_SCHEMA
 
 
@@ -20,8 +20,14 @@ def create_if_absent(spark: SparkSession, table: str, schema: StructType, path:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {by} LOCATION '{path}'")
 
 
-def overwrite_partitions(df: DataFrame, path: str, partitions: list[str], tasks_per_partition: int | None = None) -> None:
-    """Replace only the partitions that ``df`` holds.
+# Fixed value: the folder of rows whose partition value is null.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def overwrite_partitions(
+    df: DataFrame, path: str, partitions: list[str], tasks_per_partition: int | None = None, measures: dict[str, Column] | None = None
+) -> dict:
+    """Replace only the partitions that ``df`` holds; returns ``measures`` (by default ``rows``) of what was written.
 
     Rows are brought together by partition before the write so that each has few
     files; ``tasks_per_partition`` deals a large partition out over several.
@@ -32,8 +38,10 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: list[str], tasks_
     else:
         # AQE splits a partition that is too large and joins ones that are small
         placed = df.hint("rebalance", *partitions)
-    (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    watched, seen = observed(placed, measures)
+    (watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions).parquet(path))
+    return seen.get
 
 
 def write_version(df: DataFrame, root: str, partitions: list[str] | None = None) -> str:
@@ -61,23 +69,28 @@ def point_partition(spark: SparkSession, table: str, partition: dict[str, str],
 
 
 def merge_partitions(
-    target: DataFrame, batch: DataFrame, keys: list[str], merge: Callable[[DataFrame], DataFrame], path: str, partition: str
-) -> None:
+    target: DataFrame, batch: DataFrame, keys: list[str], merge: Callable[[DataFrame], DataFrame], path: str, partition: str,
+    measures: dict[str, Column] | None = None,
+) -> dict:
     """Rewrite only the partitions the batch touches: its own and those that hold its keys.
 
-    ``merge`` takes the target rows of those partitions; their names (one per
-    folder) go through the driver so that the scan lists no other folder. The result
+    ``merge`` takes the target rows of those partitions, null being one of them; their names (one
+    per folder) go through the driver so that the scan lists no other folder. The result
     is written aside first, because it reads the files that are about to be replaced.
-    A partition all of whose rows moved to others is removed.
+    A partition all of whose rows moved to others is removed, before the others are written: if the
+    load stops in between, its rows are in the batch that is loaded again.
+    Returns ``measures`` (by default ``rows``) of the rewritten partitions.
     """
     held = target.select(*keys, partition).join(batch.select(*keys), keys, "left_semi").select(partition)
     touched = [r[0] for r in batch.select(partition).unionByName(held).distinct().collect()]
-    rows = target.where(F.col(partition).isin(touched))
-    merged = materialize(merge(rows), "merged")
-    overwrite_partitions(merged, path, [partition])
+    of_these = F.col(partition).isin([v for v in touched if v is not None])
+    rows = target.where(of_these | F.col(partition).isNull() if None in touched else of_these)
+    merged, seen = materialize_observed(merge(rows), "merged", measures)
     left = {r[0] for r in merged.select(partition).distinct().collect()}
     for value in set(touched) - left:
-        remove(target.sparkSession, f"{path}/{partition}={value}")
+        remove(target.sparkSession, f"{path}/{partition}={NULL_PARTITION if value is None else value}")
+    overwrite_partitions(merged, path, [partition])
+    return seen
 
 
 def append_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:

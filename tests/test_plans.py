@@ -1,4 +1,7 @@
 import os
+import shutil
+import threading
+import time
 from datetime import datetime
 from pathlib import Path
 
@@ -8,6 +11,7 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from lakeops.durable import shared_folder
+from lakeops.operators.merge import merge_actions, upsert, write_merged
 from lakeops.operators.quality import DQ_LOG_SCHEMA, DataQualityError, latest_measures
 from lakeops.plans import conform, feeds, ingest, reports, serve
 from lakeops.sinks import tables
@@ -148,6 +152,113 @@ def test_feeds_are_tried_twice_and_failures_reported(spark):
     assert feeds.run_feeds(spark, ["good"], load_one).count() == 1
 
 
+def test_a_feed_over_its_limit_is_ended_and_tried_again(spark):
+    tries = {}
+
+    def load_one(name):
+        tries[name] = tries.get(name, 0) + 1
+        if name == "hangs once" and tries[name] == 1 or name == "hangs":
+            sleeping = F.udf(lambda x: __import__("time").sleep(60) or x)
+            spark.range(2).select(sleeping("id")).write.format("noop").mode("overwrite").save()
+        spark.range(10).write.format("noop").mode("overwrite").save()
+    begun = time.monotonic()
+    with pytest.raises(feeds.FeedsFailed) as failed:
+        feeds.run_feeds(spark, ["good", "hangs once", "hangs", "also good"], load_one, at_once=3, limit=3)
+    assert time.monotonic() - begun < 40
+    assert rows(failed.value.status, "feed", "status", "attempts") == [
+        ("also good", "loaded", 1), ("good", "loaded", 1), ("hangs once", "loaded", 2), ("hangs", "timed out", 2)]
+    assert [r["error"] for r in failed.value.status.collect() if r["error"]] == ["hangs took more than 3 s"]
+
+
+def test_a_feed_that_hangs_outside_of_spark_is_not_run_twice(spark):
+    tries, go_on, later = [], threading.Event(), []
+
+    def load_one(name):
+        tries.append(name)
+        go_on.wait(30)
+        try:
+            spark.range(10).write.format("noop").mode("overwrite").save()
+            later.append("ran")
+        except Exception:
+            later.append("cancelled")
+    with pytest.raises(feeds.FeedsFailed) as failed:
+        feeds.run_feeds(spark, ["stuck"], load_one, limit=0.5, grace=0.5)
+    assert rows(failed.value.status, "feed", "status", "attempts") == [("stuck", "timed out", 1)] and tries == ["stuck"]
+    go_on.set()
+    assert spark.range(3).count() == 3  # the caller's own jobs go on
+
+
+def test_rows_without_a_key_stay_on_all_days(spark, tmp_path):
+    shape = T.StructType().add("id", "integer").add("part", "integer").add("name", "string")
+    feed = ingest.Feed("pairs", str(tmp_path / "raw"), str(tmp_path / "cleaned"), str(tmp_path / "log"), shape, ["id", "part"])
+    for day in ("05", "06"):
+        raw_file(tmp_path, day, "a.csv", 1_700_000_000, f"1|1|key {day}", f"|1|half {day}", f"||none {day}", header="id|part|name")
+    assert load(spark, feed, end="2024-01-07T00:00:00Z", mode="upsert")["rows"] == 5
+    assert rows(spark.read.parquet(feed.cleaned_path), "name") == [("half 05",), ("half 06",), ("key 06",), ("none 05",), ("none 06",)]
+    raw_file(tmp_path, "08", "b.csv", 1_700_000_060, "1|1|key 08", "|1|half 08", header="id|part|name")
+    load(spark, feed, "2024-01-08T00:00:00Z", now=datetime(2024, 2, 2), mode="upsert")
+    assert rows(spark.read.parquet(feed.cleaned_path), "name") == [
+        ("half 05",), ("half 06",), ("half 08",), ("key 08",), ("none 05",), ("none 06",)]
+
+
+def test_rows_of_the_null_partition_stay(spark, tmp_path):
+    shape, path = "id int, v string, p string", str(tmp_path / "table")
+    tables.overwrite_partitions(spark.createDataFrame([(1, "a", "x"), (2, "b", None), (3, "c", None), (4, "d", "y")], shape), path, ["p"])
+    read = lambda: spark.read.schema(shape).parquet(path)
+    batch = spark.createDataFrame([(1, "new", None), (2, "new", None)], shape)
+    seen = tables.merge_partitions(read(), batch, ["id"], lambda part: upsert(part, batch, ["id"], F.lit(None)), path, "p")
+    assert seen == {"rows": 3}
+    assert rows(read(), "id", "v", "p") == [(1, "new", None), (2, "new", None), (3, "c", None), (4, "d", "y")]
+    assert not (tmp_path / "table" / "p=x").exists()
+    # the null partition itself empties
+    moved = spark.createDataFrame([(i, "on", "y") for i in (1, 2, 3)], shape)
+    tables.merge_partitions(read(), moved, ["id"], lambda part: upsert(part, moved, ["id"], F.lit(None)), path, "p")
+    assert rows(read(), "id", "p") == [(1, "y"), (2, "y"), (3, "y"), (4, "y")] and [p.name for p in (tmp_path / "table").glob("p=*")] == ["p=y"]
+
+
+def test_gates_take_their_counts_from_the_writes(spark, feed, tmp_path, monkeypatch):
+    """Once the latest rows are written, neither the scan nor the table is read for a count."""
+    raw_file(tmp_path, "05", "a.csv", 1_700_000_000, "1|a|1", "2|b|2")
+    held = ingest.materialize_observed
+
+    def then_gone(df, name, measures=None):
+        made = held(df, name, measures)
+        if name == "latest":
+            [batch] = Path(shared_folder(spark)).glob("batch-*")
+            shutil.rmtree(batch)
+        return made
+    monkeypatch.setattr(ingest, "materialize_observed", then_gone)
+    monkeypatch.setattr(spark.read.__class__, "parquet", unread(spark.read.__class__.parquet, feed.cleaned_path))
+    assert load(spark, feed) == {"rows": 2, "files": 1}
+
+
+def unread(parquet, path):
+    def read(self, *paths, **options):
+        assert path not in paths, "the table was read"
+        return parquet(self, *paths, **options)
+    return read
+
+
+def test_an_earlier_load_that_runs_again_passes_the_key_gate(spark, tmp_path):
+    root, log = str(tmp_path / "dim"), str(tmp_path / "log")
+    source = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    loads = [source.withColumn("name", F.concat("name", F.lit(str(i)))) for i in range(3)]
+    for i, rows_now in enumerate(loads):
+        conform.conform_scd2(spark, "dim_gate", root, rows_now, "id", f"load-{i}", datetime(2024, 1 + i, 1), "ERP", log)
+    conform.conform_scd2(spark, "dim_gate", root, loads[2], "id", "load-1", datetime(2024, 5, 1), "ERP", log)
+    assert spark.table("dim_gate").select("Skid").distinct().count() == spark.table("dim_gate").count() == 6
+    assert tables.read_log(spark, log).where("DqCheckType = 'PrimaryKeyConsistency'").agg(F.sum("FirstRecordMeasureValue")).first()[0] == 0
+    spark.sql("DROP TABLE dim_gate")
+
+
+def test_a_merge_counts_its_actions_as_it_is_written(spark, tmp_path):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    batch = spark.createDataFrame([(2, "c"), (3, "d"), (None, "e")], "id int, v string")
+    counts = write_merged(merge_actions(target, batch, ["id"], F.lit(None)), lambda df: df.write.parquet(str(tmp_path / "m")))
+    assert counts == {"num_inserted_rows": 2, "num_updated_rows": 1, "num_deleted_rows": 0, "num_affected_rows": 3}
+    assert spark.read.parquet(str(tmp_path / "m")).columns == ["id", "v"]
+
+
 def test_milestone_report(spark):
     data = [
         # code, snapshot, baseline, finish, status

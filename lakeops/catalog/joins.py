@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakeops.catalog.base import query
-from lakeops.operators import joins
+from lakeops.operators import joins, matrix
 
 
 @query("j1_inner_detail", """
@@ -89,7 +89,7 @@ def weighted_totals(t):
 def matrix_product(t):
     a = t.lineitem.select(F.col("l_returnflag").alias("i"), F.col("l_orderkey").alias("k"), F.col("l_quantity").alias("v"))
     b = t.lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("j"), F.col("l_extendedprice").alias("v"))
-    return joins.matrix_product(a, b).withColumn("v", F.round("v", 2))
+    return matrix.matrix_product(a, b).withColumn("v", F.round("v", 2))
 
 
 @query("j10_value_grid", """

@@ -1,4 +1,4 @@
-"""Joins of the load steps and of the matrix forms."""
+"""Joins of the load steps, totals by price and grids of values."""
 
 from __future__ import annotations
 
@@ -57,17 +57,6 @@ def weighted_totals(
     return priced.groupBy(group).agg(F.sum(F.col(quantity) * F.col(price)).alias("total"))
 
 
-def matrix_product(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Product of long-form matrices ``a(i, k, v)`` and ``b(k, j, v)`` as ``(i, j, v)``.
-
-    Cells given several times are summed first, so an inner index meets at most
-    (rows of a) x (columns of b) cells, the size of the result.
-    """
-    left = a.groupBy("i", "k").agg(F.sum("v").alias("x"))
-    right = b.groupBy("k", "j").agg(F.sum("v").alias("y"))
-    return left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("v"))
-
-
 def value_grid(df: DataFrame, x: str, y: str, steps: int) -> DataFrame:
     """All pairs of ``steps`` evenly spaced values between the extremes of two columns.
 

@@ -9,8 +9,8 @@ from conftest import FOLDER
 from tools.check import compare, connect
 
 QUERIES, SQL = repo.queries(), repo.oracle_sql()
-# the vote compares blocks of vectors in numpy
-PYTHON_TASKS = {"l6_neighbour_vote"}
+# blocks of vectors are compared, and tiles of a matrix multiplied, in numpy
+PYTHON_TASKS = {"l6_neighbour_vote", "j9_matrix_product"}
 
 
 @pytest.fixture(scope="module")

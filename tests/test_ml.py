@@ -150,27 +150,39 @@ def test_flags_follow_the_first_table(spark):
     assert fitted.transform(later).first()["a"] == 2.0
 
 
-def test_far_cells_are_not_searched(spark):
-    """Of well separated groups a query meets its own cells only."""
-    import numpy as np
+def test_far_chunks_are_not_sent_and_far_tiles_not_searched(spark, monkeypatch):
+    """Of well separated groups a query meets its own only, and the result is that of comparing all."""
     rng = np.random.default_rng(3)
-    points = [(int(i), [float(x) for x in rng.normal(size=4) + 1000 * (i % 8)], str(i % 8)) for i in range(800)]
-    df = spark.createDataFrame(points, "id long, v array<double>, label string")
-    seen = []
-    whole = neighbours.cells_to_search
+    points = np.array([rng.normal(size=6) + 1000 * (i % 8) for i in range(1600)])
+    df = spark.createDataFrame([(i, [float(x) for x in p], str(i % 8)) for i, p in enumerate(points)], "id long, v array<double>, label string")
+    sent, whole = [], neighbours._further
+
     def counting(*a):
         found = whole(*a)
-        seen.append((found.count(), len(a[2])))
+        sent.append((found.count(), len(a[1]) * len(a[2])))
         return found
-    neighbours.cells_to_search = counting
-    try:
-        got = neighbours.nearest(df, df, "id", "v", "label", 3, skip_self=True)
-        assert got.count() == 2400 and got.where("label <> query % 8").count() == 0
-    finally:
-        neighbours.cells_to_search = whole
-    searched, cells = seen[0]
-    # an eighth of all pairs of query and cell at most
-    assert searched <= 800 * cells / 8
+    monkeypatch.setattr(neighbours, "_further", counting)
+    got = neighbours.nearest(df, df, "id", "v", "label", 3, skip_self=True, block_rows=100)
+    assert got.count() == 4800 and got.where("label <> query % 8").count() == 0
+    pairs, possible = sent[0]
+    assert possible >= 200 and pairs <= possible / 4
+    found = {(r["query"], r["rank"]): r["neighbour"] for r in got.collect()}
+    for i in range(0, 1600, 97):
+        distance = ((points - points[i]) ** 2).sum(axis=1)
+        assert [found[i, k] for k in (1, 2, 3)] == [j for j in np.lexsort((np.arange(1600), distance)) if j != i][:3]
+    *_, skipped = neighbours.search(points, np.arange(1600), points, np.arange(1600), 3, np.full(1600, np.inf), True, tile=50)
+    assert skipped > 0.8
+
+
+def test_share_of_tiles_skipped_on_the_given_vectors(t):
+    """The given vectors point in all directions alike: no tile can be skipped, and the search finds the same."""
+    given = sorted(t.embeddings.select("vec_id", "embedding").collect())
+    points, ids = np.array([r[1] for r in given], float), np.array([r[0] for r in given])
+    q, r, d, skipped = neighbours.search(points, ids, points, ids, 5, np.full(len(ids), np.inf), True, tile=25)
+    assert skipped == 0 and len(q) == 5 * len(ids)
+    for i in range(0, len(ids), 37):
+        distance = ((points - points[i]) ** 2).sum(axis=1)
+        assert r[q == i].tolist() == [j for j in np.lexsort((ids, distance)) if j != i][:5]
 
 
 def test_neighbours_of_copies_and_few_rows(spark):

@@ -5,7 +5,8 @@ the whole corpus, the terms around an entity are compared with how often they
 occur anywhere: the pointwise mutual information of term and entity, as a share of
 the entity's own information content, is how much of it the term gives away. Terms
 beyond a threshold are personal data too, wherever they stand, and are generalised to
-their kind or, where they disclose nearly all, removed.
+their kind or, where they disclose nearly all, removed. A term that most texts hold without
+the entity is none, whatever its share.
 
 Three passes over the texts: the words near entities, the texts that hold each term,
 and the places of the terms that may disclose. A term may if it would, did all texts
@@ -15,6 +16,7 @@ with the rarer of term and entity hold both; only such terms are joined.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,12 +53,15 @@ class Settings:
     Every pair of term and entity is judged. What speaks for it counts in full from
     ``support`` different contexts on, and in proportion below that. A word under
     ``shortest`` characters is judged unless it is in lower case, as "at" is.
-    ``generalise`` and ``remove`` are shares of the entity's information content.
+    Of the texts with a term, ``likely`` is the share that must hold the entity too, at the lower end
+    of its confidence interval (one standard error); so a word that other texts hold as
+    well is no sure sign, however rare the entity is and however large the corpus. ``generalise`` and ``remove`` are shares of the entity's information content.
     """
 
     window: int = 80
     shortest: int = 3
     support: int = 3
+    likely: float = 0.5
     generalise: float = 0.8
     remove: float = 0.95
 
@@ -121,44 +126,74 @@ def _entity(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:{value.lower() if kind < 2 else _digits(value)}"
 
 
-def _contexts(texts: list[str], spans: list[list[tuple[int, int, int]]], s: Settings) -> tuple[list[list[int]], list[list[dict]]]:
-    """For each text its entities, and the words around them: the hashes of entity, context and word."""
+def _entities(text: str, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """The hashes of a text's distinct entities."""
+    block = Block([_entity(kind, text[start:end]).encode() for kind, start, end in spans], LETTERED)
+    own = [_fold(block.hashes[a:b]) for a, b in zip(block.offsets[:-1], block.offsets[1:])]
+    return np.unique(np.array(own, np.uint64)).view(np.int64)
+
+
+def _merged(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, start, end in sorted(spans, key=lambda x: x[1]):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def _around(text: str, start: int, end: int, covered: tuple[list[int], list[int]], s: Settings) -> Iterator[str]:
+    """The words within the window on either side of a span, but those that spans cover in part."""
+    starts, ends = covered
+    for a, b in ((max(0, start - s.window), start), (end, min(len(text), end + s.window))):
+        for m in _WORD.finditer(text, a, b):
+            i, j = m.span()
+            # a word that the edge of the window or the entity cuts is none
+            if (i == a and i > 0 and _WORD.match(text[i - 1])) or (j == b and j < len(text) and _WORD.match(text[j])):
+                continue
+            before = bisect_left(starts, j) - 1  # the last stretch that begins before the word ends
+            if (j - i >= s.shortest or not m.group().islower()) and (before < 0 or ends[before] <= i):
+                yield m.group()
+
+
+def _contexts(texts: list[str], spans: list[list[tuple[int, int, int]]], s: Settings) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each text its entities, and the distinct triples of entity, context and word near it, all as hashes."""
     strings: list[bytes] = []
-    places: list[list[tuple[int, list[int]]]] = []
+    places: list[list[tuple[int, int, int]]] = []
     for text, own in zip(texts, spans):
-        mine = []
+        covered, mine = _merged(own), []
         for kind, start, end in own:
+            entity = len(strings)
             strings.append(_entity(kind, text[start:end]).encode())
-            entity, words = len(strings) - 1, []
-            for a, b in ((max(0, start - s.window), start), (end, min(len(text), end + s.window))):
-                for m in _WORD.finditer(text, a, b):
-                    i, j = m.span()
-                    # a word that the edge of the window or the entity cuts is none
-                    if (i == a and i > 0 and _WORD.match(text[i - 1])) or (j == b and j < len(text) and _WORD.match(text[j])):
-                        continue
-                    if (j - i >= s.shortest or not m.group().islower()) and not any(i < y and x < j for _, x, y in own):
-                        words.append(len(strings))
-                        strings.append(m.group().encode())
-            mine.append((entity, words))
+            strings += [w.encode() for w in _around(text, start, end, covered, s)]
+            mine.append((entity, entity + 1, len(strings)))
         places.append(mine)
     # a word's hash is that of its text; an entity is hashed by all its words in order
     block = Block(strings, LETTERED)
+    words = block.hashes[np.minimum(block.offsets[:-1], max(len(block.hashes) - 1, 0))] if len(block.hashes) else np.empty(0, np.uint64)
     entities, out = [], []
     for mine in places:
-        own, rows = set(), set()
-        for entity, words in mine:
-            whole = _signed(_fold(block.hashes[block.offsets[entity]:block.offsets[entity + 1]]))
-            hashes = [int(block.hashes[block.offsets[k]]) for k in words]
-            context = _signed(_fold(np.array(hashes, np.uint64)))
-            own.add(whole)
-            rows.update((whole, context, _signed(h)) for h in hashes)
-        entities.append(sorted(own))
-        out.append([{"entity": e, "context": c, "term": h} for e, c, h in sorted(rows)])
+        own, rows = [], [np.empty((0, 3), np.uint64)]
+        for entity, first, after in mine:
+            whole = _fold(block.hashes[block.offsets[entity]:block.offsets[entity + 1]])
+            own.append(whole)
+            rows.append(np.column_stack([np.full(after - first, whole, np.uint64), np.full(after - first, _fold(words[first:after]), np.uint64), words[first:after]]))
+        entities.append(np.unique(np.array(own, np.uint64)).view(np.int64))
+        out.append(_distinct_rows(np.concatenate(rows)).view(np.int64))
     return entities, out
 
 
-def _places(texts: list[str], spans: list[list[tuple[int, int, int]]], bits: np.ndarray) -> list[list[dict]]:
-    """For each text the words whose bit is set, and whether they are free of base spans."""
+def _distinct_rows(a: np.ndarray) -> np.ndarray:
+    a = a[np.lexsort(a.T)]
+    return a[np.concatenate([[True], (a[1:] != a[:-1]).any(axis=1)])] if len(a) else a
+
+
+def _places(texts: list[str], spans: list[list[tuple[int, int, int]]], bits: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """For each text the words whose bit is set: term, start, end, and whether it is free of base spans."""
     data = [t.encode() for t in texts]
     block = Block(data, LETTERED)
     at = (block.hashes & np.uint64(_BITS - 1)).astype(np.int64)
@@ -169,26 +204,27 @@ def _places(texts: list[str], spans: list[list[tuple[int, int, int]]], bits: np.
         mine = hits[first[i]:first[i + 1]]
         starts, ends = block.starts[mine] - begin, block.ends[mine] - begin
         begin += len(data[i]) + 1
-        if not len(mine):
-            out.append([])
-            continue
-        if len(data[i]) != len(text):
+        if len(mine) and len(data[i]) != len(text):
             points = np.zeros(len(data[i]) + 1, np.int32)
             np.cumsum(np.frombuffer(data[i], np.uint8) & 0xC0 != 0x80, out=points[1:])
             starts, ends = points[starts], points[ends]
-        taken = np.zeros(len(text) + 1, np.int32)
-        for _, a, b in own:
-            taken[a + 1:b + 1] = 1
-        np.cumsum(taken, out=taken)
-        free = taken[starts] == taken[ends]
-        terms = block.hashes[mine].view(np.int64)
-        out.append([
-            {"term": t, "start": a, "end": b, "free": f}
-            for t, a, b, f in zip(terms.tolist(), starts.tolist(), ends.tolist(), free.tolist())
-        ])
+        _, ends_of_spans = covered = [np.array(x, np.int64) for x in _merged(own)]
+        # the last stretch that begins before a word ends
+        before = np.searchsorted(covered[0], ends, "left") - 1
+        free = (before < 0) | (ends_of_spans[before] <= starts) if len(ends_of_spans) else np.ones(len(mine), bool)
+        out.append((block.hashes[mine].view(np.int64), starts.astype(np.int32), ends.astype(np.int32), free))
     return out
 
 
+def _lists(parts: list, names: list[str] | None = None) -> pa.Array:
+    """A list for each row: of its numbers or, with ``names``, of structs made of its columns."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum([len(p[0]) if names else len(p) for p in parts])]).astype(np.int32))
+    if not names:
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *parts])))
+    columns = [pa.array(np.concatenate(c)) for c in zip(*parts)]
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, names=names))
+
+
 def _fold(hashes: np.ndarray) -> int:
     total = len(hashes)
     for h in hashes.tolist():
@@ -196,10 +232,6 @@ def _fold(hashes: np.ndarray) -> int:
     return total
 
 
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
-
-
 _SPAN = "struct<kind:string,start:int,end:int>"
 _CONTEXT = "struct<entity:bigint,context:bigint,term:bigint>"
 _PLACE = "struct<term:bigint,start:int,end:int,free:boolean>"
@@ -210,7 +242,8 @@ def detect(docs: DataFrame, text: str = "text", settings: Settings = Settings())
     def build():
         def work(texts, rows):
             whole = [as_text(t) for t in texts]
-            return _contexts(whole, [base_spans(t) for t in whole], settings)
+            entities, around = _contexts(whole, [base_spans(t) for t in whole], settings)
+            return [_lists(entities), _lists([tuple(a.T) for a in around], ["entity", "context", "term"])]
         return work
     return map_texts(docs, [], text, f"entities array<bigint>, around array<{_CONTEXT}>", build).where(F.size("entities") > 0)
 
@@ -238,8 +271,8 @@ def locate(docs: DataFrame, terms: DataFrame, keep: list[str], text: str = "text
             spans = [base_spans(t) for t in whole]
             return [
                 [[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in own] for own in spans],
-                _contexts(whole, spans, settings)[0],
-                _places(whole, spans, held),
+                _lists([_entities(t, own) for t, own in zip(whole, spans)]),
+                _lists(_places(whole, spans, held), ["term", "start", "end", "free"]),
             ]
         return work
     return map_texts(docs, keep, text, f"base array<{_SPAN}>, entities array<bigint>, places array<{_PLACE}>", build, prefix)
@@ -278,23 +311,32 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _at_least(n_both: Column) -> Column:
+    """The lower end of the score interval, at one standard error, for the share of a term's texts that hold the entity."""
+    n, share = F.col("n_docs").cast("double"), n_both / F.col("n_docs")
+    return (share + 0.5 / n - F.sqrt(share * (1 - share) / n + 0.25 / (n * n))) / (1 + 1 / n)
+
+
 def _share(n_both: Column, n_docs: int, settings: Settings) -> Column:
+    """How much of the entity's information content the term gives away; null unless the entity is likely where the term is."""
     trust = F.least(F.lit(1.0), F.col("contexts") / F.lit(float(max(settings.support, 1))))
     lift = n_both * F.lit(float(n_docs)) / F.col("n_docs") / F.col("n_entity")
-    return F.log2(trust * lift + 1 - trust) / F.log2(F.lit(float(max(n_docs, 1))) / F.col("n_entity"))
+    share = F.log2(trust * lift + 1 - trust) / F.log2(F.lit(float(max(n_docs, 1))) / F.col("n_entity"))
+    return F.when(_at_least(n_both) >= settings.likely - 1e-9, share)
 
 
 def candidates(near: DataFrame, counts: DataFrame, n_docs: int, settings: Settings = Settings()) -> DataFrame:
     """``entity``, ``term`` and their counts, for the pairs that may reach the lower threshold.
 
     ``near`` is what ``detect`` returns. Of a pair no more texts hold both than hold
-    the rarer one; pairs that stay below the threshold even so are left out.
+    the rarer one; pairs that stay below the threshold even so are left out. A word beside
+    many entities is in many pairs before that, and in few after it: those of entities that half of its texts hold.
     """
     entities = near.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     pairs = near.select(F.explode("around").alias("w")).select("w.*").groupBy("entity", "term").agg(
         F.countDistinct("context").alias("contexts")
     )
-    return pairs.join(entities, "entity").join(counts, "term").where(F.col("n_entity") < n_docs).where(
+    return spread_join(materialize(pairs.join(entities, "entity"), "pairs"), counts, ["term"]).where(F.col("n_entity") < n_docs).where(
         _share(F.least("n_docs", "n_entity"), n_docs, settings) >= settings.generalise
     )
 

@@ -1,8 +1,11 @@
 """Byte-pair encoding, benchmark windows and personal data."""
 
+import collections
+import math
 import random
 import re
 import struct
+import time
 
 import public_tokenizers
 import pytest
@@ -192,6 +195,73 @@ def test_terms_are_marked_in_whole_texts(documents):
     assert all(len(found[i]) == 1 for i, _ in more if i >= 3000)
 
 
+def plain_terms(docs, s=pii.Settings()):
+    """The terms of each text, by counting everything in plain Python."""
+    lower = lambda w: "".join(c.lower() if c.isascii() else c for c in w)
+    spans = {i: plain_spans(t) for i, t in docs}
+    words = {i: [(m.start(), m.end(), lower(m.group())) for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t)] for i, t in docs}
+    contexts, holds = collections.defaultdict(set), collections.defaultdict(set)
+    for i, text in docs:
+        for kind, a, b in spans[i]:
+            value = text[a:b]
+            entity = (kind, value.lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", value))
+            holds[entity].add(i)
+            near = []
+            for lo, hi in ((a - s.window, a), (b, b + s.window)):
+                near += [(x, y, w) for x, y, w in words[i] if lo <= x and y <= hi and not any(x < q and p < y for _, p, q in spans[i])]
+            near = [w for x, y, w in near if y - x >= s.shortest or not text[x:y].islower()]
+            for w in near:
+                contexts[entity, w].add(tuple(near))
+    n, share = len(docs), collections.defaultdict(float)
+    for (entity, w), seen in contexts.items():
+        of_term = {i for i, _ in docs if any(w == x[2] for x in words[i])}
+        both, n_term, n_entity = len(of_term & holds[entity]), len(of_term), len(holds[entity])
+        p = both / n_term
+        low = (p + 0.5 / n_term - math.sqrt(p * (1 - p) / n_term + 0.25 / n_term**2)) / (1 + 1 / n_term)
+        if n_entity < n and low >= s.likely - 1e-9:
+            trust = min(1, len(seen) / s.support)
+            share[w] = max(share[w], math.log2(trust * both * n / n_term / n_entity + 1 - trust) / math.log2(n / n_entity))
+    return {i: [(a, b) for a, b, w in words[i] if share[w] >= s.generalise and not any(a < q and p < b for _, p, q in spans[i])] for i, _ in docs}
+
+
+def test_terms_equal_plain_counting(documents):
+    rng = random.Random(12)
+    names = ["Li", "Ünsal", "the"] + [f"Name{chr(97 + i)}x" for i in range(22)]
+    docs = []
+    for i in range(340):
+        text = sentence(rng, ENGLISH, rng.choice([5, 25, 60]))
+        if i % 3 == 0:
+            who = rng.randrange(len(names))
+            value = [f"p{who}@x.example.com", f"10.0.0.{who}", f"+1 989 555 32{10 + who}", f"p{i}@y.example"][(who + (i % 5 == 0)) % 4]
+            text += f" {names[who]} {rng.choice(['at', 'near', 'Mr', ''])} {value} " + sentence(rng, ENGLISH, 12)
+        if i % 17 == 0:
+            text += f" {rng.choice(names)} {i}th"
+        docs.append((i, text))
+    found = {r["doc_id"]: [(x["start"], x["end"]) for x in r["terms"]] for r in pii.find_personal(documents(docs), ["doc_id"]).collect()}
+    wanted = plain_terms(docs)
+    assert found == wanted and sum(map(len, wanted.values())) > 30
+
+
+def test_planted_names_are_found_and_other_words_stay(documents):
+    """Rare words beside an address that clean texts hold too are left alone there."""
+    rng = random.Random(13)
+    rare = ["".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(4)) for _ in range(400)]
+    names = [f"Name{chr(97 + i // 26)}{chr(97 + i % 26)}son" for i in range(60)]
+    docs = [(i, f"{sentence(rng, ENGLISH, 20)} {rng.choice(rare)} {sentence(rng, ENGLISH, 5)} {rng.choice(rare)}") for i in range(900)]
+    docs += [(1000 + i, f"{sentence(rng, ENGLISH, 8)} {rng.choice(rare)} {n} {n.lower()}@x.example.com {rng.choice(rare)} {sentence(rng, ENGLISH, 8)}") for i, n in enumerate(names)]
+    terms = {r["doc_id"]: r["terms"] for r in pii.find_personal(documents(docs), ["doc_id"]).collect()}
+    assert sum(bool(terms[i]) for i in range(900)) <= 9
+    assert all(any(t[x["start"]:x["end"]] == names[i - 1000] for x in terms[i]) for i, t in docs if i >= 1000)
+
+
+def test_many_entities_in_one_text_take_linear_time(documents):
+    text = " ".join(f"person{i} wrote m{i}@x{i % 7}.example.com and left" for i in range(50_000))
+    begun = time.monotonic()
+    found = pii.find_personal(documents([(1, text), (2, "other words"), (3, None)], 1), ["doc_id"]).collect()
+    assert {r["doc_id"]: len(r["base"]) for r in found} == {1: 50_000, 2: 0, 3: 0}
+    assert time.monotonic() - begun < 60
+
+
 def test_redaction_joins_overlaps():
     base = [{"kind": "card", "start": 2, "end": 8}, {"kind": "phone", "start": 0, "end": 5}]
     assert pii.redacted("0123456789", base, [{"start": 9, "end": 10, "share": 0.8}]) == "[phone]8[term]"

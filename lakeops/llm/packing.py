@@ -19,6 +19,7 @@ import heapq
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ from lakeops.llm.words import SPACED, hash_words
 SIZE = 2048
 #: words a task keeps encoded; beyond it, it starts anew
 KEPT = 600_000
+#: words of letters that are encoded as one text
+TOGETHER = 200
 _RANK_BITS = np.uint64(48)
 
 
@@ -71,6 +74,9 @@ class WordEncoder:
 
     def __init__(self, tokenizer: Tokenizer, end: int, kept: int = KEPT):
         self.tokenizer, self.end, self.kept = tokenizer, end, kept
+        vocabulary = tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for name, i in vocabulary.items() if name.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -79,16 +85,33 @@ class WordEncoder:
         self.at, self.len = np.zeros(1, np.int64), np.ones(1, np.int64)
         self.hashes, self.words = np.empty(0, np.uint64), np.empty(0, np.int64)
 
-    def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast([as_text(t) for t in texts], add_special_tokens=False)]
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each has."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        new = np.fromiter((i for ids in found for i in ids), "<u4", int(lengths.sum()))
-        words = len(self.at) + np.arange(len(found))
+        return np.fromiter(chain.from_iterable(found), "<u4", int(lengths.sum())), lengths
+
+    def _ids_of_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of ASCII letters: many as one text, cut where an id ends a word."""
+        ids, _ = self._ids([" ".join(words[at:at + TOGETHER]) for at in range(0, len(words), TOGETHER)])
+        last = np.flatnonzero(self.ends_word[ids])
+        if len(last) != len(words):  # a tokenizer that does not mark the ends of words
+            return self._ids(words)
+        return ids, np.diff(last, prepend=-1)
+
+    def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
+        plain = np.fromiter((t.isalpha() for t in texts), bool, len(texts))
+        order = np.argsort(~plain, kind="stable")
+        hashes, texts = hashes[order], [as_text(texts[i]) for i in order.tolist()]
+        parts = self._ids_of_letters(texts[:plain.sum()]), self._ids(texts[plain.sum():])
+        new, lengths = (np.concatenate(x) for x in zip(*parts))
+        words = len(self.at) + np.arange(len(texts))
         self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(lengths) - lengths])
         self.len = np.concatenate([self.len, lengths])
         self.flat = np.concatenate([self.flat, new])
-        place = np.searchsorted(self.hashes, hashes)
-        self.hashes, self.words = np.insert(self.hashes, place, hashes), np.insert(self.words, place, words)
+        order = np.argsort(hashes)
+        place = np.searchsorted(self.hashes, hashes[order])
+        self.hashes, self.words = np.insert(self.hashes, place, hashes[order]), np.insert(self.words, place, words[order])
 
     def _unknown(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes):

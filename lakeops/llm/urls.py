@@ -174,12 +174,14 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], keep: list[str], url:
     """
     new = ("host", "path", "rule", "verdict")
     kept = [c for c in keep if c.lower() not in new]
-    rows = pages.select(*[named(c) for c in kept], named(url).cast("string").alias("__url")) \
-        .withColumn("host", host(F.col("__url"))).withColumn("path", path(F.col("__url")))
+    p = free_prefix(pages)
+    whole, ruled_as, learned = (p + x for x in ("url", "ruled", "learned"))
+    rows = pages.select(*[named(c) for c in kept], named(url).cast("string").alias(whole)) \
+        .withColumn("host", host(F.col(whole))).withColumn("path", path(F.col(whole)))
     name, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    ruled = rows.withColumn("rule", name).withColumn("__ruled", verdict)
-    model = fit(ruled.where(F.col("__ruled").isNotNull()), "__url", "__ruled", settings)
-    judged = model.verdict(ruled, "__url", "host", "path", "__learned")
+    ruled = rows.withColumn("rule", name).withColumn(ruled_as, verdict)
+    model = fit(ruled.where(F.col(ruled_as).isNotNull()), whole, ruled_as, settings)
+    judged = model.verdict(ruled, whole, "host", "path", learned)
     return judged.select(
-        *[named(c) for c in kept], "host", "path", "rule", F.coalesce("__ruled", "__learned").alias("verdict"),
+        *[named(c) for c in kept], "host", "path", "rule", F.coalesce(ruled_as, learned).alias("verdict"),
     )

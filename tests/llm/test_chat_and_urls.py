@@ -132,6 +132,14 @@ def test_trees_tell_held_out_urls(spark):
     assert judged.where("told = verdict").count() >= 590 and judged.columns == ["url", "verdict", "h", "p", "told"]
 
 
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(i, f"https://h{i % 5}.{'org' if i % 2 else 'com'}/{'de' if i % 4 else 'fr'}/{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string").withColumns({c: F.lit(c) for c in ("__url", "__ruled", "__learned", "___x", "host")})
+    got = urls.judge(df, [("allow", "org/"), ("block", "com/de/")], ["page_id", "__url", "__ruled", "__learned", "___x", "host"])
+    assert got.columns == ["page_id", "__url", "__ruled", "__learned", "___x", "host", "path", "rule", "verdict"]
+    assert got.where("__url = '__url' AND __ruled = '__ruled' AND ___x = '___x' AND host LIKE 'h%'").count() == 40
+
+
 def test_one_kind_of_label_or_none(spark):
     df = spark.createDataFrame([("http://a.org/", "block")], "url string, verdict string")
     assert urls.fit(df).only == "block" and urls.fit(df.limit(0)).only == "allow"

@@ -38,6 +38,7 @@ from lakeops.durable import materialize
 from lakeops.llm.components import components
 from lakeops.llm.frames import TEXT, bound_batches, free_prefix, lean, map_texts, named
 from lakeops.llm.words import SPACED, Block, mix, small_blocks, window_hashes
+from lakeops.operators.skew import hashable
 
 WIDTH = 5
 #: postings a task sorts at a time, and those of one range of hashes
@@ -416,7 +417,12 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _rest(keys: DataFrame, roots: DataFrame, compared: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs under a common key that are not connected yet, not compared and not ruled out."""
+    """Pairs under a common key that are not connected yet, not compared and not ruled out.
+
+    Linked sets of sizes a and b differ in (a + b) / 7 shingles at most, so one of them at least has no
+    more than a seventh of its own that are in no other set. Only such sets are joined with the others of their
+    key: documents that share a passage and have more than that of their own never meet.
+    """
     placed = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
     bits = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_WORDS)]
@@ -429,8 +435,10 @@ def _rest(keys: DataFrame, roots: DataFrame, compared: DataFrame, sets: DataFram
     differ = F.col("unshared") + F.col("unshared_2")
     for i in range(PARITY_WORDS):
         differ = differ + F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"p{i}_2")))
-    met = placed.join(other, "key").where(
-        (F.col("node") < F.col("node_2")) & (F.col("root") != F.col("root_2")) & _possible("n", "place", "n_2", "place_2")
+    close = placed.where("7 * unshared <= n")
+    once = (F.col("node") < F.col("node_2")) | (7 * F.col("unshared_2") > F.col("n_2"))
+    met = close.join(other, "key").where(
+        (F.col("node") != F.col("node_2")) & once & (F.col("root") != F.col("root_2")) & _possible("n", "place", "n_2", "place_2")
         & (7 * differ <= F.col("n") + F.col("n_2"))
     )
     return _pairs(met.select("node", F.col("node_2").alias("node2"))).join(compared, ["a", "b"], "left_anti")
@@ -499,7 +507,7 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH) -> DataFrame:
     """The rows of ``docs`` without those that are linked with a kept one.
 
-    Of each component the row with the smallest id stays, of rows that repeat it one;
+    Of each component the row with the smallest id stays, of rows that repeat it always the same;
     all rows with an empty set stay. The columns of ``docs`` are kept as they are.
     """
     _, known = classes_of(docs, text, doc_id, width)
@@ -513,5 +521,9 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
     found = rows.withColumn(f"{p}alone", alone).join(kept, is_kept & same_id, "left").where(
         F.col(f"{p}kept_hi").isNotNull() | (F.col(f"{p}n_shingles") == 0)
     )
-    single = found.dropDuplicates([f"{p}hi", f"{p}lo", f"{p}n_shingles", f"{p}alone"])
-    return single.select(*[named(c) for c in docs.columns])
+    # of rows that differ in other columns the one with the smallest hash of them all, wherever they lie
+    whole = F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    single = found.groupBy(f"{p}hi", f"{p}lo", f"{p}n_shingles", f"{p}alone").agg(
+        F.min_by(whole, F.xxhash64(*[named(c) for c in hashable(docs)])).alias("kept")
+    )
+    return single.select("kept.*").toDF(*docs.columns)

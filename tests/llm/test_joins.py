@@ -143,6 +143,35 @@ def test_one_row_of_each_group_stays(documents, odd):
     assert kept.where("doc_id IN (1, 2, 3, 5000)").count() == 5
 
 
+def test_of_rows_that_repeat_an_id_always_the_same_stays(spark):
+    rows = [(1, "one two three four five six", f"other {i}") for i in range(12)] + [(2, "", "x"), (2, "", "y")]
+    kept = set()
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows[::-1] if parts == 3 else rows, "doc_id long, text string, `a.b` string").repartition(parts)
+        got = sorted(tuple(r) for r in similar.one_of_each(df).collect())
+        assert len(got) == 3 and got[1:] == [(2, "", "x"), (2, "", "y")]
+        kept.add(got[0])
+    assert len(kept) == 1
+
+
+def test_a_shared_passage_makes_no_pairs(documents, monkeypatch):
+    """Documents that share 50 words and have 14 of their own: near under many keys, and never compared with each other."""
+    rng = random.Random(4)
+    passage = " ".join(f"common{i}" for i in range(50))
+    docs = [(i, passage + " " + " ".join(f"own{i}x{j}" for j in range(14))) for i in range(300)]
+    docs += [(1000 + i, docs[i][1] + " " + rng.choice(ENGLISH)) for i in range(0, 300, 7)]  # near copies of some
+    made, whole = [], similar._rest
+
+    def counting(*a):
+        found = whole(*a)
+        made.append(found.count())
+        return found
+    monkeypatch.setattr(similar, "_rest", counting)
+    got = {r["doc_id"]: r["component_id"] for r in similar.link(documents(docs)).collect()}
+    assert got == {i: i - 1000 if i >= 1000 else i for i, _ in docs}
+    assert made[0] <= len(docs)
+
+
 def test_no_documents(documents):
     assert similar.link(documents([])).count() == 0
     assert similar.link(documents([(1, None), (2, "")])).count() == 2

@@ -13,11 +13,11 @@ from lakeops.catalog.base import query
 from lakeops.catalog.texts import PAIRS, WORDS
 from lakeops.durable import fresh_path, materialize
 from lakeops.functions.scalars import date_parts
-from lakeops.ml import features, models, neighbours
+from lakeops.ml import features, gram, models, neighbours
 from lakeops.operators import ranking, text
 
 PRICE_COLUMNS = ["l_quantity", "l_discount", "l_tax", "saleYear", "saleMonth"]
-DOCUMENT_COLUMNS = ["n_chars", "n_words", "n_lines"]
+DOCUMENT_COLUMNS = ["n_chars", "n_words", "n_lines", "word_length", "marks", "capitals", "distinct"]
 
 
 def vectors(t):
@@ -25,18 +25,33 @@ def vectors(t):
     return t.embeddings.select("vec_id", models.vector_of("embedding").alias("features"), F.col("label").cast("double").alias("label"))
 
 
-def lines(t):
+def lines(t, *keep):
     """Line items with the price as label."""
     rows = t.lineitem.withColumns(date_parts(F.col("l_shipdate"), "sale"))
-    return models.assembled(rows, PRICE_COLUMNS, "l_extendedprice", ["l_orderkey", "l_linenumber"])
+    return models.assembled(rows, PRICE_COLUMNS, "l_extendedprice", list(keep))
 
 
 def documents(t):
     """Labelled documents with simple counts; the label is their quality."""
-    counted = t.documents.withColumns({
-        "n_words": F.size(F.split(F.trim("text"), r"\s+")), "n_lines": F.size(F.split("text", "\n")),
+    return models.assembled(counted_documents(t), DOCUMENT_COLUMNS, "quality", ["doc_id"])
+
+
+def lengths(t):
+    """Documents with their length as label."""
+    return models.assembled(with_counts(t.documents.where("text IS NOT NULL")), ["n_words", "n_lines", "word_length"], "n_chars")
+
+
+def counted_documents(t):
+    return with_counts(t.documents).join(t.labels, "doc_id")
+
+
+def with_counts(documents):
+    words = F.split(F.lower(F.trim("text")), r"\s+")
+    share = lambda left_out: F.length(F.regexp_replace("text", left_out, "")) / F.greatest(F.length("text"), F.lit(1))
+    return documents.withColumns({
+        "n_words": F.size(words), "n_lines": F.size(F.split("text", "\n")), "word_length": F.length("text") / F.size(words),
+        "marks": share(r"[\p{L}\s]"), "capitals": share("[^A-Z]"), "distinct": F.size(F.array_distinct(words)) / F.size(words),
     }).drop("text")
-    return models.assembled(counted.join(t.labels, "doc_id"), DOCUMENT_COLUMNS, "quality", ["doc_id"])
 
 
 def halves(df, *ids):
@@ -54,33 +69,79 @@ def per_label(df, *measures):
     return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"), *measures)
 
 
+def majority(df):
+    """The share of the most frequent label: what calling it always gets right."""
+    counts = df.groupBy("label").agg(F.count(F.lit(1)).alias("c"))
+    return counts.agg((F.max("c") / F.sum("c")).alias("m"))
+
+
+def against_majority(found, times=1.0, left=1.0):
+    """Rows, the majority's share, and whether the calls are right more than ``times`` as often and wrong at most ``left`` as often."""
+    right = found.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("right"))
+    beats = (F.col("right") > times * F.col("m")) & (1 - F.col("right") <= left * (1 - F.col("m")))
+    return right.withColumn("m", majority(found).scalar()).select("n", F.round("m", 6).alias("majority_share"), beats.alias("beats_majority"))
+
+
+def majority_sql(label, rows):
+    counts = f"(SELECT count(*) AS c FROM {rows} GROUP BY {label})"
+    return f"SELECT sum(c)::BIGINT AS n, round(max(c) / sum(c), 6)::DOUBLE AS majority_share, TRUE AS beats_majority FROM {counts}"
+
+
+def against_mean(found, left=0.5):
+    """Rows, the error of always saying the mean, and whether that of the predictions is at most ``left`` of it."""
+    error = F.sqrt(F.avg((F.col("label") - F.col("prediction")) ** 2))
+    sums = found.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("e"), error.alias("own"))
+    return sums.select("n", F.round("e", 4).alias("mean_error"), (F.col("own") <= left * F.col("e")).alias("below_it"))
+
+
 def total_probability(name="probability"):
     return F.aggregate(vector_to_array(name), F.lit(0.0), lambda s, x: s + x)
 
 
 # with a free intercept the probabilities of a class add up to its rows
-@query("l1_logistic_regression", "SELECT label::DOUBLE AS label, count(*) AS n, count(*) AS expected FROM embeddings GROUP BY 1")
+@query("l1_logistic_regression", f"""
+    SELECT label::DOUBLE AS label, count(*) AS n, count(*) AS expected, any_value(beats_majority) AS beats_majority
+    FROM embeddings, ({majority_sql('label', 'embeddings')}) GROUP BY 1""")
 def logistic_regression(t):
     fitted = LogisticRegression(regParam=0.01, maxIter=100, tol=1e-9).fit(vectors(t))
-    probabilities = fitted.transform(vectors(t)).select(F.posexplode(vector_to_array("probability")).alias("label", "p"))
+    found = fitted.transform(vectors(t))
+    probabilities = found.select(F.posexplode(vector_to_array("probability")).alias("label", "p"))
     expected = probabilities.groupBy(F.col("label").cast("double").alias("label")).agg(F.round(F.sum("p")).cast("bigint").alias("expected"))
-    return per_label(vectors(t)).join(expected, "label")
+    return per_label(vectors(t)).join(expected, "label").withColumn("beats_majority", against_majority(found, 2.0).select("beats_majority").scalar())
+
 
+def forest_calls(t):
+    return RandomForestClassifier(numTrees=20, maxDepth=6, seed=42).fit(vectors(t)).transform(vectors(t))
 
-@query("l2_forest_classifier", "SELECT label::DOUBLE AS label, count(*) AS n, round(count(*), 6)::DOUBLE AS total FROM embeddings GROUP BY 1")
+
+@query("l2_forest_classifier", majority_sql("label", "embeddings"))
 def forest_classifier(t):
-    fitted = RandomForestClassifier(numTrees=20, maxDepth=6, seed=42).fit(vectors(t))
-    return per_label(fitted.transform(vectors(t)), F.round(F.sum(total_probability()), 6).alias("total"))
+    return against_majority(forest_calls(t), 2.0)
+
+
+@query("l2_forest_predictions")
+def forest_predictions(t):
+    return models.with_probability(forest_calls(t), ["vec_id", "label"])
+
+
+def forest_prices(t):
+    rows = lines(t, "l_orderkey", "l_linenumber")
+    return scored(models.forest_regressor(numTrees=10, maxDepth=6, seed=42).fit(rows), rows, "l_orderkey", "l_linenumber")
+
+
+# the prices of order lines hang on nothing they hold, so what a fit is worth shows on the lengths of documents
+ERROR_SQL = "SELECT count(*) AS n, round(stddev_pop(n_chars), 4) AS mean_error, TRUE AS below_it FROM documents WHERE text IS NOT NULL"
 
 
-# a forest's estimates are means of labels, so they lie between the extremes
-@query("l3_forest_regressor", "SELECT count(*) AS n, count(*) AS inside FROM lineitem")
+@query("l3_forest_regressor", ERROR_SQL)
 def forest_regressor(t):
-    rows = lines(t)
-    found = scored(models.forest_regressor(numTrees=10, maxDepth=6, seed=42).fit(rows), rows)
-    low, high = (found.agg(f("label")).scalar() for f in (F.min, F.max))
-    inside = found.withColumns({"low": low, "high": high}).select(F.col("prediction").between(F.col("low"), F.col("high")).alias("i"))
-    return inside.agg(F.count(F.lit(1)).alias("n"), F.count_if("i").alias("inside"))
+    rows = lengths(t)
+    return against_mean(scored(models.forest_regressor(numTrees=10, maxDepth=8, seed=42).fit(rows), rows))
+
+
+@query("l3_forest_predictions")
+def price_predictions(t):
+    return forest_prices(t)
 
 
 # one column: the slope shrinks by 1 + penalty / deviation of the label
@@ -92,16 +153,14 @@ def ridge(t):
     return t.spark.createDataFrame([(round(float(fitted.coefficients[0]), 2),)], "slope double")
 
 
-@query("l5_linear_svm", """
-    SELECT quality::DOUBLE AS label, count(*) AS n, count(*) > 0.5 * (SELECT count(*) FROM documents JOIN labels USING (doc_id)) AS most_called
-    FROM documents JOIN labels USING (doc_id) GROUP BY 1""")
+LABELLED_DOCUMENTS = "(documents JOIN labels USING (doc_id))"
+
+
+# at most half of the majority's errors are left
+@query("l5_linear_svm", majority_sql("quality", LABELLED_DOCUMENTS))
 def linear_svm(t):
-    found = scored(LinearSVC(maxIter=30).fit(documents(t)), documents(t), "doc_id").cache()
-    called = found.groupBy(F.col("prediction").alias("label")).agg(F.count(F.lit(1)).alias("called"))
-    size = found.agg(F.count(F.lit(1))).scalar()
-    return per_label(found).join(called, "label", "left").withColumn("size", size).select(
-        "label", "n", (F.coalesce("called", F.lit(0)) > 0.5 * F.col("size")).alias("most_called")
-    )
+    rows = documents(t)
+    return against_majority(scored(LinearSVC(maxIter=30).fit(rows), rows, "doc_id"), left=0.5)
 
 
 # every vector is classed by the five nearest of the others
@@ -128,24 +187,39 @@ def line_fit(t):
 
 
 # trees of leaf means leave residuals that add up to nothing
-@query("l8_boosted_regression", "SELECT count(*) AS n, round(avg(l_extendedprice)) AS mean FROM lineitem")
+@query("l8_boosted_regression", f"SELECT *, (SELECT round(avg(n_chars)) FROM documents WHERE text IS NOT NULL) AS mean FROM ({ERROR_SQL})")
 def boosted_regression(t):
-    found = scored(GBTRegressor(maxIter=10, maxDepth=4, seed=42).fit(lines(t)), lines(t))
-    return found.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction")).alias("mean"))
+    found = scored(GBTRegressor(maxIter=10, maxDepth=4, seed=42).fit(lengths(t)), lengths(t))
+    return against_mean(found).withColumn("mean", found.agg(F.round(F.avg("prediction"))).scalar())
 
 
-@query("l9_perceptron", "SELECT label::DOUBLE AS label, count(*) AS n, round(count(*), 6)::DOUBLE AS total FROM embeddings GROUP BY 1")
-def perceptron(t):
+def perceptron_calls(t):
     net = MultilayerPerceptronClassifier(layers=[64, 16, 10], maxIter=30, seed=42)
-    return per_label(net.fit(vectors(t)).transform(vectors(t)), F.round(F.sum(total_probability()), 6).alias("total"))
+    return net.fit(vectors(t)).transform(vectors(t))
+
+
+@query("l9_perceptron", majority_sql("label", "embeddings"))
+def perceptron(t):
+    return against_majority(perceptron_calls(t), 2.0)
 
 
+@query("l9_perceptron_predictions")
+def perceptron_predictions(t):
+    return models.with_probability(perceptron_calls(t), ["vec_id", "label"])
+
+
+# the next character is better known from the one before than from how often each occurs
 @query("l10_pair_regression", f"""
-    WITH {WORDS}, {PAIRS} SELECT c1, CAST(sum(n) AS BIGINT) AS n, count(*)::DOUBLE AS total FROM pairs GROUP BY 1""")
+    WITH {WORDS}, {PAIRS}, c AS (SELECT c2, sum(n)::DOUBLE AS n FROM pairs GROUP BY 1), t AS (SELECT sum(n) AS t FROM c)
+    SELECT round(any_value(t))::BIGINT AS n, round(-sum(n / t * ln(n / t)), 6) AS entropy, TRUE AS below_it FROM c, t""")
 def pair_regression(t):
     pairs = materialize(text.pair_counts(text.word_counts(t.documents, "text")), "pairs")
     found = models.pair_regression(pairs).transform(pairs)
-    return found.groupBy("c1").agg(F.sum("n").alias("n"), F.round(F.sum(total_probability()), 6).alias("total"))
+    told = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
+    own = found.agg((-F.sum(F.col("n") * F.log(told)) / F.sum("n")).alias("own"))
+    shares = pairs.groupBy("c2").agg(F.sum("n").alias("n")).withColumn("t", pairs.agg(F.sum("n")).scalar()).withColumn("p", F.col("n") / F.col("t"))
+    entropy = shares.agg(F.sum("n").alias("n"), (-F.sum(F.col("p") * F.log("p"))).alias("e"))
+    return entropy.withColumn("own", own.scalar()).select("n", F.round("e", 6).alias("entropy"), (F.col("own") < F.col("e")).alias("below_it"))
 
 
 def quality_scores():
@@ -153,30 +227,51 @@ def quality_scores():
 
 
 # the folds and parts of the labelled documents
-LABELLED = "(SELECT doc_id, md5('42:' || doc_id) AS h FROM documents JOIN labels USING (doc_id))"
-FOLDS = "(SELECT ('0x' || h[1:8])::BIGINT % {} AS fold, count(*) AS n FROM {} GROUP BY 1)"
-GOOD = 0.5
+LABELLED = "(SELECT doc_id, quality, md5('42:' || doc_id) AS h FROM documents JOIN labels USING (doc_id))"
+FOLDS = f"(SELECT ('0x' || h[1:8])::BIGINT % 3 AS fold, count(*) AS n FROM {LABELLED} GROUP BY 1)"
 
 
 def by_fold(table, df, ids, folds):
-    """Each draw's score, whether it is above ``GOOD``, beside the rows of each fold."""
+    """Beside the rows of each fold whether a draw's score is above the share of the most frequent label."""
     counts = models.with_fold(df, ids, folds, 42).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
-    draws = table.select("draw", (F.col("score") > GOOD).alias("good"), F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
-    return draws.join(counts, "fold").select(F.col("draw").cast("bigint").alias("draw"), F.col("fold").cast("bigint").alias("fold"), "n", "good")
+    scores = table.withColumn("m", majority(df).scalar())
+    draws = scores.select("draw", F.round("m", 6).alias("majority_share"), (F.col("score") > F.col("m")).alias("beats_majority"),
+                          F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
+    return draws.join(counts, "fold").select(
+        F.col("draw").cast("bigint").alias("draw"), F.col("fold").cast("bigint").alias("fold"), "n", "majority_share", "beats_majority")
+
 
+def cross_sql(draws):
+    whole = majority_sql("quality", LABELLED)
+    return f"SELECT draw, fold, f.n, majority_share, beats_majority FROM {FOLDS} f, (SELECT unnest(range({draws})) AS draw), ({whole})"
 
-def cross_sql(draws, folds, rows=LABELLED):
-    return f"SELECT draw, fold, n, TRUE AS good FROM {FOLDS.format(folds, rows)}, (SELECT unnest(range({draws})) AS draw)"
 
+# sums of a fold, and the weights and scores of a line fitted on others
+SUMS = "count(*)::DOUBLE AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy"
+ADDED = ", ".join(f"sum(b.{c}) AS {c}" for c in ("n", "sx", "sy", "sxx", "sxy", "syy"))
+SLOPE = "(sxy - sx * sy / n) / (sxx - sx * sx / n + penalty)"
+R2 = "round(1 - (syy - 2 * a * sxy - 2 * b * sy + a * a * sxx + 2 * a * b * sx + b * b * n) / (syy - sy * sy / n), 6)"
+# a text's bytes by its characters
+BYTES = "SELECT md5('42:' || doc_id) AS h, n_chars::DOUBLE AS x, strlen(text)::DOUBLE AS y FROM documents WHERE text IS NOT NULL"
+PENALTIES = [0.0, 1e8, 1e10]
 
-@query("l11_cross_validation", cross_sql(1, 5))
+
+def text_bytes(t):
+    return t.documents.select("doc_id", "n_chars", F.octet_length("text").alias("bytes"))
+
+
+@query("l11_cross_validation", f"""
+    WITH f AS (SELECT ('0x' || h[1:8])::BIGINT % 5 AS fold, {SUMS} FROM ({BYTES}) GROUP BY 1),
+         t AS (SELECT a.fold AS of, {ADDED} FROM f a JOIN f b ON a.fold <> b.fold GROUP BY 1),
+         s AS (SELECT of, penalty, {SLOPE} AS a, n AS tn, sx AS tx, sy AS ty FROM t, (SELECT unnest({PENALTIES}) AS penalty)),
+         w AS (SELECT of, penalty, a, (ty - a * tx) / tn AS b FROM s)
+    SELECT penalty::DOUBLE AS penalty, fold, n::BIGINT AS n, {R2} AS r2 FROM f JOIN w ON fold = of""")
 def cross_validation(t):
-    rows = documents(t)
-    _, table = models.cross_scores(LogisticRegression(maxIter=20), [{}], rows, quality_scores(), ["doc_id"], folds=5)
-    return by_fold(table, rows, ["doc_id"], 5)
+    table = gram.cross_scores(text_bytes(t), ["n_chars"], "bytes", ["doc_id"], PENALTIES)
+    return table.withColumn("r2", F.round("r2", 6))
 
 
-@query("l12_random_search", cross_sql(4, 3))
+@query("l12_random_search", cross_sql(4))
 def random_search(t):
     forest = RandomForestClassifier(seed=42)
     grid = models.grid_of({forest.numTrees: [5, 10], forest.maxDepth: [3, 5], forest.minInstancesPerNode: [1, 5]})
@@ -184,52 +279,62 @@ def random_search(t):
     return by_fold(table, documents(t), ["doc_id"], 3)
 
 
-@query("l13_grid_search", cross_sql(4, 3, "(SELECT md5('42:' || o_orderkey) AS h FROM orders)"))
+@query("l13_grid_search", cross_sql(4))
 def grid_search(t):
-    hot = features.one_hot_stages(["o_orderpriority"], ["o_totalprice"])
+    hot = features.one_hot_stages(["lang"], DOCUMENT_COLUMNS)
     model = LogisticRegression(maxIter=10)
-    rows = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice", (F.col("o_orderstatus") == "F").cast("double").alias("label"))
-    grid = models.grid_of({hot[1].dropLast: [True, False], model.regParam: [0.0, 0.1]})
-    _, table = models.cross_scores(Pipeline(stages=[*hot, model]), grid, rows, quality_scores(), ["o_orderkey"], folds=3)
-    return by_fold(table, rows, ["o_orderkey"], 3)
+    rows = counted_documents(t).select("doc_id", "lang", *DOCUMENT_COLUMNS, F.col("quality").cast("double").alias("label"))
+    grid = models.grid_of({hot[1].dropLast: [True, False], model.regParam: [0.0, 0.01]})
+    _, table = models.cross_scores(Pipeline(stages=[*hot, model]), grid, rows, quality_scores(), ["doc_id"], folds=3)
+    return by_fold(table, rows, ["doc_id"], 3)
 
 
-HALVES = f"(SELECT count(*) FILTER (h < 'cccccccc') AS train_rows, count(*) FILTER (h >= 'cccccccc') AS test_rows FROM {LABELLED})"
-
-
-def with_parts(table, train, test):
-    sizes = {"train_rows": train.agg(F.count(F.lit(1))).scalar(), "test_rows": test.agg(F.count(F.lit(1))).scalar()}
-    return table.withColumns(sizes)
+@query("l14_parameter_sweep", f"""
+    WITH f AS (SELECT CASE WHEN h < 'cccccccc' THEN 'train' ELSE 'test' END AS part, {SUMS} FROM ({BYTES}) GROUP BY 1),
+         s AS (SELECT penalty, {SLOPE} AS a, n AS tn, sx AS tx, sy AS ty FROM f, (SELECT unnest({PENALTIES}) AS penalty) WHERE part = 'train'),
+         w AS (SELECT penalty, a, (ty - a * tx) / tn AS b FROM s)
+    SELECT penalty::DOUBLE AS penalty, part, n::BIGINT AS n, {R2} AS r2 FROM f, w""")
+def parameter_sweep(t):
+    part = features.hashed_split(["doc_id"], {"train": 0.8, "test": 0.2}, 42)
+    table = gram.sweep(text_bytes(t).withColumn("part", part), "part", ["n_chars"], "bytes", PENALTIES)
+    return table.withColumn("r2", F.round("r2", 6))
 
 
-@query("l14_parameter_sweep", f"SELECT value, train_rows, test_rows, TRUE AS good FROM {HALVES}, (VALUES ('2'), ('5'), ('10')) v(value)")
-def parameter_sweep(t):
-    forest = RandomForestClassifier(maxDepth=4, seed=42)
-    train, test = halves(documents(t), "doc_id")
-    table = models.sweep(forest, forest.numTrees, [2, 5, 10], train, test, quality_scores())
-    good = (F.least("train_score", "test_score") > GOOD).alias("good")
-    return with_parts(table, train, test).select("value", "train_rows", "test_rows", good)
+TEST_ROWS = f"(SELECT * FROM {LABELLED} WHERE h >= 'cccccccc')"
 
 
 @query("l15_fit_and_score", f"""
-    SELECT model, train_rows, test_rows, TRUE AS good FROM {HALVES}, (VALUES ('logistic'), ('forest'), ('svm')) v(model)""")
+    SELECT model, count(*) FILTER (h < 'cccccccc') AS train_rows, count(*) FILTER (h >= 'cccccccc') AS test_rows,
+           any_value(majority_share) AS majority_share, any_value(beats_majority) AS beats_majority
+    FROM {LABELLED}, (VALUES ('logistic'), ('forest'), ('svm')) v(model), ({majority_sql('quality', TEST_ROWS)}) GROUP BY 1""")
 def fit_and_score(t):
     train, test = halves(documents(t), "doc_id")
     table = models.fit_and_score(
         {"logistic": LogisticRegression(maxIter=20), "forest": RandomForestClassifier(numTrees=10, seed=42), "svm": LinearSVC(maxIter=20)},
         train, test, quality_scores(),
     )
-    return with_parts(table, train, test).select("model", "train_rows", "test_rows", (F.col("score") > GOOD).alias("good"))
+    sizes = {"train_rows": train.agg(F.count(F.lit(1))).scalar(), "test_rows": test.agg(F.count(F.lit(1))).scalar(), "m": majority(test).scalar()}
+    return table.withColumns(sizes).select(
+        "model", "train_rows", "test_rows", F.round("m", 6).alias("majority_share"), (F.col("score") > F.col("m")).alias("beats_majority"))
+
+
+def logistic_calls(t):
+    return LogisticRegression(regParam=0.01, maxIter=30).fit(vectors(t)).transform(vectors(t))
 
 
-# the largest of ten probabilities is a tenth at least
-@query("l16_probabilities", "SELECT label::DOUBLE AS label, count(*) AS n, count(*) AS in_range FROM embeddings GROUP BY 1")
+# the predicted class has the largest of ten probabilities, and is the right one far more often than the majority's
+@query("l16_probabilities", f"SELECT *, n AS in_range FROM ({majority_sql('label', 'embeddings')})")
 def probabilities(t):
-    fitted = LogisticRegression(regParam=0.01, maxIter=30).fit(vectors(t))
-    found = models.with_probability(fitted.transform(vectors(t)), ["vec_id", "label"])
+    found = models.with_probability(logistic_calls(t), ["vec_id", "label"]).withColumn("prediction", F.col("pred_class").cast("double"))
     classes = t.embeddings.agg(F.countDistinct("label")).scalar()
     in_range = F.col("pred_prob").between(1 / F.col("classes") - 1e-9, F.lit(1.0))
-    return per_label(found.withColumn("classes", classes), F.count_if(in_range).alias("in_range"))
+    counted = found.withColumn("classes", classes).agg(F.count_if(in_range)).scalar()
+    return against_majority(found, 2.0).withColumn("in_range", counted)
+
+
+@query("l16_prediction_table")
+def prediction_table(t):
+    return models.with_probability(logistic_calls(t), ["vec_id", "label"])
 
 
 @query("l17_id_and_prediction", """
@@ -243,11 +348,29 @@ def id_and_prediction(t):
     return fitted.transform(rows).select("l_orderkey", "l_linenumber", F.round("prediction", 2).alias("price"))
 
 
-@query("l18_named_weights", f"SELECT feature, 1.0::DOUBLE AS total FROM (VALUES {', '.join(f'({c!r})' for c in PRICE_COLUMNS)}) v(feature)")
+# two columns: the weights solve two equations of their covariances
+WEIGHTS = """
+    WITH c AS (SELECT covar_samp(l_quantity, l_quantity) AS qq, covar_samp(l_discount, l_discount) AS dd, covar_samp(l_quantity, l_discount) AS qd,
+                      covar_samp(l_quantity, l_extendedprice) AS qy, covar_samp(l_discount, l_extendedprice) AS dy FROM lineitem),
+         w AS (SELECT 'l_quantity' AS feature, (dd * qy - qd * dy) / (qq * dd - qd * qd) AS weight, sqrt(qq) AS spread FROM c
+               UNION ALL SELECT 'l_discount', (qq * dy - qd * qy) / (qq * dd - qd * qd), sqrt(dd) FROM c)"""
+WEIGHED = ["l_quantity", "l_discount"]
+
+
+def price_weights(t):
+    fitted = LinearRegression(solver="normal").fit(models.assembled(t.lineitem, WEIGHED, "l_extendedprice"))
+    return models.weights_table(t.spark, fitted, WEIGHED)
+
+
+@query("l18_named_weights", f"{WEIGHTS} SELECT feature, round(weight, 2) AS weight FROM w")
 def named_weights(t):
+    return price_weights(t).withColumn("weight", F.round("weight", 2))
+
+
+@query("l18_forest_importances")
+def forest_importances(t):
     forest = RandomForestRegressor(numTrees=10, maxDepth=5, seed=42).fit(lines(t))
-    table = models.weights_table(t.spark, forest, PRICE_COLUMNS)
-    return table.withColumn("total", table.agg(F.round(F.sum("weight"), 6)).scalar()).select("feature", "total")
+    return models.weights_table(t.spark, forest, PRICE_COLUMNS)
 
 
 @query("l19_saved_model", "SELECT count(*) AS n, 0.0::DOUBLE AS largest_difference FROM lineitem")
@@ -261,9 +384,15 @@ def saved_model(t):
     return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("prediction") - F.col("before"))).alias("largest_difference"))
 
 
-# the price of a line is its quantity times that of the part
-@query("t5_top_features", "SELECT 'l_quantity' AS first, 3::BIGINT AS n")
+# a weight counts by how far its column spreads
+@query("t5_top_features", f"{WEIGHTS} SELECT arg_max(feature, abs(weight) * spread) AS feature, round(max(abs(weight) * spread), 2) AS importance FROM w")
 def top_features(t):
+    spread = t.lineitem.agg(*[F.stddev_samp(c).alias(c) for c in WEIGHED]).unpivot([], WEIGHED, "feature", "spread")
+    weighed = price_weights(t).join(spread, "feature").select("feature", F.round(F.abs("weight") * F.col("spread"), 2).alias("importance"))
+    return ranking.first_rows(weighed, [F.desc("importance"), "feature"], 1)
+
+
+@query("t5_forest_features")
+def forest_features(t):
     forest = RandomForestRegressor(numTrees=10, maxDepth=5, seed=42).fit(lines(t))
-    top = ranking.first_rows(models.weights_table(t.spark, forest, PRICE_COLUMNS), [F.desc("weight"), "feature"], 3)
-    return top.agg(F.max_by("feature", "weight").alias("first"), F.count(F.lit(1)).alias("n"))
+    return ranking.first_rows(models.weights_table(t.spark, forest, PRICE_COLUMNS), [F.desc("weight"), "feature"], 3)

@@ -1,12 +1,14 @@
 """F: feature preparation."""
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StandardScaler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from lakeops.catalog.base import query
-from lakeops.ml import features
+from lakeops.durable import fresh_path
+from lakeops.ml import features, models, prepare
 from lakeops.operators.text import word_counts
 
 # prices of urgent orders and the status of low-priority ones are taken as missing
@@ -89,6 +91,27 @@ def chained_preparation(t):
     )
 
 
+# medians, codes and a line through the filled values, fitted as one object, written and read again
+@query("f7_saved_chain", f"""
+    WITH g AS (SELECT o_orderkey, o_totalprice, price IS NULL AS price_is_missing, status, year(o_orderdate) AS o_orderdateYear,
+                      coalesce(price, (SELECT median(price) FROM {GAPS})) AS x FROM {GAPS} JOIN (SELECT o_orderkey, o_totalprice FROM orders) USING (o_orderkey)),
+         f AS (SELECT regr_slope(o_totalprice, x) AS a, regr_intercept(o_totalprice, x) AS b FROM g),
+         d AS (SELECT status, row_number() OVER (ORDER BY status) AS code FROM (SELECT DISTINCT status FROM g WHERE status IS NOT NULL))
+    SELECT o_orderkey, price_is_missing, coalesce(code, 0) AS status, o_orderdateYear, round(a * x + b, 2) AS prediction FROM g LEFT JOIN d USING (status), f""")
+def saved_chain(t):
+    rows = gaps(t).join(t.orders.select("o_orderkey", F.col("o_totalprice").alias("label")), "o_orderkey")
+    chain = Pipeline(stages=[
+        prepare.Prepare(numeric=["price"], categories=["status"], date="o_orderdate"),
+        VectorAssembler(inputCols=["price"], outputCol="features"), LinearRegression(solver="normal"),
+    ])
+    path = fresh_path(t.spark, "chain")
+    models.save_model(chain.fit(rows), path)
+    return models.load_chain(path).transform(rows).select(
+        "o_orderkey", "price_is_missing", "status", F.col("o_orderdateYear").cast("bigint").alias("o_orderdateYear"),
+        F.round("prediction", 2).alias("prediction"),
+    )
+
+
 @query("f8_date_features", """
     SELECT o_orderkey, year(o_orderdate) AS saleYear, month(o_orderdate) AS saleMonth, day(o_orderdate) AS saleDay,
            isodow(o_orderdate) - 1 AS saleDayofweek, dayofyear(o_orderdate) AS saleDayofyear FROM orders""")

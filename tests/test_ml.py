@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from lakeops.functions import arrays, scalars
-from lakeops.ml import features, metrics, models, neighbours
+from lakeops.ml import features, gram, metrics, models, neighbours
 from lakeops.operators import text
 
 
@@ -142,6 +144,57 @@ def test_scalars(spark):
     assert sort == [1, 2, 0]
 
 
+def test_a_prepared_chain_outlives_its_session_folder(spark, tmp_path):
+    """Fitted, saved, and read again after all passing copies are gone; the estimator itself can be kept too."""
+    import shutil
+
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from lakeops.durable import shared_folder
+    from lakeops.ml.prepare import Prepare, Prepared
+    train = spark.createDataFrame([("b", 1.0, 2.0), ("a", None, 3.0), (None, 3.0, 5.0), ("b", 8.0, 1.0)], "c string, n double, label double")
+    later = spark.createDataFrame([("a", None, 0.0), ("zz", 5.0, 0.0), (None, 1.0, 0.0)], "c string, n double, label double")
+    chain = Pipeline(stages=[Prepare(numeric=["n"], categories=["c"]), VectorAssembler(inputCols=["n", "c"], outputCol="features"), LinearRegression()])
+    chain.write().save(str(tmp_path / "unfitted"))
+    fitted = Pipeline.load(str(tmp_path / "unfitted")).fit(train)
+    wanted = rows(fitted.transform(later), "c", "c_is_missing", "n", "n_is_missing", "prediction")
+    assert [r[:4] for r in wanted] == [(0, False, 5.0, False), (0, True, 1.0, False), (1, False, 3.0, True)]
+    fitted.write().save(str(tmp_path / "fitted"))
+    fitted.write().overwrite().save(str(tmp_path / "fitted"))
+    for made in Path(shared_folder(spark)).glob("*"):
+        shutil.rmtree(made)
+    again = PipelineModel.load(str(tmp_path / "fitted"))
+    assert isinstance(again.stages[0], Prepared) and again.stages[0].preparation.fills == {"n": 3.0}
+    assert rows(again.transform(later), "c", "c_is_missing", "n", "n_is_missing", "prediction") == wanted
+    # without codes there is no dictionary
+    Prepare(numeric=["n"]).fit(train).write().save(str(tmp_path / "plain"))
+    assert Prepared.load(str(tmp_path / "plain")).transform(later).columns == ["c", "n", "label", "n_is_missing"]
+
+
+def test_sums_of_folds_equal_fits_on_their_rows(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 3)) * [1, 10, 100]
+    y = x @ [2.0, -1.0, 0.1] + rng.normal(size=400) + 7
+    data = [(i, *map(float, a), float(b)) for i, (a, b) in enumerate(zip(x, y))] + [(900, None, 1.0, 1.0, 1.0), (901, 1.0, 1.0, 1.0, None)]
+    df = models.with_fold(spark.createDataFrame(data, "id long, a double, b double, c double, y double"), ["id"], 4, 42)
+    fold = {r["id"]: r["fold"] for r in df.collect()}
+    got = {(r["penalty"], r["fold"]): r for r in gram.cross_scores(df.drop("fold"), ["a", "b", "c"], "y", ["id"], [0.0, 50.0], folds=4).collect()}
+    of = np.array([fold[i] for i in range(400)])
+    for (penalty, f), r in got.items():
+        tx, ty = x[of != f], y[of != f]
+        centred = tx - tx.mean(axis=0)
+        w = np.linalg.solve(centred.T @ centred + penalty * np.eye(3), centred.T @ (ty - ty.mean()))
+        told = (x[of == f] - tx.mean(axis=0)) @ w + ty.mean()
+        own = y[of == f]
+        assert r["n"] == (of == f).sum() and abs(r["r2"] - (1 - ((own - told) ** 2).sum() / ((own - own.mean()) ** 2).sum())) < 1e-8
+    assert len(got) == 8
+    table = gram.sweep(df.withColumn("part", F.when(F.col("id") < 300, "train").otherwise("test")), "part", ["a"], "y", [0.0])
+    assert {r["part"]: r["n"] for r in table.collect()} == {"train": 300, "test": 100}
+    assert gram.cross_scores(df.limit(0).drop("fold"), ["a"], "y", ["id"], [0.0]).count() == 0
+
+
 def test_flags_follow_the_first_table(spark):
     train = spark.createDataFrame([(1.0, None), (3.0, 4.0)], "a double, b double")
     later = spark.createDataFrame([(None, 2.0)], "a double, b double")

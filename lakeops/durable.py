@@ -11,7 +11,7 @@ import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _stages: ContextVar[list[str] | None] = ContextVar("stages", default=None)
@@ -40,20 +40,20 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def observed(df: DataFrame, measures: dict[str, Column] | None = None) -> tuple[DataFrame, Observation]:
-    """``df`` with ``measures`` (aggregates; by default ``rows``) taken as its rows pass; they are known once an action has run.
+def measured(written: DataFrame, measures: dict[str, Column] | None = None) -> dict:
+    """What ``measures`` (aggregates; by default ``rows``) come to in rows that have been written.
 
-    To be put right before a write, so that a task that runs again is not measured twice.
+    Reads only the columns they need. ``DataFrame.observe`` would save the scan, but a session that has
+    observed anything can no longer use models that hold on to it, as a support vector machine does.
     """
-    seen = Observation()
     measures = measures or {"rows": F.count(F.lit(1))}
-    return df.observe(seen, *[c.alias(name) for name, c in measures.items()]), seen
+    return written.agg(*[c.alias(name) for name, c in measures.items()]).first().asDict()
 
 
-def materialize_observed(df: DataFrame, name: str, measures: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+def materialize_measured(df: DataFrame, name: str, measures: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
     """``materialize``, and what ``measures`` came to in the rows written."""
-    watched, seen = observed(df, measures)
-    return materialize(watched, name), seen.get
+    written = materialize(df, name)
+    return written, measured(written, measures)
 
 
 @contextmanager

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.durable import materialize_observed
+from lakeops.durable import materialize_measured
 
 #: rows and columns of a block of the result, and cells of a tile
 SIDE = 512
@@ -27,7 +27,7 @@ _AT_ONCE = 1 << 22
 def _cells(df: DataFrame, outer: str) -> tuple[DataFrame, dict]:
     """One row per cell, and how many cells and (roughly) values of the ``outer`` index there are."""
     held = df.where("k IS NOT NULL").groupBy(outer, "k").agg(F.sum(F.col("v").cast("double")).alias("v")).where("v IS NOT NULL")
-    return materialize_observed(held, "cells", {"cells": F.count(F.lit(1)), outer: F.approx_count_distinct(outer)})
+    return materialize_measured(held, "cells", {"cells": F.count(F.lit(1)), outer: F.approx_count_distinct(outer)})
 
 
 def _block(value: str, blocks: int) -> Column:

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.durable import materialize, observed
+from lakeops.durable import materialize, materialize_measured
 from lakeops.operators.joins import current_version, not_yet_loaded, unknown_keys
 from lakeops.operators.ordering import add_row_index
 from lakeops.operators.ranking import latest_per_key
@@ -98,10 +98,10 @@ def affected_rows(actions: DataFrame) -> DataFrame:
 
 
 def write_merged(actions: DataFrame, write: Callable[[DataFrame], object]) -> dict[str, int]:
-    """Hand the merged rows to ``write`` and return the row counts of the merge, taken by that write alone."""
-    watched, seen = observed(actions, action_measures())
-    write(watched.drop("__action"))
-    return seen.get
+    """Hand the merged rows to ``write`` and return the row counts of the merge, which is computed once."""
+    merged, counts = materialize_measured(actions, "actions", action_measures())
+    write(merged.drop("__action"))
+    return counts
 
 
 def row_checksum(columns: list[str]) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakeops.durable import materialize_observed, observed, passing_stages
+from lakeops.durable import materialize_measured, measured, passing_stages
 from lakeops.operators import merge, quality
 from lakeops.sinks import tables
 
@@ -36,7 +36,7 @@ def conform_scd2(
     load_id = load_id or load_id_for(load_ts)
     with passing_stages(spark):
         stamp = F.lit(load_ts).cast("timestamp")
-        source, held = materialize_observed(source, "source")
+        source, held = materialize_measured(source, "source")
         if spark.catalog.tableExists(table):
             target = spark.table(table).drop(BATCH)
             rows = merge.scd2_versions(target, source, key, load_id, stamp, system)
@@ -46,13 +46,12 @@ def conform_scd2(
             shape = StructType([*rows.schema.fields, StructField(BATCH, StringType())])
             tables.create_if_absent(spark, table, shape, f"{root}/empty", ["CurrInd", BATCH])
         by_this_load = F.col("CurrInd") & (F.col("LoadID") == load_id)
-        watched, seen = observed(rows, {
+        path = tables.write_version(rows, root, ["CurrInd"])
+        new = spark.read.schema(rows.schema).parquet(path)
+        seen = measured(new, {
             "current": F.count_if("CurrInd"), "ended": F.count_if(~F.col("CurrInd")),
             "first_new": F.min(F.when(by_this_load, F.col("Skid"))), "last_old": F.max(F.when(~by_this_load, F.col("Skid"))),
         })
-        path = tables.write_version(watched, root, ["CurrInd"])
-        seen = seen.get
-        new = spark.read.schema(rows.schema).parquet(path)
         keys = quality.key_counts(new, ["Skid"]).first()
         shared = keys[0]
         # new keys come after all current ones, which end up in the history; where that does
@@ -73,7 +72,7 @@ def conform_scd1(
     with passing_stages(spark):
         stamp = F.lit(load_ts).cast("timestamp")
         # one value for each day of the window
-        batch, held = materialize_observed(
+        batch, held = materialize_measured(
             merge.scd1_source(cleaned, key, date, start, end, unknown), "batch", {"rows": F.count(F.lit(1)), "days": F.collect_set(date)}
         )
         if not spark.catalog.tableExists(table):
@@ -81,10 +80,10 @@ def conform_scd1(
             tables.create_if_absent(spark, table, shape.schema, f"{root}/empty")
         target = spark.table(table)
         of_these_days = F.col(date).isin(held["days"]) | F.col(date).isNull()
-        watched, seen = observed(merge.upsert(target, batch, [key], stamp), {"rows": F.count_if(of_these_days)})
-        path = tables.write_version(watched, root)
+        path = tables.write_version(merge.upsert(target, batch, [key], stamp), root)
         new = spark.read.schema(target.schema).parquet(path)
-        _gates(spark, table, log_path, load_ts, new, key, quality.key_counts(new, [key]).first(), (held["rows"], seen.get["rows"]), path)
+        seen = measured(new, {"rows": F.count_if(of_these_days)})
+        _gates(spark, table, log_path, load_ts, new, key, quality.key_counts(new, [key]).first(), (held["rows"], seen["rows"]), path)
         tables.point_at(spark, table, path)
 
 
@@ -92,7 +91,7 @@ def _gates(spark, table, log_path, load_ts, new, key, keys, counts, path):
     """Key and count checks of a new version; both rows are logged before a failure raises.
 
     ``keys`` are the rows that share a key and the keys, ``counts`` the rows of the batch and of the
-    table, both counted as they were written.
+    table.
     """
     asset = {
         "NotebookName": "conform", "SourceDataAsset": table, "SourceDataAssetPath": path,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.durable import materialize_observed, passing_stages
+from lakeops.durable import materialize_measured, passing_stages
 from lakeops.operators import quality
 from lakeops.operators.merge import upsert
 from lakeops.operators.ranking import latest_per_key
@@ -81,13 +81,13 @@ def ingest_cleaned(
 
 
 def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
-    # what the gates count is counted as the copies are written
-    batch, fits = materialize_observed(scan_feed(spark, feed, start, end), "batch", quality.schema_measures(files.CORRUPT))
+    # what the gates count is counted once, on the copies, from the columns it needs
+    batch, fits = materialize_measured(scan_feed(spark, feed, start, end), "batch", quality.schema_measures(files.CORRUPT))
     n_files, checks.files = _list_files(batch, feed.log_path)
     good, bad = fits["NumRecordsCompliant"], fits["NumRecordsNonCompliant"]
     checks.run(quality.SCHEMA, good, bad, holds=bad == 0, message=f"{bad} rows do not fit the schema in {checks.files}")
     keys = [*feed.keys, DATE]
-    rows, held = materialize_observed(latest_per_key(batch.drop(files.CORRUPT), keys, "__RawFileModificationTime"), "latest")
+    rows, held = materialize_measured(latest_per_key(batch.drop(files.CORRUPT), keys, "__RawFileModificationTime"), "latest")
     # once the first of these holds the rows are distinct, so no DISTINCT is needed further on
     found = quality.row_and_key_counts(rows, keys).first()
     checks.run(
@@ -102,7 +102,7 @@ def _load(spark, feed, start, end, load_ts, mode, checks) -> dict[str, int]:
     stamp = F.lit(load_ts).cast("timestamp")
     loaded = rows.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
     if mode == "upsert":
-        rows, held = materialize_observed(_latest_day(rows, feed.keys), "upserted")
+        rows, held = materialize_measured(_latest_day(rows, feed.keys), "upserted")
         loaded = rows.withColumns({"__CreatedOn": stamp, "__UpdatedOn": stamp})
     existing = _existing(spark, feed.cleaned_path, loaded) if mode == "upsert" else None
     in_window = in_date_window(DATE, start.date().isoformat(), end.date().isoformat()) & (F.col("__UpdatedOn") == stamp)

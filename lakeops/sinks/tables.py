@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.durable import materialize_observed, observed, remove
+from lakeops.durable import materialize_measured, measured, remove
 from lakeops.operators.quality import DQ_LOG_SCHEMA
 
 
@@ -27,7 +27,7 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 def overwrite_partitions(
     df: DataFrame, path: str, partitions: list[str], tasks_per_partition: int | None = None, measures: dict[str, Column] | None = None
 ) -> dict:
-    """Replace only the partitions that ``df`` holds; returns ``measures`` (by default ``rows``) of what was written.
+    """Replace only the partitions that ``df`` holds; returns the ``measures`` asked for, of the rows of ``df``.
 
     Rows are brought together by partition before the write so that each has few
     files; ``tasks_per_partition`` deals a large partition out over several.
@@ -38,10 +38,9 @@ def overwrite_partitions(
     else:
         # AQE splits a partition that is too large and joins ones that are small
         placed = df.hint("rebalance", *partitions)
-    watched, seen = observed(placed, measures)
-    (watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions).parquet(path))
-    return seen.get
+    return measured(df, measures) if measures else {}
 
 
 def write_version(df: DataFrame, root: str, partitions: list[str] | None = None) -> str:
@@ -85,7 +84,7 @@ def merge_partitions(
     touched = [r[0] for r in batch.select(partition).unionByName(held).distinct().collect()]
     of_these = F.col(partition).isin([v for v in touched if v is not None])
     rows = target.where(of_these | F.col(partition).isNull() if None in touched else of_these)
-    merged, seen = materialize_observed(merge(rows), "merged", measures)
+    merged, seen = materialize_measured(merge(rows), "merged", measures)
     left = {r[0] for r in merged.select(partition).distinct().collect()}
     for value in set(touched) - left:
         remove(target.sparkSession, f"{path}/{partition}={NULL_PARTITION if value is None else value}")

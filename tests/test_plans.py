@@ -216,10 +216,10 @@ def test_rows_of_the_null_partition_stay(spark, tmp_path):
     assert rows(read(), "id", "p") == [(1, "y"), (2, "y"), (3, "y"), (4, "y")] and [p.name for p in (tmp_path / "table").glob("p=*")] == ["p=y"]
 
 
-def test_gates_take_their_counts_from_the_writes(spark, feed, tmp_path, monkeypatch):
+def test_gates_count_each_copy_once(spark, feed, tmp_path, monkeypatch):
     """Once the latest rows are written, neither the scan nor the table is read for a count."""
     raw_file(tmp_path, "05", "a.csv", 1_700_000_000, "1|a|1", "2|b|2")
-    held = ingest.materialize_observed
+    held = ingest.materialize_measured
 
     def then_gone(df, name, measures=None):
         made = held(df, name, measures)
@@ -227,7 +227,7 @@ def test_gates_take_their_counts_from_the_writes(spark, feed, tmp_path, monkeypa
             [batch] = Path(shared_folder(spark)).glob("batch-*")
             shutil.rmtree(batch)
         return made
-    monkeypatch.setattr(ingest, "materialize_observed", then_gone)
+    monkeypatch.setattr(ingest, "materialize_measured", then_gone)
     monkeypatch.setattr(spark.read.__class__, "parquet", unread(spark.read.__class__.parquet, feed.cleaned_path))
     assert load(spark, feed) == {"rows": 2, "files": 1}
 

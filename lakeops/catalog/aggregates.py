@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakeops.catalog.base import query
-from lakeops.operators import profile
+from lakeops.operators import correlation, profile
 from lakeops.operators.ordering import add_row_index
 from lakeops.operators.ranking import top_per
 
@@ -104,7 +104,7 @@ MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem" for a in MEASURES for b in MEASURES
 ))
 def correlations(t):
-    return rounded(profile.correlations(t.lineitem, MEASURES), 6)
+    return rounded(correlation.correlations(t.lineitem, MEASURES), 6)
 
 
 @query("a11_median", """

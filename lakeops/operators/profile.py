@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,18 +70,6 @@ def crosstab(df: DataFrame, rows: str, columns: str, values: list | None = None)
     return pivoted.fillna(0)
 
 
-def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Correlation of each pair of columns as ``(a, b, r)``, in one pass."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    cells = [
-        F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"),
-                 F.corr(F.col(p).cast("double"), F.col(q).cast("double")).alias("r"))
-        for p, q in pairs
-        for x, y in ([(p, q)] if p == q else [(p, q), (q, p)])
-    ]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-
-
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Rows in each of ``bins`` equal ranges; the last one is closed above."""
     value = F.col(column).cast("double")

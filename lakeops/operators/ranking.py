@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.operators.ordering import add_row_index, add_running_totals
 from lakeops.operators.skew import HOT_ROWS, hot_keys, spread_join
@@ -67,16 +68,71 @@ def current_and_earlier(df: DataFrame, snapshot: str) -> DataFrame:
     return df.withColumn("is_current", F.col(snapshot) == df.agg(F.max(snapshot)).scalar())
 
 
+# up to so many rows are kept by each task and merged in one, beyond it rows are numbered
+FEW_ROWS = 10_000
+# the sketch's rank error is 1 / accuracy; the cut leaves room for several of them
+_ACCURACY = 10_000
+_MARGIN = 5 / _ACCURACY
+
+
+def _number(df: DataFrame, column: str) -> Column | None:
+    """A double that never falls as ``column`` rises, where its type has one."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("double")
+    return None
+
+
+def _cut(df: DataFrame, column: str, n: int, descending: bool) -> DataFrame:
+    """The rows whose ``column`` may place them among the first ``n``; all where that cannot be told.
+
+    A sketch gives a value a little beyond the n-th, and a count confirms that ``n`` rows lie before it.
+    Nulls come first, or last when ``descending``.
+    """
+    value = _number(df, column)
+    if value is None:
+        return df
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.count(value).alias("present")).first()
+    wanted = n if descending else n - (seen["rows"] - seen["present"])
+    if wanted <= 0:
+        return df.where(value.isNull())
+    share = wanted / max(seen["present"], 1) + _MARGIN
+    if share >= 1:
+        return df
+    mark = df.agg(F.percentile_approx(value, 1 - share if descending else share, _ACCURACY).alias("m")).first()["m"]
+    before = df.where(value >= mark) if descending else df.where((value <= mark) | value.isNull())
+    return before if before.agg(F.count(F.lit(1)).alias("n")).first()["n"] >= n else df
+
+
 def first_rows(df: DataFrame, order_by: list, n: int = 5) -> DataFrame:
-    return df.orderBy(*order_by).limit(n)
+    """The first ``n`` rows of the order, in that order; all, if there are fewer.
+
+    Few rows are kept by each task and merged in one. Of many, no task holds all: the rows beyond
+    the n-th value of the leading column, if it is a number, a date or a time given by name,
+    are left out, the others are sorted over all tasks and numbered. ``order_by`` must tell all rows
+    apart, or the choice among equals at the end is one of several.
+    """
+    if n <= FEW_ROWS:
+        return df.orderBy(*order_by).limit(n)
+    near = _cut(df, order_by[0], n, False) if isinstance(order_by[0], str) else df
+    return _numbered(near, order_by, n).orderBy(*order_by)
 
 
 def last_rows(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     """The last ``n`` rows of the order, given back in that order."""
-    tail = df.orderBy(*[F.desc(c) for c in order_by]).limit(n)
+    backwards = [F.desc(c) for c in order_by]
+    tail = df.orderBy(*backwards).limit(n) if n <= FEW_ROWS else _numbered(_cut(df, order_by[0], n, True), backwards, n)
     return tail.orderBy(*order_by)
 
 
+def _numbered(df: DataFrame, order_by: list, n: int) -> DataFrame:
+    return add_row_index(df, order_by, "__at").where(F.col("__at") < n).drop("__at")
+
+
 def seeded_key(id_columns: list[str], seed: int) -> Column:
     """A hex text per row that looks random but repeats for the same seed."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in id_columns]))
@@ -93,8 +149,23 @@ def sample_fraction(df: DataFrame, id_columns: list[str], fraction: float, seed:
 
 
 def sample_rows(df: DataFrame, id_columns: list[str], n: int, seed: int) -> DataFrame:
-    """``n`` rows at random, repeatable."""
-    return df.orderBy(seeded_key(id_columns, seed), *id_columns).limit(n)
+    """``n`` rows at random, repeatable: those with the smallest seeded keys, all if there are fewer.
+
+    Many rows are found without sorting the table: rows are counted by the first four digits of
+    their keys (65,536 counts reach the driver), those below the digits of the n-th key are taken,
+    and only those that share its digits are sorted.
+    """
+    key = seeded_key(id_columns, seed)
+    if n <= FEW_ROWS:
+        return df.orderBy(key, *id_columns).limit(n)
+    digits = F.substring(key, 1, 4)
+    counts = sorted((r["digits"], r["n"]) for r in df.groupBy(digits.alias("digits")).agg(F.count(F.lit(1)).alias("n")).collect())
+    taken = 0
+    for at, rows in counts:
+        if taken + rows > n:
+            return df.where(digits < at).unionByName(_numbered(df.where(digits == at), [key, *id_columns], n - taken))
+        taken += rows
+    return df
 
 
 def shuffled(df: DataFrame, id_columns: list[str], seed: int) -> DataFrame:
@@ -107,5 +178,3 @@ def top_per(df: DataFrame, keys: list[str], by: str, tie: Column) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*rest), F.struct(F.col(by), tie)).alias("__best")
     return df.where(F.col(by).isNotNull()).groupBy(*keys).agg(best).select(*keys, "__best.*")
-
-

@@ -13,7 +13,7 @@ from lakeops.catalog.base import query
 from lakeops.catalog.texts import PAIRS, WORDS
 from lakeops.durable import fresh_path, materialize
 from lakeops.functions.scalars import date_parts
-from lakeops.ml import features, gram, models, neighbours
+from lakeops.ml import features, gram, models, neighbours, network
 from lakeops.operators import ranking, text
 
 PRICE_COLUMNS = ["l_quantity", "l_discount", "l_tax", "saleYear", "saleMonth"]
@@ -337,6 +337,19 @@ def prediction_table(t):
     return models.with_probability(logistic_calls(t), ["vec_id", "label"])
 
 
+# the saved network, run batch by batch, says what the fitted model says of every vector
+@query("l16_batch_predictions", f"SELECT *, n AS same FROM ({majority_sql('label', 'embeddings')})")
+def batch_predictions(t):
+    net = MultilayerPerceptronClassifier(layers=[64, 16, 10], maxIter=30, seed=42).fit(vectors(t))
+    path = fresh_path(t.spark, "network")
+    network.save_layers(t.spark, network.layers_of(net), path)
+    found = network.predict(t.embeddings.withColumn("label", F.col("label").cast("double")), path, 64, "embedding")
+    own = net.transform(found.withColumnRenamed("probability", "told").withColumn("features", models.vector_of("embedding")))
+    apart = F.array_max(F.zip_with("told", vector_to_array("probability"), lambda a, b: F.abs(a - b)))
+    told = materialize(own.select("label", "prediction", ((F.col("prediction") == F.col("pred_class")) & (apart < 1e-9)).alias("same")), "told")
+    return against_majority(told, 2.0).withColumn("same", told.agg(F.count_if("same")).scalar())
+
+
 @query("l17_id_and_prediction", """
     WITH p AS (SELECT *, md5('42:' || l_orderkey || ':' || l_linenumber) < 'cccccccc' AS train FROM lineitem),
          f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b FROM p WHERE train)

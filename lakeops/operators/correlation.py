@@ -8,15 +8,18 @@ in a tree, so no task or group holds more than a fixed number of bands.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: columns of a band, and bands that are merged at a time
 BAND = 16
 FAN_IN = 256
+#: up to so many columns each pair is an expression of one aggregate
+FEW_COLUMNS = 16
 
 _STATE = "part long, band int, state binary"
 
@@ -72,14 +75,34 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return rows, held
 
 
+def _by_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+    # corr() itself fails on a column that does not vary
+    def r(p: str, q: str) -> Column:
+        x, y = F.col(p).cast("double"), F.col(q).cast("double")
+        if p == q:
+            return F.try_divide(F.var_pop(x), F.var_pop(x))
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+
+    cells = [
+        F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), r(p, q).alias("r"))
+        for p, q in combinations_with_replacement(columns, 2)
+        for x, y in ([(p, q)] if p == q else [(p, q), (q, p)])
+    ]
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Correlation of each pair of columns as ``(a, b, r)``, in one scan.
 
     Rows that lack one of a pair do not count for it. ``r`` is null where fewer than two rows are
     left or a column does not vary in them, also over an empty table, and NaN where a value is NaN or infinite.
-    A task holds some 100 bytes for each pair of columns, 9 MB for 300.
+    Few columns are pairs of expressions in one aggregate. Beyond ``FEW_COLUMNS``, whose pairs would be more
+    expressions than can be compiled, a task sums blocks; it holds some 100 bytes for each pair, 9 MB for 300 columns.
     """
     width = len(columns)
+    if width <= FEW_COLUMNS:
+        return _by_pairs(df, columns)
     shape = (6, -1, width)
 
     def reduce_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,9 +5,16 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lakeops.operators import correlation
 from lakeops.operators.correlation import Moments, correlations
 
 
+@pytest.fixture(params=["pairs", "blocks"])
+def form(request, monkeypatch):
+    if request.param == "blocks":
+        monkeypatch.setattr(correlation, "FEW_COLUMNS", 0)
+
+
 def as_square(df, columns):
     found = {(r["a"], r["b"]): r["r"] for r in df.collect()}
     assert len(found) == len(columns) ** 2
@@ -29,7 +36,7 @@ def test_many_columns_in_one_scan(spark, tmp_path):
     np.testing.assert_allclose(as_square(df, names), frame.corr().to_numpy(), atol=1e-8)
 
 
-def test_pairs_without_a_value(spark):
+def test_pairs_without_a_value(spark, form):
     rows = [(1.0, 5.0, None, 2.0), (2.0, 5.0, None, None), (3.0, 5.0, 1.0, 7.0), (None, 5.0, 2.0, 9.0)]
     names = ["x", "same", "few", "y"]
     df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(3)
@@ -38,7 +45,7 @@ def test_pairs_without_a_value(spark):
     assert got[0, 3] == pytest.approx(1.0) and got[2, 3] == pytest.approx(1.0) and got[0, 0] == pytest.approx(1.0)
 
 
-def test_empty_and_not_finite(spark):
+def test_empty_and_not_finite(spark, form):
     empty = spark.createDataFrame([], "x double, y int")
     assert [r["r"] for r in correlations(empty, ["x", "y"]).collect()] == [None] * 4
     df = spark.range(10).select("id", F.when(F.col("id") == 3, float("nan")).otherwise(F.col("id")).alias("odd"))

@@ -1,13 +1,14 @@
 """Exact top-k by integer inner product, in tiles.
 
-Queries are taken in groups whose size is bounded and sent to all tasks. A task
-multiplies a group by its own rows tile by tile, keeps the best k of each query
-per tile, and merges them. The partial lists of the tasks meet in a tree: first
-those of neighbouring partitions, then one list per query.
+Queries and rows are written to the shared folder as tiles of vectors. A task takes a group of
+query tiles, whose size is bounded, and some row tiles, multiplies them tile by tile,
+keeps the best k of each query per tile, and merges them. The partial lists of
+the tasks meet in a tree: first those of neighbouring partitions, then one list per query.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +16,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.frames import lean, named
+from lakeops.durable import fresh_path, materialize
+from lakeops.llm.frames import bound_batches, lean, named
+from lakeops.llm.store import Store
 
+#: queries that a task holds at a time, a tile in the shared folder, and row tiles a task at least goes through
 GROUP_BYTES = 24 << 20
+TILE_BYTES = 2 << 20
+TILES_A_TASK = 64
 TILE_ROWS = 2048
 TILE_QUERIES = 256
 FAN_IN = 64
@@ -81,59 +87,63 @@ def top_k(
     product of floor(scale * component). Equal scores rank by the smaller id. Vectors
     that are null, or hold null or non-finite components, and null ids take no part;
     vectors of different lengths are not compared. An id on several rows asks once,
-    with its smallest vector, and each such row is a candidate of its own. Scores beyond 64 bits raise an error. Queries are sent to the tasks in
-    groups of at most ``GROUP_BYTES``, one pass over ``vectors`` for each group.
+    with its smallest vector, and each such row is a candidate of its own. Scores beyond 64 bits raise an error.
+    Both sides are written as tiles to the shared folder; only the tiles' names and sizes reach the driver.
     """
     spark = vectors.sparkSession
     columns = lambda df: df.select(
         named(vec_id).cast("long").alias("id"), quantised(named(embedding), scale).alias("v")
     ).where("id IS NOT NULL AND v IS NOT NULL")
-    asked, rows = columns(queries).groupBy("id").agg(F.min("v").alias("v")), columns(vectors)
-    size = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("v")), F.lit(0)).alias("d")).first()
-    groups = max(1, -(-size["n"] * (size["d"] + 1) * 8 // (GROUP_BYTES // 2)))
-    group = F.pmod(F.xxhash64("id"), F.lit(groups))
-    partial = None
-    for g in range(groups):
-        # about half the bound on average: hashing does not deal out evenly
-        held = (asked if groups == 1 else asked.where(group == g)).toArrow().combine_chunks()
-        if not held.num_rows:
-            continue
-        ids = held.column("id").to_numpy()
-        sent = spark.sparkContext.broadcast(_by_length(ids, _matrix(held.column("v").combine_chunks())))
-
-        @lean
-        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            best: dict[int, list] = {}
-            for batch in batches:
-                for at in range(0, len(batch), TILE_ROWS):
-                    tile = batch.slice(at, TILE_ROWS)
-                    own = _by_length(tile.column(0).to_numpy(), _matrix(tile.column(1)))
-                    for n, (c_ids, c) in own.items():
-                        if n not in sent.value:
-                            continue
-                        q_ids, q = sent.value[n]
-                        for lo in range(0, len(q), TILE_QUERIES):
-                            scores = _products(q[lo:lo + TILE_QUERIES], c)
-                            # a query is no candidate of its own
-                            for i in np.flatnonzero(np.isin(q_ids[lo:lo + TILE_QUERIES], c_ids)):
-                                scores[i, c_ids == q_ids[lo + i]] = -np.inf
-                            where, found, value = _best(scores, c_ids, k)
-                            keep = (value > -np.inf).astype(bool)
-                            best[n, lo] = _merged(best.get((n, lo)), (where[keep], found[keep], value[keep]), k)
-            out = [(sent.value[n][0][lo + w], f, v) for (n, lo), (w, f, v) in best.items()]
-            if out:
+    store = Store(fresh_path(spark, "tiles"))
+    asked = _tiles(columns(queries).groupBy("id").agg(F.min("v").alias("v")), store, "query-tiles")
+    rows = _tiles(columns(vectors), store, "row-tiles")
+    groups = _groups(asked)
+    per_length: dict[int, list[int]] = {}
+    for g, (n, _) in enumerate(groups):
+        per_length.setdefault(n, []).append(g)
+    tiles = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    # a task of few tiles where there are few, so that all cores have some, and of TILES_A_TASK beyond that
+    buckets = max(1, min(tiles, 2 * spark.sparkContext.defaultParallelism), tiles // TILES_A_TASK)
+    meets = F.array()
+    for n, of in per_length.items():
+        meets = F.when(F.col("n") == n, F.lit(of)).otherwise(meets.cast("array<int>"))
+    work = rows.select("tile", "n", "m", F.explode(meets.cast("array<int>")).alias("g"))
+    spread = work.repartition(max(1, buckets * len(groups)), "g", F.pmod(F.xxhash64("tile"), F.lit(buckets))).sortWithinPartitions("g")
+
+    @lean
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, best, ids, q = None, {}, None, None
+
+        def found():
+            if best:
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([x[0] for x in out]), pa.int64()),
-                    pa.array(np.concatenate([x[1] for x in out]), pa.int64()),
-                    pa.array([int(s) for x in out for s in x[2]], pa.int64()),
+                    pa.array(np.concatenate([ids[lo + w] for lo, (w, _, _) in best.items()]), pa.int64()),
+                    pa.array(np.concatenate([f for _, f, _ in best.values()]), pa.int64()),
+                    pa.array([int(s) for _, _, v in best.values() for s in v], pa.int64()),
                 ], names=["query_id", "vec_id", "score"])
 
-        found = rows.mapInArrow(search, "query_id long, vec_id long, score long").withColumn(
-            "part", F.floor(F.spark_partition_id() / F.lit(FAN_IN))
-        )
-        partial = found if partial is None else partial.unionByName(found)
-    if partial is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        for batch in batches:
+            for name, n, m, g in zip(*(c.to_pylist() for c in batch.columns)):
+                if g != group:
+                    yield from found()
+                    group, best = g, {}
+                    ids, q = (np.concatenate(x) for x in zip(*(_read(store, *t, n) for t in groups[g][1])))
+                own_ids, own = _read(store, name, m, n)
+                for at in range(0, m, TILE_ROWS):
+                    c_ids, c = own_ids[at:at + TILE_ROWS], own[at:at + TILE_ROWS]
+                    for lo in range(0, len(q), TILE_QUERIES):
+                        scores = _products(q[lo:lo + TILE_QUERIES], c)
+                        # a query is no candidate of its own
+                        for i in np.flatnonzero(np.isin(ids[lo:lo + TILE_QUERIES], c_ids)):
+                            scores[i, c_ids == ids[lo + i]] = -np.inf
+                        where, which, value = _best(scores, c_ids, k)
+                        keep = (value > -np.inf).astype(bool)
+                        best[lo] = _merged(best.get(lo), (where[keep], which[keep], value[keep]), k)
+        yield from found()
+
+    partial = spread.mapInArrow(search, "query_id long, vec_id long, score long").withColumn(
+        "part", F.floor(F.spark_partition_id() / F.lit(FAN_IN))
+    )
     # a negated score can pass 64 bits, so the order is by -(score + 1)
     entry = F.struct((-(F.col("score") + 1)).alias("s"), F.col("vec_id").alias("v"))
     merged = partial.groupBy("query_id", "part").agg(
@@ -145,6 +155,55 @@ def top_k(
     )
 
 
+def _tiles(df: DataFrame, store: Store, name: str) -> DataFrame:
+    """Write ``id, v`` as tiles of vectors of one length, in order of ids; ``tile``, ``n`` its length and ``m`` its vectors.
+
+    An attempt of a task writes under names of its own, and only those of the attempt that counts are listed.
+    """
+    @lean
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+
+        def flush(n: int):
+            ids, v = (np.concatenate(x) for x in zip(*held.pop(n)))
+            order = np.argsort(ids, kind="stable")
+            tile = uuid.uuid4().hex
+            store.write(tile, np.concatenate([ids[order].view(np.float64), v[order].ravel()]))
+            return pa.RecordBatch.from_pydict({
+                "tile": pa.array([tile]), "n": pa.array([n], pa.int32()), "m": pa.array([len(ids)], pa.int32()),
+            })
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            for n, part in _by_length(batch.column(0).to_numpy(), _matrix(batch.column(1))).items():
+                held.setdefault(n, []).append(part)
+                if sum(len(ids) for ids, _ in held[n]) * (n + 1) * 8 >= TILE_BYTES:
+                    yield flush(n)
+        for n in sorted(held):
+            yield flush(n)
+
+    return materialize(bound_batches(df).mapInArrow(write, "tile string, n int, m int"), name)
+
+
+def _read(store: Store, tile: str, m: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    flat = store.open(tile, "f8")
+    return flat[:m].view(np.int64), flat[m:].reshape(m, n)
+
+
+def _groups(tiles: DataFrame) -> list[tuple[int, list[tuple[str, int]]]]:
+    """Query tiles of one length that a task holds at a time: the length, and each tile with its vectors."""
+    groups, size = [], 0
+    for t in tiles.orderBy("n", "tile").collect():
+        own = t["m"] * (t["n"] + 1) * 8
+        if not groups or groups[-1][0] != t["n"] or size + own > GROUP_BYTES:
+            groups.append((t["n"], []))
+            size = 0
+        groups[-1][1].append((t["tile"], t["m"]))
+        size += own
+    return groups
+
+
 def _merged(old, new, k: int):
     """The k best of two lists of (row, id, score), per row."""
     if old is not None:

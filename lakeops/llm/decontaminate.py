@@ -11,16 +11,23 @@ are never looked at.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.frames import map_texts, named
+from lakeops.durable import fresh_path, materialize
+from lakeops.llm.frames import as_text, bound_batches, lean, map_texts, named
+from lakeops.llm.store import Store
 from lakeops.llm.words import LETTERED, Block
 
 WIDTH = 10
-#: bytes of test texts whose windows are sent to the tasks at once
+#: bytes of test texts whose machines one task builds, and words of a piece of a long one
 CHUNK_BYTES = 8 << 20
+PIECE_WORDS = 100_000
 LANE = 1024
 _BLOCK = np.uint64(0x9FB21C651E98DF25)
 _TABLE_BITS = 18
@@ -29,17 +36,23 @@ _TABLE_BITS = 18
 class Machine:
     """Shift table, suffix buckets and patterns of one length."""
 
-    def __init__(self, patterns: np.ndarray, at: np.ndarray):
+    PARTS = {"shift": "i4", "suffix": "u8", "patterns": "u8", "at": "i8"}
+
+    def __init__(self, m: int, shift: np.ndarray, suffix: np.ndarray, patterns: np.ndarray, at: np.ndarray):
+        self.m, self.block = m, min(2, m)
+        self.shift, self.suffix, self.patterns, self.at = shift, suffix, patterns.reshape(-1, m), at
+
+    @classmethod
+    def of(cls, patterns: np.ndarray, at: np.ndarray) -> Machine:
         """``patterns`` has a row of word hashes for each pattern; ``at`` are their numbers."""
-        self.m = patterns.shape[1]
-        self.block = min(2, self.m)
-        self.shift = np.full(1 << _TABLE_BITS, self.m - self.block + 1, dtype=np.int64)
-        for end in range(self.block - 1, self.m):
-            where = self._place(self._key(patterns, end))
-            np.minimum.at(self.shift, where, self.m - 1 - end)
-        last = self._key(patterns, self.m - 1)
+        m = patterns.shape[1]
+        made = cls(m, np.full(1 << _TABLE_BITS, m - min(2, m) + 1, dtype=np.int32), at, patterns, at)
+        for end in range(made.block - 1, m):
+            np.minimum.at(made.shift, made._place(made._key(patterns, end)), m - 1 - end)
+        last = made._key(patterns, m - 1)
         order = np.argsort(last, kind="stable")
-        self.suffix, self.patterns, self.at = last[order], patterns[order], at[order]
+        made.suffix, made.patterns, made.at = last[order], patterns[order], at[order]
+        return made
 
     def _key(self, words: np.ndarray, end: int) -> np.ndarray:
         return words[:, end] if self.block == 1 else words[:, end - 1] * _BLOCK + words[:, end]
@@ -79,15 +92,23 @@ class Machine:
 
 
 class Patterns:
-    """The distinct windows of some items, their words, and the items that hold each."""
+    """The distinct windows of some items, their words, and the items that hold each, as arrays.
+
+    ``words`` are the bytes of the windows' words one after the other, ``ends`` where each word ends,
+    ``firsts`` the first word of each window; ``holders`` are the places of the items that hold the windows,
+    ``upto`` where each window's end; ``names`` and ``name_ends`` the items' ids.
+    """
+
+    PARTS = {"words": "u1", "ends": "i8", "firsts": "i8", "holders": "i4", "upto": "i8", "names": "u1", "name_ends": "i8"}
 
-    def __init__(self, items: list[tuple[str, bytes]], width: int):
-        self.width = width
-        self.items = [i for i, _ in items]
+    def __init__(self, arrays: dict[str, np.ndarray], machines: list[Machine]):
+        self.arrays, self.machines = arrays, machines
+
+    @classmethod
+    def of(cls, items: list[tuple[str, bytes]], width: int) -> Patterns:
         block = Block([t for _, t in items], LETTERED)
         numbers: dict[tuple[bytes, ...], int] = {}
-        self.words: list[tuple[bytes, ...]] = []
-        self.holders: list[set[int]] = []
+        holders: list[dict[int, None]] = []
         hashes: dict[int, list[np.ndarray]] = {}
         at: dict[int, list[int]] = {}
         for i in range(len(items)):
@@ -100,45 +121,113 @@ class Patterns:
                 window = tuple(found[w:w + m])
                 number = numbers.get(window)
                 if number is None:
-                    number = numbers[window] = len(self.words)
-                    self.words.append(window)
-                    self.holders.append(set())
+                    number = numbers[window] = len(holders)
+                    holders.append({})
                     hashes.setdefault(int(m), []).append(block.hashes[first + w:first + w + m])
                     at.setdefault(int(m), []).append(number)
-                self.holders[number].add(i)
-        self.machines = [Machine(np.array(h), np.array(at[m])) for m, h in sorted(hashes.items())]
+                holders[number][i] = None
+
+        def ends(sizes):
+            return np.cumsum(np.fromiter(sizes, np.int64), dtype=np.int64)
+
+        def raw(parts):
+            return np.frombuffer(b"".join(parts), np.uint8)
+
+        names = [n.encode() for n, _ in items]
+        lengths = ends(len(w) for w in numbers)
+        arrays = {
+            "words": raw(word for w in numbers for word in w), "ends": ends(len(word) for w in numbers for word in w),
+            "firsts": np.concatenate([[0], lengths[:-1]]).astype(np.int64) if len(lengths) else lengths,
+            "holders": np.fromiter((h for held in holders for h in held), np.int32), "upto": ends(map(len, holders)),
+            "names": raw(names), "name_ends": ends(map(len, names)),
+        }
+        return cls(arrays, [Machine.of(np.array(h), np.array(at[m], dtype=np.int64)) for m, h in sorted(hashes.items())])
+
+    def save(self, store: Store, name: str) -> list[int]:
+        """Write all arrays under ``name``; returns the lengths of the patterns."""
+        for part in self.PARTS:
+            store.write(f"{name}-{part}", self.arrays[part])
+        for machine in self.machines:
+            for part in Machine.PARTS:
+                store.write(f"{name}-{machine.m}-{part}", getattr(machine, part))
+        return [machine.m for machine in self.machines]
+
+    @classmethod
+    def load(cls, store: Store, name: str, lengths: list[int]) -> Patterns:
+        """What ``save`` wrote, mapped and not read."""
+        return cls(
+            {part: store.open(f"{name}-{part}", kind) for part, kind in cls.PARTS.items()},
+            [Machine(m, **{part: store.open(f"{name}-{m}-{part}", kind) for part, kind in Machine.PARTS.items()}) for m in lengths],
+        )
+
+    def window(self, number: int, m: int) -> list[bytes]:
+        words, ends, first = self.arrays["words"], self.arrays["ends"], self.arrays["firsts"][number]
+        bounds = [int(ends[first + k]) if first + k >= 0 else 0 for k in range(-1, m)]
+        return [words[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def items_of(self, number: int) -> list[str]:
+        holders, upto, names, ends = (self.arrays[part] for part in ("holders", "upto", "names", "name_ends"))
+        places = holders[upto[number - 1] if number else 0:upto[number]].tolist()
+        return [names[ends[h - 1] if h else 0:ends[h]].tobytes().decode() for h in places]
 
 
 RESULT = "n_words long, hits array<int>, items array<string>"
 
 
-def _search(docs: DataFrame, patterns: Patterns, keep: list[str], text: str, prefix: str) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(patterns)
-    earlier = f"{prefix}hits__before" in keep
+def _saved(items: DataFrame, chunks: int, width: int, store: Store) -> list[tuple[str, list[int]]]:
+    """The machines of each chunk of test items, built and written by one task each: their name and lengths.
+
+    An attempt of a task writes under a name of its own.
+    """
+    @lean
+    def build(rows: pa.Table) -> pa.Table:
+        name = uuid.uuid4().hex
+        lengths = Patterns.of([(i, t.encode()) for i, t in zip(rows["id"].to_pylist(), rows["text"].to_pylist())], width).save(store, name)
+        return pa.table({"name": [name], "lengths": pa.array([lengths], pa.list_(pa.int32()))})
+
+    chunked = items.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
+    made = chunked.groupBy("chunk").applyInArrow(build, "name string, lengths array<int>").collect()
+    return [(r["name"], list(r["lengths"])) for r in made]
+
+
+def _pieces(items: DataFrame, width: int) -> DataFrame:
+    """Distinct items, longer ones cut so that each window of consecutive words lies whole in a piece."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(*(c.to_pylist() for c in batch.columns)):
+                block = Block([text.encode()], LETTERED)
+                n = len(block.starts)
+                step = PIECE_WORDS if n > PIECE_WORDS + width else max(n, 1)
+                for first in range(0, max(n - width + 1, min(n, 1)), step):
+                    last = min(n, first + step + width - 1)
+                    piece = block.data[block.starts[first]:block.ends[last - 1]]
+                    yield pa.RecordBatch.from_pydict({"id": [name], "text": [as_text(piece)]})
+
+    distinct = bound_batches(items.distinct())
+    return materialize(distinct.mapInArrow(cut, "id string, text string").distinct(), "test-pieces")
+
 
+def _search(docs: DataFrame, saved: list[tuple[str, list[int]]], store: Store, keep: list[str], text: str, prefix: str) -> DataFrame:
     def build():
-        p: Patterns = sent.value
+        chunks = [Patterns.load(store, *s) for s in saved]
 
         def work(texts, rows):
             block = Block(texts, LETTERED)
             counts, owner = block.counts, block.owners()
             edge = np.zeros(len(owner) + 1, dtype=np.int32)
             items: list[set[str]] = [set() for _ in texts]
-            if earlier:
-                for i, (runs, names) in enumerate(zip(
-                    rows.column(f"{prefix}hits__before").to_pylist(), rows.column(f"{prefix}items__before").to_pylist(),
-                )):
-                    items[i].update(names)
-                    for a, b in zip(runs[::2], runs[1::2]):
-                        edge[block.offsets[i] + a] += 1
-                        edge[block.offsets[i] + b] -= 1
-            for machine in p.machines:
-                for stop, number in zip(*(x.tolist() for x in machine.search(block.hashes, owner))):
-                    start = stop - machine.m + 1
-                    if all(block.data[block.starts[start + k]:block.ends[start + k]] == w for k, w in enumerate(p.words[number])):
-                        edge[start] += 1
-                        edge[stop + 1] -= 1
-                        items[owner[start]].update(p.items[h] for h in p.holders[number])
+            for p in chunks:
+                for machine in p.machines:
+                    known: dict[int, tuple[list[bytes], list[str]]] = {}
+                    for stop, number in zip(*(x.tolist() for x in machine.search(block.hashes, owner))):
+                        if number not in known:
+                            known[number] = p.window(number, machine.m), p.items_of(number)
+                        words, names = known[number]
+                        start = stop - machine.m + 1
+                        if all(block.data[block.starts[start + k]:block.ends[start + k]] == w for k, w in enumerate(words)):
+                            edge[start] += 1
+                            edge[stop + 1] -= 1
+                            items[owner[start]].update(names)
             hit = np.cumsum(edge[:-1]) > 0
             runs = []
             for i in range(len(texts)):
@@ -165,34 +254,15 @@ def find_passages(
     holds begin and end of each run of words inside an occurrence, one after the other;
     ``items`` the ids, as strings, of the items with an occurring window, sorted and
     once each. Null and empty texts have no words; items without an id or without words
-    are no tests; repeated rows of an item count as one. Windows are sent to the tasks
-    in chunks of about ``CHUNK_BYTES`` of test text, one search after the other.
+    are no tests; repeated rows of an item count as one. A task builds the machines of about
+    ``CHUNK_BYTES`` of test text and writes them to the shared folder; a long item is cut into pieces
+    that overlap. The search maps them, so neither the driver nor a task holds them all.
     """
     items = benchmark.select(
         named(item_id).cast("string").alias("id"), named(item_text).cast("string").alias("text"),
     ).where("id IS NOT NULL AND text IS NOT NULL")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    chunks = 1 + 2 * size // CHUNK_BYTES
+    pieces = _pieces(items, width)
+    size = pieces.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    store = Store(fresh_path(docs.sparkSession, "test-windows"))
     taken = {f"{prefix}{c}" for c in ("n_words", "hits", "items")}
-    found, carried = docs, [c for c in keep if c not in taken]
-    for g in range(chunks):
-        part = items if chunks == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(chunks)) == g)
-        patterns = Patterns([(r["id"], r["text"].encode()) for r in part.distinct().collect()], width)
-        last = g == chunks - 1
-        found = _chained(found, patterns, carried, text, prefix, g > 0, last)
-    return found.drop(f"{prefix}hits__before", f"{prefix}items__before")
-
-
-def _chained(found: DataFrame, patterns: Patterns, carried: list[str], text: str, prefix: str, earlier: bool, last: bool) -> DataFrame:
-    """One search; the text and the earlier hits travel with the row until the last one."""
-    keep = list(carried)
-    if earlier:
-        keep += [f"{prefix}hits", f"{prefix}items"]
-    if not last and text not in keep:
-        keep.append(text)
-    if earlier:
-        # the new columns take these names, so the earlier ones are read under others
-        old = {f"{prefix}hits": f"{prefix}hits__before", f"{prefix}items": f"{prefix}items__before"}
-        found = found.drop(f"{prefix}n_words", *old.values()).withColumnsRenamed(old)
-        keep = [old.get(c, c) for c in keep]
-    return _search(found, patterns, keep, text, prefix)
+    return _search(docs, _saved(pieces, 1 + 2 * size // CHUNK_BYTES, width, store), store, [c for c in keep if c not in taken], text, prefix)

@@ -86,6 +86,8 @@ def passages(docs, items, width):
 def test_windows_equal_brute_force(spark, documents, odd, monkeypatch, chunk):
     monkeypatch.setattr(decontaminate, "CHUNK_BYTES", chunk)
     monkeypatch.setattr(decontaminate, "LANE", 16)
+    if chunk < 100:
+        monkeypatch.setattr(decontaminate, "PIECE_WORDS", 3)
     rng = random.Random(4)
     few = ENGLISH[:4]
     items = [(i, sentence(rng, few if i % 2 else ENGLISH, rng.randrange(1, 16))) for i in range(30)]

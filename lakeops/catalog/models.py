@@ -41,8 +41,10 @@ def lengths(t):
     return models.assembled(with_counts(t.documents.where("text IS NOT NULL")), ["n_words", "n_lines", "word_length"], "n_chars")
 
 
+# a fit goes over its rows many times; texts are read and counted once, and the counts written
 def counted_documents(t):
-    return with_counts(t.documents).join(t.labels, "doc_id")
+    counted = with_counts(t.documents).join(t.labels, "doc_id")
+    return materialize(counted.select("doc_id", "lang", *DOCUMENT_COLUMNS, "quality"), "counted")
 
 
 def with_counts(documents):
@@ -275,8 +277,9 @@ def cross_validation(t):
 def random_search(t):
     forest = RandomForestClassifier(seed=42)
     grid = models.grid_of({forest.numTrees: [5, 10], forest.maxDepth: [3, 5], forest.minInstancesPerNode: [1, 5]})
-    _, table = models.cross_scores(forest, models.drawn_from(grid, 4), documents(t), quality_scores(), ["doc_id"], folds=3)
-    return by_fold(table, documents(t), ["doc_id"], 3)
+    rows = documents(t)
+    _, table = models.cross_scores(forest, models.drawn_from(grid, 4), rows, quality_scores(), ["doc_id"], folds=3)
+    return by_fold(table, rows, ["doc_id"], 3)
 
 
 @query("l13_grid_search", cross_sql(4))

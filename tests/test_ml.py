@@ -1,3 +1,5 @@
+import re
+import shutil
 from pathlib import Path
 
 import numpy as np
@@ -7,9 +9,11 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from conftest import rows
+from lakeops.catalog import models as catalog
 from lakeops.functions import arrays, scalars
 from lakeops.ml import features, gram, metrics, models, neighbours
 from lakeops.operators import text
+from lakeops.tables import Tables
 
 
 def predictions(spark):
@@ -195,6 +199,48 @@ def test_sums_of_folds_equal_fits_on_their_rows(spark):
     assert gram.cross_scores(df.limit(0).drop("fold"), ["a"], "y", ["id"], [0.0]).count() == 0
 
 
+TEXTS = ["Ab cd, AB\tcd!", "", None, "  zwei\nZeilen \u00dc\u00e9 7 ", "A", "x" * 40 + " \u4e2d\u6587 ..."]
+
+
+@pytest.fixture
+def labelled(spark, tmp_path):
+    """A folder of a few texts and their labels; the quality hangs on the marks."""
+    texts = TEXTS + ["good words here " * (3 + i % 9) if i % 3 else "bad! #$% " * (2 + i % 7) for i in range(90)]
+    documents = [(i, text, "en" if i % 2 else "de", "web", None if text is None else len(text)) for i, text in enumerate(texts)]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, int(bool(i % 3)), 0) for i in range(len(texts)) if i != 4]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    return Tables(spark, str(tmp_path))
+
+
+def test_counts_are_written_and_fits_read_no_text(labelled):
+    """What the fits go over again and again is still there when the texts are gone."""
+    frames = catalog.documents(labelled), catalog.counted_documents(labelled)
+    shutil.rmtree(f"{labelled.folder}/documents.parquet")
+    shutil.rmtree(f"{labelled.folder}/labels.parquet")
+    assert [f.count() for f in frames] == [94, 95]
+    found = {r["doc_id"]: r for r in frames[1].collect()}
+    assert 4 not in found and found[2]["marks"] is None and found[2]["n_chars"] is None
+    for i, text in enumerate(TEXTS):
+        if text is None or i not in found:
+            continue
+        words, of = re.split(r"\s+", text.strip(" ").lower()), max(len(text), 1)
+        marks = sum(not (c.isalpha() or c in " \t\n") for c in text)
+        capitals = sum("A" <= c <= "Z" for c in text)
+        wanted = [len(text), len(words), text.count("\n") + 1, len(text) / len(words), marks / of, capitals / of, len(set(words)) / len(words)]
+        assert [found[i][c] for c in catalog.DOCUMENT_COLUMNS] == pytest.approx(wanted), text
+
+
+@pytest.mark.parametrize("name, rows", [("random_search", 12)])
+def test_texts_are_counted_once_a_query(labelled, monkeypatch, name, rows):
+    """One count of the texts serves all fits, folds and scores of a query, and its result needs no other."""
+    counted, count = [], catalog.with_counts
+    monkeypatch.setattr(catalog, "with_counts", lambda documents: counted.append(1) or count(documents))
+    made = getattr(catalog, name)(labelled)
+    shutil.rmtree(f"{labelled.folder}/documents.parquet")
+    assert made.count() == rows and counted == [1]
+
+
 def test_flags_follow_the_first_table(spark):
     train = spark.createDataFrame([(1.0, None), (3.0, 4.0)], "a double, b double")
     later = spark.createDataFrame([(None, 2.0)], "a double, b double")

@@ -231,7 +231,7 @@ def test_counts_are_written_and_fits_read_no_text(labelled):
         assert [found[i][c] for c in catalog.DOCUMENT_COLUMNS] == pytest.approx(wanted), text
 
 
-@pytest.mark.parametrize("name, rows", [("random_search", 12)])
+@pytest.mark.parametrize("name, rows", [("random_search", 12), ("fit_and_score", 3)])
 def test_texts_are_counted_once_a_query(labelled, monkeypatch, name, rows):
     """One count of the texts serves all fits, folds and scores of a query, and its result needs no other."""
     counted, count = [], catalog.with_counts

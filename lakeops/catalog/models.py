@@ -18,6 +18,7 @@ from lakeops.operators import ranking, text
 
 PRICE_COLUMNS = ["l_quantity", "l_discount", "l_tax", "saleYear", "saleMonth"]
 DOCUMENT_COLUMNS = ["n_chars", "n_words", "n_lines", "word_length", "marks", "capitals", "distinct"]
+LENGTH_COLUMNS = ["n_words", "n_lines", "word_length"]
 
 
 def vectors(t):
@@ -38,7 +39,8 @@ def documents(t):
 
 def lengths(t):
     """Documents with their length as label."""
-    return models.assembled(with_counts(t.documents.where("text IS NOT NULL")), ["n_words", "n_lines", "word_length"], "n_chars")
+    counted = with_counts(t.documents.where("text IS NOT NULL")).select("n_chars", *LENGTH_COLUMNS)
+    return models.assembled(materialize(counted, "lengths"), LENGTH_COLUMNS, "n_chars")
 
 
 # a fit goes over its rows many times; texts are read and counted once, and the counts written
@@ -52,7 +54,7 @@ def with_counts(documents):
     share = lambda left_out: F.length(F.regexp_replace("text", left_out, "")) / F.greatest(F.length("text"), F.lit(1))
     return documents.withColumns({
         "n_words": F.size(words), "n_lines": F.size(F.split("text", "\n")), "word_length": F.length("text") / F.size(words),
-        "marks": share(r"[\p{L}\s]"), "capitals": share("[^A-Z]"), "distinct": F.size(F.array_distinct(words)) / F.size(words),
+        "marks": share(r"[\p{L}\s]+"), "capitals": share("[^A-Z]+"), "distinct": F.size(F.array_distinct(words)) / F.size(words),
     }).drop("text")
 
 
@@ -191,7 +193,8 @@ def line_fit(t):
 # trees of leaf means leave residuals that add up to nothing
 @query("l8_boosted_regression", f"SELECT *, (SELECT round(avg(n_chars)) FROM documents WHERE text IS NOT NULL) AS mean FROM ({ERROR_SQL})")
 def boosted_regression(t):
-    found = scored(GBTRegressor(maxIter=10, maxDepth=4, seed=42).fit(lengths(t)), lengths(t))
+    rows = lengths(t)
+    found = scored(GBTRegressor(maxIter=10, maxDepth=4, seed=42).fit(rows), rows)
     return against_mean(found).withColumn("mean", found.agg(F.round(F.avg("prediction"))).scalar())
 
 

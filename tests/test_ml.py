@@ -215,10 +215,10 @@ def labelled(spark, tmp_path):
 
 def test_counts_are_written_and_fits_read_no_text(labelled):
     """What the fits go over again and again is still there when the texts are gone."""
-    frames = catalog.documents(labelled), catalog.counted_documents(labelled)
+    frames = catalog.documents(labelled), catalog.counted_documents(labelled), catalog.lengths(labelled)
     shutil.rmtree(f"{labelled.folder}/documents.parquet")
     shutil.rmtree(f"{labelled.folder}/labels.parquet")
-    assert [f.count() for f in frames] == [94, 95]
+    assert [f.count() for f in frames] == [94, 95, 95]
     found = {r["doc_id"]: r for r in frames[1].collect()}
     assert 4 not in found and found[2]["marks"] is None and found[2]["n_chars"] is None
     for i, text in enumerate(TEXTS):
@@ -231,7 +231,7 @@ def test_counts_are_written_and_fits_read_no_text(labelled):
         assert [found[i][c] for c in catalog.DOCUMENT_COLUMNS] == pytest.approx(wanted), text
 
 
-@pytest.mark.parametrize("name, rows", [("random_search", 12), ("fit_and_score", 3)])
+@pytest.mark.parametrize("name, rows", [("linear_svm", 1), ("random_search", 12), ("fit_and_score", 3), ("boosted_regression", 1)])
 def test_texts_are_counted_once_a_query(labelled, monkeypatch, name, rows):
     """One count of the texts serves all fits, folds and scores of a query, and its result needs no other."""
     counted, count = [], catalog.with_counts

@@ -14,7 +14,7 @@ from lakeops.catalog.texts import PAIRS, WORDS
 from lakeops.durable import fresh_path, materialize
 from lakeops.functions.scalars import date_parts
 from lakeops.ml import features, gram, models, neighbours, network
-from lakeops.operators import ranking, text
+from lakeops.operators import joins, ranking, text
 
 PRICE_COLUMNS = ["l_quantity", "l_discount", "l_tax", "saleYear", "saleMonth"]
 DOCUMENT_COLUMNS = ["n_chars", "n_words", "n_lines", "word_length", "marks", "capitals", "distinct"]
@@ -45,7 +45,8 @@ def lengths(t):
 
 # a fit goes over its rows many times; texts are read and counted once, and the counts written
 def counted_documents(t):
-    counted = with_counts(t.documents).join(t.labels, "doc_id")
+    # texts without a label are not counted, and none is shuffled
+    counted = with_counts(joins.likely_matches(t.documents, t.labels, "doc_id")).join(t.labels, "doc_id")
     return materialize(counted.select("doc_id", "lang", *DOCUMENT_COLUMNS, "quality"), "counted")
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator
@@ -36,9 +38,19 @@ def forest_regressor(rows: int = 0, cap: int | None = None, **settings) -> Rando
     return RandomForestRegressor(subsamplingRate=share, **settings)
 
 
-def fit_and_score(models: dict[str, Estimator], train: DataFrame, test: DataFrame, evaluator: Evaluator) -> DataFrame:
-    """Fit each model and give one ``model, score`` row."""
-    scores = [(name, float(evaluator.evaluate(m.fit(train).transform(test)))) for name, m in models.items()]
+def fit_and_score(models: dict[str, Estimator], train: DataFrame, test: DataFrame, evaluator: Evaluator,
+                  parallelism: int = 4) -> DataFrame:
+    """Fit each model and give one ``model, score`` row.
+
+    Up to ``parallelism`` models are fitted at a time: a fit is many short jobs, most of which leave cores idle.
+    """
+    # wrapped one by one, so that each thread has its own copy of the caller's local properties
+    runs = [
+        inheritable_thread_target(train.sparkSession)(lambda m=m: float(evaluator.evaluate(m.fit(train).transform(test))))
+        for m in models.values()
+    ]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        scores = list(zip(models, pool.map(lambda run: run(), runs)))
     return train.sparkSession.createDataFrame(scores, "model string, score double")
 
 

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.skew import spread_join
 
+# keys sent to tasks as one bit for each value of their hash: 4 MB whatever their number
+BITS, PAGE = 1 << 25, 1 << 15
+
 
 def inner_detail(rows: DataFrame, details: DataFrame, on: list[str]) -> DataFrame:
     """Inner join to a detail table with one row per key."""
@@ -37,6 +40,21 @@ def not_yet_loaded(rows: DataFrame, target: DataFrame, on: list[str]) -> DataFra
     return spread_join(rows, target.select(*on).distinct(), on, "left_anti")
 
 
+def likely_matches(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """All rows whose key is in ``keys``, and the few others that share a bit with one; rows without a key go.
+
+    For wide rows before costly work: only bits of bounded size are sent, so rows stay where they are.
+    The join that rules out the others is to follow.
+    """
+    at = F.pmod(F.xxhash64(F.col(on).cast("string")), F.lit(BITS))
+    page, bit = F.shiftright(at, PAGE.bit_length() - 1), F.pmod(at, F.lit(PAGE))
+    pages = keys.where(F.col(on).isNotNull()).select(page.alias("__page"), bit.alias("__bit")).repartition("__page")
+    pages = pages.groupBy("__page").agg(F.bitmap_construct_agg("__bit").alias("__bits"))  # at most BITS / PAGE rows of 4 KB
+    byte = F.conv(F.hex(F.substring("__bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    placed = rows.where(F.col(on).isNotNull()).withColumn("__page", page).join(F.broadcast(pages), "__page")
+    return placed.where(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1).select(*rows.columns)
+
+
 def of_batch_dates(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
     """Target rows of the dates in the batch, and the ones without a date."""
     dates = batch.select(column).distinct()

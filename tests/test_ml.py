@@ -1,5 +1,6 @@
 import re
 import shutil
+import threading
 from pathlib import Path
 
 import numpy as np
@@ -12,7 +13,7 @@ from conftest import rows
 from lakeops.catalog import models as catalog
 from lakeops.functions import arrays, scalars
 from lakeops.ml import features, gram, metrics, models, neighbours
-from lakeops.operators import text
+from lakeops.operators import joins, text
 from lakeops.tables import Tables
 
 
@@ -241,6 +242,58 @@ def test_texts_are_counted_once_a_query(labelled, monkeypatch, name, rows):
     assert made.count() == rows and counted == [1]
 
 
+def test_only_labelled_texts_are_counted(labelled, monkeypatch):
+    given, count = [], catalog.with_counts
+    monkeypatch.setattr(catalog, "with_counts", lambda documents: given.append(documents.count()) or count(documents))
+    assert catalog.counted_documents(labelled).count() == 95 and given == [95]
+
+
+def test_likely_matches_keep_every_match_and_shuffle_no_row(spark):
+    wide = spark.range(4000).select(F.when(F.col("id") % 10 > 0, F.col("id") % 2000).alias("k"), F.repeat(F.lit("x"), 50).alias("text"))
+    keys = spark.range(500).select(F.when(F.col("id") > 0, F.col("id") * 3 + 1 - 1000).cast("int").alias("k"))
+    keys = keys.unionByName(keys)
+    found = joins.likely_matches(wide, keys, "k")
+    wanted = wide.join(keys.distinct(), "k", "left_semi")
+    assert found.columns == ["k", "text"] and rows(found.join(keys.distinct(), "k", "left_semi")) == rows(wanted)
+    assert wanted.count() <= found.count() <= wanted.count() + 5 and found.where("k IS NULL").count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    assert joins.likely_matches(wide, keys.limit(0), "k").count() == 0
+    every = joins.likely_matches(spark.range(200_000), spark.range(0, 200_000, 2), "id")
+    assert every.where("id % 2 = 0").count() == 100_000 and every.count() < 101_000
+
+
+def test_models_are_fitted_side_by_side(spark):
+    """Each fit waits until the other has begun; a row a model, in the order given, a thread's properties its own."""
+    both, seen = threading.Barrier(2, timeout=60), {}
+
+    class Fit:
+        def __init__(self, name, score):
+            self.name, self.score = name, score
+
+        def fit(self, train):
+            both.wait()
+            seen[self.name] = train.sparkSession.sparkContext.getLocalProperty("caller")
+            train.sparkSession.sparkContext.setLocalProperty("caller", self.name)
+            both.wait()
+            assert train.count() == 7 and train.sparkSession.sparkContext.getLocalProperty("caller") == self.name
+            return self
+
+        def transform(self, test):
+            return test.withColumn("score", F.lit(self.score))
+
+    class Score:
+        def evaluate(self, df):
+            return df.agg(F.avg("score")).first()[0]
+    spark.sparkContext.setLocalProperty("caller", "test")
+    try:
+        found = models.fit_and_score({"b": Fit("b", 1.0), "a": Fit("a", 0.5)}, spark.range(7), spark.range(3), Score())
+        assert [tuple(r) for r in found.collect()] == [("b", 1.0), ("a", 0.5)] and seen == {"a": "test", "b": "test"}
+        assert spark.sparkContext.getLocalProperty("caller") == "test"
+    finally:
+        spark.sparkContext.setLocalProperty("caller", None)
+
+
 def test_flags_follow_the_first_table(spark):
     train = spark.createDataFrame([(1.0, None), (3.0, 4.0)], "a double, b double")
     later = spark.createDataFrame([(None, 2.0)], "a double, b double")
